@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import repeated_lines, splitting, visual_form
+from foliant.llm import markup, repeated_lines, residue, splitting, visual_form
 from foliant.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -79,3 +79,43 @@ def p7_pieces(spark: SparkSession, folder: str) -> DataFrame:
 
 
 SQL["p7_found"] = "select distinct block_id from blocks where length(resolved_content) > 1200"
+
+
+# 10: template residue
+
+
+@_query
+def p10_found(spark: SparkSession, folder: str) -> DataFrame:
+    return residue.residue_documents(table(spark, folder, "documents", "doc_id", "source", "text"))
+
+
+@_query
+def p10_messages(spark: SparkSession, folder: str) -> DataFrame:
+    return residue.message_groups(table(spark, folder, "documents", "doc_id", "source", "text"))
+
+
+@_query
+def p10_clean_corpus(spark: SparkSession, folder: str) -> DataFrame:
+    return residue.clean_corpus(table(spark, folder, "documents", "doc_id", "source", "lang", "text"))
+
+
+# 3: markup residue
+
+
+def _marked(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    return table(spark, folder, "blocks", "block_id", "source", "raw_content"), table(spark, folder, "vlm_results", "result_id", "task", "html", "latex")
+
+
+@_query
+def p3_found(spark: SparkSession, folder: str) -> DataFrame:
+    return markup.values_with_markup(*_marked(spark, folder))
+
+
+@_query
+def p3_clean_text(spark: SparkSession, folder: str) -> DataFrame:
+    return markup.extracted(*_marked(spark, folder)).dropDuplicates(["record_kind", "record_id", "field_name"])
+
+
+@_query
+def p3_host_paths(spark: SparkSession, folder: str) -> DataFrame:
+    return markup.host_paths(markup.values(*_marked(spark, folder)))
