@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from foliant.session import cut_lineage
+
 # What the messages of interest contain, lower-case. Only a filter; the rules below decide.
 CUES = """{{ }} {% %} ${ <% %> << >> @@ %_ [insert [date [name [amount [your [figure [client [company [title [tbd 【 __ xxx ×× lorem ipsum placeholder
 sample text|replace this|your text|text goes here|dummy text|tbd|todo|to be added|待补|待定|待填|示例文字|示例文本|占位|请替换|请输入|请填写|此处填写|此处为|某某|填充文字
@@ -128,8 +130,11 @@ def candidate_messages(documents: DataFrame) -> DataFrame:
 
 def message_groups(documents: DataFrame, min_docs: int = 3, min_sources: int = 2) -> DataFrame:
     """message_hash, message, n_docs, n_sources, recurring of each masked message that the rules take for residue."""
-    found = candidate_messages(documents).withColumn("message_hash", F.xxhash64("message"))
-    one = found.groupBy("message_hash", "source", "doc_id").agg(F.first("message").alias("message"))
+    return _groups(candidate_messages(documents), min_docs, min_sources)
+
+
+def _groups(found: DataFrame, min_docs: int, min_sources: int) -> DataFrame:
+    one = found.withColumn("message_hash", F.xxhash64("message")).groupBy("message_hash", "source", "doc_id").agg(F.first("message").alias("message"))
     by = one.groupBy("message_hash", "source").agg(F.first("message").alias("message"), F.count("*").alias("n"))
     out = by.groupBy("message_hash").agg(F.min("message").alias("message"), F.sum("n").alias("n_docs"), F.count("source").alias("n_sources"))
     return out.withColumn("recurring", (F.col("n_docs") >= min_docs) & (F.col("n_sources") >= min_sources))
@@ -137,10 +142,10 @@ def message_groups(documents: DataFrame, min_docs: int = 3, min_sources: int = 2
 
 def residue_documents(documents: DataFrame, min_docs: int = 3, min_sources: int = 2) -> DataFrame:
     """Distinct doc_id of the texts that are, hold or end as residue."""
-    found = candidate_messages(documents).withColumn("message_hash", F.xxhash64("message"))
-    wide = message_groups(documents, min_docs, min_sources).where("recurring").select("message_hash")
+    found = cut_lineage(candidate_messages(documents))  # few rows, read twice below
+    wide = _groups(found, min_docs, min_sources).where("recurring").select("message_hash")
     notice = F.col("message").rlike("(?i)[.。!！…]|#")  # a recurring heading isn't a message
-    recurring = found.where(~F.col("certain") & notice).join(wide, "message_hash", "left_semi")
+    recurring = found.where(~F.col("certain") & notice).withColumn("message_hash", F.xxhash64("message")).join(wide, "message_hash", "left_semi")
     return found.where("certain").select("doc_id").unionByName(recurring.select("doc_id")).distinct()
 
 
