@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import markup, repeated_lines, residue, splitting, visual_form
+from foliant.llm import markup, near_duplicates, repeated_lines, residue, splitting, visual_form
 from foliant.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -119,3 +119,22 @@ def p3_clean_text(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def p3_host_paths(spark: SparkSession, folder: str) -> DataFrame:
     return markup.host_paths(markup.values(*_marked(spark, folder)))
+
+
+# 2: near-duplicate records
+
+
+def _near_texts(spark: SparkSession, folder: str) -> DataFrame:
+    blocks = table(spark, folder, "blocks", "block_id", "block_type", "resolved_content")
+    chunks = table(spark, folder, "chunks", "chunk_id", "block_type", "display_text")
+    return near_duplicates.records(blocks, "block", "block_id", "resolved_content").unionByName(near_duplicates.records(chunks, "chunk", "chunk_id", "display_text"))
+
+
+@_query
+def p2_found(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.similar_pairs(_near_texts(spark, folder))
+
+
+@_query
+def p2_groups(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates.groups(_near_texts(spark, folder))
