@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import markup, near_duplicates, repeated_lines, residue, splitting, visual_form
+from foliant.llm import leakage, markup, near_duplicates, repeated_lines, residue, splitting, visual_form
 from foliant.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -138,3 +138,17 @@ def p2_found(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def p2_groups(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates.groups(_near_texts(spark, folder))
+
+
+# 9: evaluation texts in the corpus
+
+
+@_query
+def p9_found(spark: SparkSession, folder: str) -> DataFrame:
+    return leakage.leaked(spark, table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "questions"))
+
+
+@_query
+def p9_matches(spark: SparkSession, folder: str) -> DataFrame:
+    found = leakage.passage_matches(spark, table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "questions"))
+    return found.where(F.col("share") >= leakage.SHARE)
