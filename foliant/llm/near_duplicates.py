@@ -28,10 +28,12 @@ from foliant.llm import codepoints as cps
 from foliant.session import cut_lineage
 
 MIN_CHARS, SHINGLE, THRESHOLD = 200, 5, 0.7
-BINS, ROWS = 256, 5
+BINS, ROWS = 384, 6
 BANDS = BINS // ROWS
+SKETCH_LEAST = 42  # of 64 equal bits; texts at the threshold have 54 on average, unrelated ones 35
 CENTRES, FULL = 8, 64
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def _mix(x: np.ndarray) -> np.ndarray:
@@ -65,8 +67,8 @@ def signatures(points: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """(rows, BINS) densified one-permutation signatures; a row without shingles is EMPTY throughout."""
     hashes, row = shingle_hashes(points, starts)
     sig = np.full((len(starts) - 1) * BINS, EMPTY, np.uint64)
-    shift = np.uint64(64 - int(BINS).bit_length() + 1)
-    np.minimum.at(sig, row * BINS + (hashes >> shift).astype(np.int64), hashes << np.uint64(8) >> np.uint64(8))
+    place = ((hashes >> np.uint64(32)) * np.uint64(BINS) >> np.uint64(32)).astype(np.int64)
+    np.minimum.at(sig, row * BINS + place, _mix(hashes) >> np.uint64(8))
     sig = sig.reshape(-1, BINS)
     full = sig != EMPTY
     some = full.any(axis=1)
@@ -93,70 +95,82 @@ def band_hashes(sig: np.ndarray) -> np.ndarray:
     return total
 
 
+def sketches(sig: np.ndarray) -> np.ndarray:
+    """One bit of each of 64 bins in one number per row."""
+    bits = (_mix(sig[:, :: BINS // 64][:, :64]) & np.uint64(1)) << np.arange(64, dtype=np.uint64)
+    return np.bitwise_or.reduce(bits, axis=1)
+
+
 def _band_worker(batches):
+    """The classes of a batch, each once however many copies it has, in their buckets."""
     for batch in batches:
-        points, starts = cps.explode(batch.column("norm"))
-        c1, c2, side = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("c1", "c2", "side"))
-        for a in range(0, len(c1), 2048):
+        column = batch.column("norm")
+        classes = batch.column("class").to_numpy(zero_copy_only=False)
+        classes, first = np.unique(classes, return_index=True)
+        points, starts = cps.explode(column.take(pa.array(first)))
+        side = batch.column("side").to_numpy(zero_copy_only=False)[first]
+        for a in range(0, len(classes), 2048):
             s = starts[a : a + 2049]
             sig = signatures(points[s[0] : s[-1]], s - s[0])
             some = sig[:, 0] != EMPTY
-            buckets = _mix(band_hashes(sig)[some] ^ side[a : a + 2048][some].view(np.uint64)[:, None])
+            sig = sig[some]
+            buckets = _mix(band_hashes(sig) ^ side[a : a + 2048][some].view(np.uint64)[:, None])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(buckets.reshape(-1).view(np.int64)), pa.array(np.repeat(c1[a : a + 2048][some], BANDS)), pa.array(np.repeat(c2[a : a + 2048][some], BANDS))], names=["bucket", "c1", "c2"]
+                [pa.array(buckets.reshape(-1).view(np.int64)), pa.array(np.repeat(classes[a : a + 2048][some], BANDS)), pa.array(np.repeat(sketches(sig).view(np.int64), BANDS))], names=["bucket", "class", "sketch"]
             )
 
 
 def records(df: DataFrame, kind: str, id_column: str, field: str) -> DataFrame:
-    """record_kind, id, norm, c1, c2 (two hashes of kind and normalised text: the class) of the records that take part."""
+    """record_kind, id, norm, class (a 64-bit hash of kind and normalised text) of the records that take part."""
     rows = df.where((F.col("block_type") == "text") & (F.length(field) >= MIN_CHARS) & F.col(id_column).isNotNull())
-    norm = F.regexp_replace(F.regexp_replace(F.lower(field), r"[\s\p{Z}\x0B\x1C-\x1F\x85]+", " "), "^ | $", "")
+    plain = F.translate(F.lower(field), WHITE_SPACE, " " * len(WHITE_SPACE))
+    norm = F.trim(F.when(plain.contains("  "), F.regexp_replace(plain, "  +", " ")).otherwise(plain))
     rows = rows.select(F.lit(kind).alias("record_kind"), F.col(id_column).alias("id"), norm.alias("norm"))
-    return rows.withColumn("c1", F.xxhash64("record_kind", "norm")).withColumn("c2", F.xxhash64("norm", F.lit(kind), F.lit(7)))
+    return rows.withColumn("class", F.xxhash64("record_kind", "norm"))
 
 
 def _star_worker(batches):
-    """Rows sorted by bucket and random order: each is joined with up to CENTRES rows before it in its bucket. Only the centres of the open bucket are held."""
-    carried = {c: np.zeros(0, np.int64) for c in ("bucket", "c1", "c2")}  # the centres of the bucket that a batch broke off in
-    carried_place = 0
+    """Rows sorted by bucket and random order: each is joined with up to CENTRES different rows before it in its bucket, if their sketches agree. Only the centres of the open bucket are held."""
+    names = ("bucket", "class", "sketch")
+    carried, carried_place = {c: np.zeros(0, np.int64) for c in names}, 0  # the centres of the bucket that a batch broke off in
     for batch in batches:
-        new = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in carried}
-        n = len(new["bucket"])
+        all_ = {c: np.concatenate([carried[c], batch.column(c).to_numpy(zero_copy_only=False)]) for c in names}
+        fresh = np.ones(len(all_["bucket"]), np.bool_)  # equal rows are neighbours
+        fresh[1:] = (all_["bucket"][1:] != all_["bucket"][:-1]) | (all_["class"][1:] != all_["class"][:-1])
+        k = len(carried["bucket"])
+        fresh[:k] = True
+        all_ = {c: all_[c][fresh] for c in names}
+        bucket, n = all_["bucket"], len(all_["bucket"])
         if not n:
             continue
-        if len(carried["bucket"]) and carried["bucket"][0] != new["bucket"][0]:
-            carried, carried_place = {c: np.zeros(0, np.int64) for c in carried}, 0
-        k = len(carried["bucket"])
-        all_ = {c: np.concatenate([carried[c], new[c]]) for c in carried}
-        bucket = all_["bucket"]
-        head = np.ones(len(bucket), np.bool_)
+        head = np.ones(n, np.bool_)
         head[1:] = bucket[1:] != bucket[:-1]
-        first = np.flatnonzero(head)
-        run = np.cumsum(head) - 1
-        place = np.arange(len(bucket)) - first[run]
-        place[(run == 0) & (np.arange(len(bucket)) >= k)] += max(0, carried_place - k)
-        edges = []
+        first, run = np.flatnonzero(head), np.cumsum(head) - 1
+        place = np.arange(n) - first[run]
+        if k:
+            place[(run == 0) & (np.arange(n) >= k)] += carried_place - k
+        x, y = [], []
         for centre in range(CENTRES):
             source = first[run] + centre
-            has = (place > centre) & (np.arange(len(bucket)) >= k) & (source < np.arange(len(bucket)))
-            edges.append((source[has], np.flatnonzero(has)))
-        x, y = (np.concatenate([e[i] for e in edges]) for i in (0, 1))
-        a1, a2, b1, b2 = all_["c1"][x], all_["c2"][x], all_["c1"][y], all_["c2"][y]
-        swap = (a1 > b1) | ((a1 == b1) & (a2 > b2))
-        differ = (a1 != b1) | (a2 != b2)
-        columns = [np.where(swap, p, q)[differ] for p, q in ((b1, a1), (b2, a2), (a1, b1), (a2, b2))]
-        yield pa.RecordBatch.from_arrays([*(pa.array(c) for c in columns), pa.array((place[y] > CENTRES)[differ])], names=["a1", "a2", "b1", "b2", "wide"])
+            has = np.flatnonzero((place > centre) & (np.arange(n) >= k) & (source < np.arange(n)) & (source - first[run] < CENTRES))
+            x.append(source[has])
+            y.append(has)
+        x, y = np.concatenate(x), np.concatenate(y)
+        a, b = all_["class"][x], all_["class"][y]
+        agree = np.bitwise_count((~(all_["sketch"][x] ^ all_["sketch"][y])).view(np.uint64)) >= SKETCH_LEAST
+        keep = (a != b) & agree
+        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[keep]), pa.array(np.maximum(a, b)[keep]), pa.array((place[y] > CENTRES)[keep])], names=["a", "b", "wide"])
         at = first[-1]
-        carried_place = int(place[-1]) + 1
-        carried = {c: all_[c][at : at + CENTRES] for c in carried}
+        carried_place, carried = int(place[-1]) + 1, {c: all_[c][at : at + CENTRES] for c in names}
+        if carried_place > CENTRES:  # the last row too, to know its copies
+            carried = {c: np.append(carried[c], all_[c][-1]) for c in names}
 
 
 def candidate_edges(texts: DataFrame) -> DataFrame:
-    """Distinct (a1, a2, b1, b2, wide) of classes that share a bucket with one of its centres; wide: the bucket has more members than are joined fully."""
-    bands = texts.select("c1", "c2", "norm", F.xxhash64("record_kind").alias("side")).mapInArrow(_band_worker, "bucket long, c1 long, c2 long").distinct()
-    runs = bands.repartition("bucket").sortWithinPartitions("bucket", F.xxhash64("bucket", "c1", "c2"))
-    edges = runs.mapInArrow(_star_worker, "a1 long, a2 long, b1 long, b2 long, wide boolean")
-    return edges.groupBy("a1", "a2", "b1", "b2").agg(F.max("wide").alias("wide"))
+    """Distinct (a, b, wide) of classes, a < b, that share a bucket with one of its centres; wide: the bucket has more members than are joined fully."""
+    bands = texts.select("class", "norm", F.xxhash64("record_kind").alias("side")).mapInArrow(_band_worker, "bucket long, class long, sketch long")
+    runs = bands.repartition("bucket").sortWithinPartitions("bucket", F.xxhash64("bucket", "class"), "class")
+    return runs.mapInArrow(_star_worker, "a long, b long, wide boolean").groupBy("a", "b").agg(F.max("wide").alias("wide"))
 
 
 def jaccard(a: str, b: str, size: int = SHINGLE) -> float:
@@ -174,75 +188,74 @@ def _verify_worker(batches):
             y = {b[i : i + SHINGLE] for i in range(len(b) - SHINGLE + 1)} if m > 0 else set()
             found.append(bool(x and y) and len(x & y) >= THRESHOLD * len(x | y) - 1e-12)
         keep = pa.array(found, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a1", "a2", "b1", "b2", "wide")], names=["a1", "a2", "b1", "b2", "wide"])
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b", "wide")], names=["a", "b", "wide"])
 
 
 def verified(edges: DataFrame, texts: DataFrame) -> DataFrame:
     """The edges whose texts are similar enough by exact comparison. Only the texts of classes with an edge move, one of each class."""
-    needed = edges.select(F.col("a1").alias("c1"), F.col("a2").alias("c2")).unionByName(edges.select(F.col("b1").alias("c1"), F.col("b2").alias("c2"))).distinct()
-    own = texts.join(needed, ["c1", "c2"], "left_semi").groupBy("c1", "c2").agg(F.first("norm").alias("norm"))
-    a, b = (own.select(F.col("c1").alias(f"{s}1"), F.col("c2").alias(f"{s}2"), F.col("norm").alias(f"t{s}")) for s in "ab")
-    return edges.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).mapInArrow(_verify_worker, "a1 long, a2 long, b1 long, b2 long, wide boolean")
+    needed = edges.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    own = texts.join(needed, "class", "left_semi").groupBy("class").agg(F.first("norm").alias("norm"))
+    a, b = (own.select(F.col("class").alias(s), F.col("norm").alias(f"t{s}")) for s in "ab")
+    return edges.join(a, "a").join(b, "b").mapInArrow(_verify_worker, "a long, b long, wide boolean")
 
 
 def class_links(texts: DataFrame) -> DataFrame:
-    """Distinct (a1, a2, b1, b2): the pairs of classes (different texts) that are similar."""
+    """Distinct (a, b), a < b: the pairs of classes (different texts) that are similar; written to the shared folder."""
     edges = cut_lineage(candidate_edges(texts))
     links = cut_lineage(verified(edges, texts))
     wide = links.where("wide")
     if not wide.take(1):
         return links.drop("wide")
     # the rest of buckets that are too large for their centres: what is linked to a common text is compared as well
-    ends = wide.select("a1", "a2", "b1", "b2").unionByName(wide.select(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("a1").alias("b1"), F.col("a2").alias("b2")))
-    other = ends.select("a1", "a2", F.col("b1").alias("d1"), F.col("b2").alias("d2"))
-    more = ends.join(other, ["a1", "a2"]).where("b1 < d1 or (b1 = d1 and b2 < d2)").select(F.col("b1").alias("a1"), F.col("b2").alias("a2"), F.col("d1").alias("b1"), F.col("d2").alias("b2")).distinct()
-    more = more.join(edges, ["a1", "a2", "b1", "b2"], "left_anti").withColumn("wide", F.lit(True))
-    return links.drop("wide").unionByName(verified(more, texts).drop("wide")).distinct()
+    ends = wide.select("a", "b").unionByName(wide.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    more = ends.join(ends.select("a", F.col("b").alias("d")), "a").where("b < d").select(F.col("b").alias("a"), F.col("d").alias("b")).distinct()
+    more = more.join(edges, ["a", "b"], "left_anti").withColumn("wide", F.lit(True))
+    return cut_lineage(links.drop("wide").unionByName(verified(more, texts).drop("wide")).distinct())
 
 
 def members(texts: DataFrame) -> DataFrame:
-    """record_kind, id, c1, c2, n (copies of the class), head (its smallest id); one row per id."""
-    ids = texts.select("record_kind", "id", "c1", "c2").distinct()
-    size = ids.groupBy("c1", "c2").agg(F.count("*").alias("n"), F.min("id").alias("head"))
-    return ids.join(size, ["c1", "c2"])
+    """record_kind, id, class, n (copies of the class), head (its smallest id); one row per id."""
+    ids = cut_lineage(texts.select("record_kind", "id", "class").distinct())
+    size = ids.groupBy("class").agg(F.count("*").alias("n"), F.min("id").alias("head"))
+    return ids.join(size, "class")
 
 
 def similar_pairs(texts: DataFrame) -> DataFrame:
     """Distinct (record_kind, id_a, id_b), id_a < id_b, of the similar records."""
-    who = members(texts).where((F.col("n") <= FULL) | (F.col("id") == F.col("head")))
+    every = members(texts)
     links = class_links(texts)
-    a = who.select("record_kind", F.col("id").alias("x"), F.col("c1").alias("a1"), F.col("c2").alias("a2"))
-    b = who.select(F.col("id").alias("y"), F.col("c1").alias("b1"), F.col("c2").alias("b2"))
-    between = links.join(a, ["a1", "a2"]).join(b, ["b1", "b2"]).select("record_kind", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
-    copies = members(texts).where("n > 1")
-    small = copies.where(F.col("n") <= FULL)
-    within = small.select("record_kind", F.col("id").alias("id_a"), "c1", "c2").join(small.select(F.col("id").alias("id_b"), "c1", "c2"), ["c1", "c2"]).where("id_a < id_b")
-    large = copies.where((F.col("n") > FULL) & (F.col("id") > F.col("head"))).select("record_kind", F.col("head").alias("id_a"), F.col("id").alias("id_b"))
+    who = every.where((F.col("n") <= FULL) | (F.col("id") == F.col("head")))
+    a = who.select("record_kind", F.col("id").alias("x"), F.col("class").alias("a"))
+    b = who.select(F.col("id").alias("y"), F.col("class").alias("b"))
+    between = links.join(a, "a").join(b, "b").select("record_kind", F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
+    small = every.where((F.col("n") > 1) & (F.col("n") <= FULL))
+    within = small.select("record_kind", F.col("id").alias("id_a"), "class").join(small.select(F.col("id").alias("id_b"), "class"), "class").where("id_a < id_b")
+    large = every.where((F.col("n") > FULL) & (F.col("id") > F.col("head"))).select("record_kind", F.col("head").alias("id_a"), F.col("id").alias("id_b"))
     return between.unionByName(within.select("record_kind", "id_a", "id_b")).unionByName(large).distinct()
 
 
-def groups(texts: DataFrame, rounds: int = 30) -> DataFrame:
-    """record_kind, id, group_id (smallest id that is reached by links), n_links (links of its text to other texts); one row per id.
-
-    Components by alternating large-star and small-star steps over the class links; each step is written to the shared folder."""
-    links = cut_lineage(class_links(texts).select(F.struct(F.col("a1").alias("p"), F.col("a2").alias("q")).alias("a"), F.struct(F.col("b1").alias("p"), F.col("b2").alias("q")).alias("b")))
-    edges = links
-    before = None
+def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
+    """node, root (the least node that links reach) of every node of the edges (a, b), by alternating large-star and small-star steps; each is written to the shared folder."""
+    edges, before = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), None
     for _ in range(rounds):
-        both = edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        least = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("m"))
-        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b"))  # larger neighbours go to the least one
-        low = large.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
-        least = low.groupBy("a").agg(F.min("b").alias("m"))
-        small = low.join(least, "a").select(F.explode(F.array(F.struct(F.col("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
+        both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+        least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("m", "a").alias("m"))
+        large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
+        least = large.groupBy("a").agg(F.min("b").alias("m"))
+        small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("a").alias("a"), F.col("m").alias("b")), F.struct(F.col("b").alias("a"), F.col("m").alias("b")))).alias("e")).select("e.a", "e.b")
         edges = cut_lineage(small.where("a <> b").distinct())
-        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b") / 1e6)).first()
+        now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break
         before = now
-    root = edges.groupBy("a").agg(F.min("b").alias("root"))
-    degree = links.select(F.col("a").alias("c")).unionByName(links.select(F.col("b").alias("c"))).groupBy("c").agg(F.count("*").alias("n_links"))
-    own = members(texts).withColumn("c", F.struct(F.col("c1").alias("p"), F.col("c2").alias("q")))
-    own = own.join(root.withColumnRenamed("a", "c"), "c", "left").join(degree, "c", "left").withColumn("root", F.coalesce("root", "c"))
-    heads = own.groupBy("root").agg(F.min("head").alias("group_id"))
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
+
+
+def groups(texts: DataFrame) -> DataFrame:
+    """record_kind, id, group_id (smallest id among the records that links reach), n_links (links of its text to different texts); one row per id."""
+    every, links = members(texts), class_links(texts)
+    root = components(links).withColumnRenamed("node", "class")
+    degree = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("n_links"))
+    own = every.join(root, "class", "left").join(degree, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    heads = own.select("class", "root", "head").distinct().groupBy("root").agg(F.min("head").alias("group_id"))
     return own.join(heads, "root").select("record_kind", "id", "group_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
