@@ -18,6 +18,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -26,6 +27,7 @@ from foliant.session import cut_lineage
 WORD_RUN, HAN_RUN = 3, 5
 SHARE, FULL_SHARE = 0.5, 0.9
 BAND = 16
+SLICE_CHARS = 400_000
 BLOCK_TOKENS = 400_000  # tokens of test items that go to the workers at once
 _TOKEN = re.compile(r"[㐀-鿿豈-﫿]|[^\W_㐀-鿿豈-﫿]+")
 _SEPARATOR = re.compile(r"(?<=\d)[.,，．](?=\d)")
@@ -101,9 +103,16 @@ class Block:
 def _index_worker(block: Block):
     def run(batches):
         for batch in batches:
-            rows, items, offsets, places, runs = block.postings(batch.column("text").to_pylist())
-            ids = batch.column("doc_id").take(pa.array(rows))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(items), pa.array(offsets), pa.array(places), pa.array(runs)], names=["doc_id", "item", "offset", "position", "run"])
+            sizes = np.cumsum(pc.fill_null(pc.utf8_length(batch.column("text")), 0).to_numpy(zero_copy_only=False))
+            begin = 0
+            while begin < len(batch):  # a slice of about SLICE_CHARS at a time: token lists take many times the text's memory
+                done = sizes[begin - 1] if begin else 0
+                end = max(begin + 1, int(np.searchsorted(sizes, done + SLICE_CHARS, "right")))
+                part = batch.slice(begin, end - begin)
+                rows, items, offsets, places, runs = block.postings(part.column("text").to_pylist())
+                ids = part.column("doc_id").take(pa.array(rows))
+                yield pa.RecordBatch.from_arrays([ids, pa.array(items), pa.array(offsets), pa.array(places), pa.array(runs)], names=["doc_id", "item", "offset", "position", "run"])
+                begin = end
 
     return run
 
