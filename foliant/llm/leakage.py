@@ -2,9 +2,10 @@
 
 A positional inverted index over runs of tokens: the index keeps, for the runs that test items have (three words, five characters of
 Chinese), the documents and positions where they stand. Of a document's postings for an item only those are stored that can still
-reach the required share: a passage that covers share s of L tokens in runs of n has at least s*L/n postings, so nothing is lost.
+reach the required share (half for evidence, nearly all for question and answer): a passage that covers share s of L tokens in runs of
+n has at least s*L/n postings, so nothing is lost.
 The lists are intersected after subtracting each run's offset in its item: postings of one passage agree in that difference up to
-small shifts, and fall into the same band (two overlapping sets of bands). The votes for a band are weighted by rarity, the rarest
+small shifts, and fall into the same band (two overlapping sets of bands); a band that cannot reach the share is not stored. The votes for a band are weighted by rarity, the rarest
 runs first; the share of the item's tokens that a band covers decides. Full cover without a shift is an exact phrase.
 
 Test items are few and fixed; they are taken to the workers in blocks of bounded size. Case, punctuation and line breaks don't
@@ -55,7 +56,7 @@ def _hash_runs(ids: np.ndarray, n: int) -> np.ndarray:
 class Block:
     """Some test items, ready for lookup: item numbers count from ``first``."""
 
-    def __init__(self, items: list[list[str]], first: int, share: float):
+    def __init__(self, items: list[list[str]], first: int, shares: list[float]):
         self.vocabulary = {t: k + 1 for k, t in enumerate(sorted({t for item in items for t in item}))}
         by_n: dict[int, list[tuple[int, int, int]]] = {}
         least = []
@@ -63,7 +64,7 @@ class Block:
             n = run_length(item)
             ids = np.array([self.vocabulary[t] for t in item], np.int64)
             by_n.setdefault(n, []).extend((int(h), first + number, at) for at, h in enumerate(_hash_runs(ids, n)))
-            least.append(max(1, int(np.ceil(share * len(item) / n - 1e-9))))
+            least.append(max(1, int(np.ceil(shares[number] * len(item) / n - 1e-9))))
         self.first, self.least = first, np.array(least, np.int64)
         self.lists = {}
         for n, entries in by_n.items():
@@ -96,7 +97,19 @@ class Block:
             return tuple(np.zeros(0, np.int64) for _ in range(5))
         rows, items, offsets, places, runs = (np.concatenate(x) for x in zip(*out))
         pair = rows * (len(self.least) + 1) + (items - self.first)
-        keep = np.bincount(np.unique(np.stack([pair, offsets]), axis=1)[0], minlength=int(pair.max()) + 1 if len(pair) else 0)[pair] >= self.least[items - self.first] if len(pair) else np.zeros(0, bool)
+        if not len(pair):
+            return rows, items, offsets, places, runs
+        span, shift = int(offsets.max()) + 1, places - offsets
+        keep = np.zeros(len(pair), np.bool_)
+        for lead in (0, BAND // 2):  # a posting stays if one of its two bands can reach the share
+            band = (shift + lead) // BAND
+            band -= band.min()
+            key = pair * (int(band.max()) + 1) + band
+            distinct = np.sort(key * span + offsets)
+            distinct = distinct[np.append(True, distinct[1:] != distinct[:-1])] // span
+            first = np.flatnonzero(np.append(True, distinct[1:] != distinct[:-1]))
+            counts = np.diff(np.append(first, len(distinct)))
+            keep |= counts[np.searchsorted(distinct[first], key)] >= self.least[items - self.first]
         return rows[keep], items[keep], offsets[keep], places[keep], runs[keep]
 
 
@@ -128,14 +141,14 @@ def _items(questions: DataFrame) -> list[tuple[str, str, list[str]]]:
     return out
 
 
-def build_index(documents: DataFrame, items: list[list[str]], share: float = SHARE) -> DataFrame:
+def build_index(documents: DataFrame, items: list[list[str]], shares: list[float]) -> DataFrame:
     """doc_id, item, offset, position, run: the postings, written once to the shared folder."""
     kind = documents.schema["doc_id"].dataType.simpleString()
     blocks, first, size = [], 0, 0
     for k, item in enumerate([*items, None]):
         if item is None or size + len(item) > BLOCK_TOKENS and k > first:
             if k > first:
-                blocks.append(Block(items[first:k], first, share))
+                blocks.append(Block(items[first:k], first, shares[first:k]))
             first, size = k, 0
         size += len(item or ())
     index = None
@@ -150,7 +163,7 @@ def build_index(documents: DataFrame, items: list[list[str]], share: float = SHA
 def passage_matches(spark: SparkSession, documents: DataFrame, questions: DataFrame) -> DataFrame:
     """doc_id, question_id, part, share (of the part's tokens covered), position (of the first), exact_phrase; the best passage of each part."""
     items = _items(questions)
-    index = build_index(documents, [words for _, _, words in items])
+    index = build_index(documents, [words for _, _, words in items], [SHARE if part == "evidence" else FULL_SHARE for _, part, _ in items])
     about = spark.createDataFrame(
         [(k, q, part, len(words), run_length(words)) for k, (q, part, words) in enumerate(items)], "item long, question_id string, part string, n_tokens long, n long"
     )

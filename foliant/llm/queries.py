@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import leakage, markup, near_duplicates, repeated_lines, residue, splitting, visual_form
+from foliant.llm import leakage, markup, near_duplicates, repeated_lines, residue, scan_noise, splitting, visual_form
 from foliant.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -152,3 +152,25 @@ def p9_found(spark: SparkSession, folder: str) -> DataFrame:
 def p9_matches(spark: SparkSession, folder: str) -> DataFrame:
     found = leakage.passage_matches(spark, table(spark, folder, "documents", "doc_id", "text"), table(spark, folder, "questions"))
     return found.where(F.col("share") >= leakage.SHARE)
+
+
+# 1: noise of scanned pages
+
+
+def _scanned(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "blocks", "block_id", "block_type", "raw_content", "resolved_content")
+
+
+@_query
+def p1_found(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_noise.damaged_blocks(_scanned(spark, folder)).select("block_id").distinct()
+
+
+@_query
+def p1_kinds(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_noise.damaged_blocks(_scanned(spark, folder))
+
+
+@_query
+def p1_repaired(spark: SparkSession, folder: str) -> DataFrame:
+    return scan_noise.repaired_blocks(_scanned(spark, folder))
