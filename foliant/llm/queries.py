@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import leakage, markup, near_duplicates, repeated_lines, residue, scan_noise, splitting, visual_form
+from foliant.llm import leakage, markup, near_duplicates, repeated_lines, residue, scan_noise, splitting, truncation, visual_form
 from foliant.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -174,3 +174,25 @@ def p1_kinds(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def p1_repaired(spark: SparkSession, folder: str) -> DataFrame:
     return scan_noise.repaired_blocks(_scanned(spark, folder))
+
+
+# 4: text cut off by field limits
+
+
+def _cuttable(spark: SparkSession, folder: str) -> DataFrame:
+    return table(spark, folder, "blocks", "block_id", "document_id", "page_no", "reading_order", "block_type", "source", "raw_content", "resolved_content")
+
+
+@_query
+def p4_found(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation.cut_values(_cuttable(spark, folder)).select("block_id", "field_name").distinct()
+
+
+@_query
+def p4_source_rates(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation.source_rates(_cuttable(spark, folder))
+
+
+@_query
+def p4_hidden_limits(spark: SparkSession, folder: str) -> DataFrame:
+    return truncation.hidden_limits(_cuttable(spark, folder))
