@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from foliant.llm import leakage, markup, near_duplicates, repeated_lines, residue, scan_noise, splitting, truncation, visual_form
+from foliant.llm import leakage, markup, near_duplicates, packing, repeated_lines, residue, scan_noise, splitting, truncation, visual_form
 from foliant.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -196,3 +196,16 @@ def p4_source_rates(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def p4_hidden_limits(spark: SparkSession, folder: str) -> DataFrame:
     return truncation.hidden_limits(_cuttable(spark, folder))
+
+
+# 8: containers of fixed capacity
+
+
+@_query
+def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents", "doc_id", "text"))
+
+
+@_query
+def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.fill(p8_containers(spark, folder))
