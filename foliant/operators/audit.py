@@ -13,6 +13,7 @@ from difflib import SequenceMatcher
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType
 
 from foliant.functions import geometry as G
 from foliant.functions import text as T
@@ -20,7 +21,7 @@ from foliant.operators import tables as TB
 from foliant.options import DEFAULT
 
 # Signs that count as one.
-_SAME_SIGNS = str.maketrans({"‐": "-", "‑": "-", "‒": "-", "–": "-", "—": "-", "“": '"', "”": '"', "‘": "'", "’": "'", "﹒": ".", "­": "", "​": "", "﻿": ""})
+_SAME_SIGNS = str.maketrans({**dict.fromkeys("‐‑‒–—", "-"), "“": '"', "”": '"', "‘": "'", "’": "'", "﹒": ".", **dict.fromkeys(map(chr, (0xAD, 0x200B, 0xFEFF)), "")})
 _MARKS = str.maketrans("", "", "$\\{}^")
 
 
@@ -29,9 +30,9 @@ def normal(text: str | None) -> str:
     return re.sub(r"\s+", "", unicodedata.normalize("NFKC", html.unescape(text or "")).translate(_SAME_SIGNS))
 
 
-normal_text = F.pandas_udf(lambda t: pd.Series([normal(x) for x in t], dtype=object), "string")
-canonical_text = F.pandas_udf(lambda t: pd.Series([normal(x).translate(_MARKS) for x in t], dtype=object), "string")
-exact_ratio = F.pandas_udf(lambda a, b: pd.Series([1.0 if x == y and x else SequenceMatcher(None, x or "", y or "", autojunk=False).ratio() if x and y else 0.0 for x, y in zip(a, b)], dtype=float), "double")
+normal_text = F.pandas_udf(lambda t: pd.Series([normal(x) for x in t], dtype=object), StringType())
+canonical_text = F.pandas_udf(lambda t: pd.Series([normal(x).translate(_MARKS) for x in t], dtype=object), StringType())
+exact_ratio = F.pandas_udf(lambda a, b: pd.Series([1.0 if x == y and x else SequenceMatcher(None, x or "", y or "", autojunk=False).ratio() if x and y else 0.0 for x, y in zip(a, b)], dtype=float), DoubleType())
 
 
 def covered_lines(blocks: DataFrame, lines: DataFrame) -> DataFrame:

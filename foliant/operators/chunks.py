@@ -15,8 +15,9 @@ from foliant.functions import text as T
 from foliant.operators import tables as TB
 from foliant.options import CHUNK_SCHEMA, DEFAULT, Options
 from foliant.plans.order import document_order, linked
+from foliant.session import cut_lineage
 
-REVIEW_NOTICE = "证据状态：待复核（保留MinerU原始内容）"  # a fixed value of the exports
+REVIEW_NOTICE = "证据状态：待复核（保留解析器原始内容）"  # before the text of provisional chunks; a parameter of the exports
 
 # units and windows of text
 
@@ -281,7 +282,7 @@ def _plain_chunks(rows: DataFrame) -> DataFrame:
 
 def build_chunks(blocks: DataFrame, context: DataFrame, captions: DataFrame, options: Options = DEFAULT) -> DataFrame:
     """The chunks of all documents: CHUNK_COLUMNS with chunk_id, embedding_text, retrieval_tier."""
-    rows = prepared(blocks, context)
+    rows = cut_lineage(prepared(blocks, context))  # read by every branch below
     made = _text_chunks(rows, text_groups(rows, options), options).select(*CHUNK_COLUMNS)
     for part in (_table_chunks(rows, context, options), _visual_chunks(rows, captions, options), _formula_chunks(rows), _plain_chunks(rows)):
         made = made.unionByName(part.select(*CHUNK_COLUMNS))

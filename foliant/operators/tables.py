@@ -7,13 +7,15 @@ import re
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, DoubleType, IntegerType, LongType, StringType, StructField, StructType
 
 from foliant.functions import geometry as G
 from foliant.functions import htmltable as H
 from foliant.functions import text as T
 from foliant.options import DEFAULT
 
-GRID = "struct<cells:array<array<string>>,header_rows:int,pages:array<int>,headers:array<string>>"
+_STRINGS = ArrayType(StringType())
+GRID = StructType([StructField("cells", ArrayType(_STRINGS)), StructField("header_rows", IntegerType()), StructField("pages", ArrayType(IntegerType())), StructField("headers", _STRINGS)])
 
 
 def _grid(text: str | None):
@@ -39,11 +41,11 @@ def _shape(texts: pd.Series) -> pd.Series:
     return pd.Series(out, dtype=object)
 
 
-table_shape = F.pandas_udf(_shape, "string")
-similarity = F.pandas_udf(lambda a, b: pd.Series([H.similar(x, y) if x and y else 0.0 for x, y in zip(a, b)], dtype=float), "double")
-header_text = F.pandas_udf(lambda t: pd.Series([H.header_text(x or "") for x in t], dtype=object), "string")
-column_count = F.pandas_udf(lambda t: pd.Series([H.column_count(x or "") for x in t]).astype("int64"), "long")
-flat_text = F.pandas_udf(lambda t: pd.Series([H.flatten(x) for x in t], dtype=object), "string")
+table_shape = F.pandas_udf(_shape, StringType())
+similarity = F.pandas_udf(lambda a, b: pd.Series([H.similar(x, y) if x and y else 0.0 for x, y in zip(a, b)], dtype=float), DoubleType())
+header_text = F.pandas_udf(lambda t: pd.Series([H.header_text(x or "") for x in t], dtype=object), StringType())
+column_count = F.pandas_udf(lambda t: pd.Series([H.column_count(x or "") for x in t]).astype("int64"), LongType())
+flat_text = F.pandas_udf(lambda t: pd.Series([H.flatten(x) for x in t], dtype=object), StringType())
 
 
 def with_grids(df: DataFrame, key: str, field: str) -> DataFrame:
