@@ -118,9 +118,10 @@ def stable_id(*parts: Column) -> Column:
 def lexical_terms(text: Column) -> Column:
     """Latin words with trailing digits, numbers, single Chinese characters standing alone, and bigrams of Chinese runs."""
     folded = F.replace(F.lower(fold_width(F.coalesce(text, F.lit("")))), F.lit("\\%"), F.lit("%"))
-    tokens = F.regexp_extract_all(folded, F.lit(r"[a-z]+\d*|\d+(?:\.\d+)?%?|[\x{4e00}-\x{9fff}]+"), F.lit(0))
-    pairs = lambda t: F.when(t.rlike(r"^[\x{4e00}-\x{9fff}]{2,}$"), F.transform(F.sequence(F.lit(1), F.length(t) - 1), lambda i: F.substring(t, i, F.lit(2)))).otherwise(F.array(t))
-    return F.flatten(F.transform(tokens, pairs))
+    han = r"[\x{4e00}-\x{9fff}]"
+    words = F.regexp_extract_all(folded, F.lit(rf"[a-z]+\d*|\d+(?:\.\d+)?%?|(?<!{han}){han}(?!{han})"), F.lit(0))
+    pairs = F.regexp_extract_all(folded, F.lit(rf"(?=({han}{{2}})){han}"), F.lit(1))  # overlapping
+    return F.concat(words, pairs)
 
 
 def number_tokens(text: Column) -> Column:

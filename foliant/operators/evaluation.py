@@ -14,6 +14,8 @@ BAD_SECTION = r"^(?:单位|币种)[：:]|^(?:续)?(?:附表|表|图)\s*\d+|^续
 
 def stored_chunks(chunks: DataFrame) -> DataFrame:
     """Chunks as stored, each chunk_id once, with role and sources from their JSON metadata."""
+    names = ["chunk_id", "document_id", "page_start", "page_end", "block_type", "parent_id", "section_path", "display_text", "embedding_text", "asset_id", "metadata_json", "embedding_state"]
+    chunks = chunks.select(*names).where("chunk_id is not null")
     role = F.get_json_object("metadata_json", "$.chunk_role")
     ids = F.from_json(F.get_json_object("metadata_json", "$.source_block_ids"), "array<string>")
     return chunks.dropDuplicates(["chunk_id"]).withColumn("chunk_role", role).withColumn("source_block_ids", ids)

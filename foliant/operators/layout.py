@@ -17,9 +17,16 @@ from foliant.functions import text as T
 from foliant.options import DEFAULT, TEMPLATE_TYPES, VISUAL_TYPES
 
 
+# The columns of a block that the operators know; others are dropped, so that names of extra columns cannot clash.
+KNOWN = (
+    "block_id", "document_id", "page_no", "block_type", "bbox", "reading_order", "raw_content", "resolved_content", "source", "asset_id", "section_path", "issue_flags", "status", "text_level",
+    "column_index", "skip_chunk", "chunk_eligible", "source_pages",
+)
+
+
 def laid_out(blocks: DataFrame) -> DataFrame:
-    """One row per block_id with content and position."""
-    once = blocks.dropDuplicates(["block_id"])
+    """One row per block_id with content ('' where there is none) and position (blocks without order come last); rows without id are dropped."""
+    once = blocks.select(*KNOWN).where("block_id is not null").dropDuplicates(["block_id"])
     return once.withColumn("content", T.content()).withColumn("position", F.coalesce("reading_order", F.lit(1 << 20)))
 
 

@@ -11,18 +11,21 @@ from foliant.functions import geometry as G
 from foliant.options import DEFAULT, ROUTING_FLAGS, SETTLED, TASK_OF_TYPE
 
 
-def _share_of_commonest(flat: Column) -> Column:
-    """Share of the most frequent character of a text; sorting its characters keeps this linear in runs."""
-    chars = F.filter(F.split(flat, ""), lambda c: F.length(c) > 0)
-    counts = F.transform(F.array_distinct(chars), lambda c: F.length(flat) - F.length(F.replace(flat, c, F.lit(""))))
-    return F.array_max(counts) / F.length(flat)
+def _repeats(flat: Column, share: float) -> Column:
+    """Whether one character makes up at least ``share`` of a text: sorted, its run covers one of the few places that are a multiple of the needed count."""
+    chars = F.array_sort(F.filter(F.split(flat, ""), lambda c: F.length(c) > 0))
+    need = F.greatest(F.lit(1), F.ceil(F.length(flat) * share - 1e-9)).cast("int")
+    hits = [F.coalesce(F.length(flat) - F.length(F.replace(flat, F.try_element_at(chars, need * k), F.lit(""))) >= need, F.lit(False)) for k in range(1, int(1 / share) + 1)]
+    out = hits[0]
+    for h in hits[1:]:
+        out = out | h
+    return out
 
 
 def text_flags(text: Column) -> Column:
     flat = T.compact(text)
     hidden = flat.rlike(r"(?i)(?:█{3,}|\*{5,}|已脱敏|已遮挡|redacted)")
-    # no text of 8 characters and more reaches the share unless it repeats a character; the regular expression spares the rest the count
-    repeated = (F.length(flat) >= 8) & (_share_of_commonest(flat) >= DEFAULT.repeated_char_share)
+    repeated = (F.length(flat) >= 8) & _repeats(flat, DEFAULT.repeated_char_share)
     broken = text.contains("�") | text.rlike(r"[?？]{4,}")
     money = text.rlike(r"(?s)(?:\d+[A-Za-z]+|[A-Za-z]+\d+)[^\n]*[¥￥$]|[¥￥$][^\n]*(?:\d+[A-Za-z]+)")
     some = F.length(flat) > 0

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions import text as T
 from foliant.options import DEFAULT
+from foliant.session import cut_lineage
 
 QUERY_BLOCK = 2048  # query vectors that go to the workers at once
 
@@ -26,8 +27,8 @@ def lexical_ranks(queries: DataFrame, corpus: DataFrame, key: str, field: str, l
     summed per (query, document) with map-side combining. Ties go by ``order``, or the key. A query without terms finds nothing."""
     asked = queries.select(query_key, F.explode(T.lexical_terms(F.col(query_field))).alias("term")).groupBy(query_key, "term").agg(F.count("*").alias("qf"))
     wanted = asked.select("term").distinct()
-    tf = corpus.select(key, T.lexical_terms(F.col(field)).alias("terms")).withColumn("n_terms", F.size(F.array_distinct("terms"))).select(key, "n_terms", F.explode("terms").alias("term"))
-    tf = tf.join(wanted, "term", "left_semi").groupBy(key, "n_terms", "term").agg(F.count("*").alias("tf"))
+    tf = corpus.select(key, T.lexical_terms(F.col(field)).alias("terms")).withColumn("n_terms", F.size(F.array_distinct("terms"))).select(key, "n_terms", F.explode_outer("terms").alias("term")).where("term is not null")
+    tf = cut_lineage(tf.join(wanted, "term", "left_semi").groupBy(key, "n_terms", "term").agg(F.count("*").alias("tf")))  # read twice below
     total = corpus.agg(F.count("*").alias("total"))
     df = tf.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(total))  # one row
     weights = asked.join(df, "term").select(query_key, "term", (F.col("qf") * F.log(1.0 + (F.col("total") + 0.5) / (F.col("df") + 0.5))).alias("weight"))
