@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from foliant.session import cut_lineage
 
 # What the messages of interest contain, lower-case. Only a filter; the rules below decide.
-CUES = """{{ }} {% %} ${ <% %> << >> @@ %_ [insert [date [name [amount [your [figure [client [company [title [tbd 【 __ xxx ×× lorem ipsum placeholder
+CUES = """{{ }} {% %} ${ <% %> << >> @@ [insert [date [name [amount [your [figure [client [company [title [tbd 【 __ xxx ×× lorem ipsum placeholder
 sample text|replace this|your text|text goes here|dummy text|tbd|todo|to be added|待补|待定|待填|示例文字|示例文本|占位|请替换|请输入|请填写|此处填写|此处为|某某|填充文字
 javascript|scripts|脚本|cookies|browser|浏览器|not found|not on this server|not exist|forbidden|denied|blocked|unauthor|permission|expired|sign in|log in|禁止访问|无权|拒绝|登录|未找到|不存在|已被移除|已失效
 server error|internal error|service unavailable|bad gateway|timeout|timed out|try again|later|unavailable|maintenance|系统繁忙|服务暂不可用|稍后|重试|刷新|维护|出错|错误|异常
@@ -53,6 +53,7 @@ EMPTY_VALUE = re.compile(r"(?:null|undefined|NaN|N/A|None|nil|#REF!|#N/A|#VALUE!
 #: Phrases that prose may hold as well; they need recurrence.
 WEAK = re.compile(r"try again later|go back to the|may have been moved|请?稍后(?:重试|再试)|刷新页面|返回列表|重新登录|已被移除|is not on this server|did not answer in time|down for maintenance|is being updated|敬请期待|coming soon|under construction", re.I)
 
+_PERCENT_NAME = re.compile(r"%[A-Z][A-Z0-9]*(?:_[A-Z0-9]+)*%")
 _MESSAGE_END = re.compile(r"\n+|(?<=[。！？])|(?<=[.!?])\s+")
 _NUMBER = re.compile(r"https?://\S+|[\w.+-]+@[\w-]+(?:\.[\w-]+)+|\d{1,4}(?:[-/.年:]\d{1,2}){2}日?|\d[\d,.]*\d|\d|\b[0-9a-f]{12,}\b")
 
@@ -89,7 +90,7 @@ def messages(text: str | None) -> list[tuple[str, bool]]:
     if not text:
         return []
     low = text.lower()
-    if next(_cues().iter(low), None) is None and not empty_dump(text):
+    if next(_cues().iter(low), None) is None and not _PERCENT_NAME.search(text) and not empty_dump(text):
         return []
     out = []
     whole = PLACEHOLDER.search(text) or FILLER.search(text)

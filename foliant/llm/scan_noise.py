@@ -67,7 +67,7 @@ def features(lines: list[str]) -> list[tuple]:
             "page" if _PAGE_NUMBER.fullmatch(s) else "item" if _ITEM.match(s) else "label" if (" | " in s or "  " in s or re.search(rf"[A-Za-z{HAN}] ?\d{{1,4}}$", s)) and len(s) < 0.8 * width else "plain",
             "full" if size >= 0.8 else "mid" if size >= 0.45 else "short",
             "hyphen" if re.search(r"[\w，。%）)]-$", s) else "end" if _END.search(s) else "stray" if line != line.rstrip() else "open",
-            "low" if following[:1].islower() or following[:1] in "，。、；：）)%" else "digit" if following[:1].isdigit() else "item" if _ITEM.match(following) else "none" if not following else "other",
+            "none" if not following else "low" if following[0].islower() or following[0] in "，。、；：）)%" else "digit" if following[0].isdigit() else "item" if _ITEM.match(following) else "other",
             ("first" if i == 0 else "last" if i == len(shown) - 1 else "inner") + ("-apart" if (k > 0 and not lines[k - 1].strip()) else ""),
         )))
     return out
@@ -338,7 +338,7 @@ def repair(text: str | None, model: LineModel, words: Lexicon) -> str | None:
             paragraphs.append(line)
             continue
         current = _join(current, line, words) if current else line
-        if label == "break":
+        if label == "break" or not (wrapped or f[3] in ("hyphen", "stray")):
             paragraphs.append(current)
             current = ""
     if current:
