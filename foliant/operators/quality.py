@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions import text as T
 from foliant.functions import geometry as G
-from foliant.options import DEFAULT, ROUTING_FLAGS, SETTLED, TASK_OF_TYPE
+from foliant.options import DEFAULT, OTHER_TASK, ROUTING_FLAGS, SETTLED, TASK_OF_TYPE, VISUAL_NAMES, YES_WORDS
 
 
 def _repeats(flat: Column, share: float) -> Column:
@@ -72,7 +72,7 @@ def gated_blocks(blocks: DataFrame) -> DataFrame:
     flags = F.array_distinct(F.concat(F.coalesce("issue_flags", F.array().cast("array<string>")), detected_flags(), F.when(upright, F.array(F.lit("LAY-002"))).otherwise(F.array().cast("array<string>"))))
     out = blocks.withColumn("flags", flags).withColumn("decision", gate(F.col("flags")))
     pairs = [x for k, v in TASK_OF_TYPE.items() for x in (F.lit(k), F.lit(v))]
-    task = F.when(F.col("decision") == "second_reading", F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("block_type")), F.lit("text")))
+    task = F.when(F.col("decision") == "second_reading", F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("block_type")), F.lit(OTHER_TASK)))
     return out.select("block_id", "flags", "decision", task.alias("task"))
 
 
@@ -82,92 +82,17 @@ def tiers(blocks: DataFrame) -> DataFrame:
     return blocks.select("block_id", F.coalesce(T.eligible(), F.lit(False)).alias("eligible"), F.when(T.provisional(), "provisional").otherwise("verified").alias("tier"), basis.alias("content_basis"))
 
 
-def settled(status: Column) -> Column:
-    return F.coalesce(status.isin(*SETTLED), F.lit(False))
-
-
-# image statistics, over grey images as (height, width) arrays of bytes
+def said_yes(answer: Column) -> Column:
+    """Whether a model's answer, a flag, number or word, means yes."""
+    return F.coalesce(F.lower(T.strip(answer.cast("string"))).isin(*YES_WORDS, "1.0"), F.lit(False))
 
 
-def image_flags(grey: np.ndarray) -> list[str]:
-    """SRC-003 blurred (variance of the Laplacian), SRC-002 low contrast, SRC-004 mostly dark. Borders are mirrored without their edge pixel."""
-    g = np.pad(grey.astype(np.float64), 1, mode="reflect") if min(grey.shape) > 1 else np.pad(grey.astype(np.float64), 1, mode="edge")
-    laplacian = g[:-2, 1:-1] + g[2:, 1:-1] + g[1:-1, :-2] + g[1:-1, 2:] - 4 * g[1:-1, 1:-1]
-    out = []
-    if laplacian.var() < DEFAULT.blur_variance:
-        out.append("SRC-003")
-    if grey.std() < DEFAULT.low_contrast:
-        out.append("SRC-002")
-    if (grey < 20).mean() >= DEFAULT.dark_share:
-        out.append("SRC-004")
-    return out
-
-
-def ink_share(grey: np.ndarray) -> float:
-    """Share of pixels darker than 210; from .004 a region has visible ink."""
-    return float((grey < 210).mean()) if grey.size else 0.0
-
-
-def dark_regions(grey: np.ndarray, threshold: int = 20) -> list[tuple[int, int, int, int]]:
-    """(x, y, width, height) of solid dark bars: connected, at least 40 x 8 pixels and .05% of the page, 90% filled, three times as wide as high."""
-    dark = grey < threshold
-    h, w = dark.shape
-    # runs of each row, joined with touching runs of the row above (8-connected)
-    parent: list[int] = []
-
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    boxes: list[list[int]] = []
-    above: list[tuple[int, int, int]] = []
-    for y in range(h):
-        edge = np.flatnonzero(np.diff(np.concatenate([[False], dark[y], [False]]).astype(np.int8)))
-        row = []
-        for a, b in zip(edge[::2], edge[1::2]):
-            k = len(parent)
-            parent.append(k)
-            boxes.append([int(a), y, int(b), y + 1, int(b - a)])
-            for c, d, j in above:
-                if c <= b and a <= d:
-                    i, m = find(j), find(k)
-                    if i != m:
-                        parent[m] = i
-                        p, q = boxes[i], boxes[m]
-                        boxes[i] = [min(p[0], q[0]), min(p[1], q[1]), max(p[2], q[2]), max(p[3], q[3]), p[4] + q[4]]
-            row.append((int(a), int(b), k))
-        above = row
-    out = []
-    for k, (x0, y0, x1, y1, area) in enumerate(boxes):
-        if find(k) == k:
-            bw, bh = x1 - x0, y1 - y0
-            if bw >= 40 and bh >= 8 and area >= 0.0005 * h * w and area / (bw * bh) >= 0.9 and bw >= 3 * bh:
-                out.append((x0, y0, bw, bh))
-    return out
+def visual_type(name: Column) -> Column:
+    """The usual name of a kind of picture."""
+    low = F.lower(T.strip(name))
+    pairs = [x for k, v in VISUAL_NAMES.items() for x in (F.lit(k), F.lit(v))]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), low), low)
 
 
-def bright_rules(grey: np.ndarray) -> list[int]:
-    """Rows between table rows: 80% of pixels at least 245, or mean at least 235 with deviation up to 4; centres of runs up to max(8, height/100)."""
-    bright = ((grey >= 245).mean(axis=1) >= 0.8) | ((grey.mean(axis=1) >= 235) & (grey.std(axis=1) <= 4))
-    edge = np.flatnonzero(np.diff(np.concatenate([[False], bright, [False]]).astype(np.int8)))
-    return [int((a + b - 1) // 2) for a, b in zip(edge[::2], edge[1::2]) if b - a <= max(8, grey.shape[0] // 100)]
-
-
-def image_table_flags(images: DataFrame) -> DataFrame:
-    """path, flags of rows of Spark's image source (origin, height, width, nChannels, data)."""
-
-    def run(frames):
-        import pandas as pd
-
-        for f in frames:
-            found = []
-            for h, w, n, data in zip(f["height"], f["width"], f["n_channels"], f["data"]):
-                a = np.frombuffer(data, np.uint8).reshape(h, w, n) if data is not None and n and h > 0 and w > 0 else None
-                grey = None if a is None else a[:, :, 0] if n == 1 else (0.114 * a[:, :, 0] + 0.587 * a[:, :, 1] + 0.299 * a[:, :, 2]).round().astype(np.uint8)
-                found.append([] if grey is None else image_flags(grey))
-            yield pd.DataFrame({"path": f["path"], "flags": found})
-
-    flat = images.select(F.col("image.origin").alias("path"), F.col("image.height").alias("height"), F.col("image.width").alias("width"), F.col("image.nChannels").alias("n_channels"), F.col("image.data").alias("data"))
-    return flat.mapInPandas(run, "path string, flags array<string>")
+def settled(status: Column) -> Column:
+    return F.coalesce(status.isin(*SETTLED), F.lit(False))

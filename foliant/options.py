@@ -14,11 +14,15 @@ ROUTING_FLAGS = (
     "SRC-002", "SRC-003", "LAY-002", "LAY-004", "TXT-001", "TXT-002", "TXT-003", "TXT-004", "TAB-001", "TAB-002", "TAB-003", "TAB-004",
     "TAB-005", "TAB-006", "TAB-007", "TAB-009", "TAB-010", "IMG-001", "IMG-002", "IMG-003", "FOR-001", "FOR-002", "FOR-003",
 )
-TASK_OF_TYPE = {"table": "table", "image": "image", "chart": "chart", "formula": "formula", "seal": "seal", "title": "text", "text": "text", "footnote": "text"}
+TASK_OF_TYPE = {"table": "table_to_cells", "image": "visual_analyze", "chart": "visual_analyze", "formula": "formula_to_latex", "seal": "seal_or_stamp"}
+OTHER_TASK = "ocr_verify"
 PARSER_TYPES = {
-    "text": "text", "title": "title", "table": "table", "image": "image", "chart": "chart", "equation": "formula", "formula": "formula", "interline_equation": "formula",
-    "seal": "seal", "footnote": "footnote", "page_footnote": "footnote", "header": "header", "page_header": "header", "footer": "footer", "page_footer": "footer", "page_number": "page_number",
+    "text": "text", "paragraph": "text", "aside_text": "text", "title": "title", "table": "table", "image": "image", "chart": "chart", "equation": "formula", "formula": "formula",
+    "interline_equation": "formula", "seal": "seal", "footnote": "footnote", "page_footnote": "footnote", "header": "header", "footer": "footer", "page_number": "page_number",
 }
+VISUAL_NAMES = {"表格": "table", "图表": "chart", "流程图": "diagram", "照片": "photo", "印章": "seal"}
+YES_WORDS = ("true", "1", "yes", "是", "同一张表")
+FOOTNOTE_MARKS = {"①": "a", "②": "b", "③": "c", "④": "d", "⑤": "e"}
 CHUNK_SCHEMA, LINEAR_SCHEMA = "multimodal-chunks-v3", "linear-document-units-v1"
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliant.functions import text as T
-from foliant.operators import audit, chunks, evaluation, layout, quality, retrieval, tables
+from foliant.operators import audit, chunks, evaluation, layout, quality, reports, retrieval, tables
 from foliant.plans import sqltext as Q
 from foliant.plans.order import document_order, linked
 from foliant.session import cut_lineage
@@ -420,6 +420,21 @@ def number_multiset_diff(spark: SparkSession, d: str) -> DataFrame:
     return side(a, b, "lost").unionByName(side(b, a, "added"))
 
 
+@_query()
+def text_change_report(spark: SparkSession, d: str) -> DataFrame:
+    return reports.text_changes(_blocks(spark, d))
+
+
+@_query()
+def text_change_counts(spark: SparkSession, d: str) -> DataFrame:
+    return reports.change_counts(reports.text_changes(_blocks(spark, d)))
+
+
+@_query()
+def line_coverage(spark: SparkSession, d: str) -> DataFrame:
+    return reports.line_coverage(_blocks(spark, d), _text_lines(spark, d))
+
+
 # tables
 
 

@@ -39,7 +39,7 @@ def blocks_of_items(items: DataFrame, document_id) -> DataFrame:
     page = F.greatest(F.lit(1), F.coalesce(i["page_idx"] + 1, i["page_no"], F.lit(1)))
     caption = X.either(_caption(i["image_caption"]), _caption(i["caption"]))
     body = (
-        F.when(kind == "table", X.either(i["table_body"], i["html"], i["text"])).when(kind == "formula", X.either(i["latex"], i["text"], i["content"]))
+        F.when(kind == "table", X.either(i["table_body"], i["html"], i["text"])).when(kind == "formula", X.either(i["latex"], i["text"]))
         .when(kind.isin("image", "chart"), X.either(caption, i["text"])).otherwise(X.either(i["text"], i["content"]))
     )
     box = F.when(F.size(i["bbox"]) >= 4, F.struct(*[F.element_at(i["bbox"], k + 1).alias(n) for k, n in enumerate(("x0", "y0", "x1", "y1"))]))
@@ -53,7 +53,7 @@ def blocks_of_items(items: DataFrame, document_id) -> DataFrame:
 
 def pages_of_blocks(blocks: DataFrame, page_counts: DataFrame | None = None) -> DataFrame:
     """document_id, page_no, width, height: the stated size, else 1000 x 1000 where a page has boxes; with page_counts (document_id, page_count) empty pages too."""
-    stated = F.max(F.when(F.size("page_size") == 2, F.struct(F.element_at("page_size", 1).alias("w"), F.element_at("page_size", 2).alias("h"))))
+    stated = F.max(F.when(F.size("page_size") >= 2, F.struct(F.element_at("page_size", 1).alias("w"), F.element_at("page_size", 2).alias("h"))))
     pages = blocks.groupBy("document_id", "page_no").agg(stated.alias("s"), F.max(F.col("bbox").isNotNull()).alias("boxed"))
     size = lambda c: F.coalesce(F.col(f"s.{c}"), F.when(F.col("boxed"), F.lit(1000.0)))
     pages = pages.select("document_id", "page_no", size("w").alias("width"), size("h").alias("height"))

@@ -3,7 +3,7 @@ import json
 import numpy as np
 from pyspark.sql import functions as F
 
-from foliant.operators import evaluation, quality, retrieval
+from foliant.operators import evaluation, images, quality, reports, retrieval
 from foliant.plans.order import document_order, linked
 from foliant.sinks import stores
 from foliant.sources import parser_items
@@ -80,16 +80,16 @@ def test_chunk_audit_scores(spark):
 
 def test_image_statistics():
     grey = np.full((100, 100), 128, np.uint8)
-    assert quality.image_flags(grey) == ["SRC-003", "SRC-002"]
-    assert "SRC-004" in quality.image_flags(np.zeros((100, 100), np.uint8))
+    assert images.image_flags(grey) == ["SRC-003", "SRC-002"]
+    assert "SRC-004" in images.image_flags(np.zeros((100, 100), np.uint8))
     page = np.full((800, 1000), 255, np.uint8)
     page[100:150, 200:800] = 0
-    assert quality.dark_regions(page) == [(200, 100, 600, 50)]
+    assert images.dark_regions(page) == [(200, 100, 600, 50)]
     rules = np.full((900, 600), 100, np.uint8)
     for y in (50, 200):
         rules[y] = 250
-    assert quality.bright_rules(rules) == [50, 200]
-    assert quality.ink_share(page) > 0.004
+    assert images.bright_rules(rules) == [50, 200]
+    assert images.ink_share(page) > 0.004
 
 
 def test_parser_items(spark, tmp_path):
@@ -149,3 +149,41 @@ def test_streams_follow_files(spark, tmp_path):
     query = ingest.follow_blocks(spark, f"{folder}/*", spark.createDataFrame([], schema).schema, store, f"{tmp_path}/c")
     query.awaitTermination(120)
     assert {(r.document_id, r.block_id) for r in spark.read.parquet(store).collect()} == {("d", "b"), ("e", "x")}
+
+
+def test_crops():
+    modes = [images.crop_box(b, 1000, 1000, 1871, 2521)[0] for b in ((844, 143, 870, 373), (870, 373, 844, 143), (1200, 100, 1300, 200), None, (1, 2, float("nan"), 3))]
+    assert modes == ["bbox_crop", "bbox_crop", "full_page_fallback", "full_page_no_bbox", "full_page_fallback"]
+    assert images.crop_box((1, 1, 2, 2), None, 1000, 10, 10)[0] == "full_page_fallback"
+    assert images.region([0, 0, 1, 0.5], 100, 80) == (0, 0, 100, 40) and images.region([0, 0, 5, 5], 100, 80) is None and images.region("x", 9, 9) is None
+
+
+def test_coloured_table_tiles_end_on_rules():
+    picture = np.full((900, 600, 3), (217, 232, 245), np.uint8)
+    picture[:50] = (18, 63, 115)
+    for y in (50, 200, 350, 500, 650, 780):
+        picture[y : y + 2] = 255
+    tiles = images.cut_tiles(picture, [0, 0, 1, 0.15], [0, 0.15, 1, 0.87], most=550, overlap=100)
+    assert [t.shape[0] for t in tiles] == [500, 480, 300]
+    assert len(images.cut_tiles(picture[:300], most=550)) == 1
+
+
+def test_sideways_tables():
+    grey = np.full((600, 300), 255, np.uint8)
+    for y in range(60, 600, 90):
+        grey[y : y + 3] = 0
+    assert images.sideways(grey) and not images.sideways(grey.T) and images.ruled_lines(grey)[:2] == [61, 151]
+
+
+def test_answers_and_names(spark):
+    got = spark.createDataFrame([("True",), (" 是 ",), ("no",), (None,), ("同一张表",)], "x string").select(quality.said_yes(F.col("x")).alias("y")).collect()
+    assert [r.y for r in got] == [True, True, False, False, True]
+    assert [r.v for r in spark.createDataFrame([("图表",), ("Photo",)], "x string").select(quality.visual_type(F.col("x")).alias("v")).collect()] == ["chart", "photo"]
+
+
+def test_change_reports(spark):
+    rows = [("i", "text", "甲乙丙丁。", "甲乙丙丁乙丙。"), ("t", "text", "一二三四五六七八九十。", "一二三"), ("n", "text", "利率5%", "利率6%"), ("s", "text", "同 上", "同上"), ("f", "footnote", "①见", "a见")]
+    df = spark.createDataFrame(rows, "block_id string, block_type string, raw_content string, resolved_content string")
+    got = {r.block_id: r.kinds for r in reports.text_changes(df).collect()}
+    assert got == {"i": "repeated_insertion", "t": "truncation", "n": "numbers", "s": "", "f": "footnote_marks"}
+    assert {r.kind: r.n for r in reports.change_counts(reports.text_changes(df)).collect()}["any"] == 4
