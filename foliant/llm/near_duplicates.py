@@ -259,3 +259,16 @@ def groups(texts: DataFrame) -> DataFrame:
     own = every.join(root, "class", "left").join(degree, "class", "left").withColumn("root", F.coalesce("root", "class"))
     heads = own.select("class", "root", "head").distinct().groupBy("root").agg(F.min("head").alias("group_id"))
     return own.join(heads, "root").select("record_kind", "id", "group_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+
+
+def sql_similar_pairs() -> str:
+    """similar_pairs for DuckDB, by joining all shingles; for small tables."""
+    norm = "trim(regexp_replace(lower({}), '[\\s\\p{{Z}}\\x0B\\x1C-\\x1F\\x{{85}}]+', ' ', 'g'))"
+    one = "select distinct '{}' as record_kind, {} as id, {} as t from {} where block_type = 'text' and length({}) >= 200"
+    rows = " union all ".join(one.format(kind, i, norm.format(field), table, field) for kind, i, field, table in (("block", "block_id", "resolved_content", "blocks"), ("chunk", "chunk_id", "display_text", "chunks")))
+    return f"""with r as ({rows}), c as (select record_kind, t, row_number() over (order by record_kind, t) as c from (select distinct record_kind, t from r)),
+s as (select record_kind, c, unnest(list_distinct(list_transform(range(1, length(t) - 3), lambda i: hash(substr(t, i, 5))))) as h from c), n as (select c, count(*) as n from s group by c),
+shared as (select a.c as x, b.c as y, count(*) as k from s a join s b on a.record_kind = b.record_kind and a.h = b.h and a.c < b.c group by a.c, b.c),
+near as (select x, y from shared join n p on p.c = x join n q on q.c = y where k >= 0.7 * (p.n + q.n - k) - 1e-9 union all select c, c from c),
+m as (select r.record_kind, r.id, c.c from r join c on r.record_kind = c.record_kind and r.t = c.t)
+select distinct a.record_kind, least(a.id, b.id) as id_a, greatest(a.id, b.id) as id_b from near join m a on a.c = x join m b on b.c = y where a.id <> b.id"""

@@ -209,3 +209,8 @@ def p8_containers(spark: SparkSession, folder: str) -> DataFrame:
 @_query
 def p8_fill(spark: SparkSession, folder: str) -> DataFrame:
     return packing.fill(p8_containers(spark, folder))
+
+
+SQL["p2_found"] = near_duplicates.sql_similar_pairs()
+SQL["p6_found"] = visual_form.sql_odd_characters(("raw_content", "resolved_content"))
+SQL["p5_clean_text"] = repeated_lines.sql_clean_text()

@@ -209,3 +209,21 @@ def equal_looking_groups(df: DataFrame, key: str, field: str) -> DataFrame:
     both = canonical_texts(df.select(key, F.col(field).alias("form"), F.xxhash64(field).alias("given_hash")), (key, "given_hash"), ("form",))
     one = both.where(F.length("form") > 0).groupBy(F.xxhash64("form").alias("form_hash"), "given_hash").agg(F.count("*").alias("n"))
     return one.groupBy("form_hash").agg(F.sum("n").alias("n_records"), F.count("*").alias("n_variants")).where("n_variants > 1")
+
+
+def _ranges(codes: np.ndarray) -> str:
+    """Code points as the inside of a character class."""
+    cuts = np.flatnonzero(np.diff(codes) > 1)
+    firsts, lasts = codes[np.append(0, cuts + 1)], codes[np.append(cuts, len(codes) - 1)]
+    return "".join(f"\\x{{{a:x}}}" if a == b else f"\\x{{{a:x}}}-\\x{{{b:x}}}" for a, b in zip(firsts.tolist(), lasts.tolist()) if not 0xD800 <= a <= 0xDFFF)
+
+
+def sql_odd_characters(fields: tuple[str, ...]) -> str:
+    """values_with_odd_characters for DuckDB, by character classes: any odd character, a mark after a letter, or a Latin word with look-alikes and no other letters."""
+    t = _tables()
+    of = lambda mask: _ranges(np.flatnonzero(mask))
+    odd, mark, latin, alike, other = of(t["odd"]), of(t["mark"]), of(t["script"] == 1), of(t["script"] == 2), of(t["script"] == 3)
+    test = f"""(regexp_matches(v, '[{odd}]') or regexp_matches(v, '[{latin}{alike}{other}\\x{{3041}}-\\x{{d7ff}}\\x{{e000}}-\\x{{10ffff}}][{mark}]')
+      or len(list_filter(regexp_extract_all(v, '[{latin}{alike}{other}]+'), lambda w: regexp_matches(w, '[{latin}]') and regexp_matches(w, '[{alike}]') and not regexp_matches(w, '[{other}]'))) > 0)"""
+    parts = [f"select block_id, '{f}' as field_name, {f} as v from blocks where {f} is not null" for f in fields]
+    return f"select distinct block_id, field_name from ({' union all '.join(parts)}) where {test}"
