@@ -191,18 +191,19 @@ def _verify_worker(batches):
         yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b", "wide")], names=["a", "b", "wide"])
 
 
-def verified(edges: DataFrame, texts: DataFrame) -> DataFrame:
-    """The edges whose texts are similar enough by exact comparison. Only the texts of classes with an edge move, one of each class."""
+def verified(edges: DataFrame, texts: DataFrame, every: DataFrame) -> DataFrame:
+    """The edges whose texts are similar enough by exact comparison. Only the texts of classes with an edge move: that of the smallest id of each, so that a class of many copies is no hot key."""
     needed = edges.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    own = texts.join(needed, "class", "left_semi").groupBy("class").agg(F.first("norm").alias("norm"))
+    heads = every.where(F.col("id") == F.col("head")).select("id", "class").join(needed, "class", "left_semi").select("id")
+    own = texts.select("id", "class", "norm").join(heads, "id", "left_semi").select("class", "norm").dropDuplicates(["class"])
     a, b = (own.select(F.col("class").alias(s), F.col("norm").alias(f"t{s}")) for s in "ab")
     return edges.join(a, "a").join(b, "b").mapInArrow(_verify_worker, "a long, b long, wide boolean")
 
 
-def class_links(texts: DataFrame) -> DataFrame:
+def class_links(texts: DataFrame, every: DataFrame) -> DataFrame:
     """Distinct (a, b), a < b: the pairs of classes (different texts) that are similar; written to the shared folder."""
     edges = cut_lineage(candidate_edges(texts))
-    links = cut_lineage(verified(edges, texts))
+    links = cut_lineage(verified(edges, texts, every))
     wide = links.where("wide")
     if not wide.take(1):
         return links.drop("wide")
@@ -210,7 +211,7 @@ def class_links(texts: DataFrame) -> DataFrame:
     ends = wide.select("a", "b").unionByName(wide.select(F.col("b").alias("a"), F.col("a").alias("b")))
     more = ends.join(ends.select("a", F.col("b").alias("d")), "a").where("b < d").select(F.col("b").alias("a"), F.col("d").alias("b")).distinct()
     more = more.join(edges, ["a", "b"], "left_anti").withColumn("wide", F.lit(True))
-    return cut_lineage(links.drop("wide").unionByName(verified(more, texts).drop("wide")).distinct())
+    return cut_lineage(links.drop("wide").unionByName(verified(more, texts, every).drop("wide")).distinct())
 
 
 def members(texts: DataFrame) -> DataFrame:
@@ -223,7 +224,7 @@ def members(texts: DataFrame) -> DataFrame:
 def similar_pairs(texts: DataFrame) -> DataFrame:
     """Distinct (record_kind, id_a, id_b), id_a < id_b, of the similar records."""
     every = members(texts)
-    links = class_links(texts)
+    links = class_links(texts, every)
     who = every.where((F.col("n") <= FULL) | (F.col("id") == F.col("head")))
     a = who.select("record_kind", F.col("id").alias("x"), F.col("class").alias("a"))
     b = who.select(F.col("id").alias("y"), F.col("class").alias("b"))
@@ -253,7 +254,8 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
 
 def groups(texts: DataFrame) -> DataFrame:
     """record_kind, id, group_id (smallest id among the records that links reach), n_links (links of its text to different texts); one row per id."""
-    every, links = members(texts), class_links(texts)
+    every = members(texts)
+    links = class_links(texts, every)
     root = components(links).withColumnRenamed("node", "class")
     degree = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("n_links"))
     own = every.join(root, "class", "left").join(degree, "class", "left").withColumn("root", F.coalesce("root", "class"))

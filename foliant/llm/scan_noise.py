@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from foliant.llm import markup
+from foliant.llm.sampling import hash_sample
 
 FIT_ROWS = 2000
 LEAST_SHARE, LEAST_COUNT = 1e-5, 5
@@ -151,7 +152,7 @@ def taught_labels(raw: str, repaired: str) -> list[tuple[tuple, int]]:
 def fit(blocks: DataFrame, rows: int = FIT_ROWS) -> LineModel:
     """The line model, fitted on the ``rows`` blocks of several lines with a repaired reading whose hashed id is least."""
     taught = blocks.where("block_type in ('text', 'footnote') and raw_content <> resolved_content and resolved_content <> '' and length(raw_content) < 4000 and instr(raw_content, '\n') > 0")
-    taught = taught.select("block_id", "raw_content", "resolved_content").orderBy(F.xxhash64("block_id"), "raw_content").limit(rows)
+    taught = hash_sample(taught.select("block_id", "raw_content", "resolved_content"), "block_id", rows)
     counts: Counter = Counter()
     for row in taught.collect():  # at most ``rows``
         if markup.dialects(row.raw_content):
