@@ -157,12 +157,30 @@ def _results(spark: SparkSession, d: str) -> DataFrame:
     return _final(spark, d, 10).select(F.col("query_id").alias("id"), "rank", "text", "page_start", "page_end")
 
 
-@_query()
+def _plain(x: str) -> str:
+    signs = "[`*_{}$^,。;:、()\\[\\]《》<>\"''“”‘’，；：（）\\s\\p{Z}\\x0B\\x1C-\\x1F\\x{85}]+"
+    return f"regexp_replace(translate(replace(lower({Q.fold(f'coalesce({x}, {Q.lit(str())})')}), '\\%', '%'), '−—', '--'), '{signs}', '', 'g')"
+
+
+_UNIT = f"'^(-?\\d+(?:\\.\\d+)?)({retrieval.UNITS})$'"
+_METRICS = f"""{_FINAL}, res as (select query_id as id, rank, {_plain('text')} as plain, page_start, coalesce(page_end, page_start) as page_end from final where rank <= 10),
+asked3 as (select id, modality, difficulty, list_filter(list_transform(list_distinct(coalesce(must_retrieve_keywords, [])), lambda w: {_plain('w')}), lambda w: length(w) > 0) as words, coalesce(page_no, case when len(page_range) = 2 then page_range[1] end) as a, coalesce(page_no, case when len(page_range) = 2 then page_range[2] end) as b, unnest([1, 3, 5, 10]) as k from questions),
+hit as (select q.*, r.rank, case when a is not null then coalesce(page_start <= b and page_end >= a, false) end as on_page,
+  list_filter(words, lambda w: contains(plain, w) or (regexp_matches(w, {_UNIT}) and contains(plain, regexp_extract(w, {_UNIT}, 2)) and regexp_matches(plain, '(^|[^0-9.])' || replace(regexp_extract(w, {_UNIT}, 1), '.', '[.]') || '($|[^0-9.])'))) as found
+  from asked3 q left join res r on r.id = q.id and r.rank <= q.k),
+pm as (select id, modality, difficulty, k, bool_or(on_page) as page_hit, cast(max(len(words)) as bigint) as n_keywords, cast(len(list_distinct(flatten(list(coalesce(found, []))))) as bigint) as n_hits, cast(coalesce(max(len(found)), 0) as bigint) as best_single from hit group by id, modality, difficulty, k),
+metrics as (select *, case when n_keywords > 0 then round(n_hits / n_keywords, 4) else 1.0 end as coverage, case when n_keywords > 0 then round(n_hits / n_keywords, 4) else 1.0 end >= 0.60 as content_success, n_hits = n_keywords as strict_success,
+  case when n_keywords > 0 then round(n_hits / n_keywords, 4) else 1.0 end >= 0.60 and coalesce(page_hit, true) as grounded from pm)"""
+
+
+@_query(f"with {_METRICS} select * from metrics")
 def retrieval_prefix_metrics(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.prefix_metrics(_questions(spark, d), _results(spark, d))
 
 
-@_query()
+@_query(f"""with {_METRICS} select k, case when grouping(modality) = 0 then 'modality' when grouping(difficulty) = 0 then 'difficulty' else 'overall' end as grouped_by, coalesce(modality, difficulty, 'all') as value, count(*) as n_questions,
+round(count(*) filter (page_hit) / greatest(1, count(page_hit)), 4) as page_hit_rate, round(avg(cast(content_success as double)), 4) as content_success_rate, round(avg(cast(grounded as double)), 4) as grounded_rate, round(avg(cast(strict_success as double)), 4) as strict_rate
+from metrics group by grouping sets ((k), (k, modality), (k, difficulty))""")
 def retrieval_metric_groups(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.metric_groups(retrieval.prefix_metrics(_questions(spark, d), _results(spark, d)))
 
@@ -303,7 +321,17 @@ def heading_levels(spark: SparkSession, d: str) -> DataFrame:
     return s.groupBy("document_id").agg(F.count("*").alias("n_headings"), F.sum("level").alias("levels"))
 
 
-@_query()
+_LEVELS = range(1, 6)
+_PATHS = f"""r as (select b.block_id, b.document_id, b.page_no, row_number() over (partition by b.document_id order by b.page_no, position, b.block_id) as pos, {Q.strip('content')} as title, {Q.level('content')} as level, not {Q.blank('content')} and not {Q.TEMPLATE} as solid,
+  (block_type = 'title' or text_level is not null) and not {Q.blank('content')} and c.context_id is null and {Q.kind('content', 'block_type')} = 'title' and length({Q.compact('content')}) <= 100 as is_heading from {Q.BLOCKS} b left join context c on c.context_id = b.block_id),
+k as (select *, lag(is_heading) over w as ahead, lag(title) over w as ahead_title from r where is_heading or solid window w as (partition by document_id, page_no order by pos)),
+h as (select document_id, block_id, pos, level, case when ahead and regexp_full_match({Q.compact('ahead_title')}, '第[一二三四五六七八九十百\\d]+[编章节篇]') and level = 1 and not regexp_matches({Q.compact('title')}, '^(?:第|专栏|专题)') then ahead_title || ' ' || title else title end as title from k where is_heading),
+g as (select *, {', '.join(f"last_value(case when level = {n} then pos end ignore nulls) over w as p{n}, last_value(case when level = {n} then title end ignore nulls) over w as t{n}, last_value(case when level < {n} then pos end ignore nulls) over w as c{n}" for n in _LEVELS)}
+  from h window w as (partition by document_id order by pos rows between unbounded preceding and current row)),
+paths as (select block_id, level, concat_ws(' / ', {', '.join(f"case when level >= {n} and p{n} is not null and (c{n} is null or p{n} > c{n}) then t{n} end" for n in _LEVELS)}) as path from g)"""
+
+
+@_query(f"""with {_CONTEXT}, {_PATHS} select r.block_id, r.is_heading, cast(case when r.is_heading then p.level end as bigint) as level, coalesce(last_value(path ignore nulls) over (partition by r.document_id order by pos rows between unbounded preceding and current row), '') as section_path from r left join paths p using (block_id)""")
 def section_paths(spark: SparkSession, d: str) -> DataFrame:
     return _sections(spark, d)
 
@@ -560,7 +588,16 @@ def order_regressions(spark: SparkSession, d: str) -> DataFrame:
     return evaluation.order_regressions(_chunks(spark, d).select("document_id", "page_start", "page_end", "chunk_id"), ["chunk_id"])
 
 
-@_query()
+_SECTIONS = f"len(list_filter(string_split(coalesce(section_path, ''), ' / '), lambda s: regexp_matches(s, {Q.lit(evaluation.BAD_SECTION)}))) > 0"
+
+
+@_query(f"""with c as (select * from {Q.CHUNKS}), dup as (select count(*) as n from (select 1 from c where length({Q.collapse('display_text')}) > 0 group by {Q.collapse('display_text')} having count(*) > 1)),
+one as (select unnest([{{'check': 'empty_chunk_set', 'severity': 'failure', 'n': (count(*) = 0)::bigint}}, {{'check': 'duplicate_chunk_id', 'severity': 'failure', 'n': count(*) - count(distinct chunk_id)}}, {{'check': 'empty_chunk_text', 'severity': 'failure', 'n': count(*) filter ({Q.blank('display_text')})}},
+  {{'check': 'missing_source_blocks', 'severity': 'failure', 'n': count(*) filter (coalesce(json_array_length(metadata_json, '$.source_block_ids'), 0) < 1)}}, {{'check': 'exact_duplicate_text', 'severity': 'failure', 'n': (select n from dup)}},
+  {{'check': 'bad_section_path', 'severity': 'failure', 'n': count(*) filter ({_SECTIONS})}}, {{'check': 'model_failure_placeholder', 'severity': 'failure', 'n': count(*) filter (length(coalesce(display_text, '')) <= 240 and coalesce({Q.placeholder("coalesce(display_text, '')")}, false))}},
+  {{'check': 'text_chunk_over_target', 'severity': 'failure', 'n': count(*) filter (chunk_role = 'text_segment' and length(coalesce(display_text, '')) > 1200)}}, {{'check': 'short_text_chunk', 'severity': 'warning', 'n': count(*) filter (chunk_role = 'text_segment' and length(coalesce(display_text, '')) < 20)}},
+  {{'check': 'long_chunk', 'severity': 'warning', 'n': count(*) filter (length(coalesce(embedding_text, '')) > 2400)}}], recursive := true) from c)
+select * from one where n > 0 union all select 'score', 'score', greatest(0, 100 - 20 * count(*) filter (severity = 'failure' and n > 0) - least(20, count(*) filter (severity = 'warning' and n > 0))) from one""")
 def chunk_audit(spark: SparkSession, d: str) -> DataFrame:
     return evaluation.chunk_audit(_chunks(spark, d))
 
