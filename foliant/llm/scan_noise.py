@@ -28,6 +28,7 @@ from foliant.llm.sampling import hash_sample
 
 FIT_ROWS = 2000
 LEAST_SHARE, LEAST_COUNT = 1e-5, 5
+LONGEST_TOKEN = 80  # longer runs of letters are no misread words
 STATES = ("header", "body", "break")
 
 # What scans confuse, as read and as meant.
@@ -208,7 +209,7 @@ class Lexicon:
 
     def _meant_word(self, token: str) -> str | None:
         low = token.lower()
-        if low in self.words:
+        if low in self.words or len(low) > LONGEST_TOKEN:
             return None
         level = {low}
         for _ in range(2):

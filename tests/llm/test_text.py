@@ -386,3 +386,20 @@ def test_line_model_learns_from_pairs(spark):
     assert [s for _, s in taught] == [1, 0, 2, 2]
     model = scan_noise.fit(scanned(spark, rows))
     assert model.labels(scan_noise.features(rows[3][2].split("\n"))) == ["body", "header", "break", "break"]
+
+
+def test_very_long_texts_take_no_quadratic_time():
+    import time
+
+    words = scan_noise.Lexicon({"the": 99, "bank": 99}, {})
+    texts = ["a" * 300_000, "word " * 60_000, " " * 200_000 + "x", "<p>" * 50_000, "\n" * 100_000, "银行" * 100_000, "- " * 100_000, "'" * 100_000, "{{" * 50_000, "$x" * 50_000, "x" + " " * 200_000 + "y"]
+    began = time.time()
+    for t in texts:
+        scan_noise.damage(t, scan_noise.LineModel(), words)
+        scan_noise.repair(t, scan_noise.LineModel(), words)
+        truncation.ending(t, "text")
+        truncation.ending(t, "table")
+        residue.messages(t)
+        markup.clean_text(t, markup.dialects(t))
+        leakage.tokens(t)
+    assert time.time() - began < 60
