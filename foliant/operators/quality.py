@@ -1,8 +1,7 @@
-"""Block flags, gate decisions and image statistics."""
+"""Block flags, gate decisions and tiers."""
 
 from __future__ import annotations
 
-import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 

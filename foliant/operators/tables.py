@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -221,7 +219,3 @@ def merged_tiles(tiles: DataFrame, header_rows: int | None = None) -> DataFrame:
         return pd.Series(out, dtype=object)
 
     return whole.select("block_id", "readable", F.when(F.col("readable"), F.pandas_udf(merge, "string")("t")).alias("merged_html"))
-
-
-def table_like(text: str) -> bool:
-    return bool(re.search(r"<table", text or "", re.I))

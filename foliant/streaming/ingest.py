@@ -10,8 +10,6 @@ from pyspark.sql import types as T
 
 from foliant.sinks.stores import replace_documents
 
-EVENT_COLUMNS = "event_id long, ts timestamp, user_id long, event_type string, value double, props string"
-
 
 def follow_blocks(spark: SparkSession, folder: str, schema: T.StructType, store: str, checkpoint: str, transform: Callable[[DataFrame], DataFrame] = lambda df: df, trigger: dict | None = None):
     """A streaming query that applies transform to each micro-batch of block files and replaces their documents in the store. Redelivered rows and batches leave the store as it is."""

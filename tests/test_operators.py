@@ -187,3 +187,19 @@ def test_change_reports(spark):
     got = {r.block_id: r.kinds for r in reports.text_changes(df).collect()}
     assert got == {"i": "repeated_insertion", "t": "truncation", "n": "numbers", "s": "", "f": "footnote_marks"}
     assert {r.kind: r.n for r in reports.change_counts(reports.text_changes(df)).collect()}["any"] == 4
+
+
+def test_windows_on_streams_drop_repeats_and_late_rows(spark, tmp_path):
+    schema = "event_id long, ts timestamp, event_type string, value double"
+    rows = [(1, "2024-01-01 00:10:00", "a", 1.0), (1, "2024-01-01 00:10:00", "a", 1.0), (2, "2024-01-01 00:50:00", "a", 2.0), (3, "2024-01-01 05:00:00", "a", 4.0)]
+    frame = lambda r: spark.createDataFrame(r, "event_id long, ts string, event_type string, value double").withColumn("ts", F.to_timestamp("ts"))
+    batch = {str(r.window_start): (r.n, r.total) for r in ingest.windowed_events(frame(rows)).collect()}
+    assert batch == {"2024-01-01 00:00:00": (2, 3.0), "2024-01-01 05:00:00": (1, 4.0)}
+    for k, part in enumerate([rows, [(9, "2024-01-01 00:20:00", "a", 8.0), (4, "2024-01-01 09:00:00", "a", 1.0)], [(5, "2024-01-01 12:00:00", "a", 1.0)]]):
+        frame(part).coalesce(1).write.mode("append").parquet(f"{tmp_path}/in")
+        stream = spark.readStream.schema(frame(rows).schema).parquet(f"{tmp_path}/in")
+        query = ingest.windowed_events(stream).writeStream.format("parquet").option("path", f"{tmp_path}/out").option("checkpointLocation", f"{tmp_path}/c").outputMode("append").trigger(availableNow=True).start()
+        query.awaitTermination(120)
+        assert query.exception() is None, k
+    got = {str(r.window_start): (r.n, r.total) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {"2024-01-01 00:00:00": (2, 3.0), "2024-01-01 05:00:00": (1, 4.0), "2024-01-01 09:00:00": (1, 1.0)}
