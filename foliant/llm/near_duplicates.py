@@ -32,6 +32,7 @@ BINS, ROWS = 384, 6
 BANDS = BINS // ROWS
 SKETCH_LEAST = 42  # of 64 equal bits; texts at the threshold have 54 on average, unrelated ones 35
 CENTRES, FULL = 8, 64
+BROADCAST_BYTES = 16 << 20
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
@@ -194,7 +195,10 @@ def _verify_worker(batches):
 def verified(edges: DataFrame, texts: DataFrame, every: DataFrame) -> DataFrame:
     """The edges whose texts are similar enough by exact comparison. Only the texts of classes with an edge move: that of the smallest id of each, so that a class of many copies is no hot key."""
     needed = edges.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    heads = every.where(F.col("id") == F.col("head")).select("id", "class").join(needed, "class", "left_semi").select("id")
+    heads = cut_lineage(every.where(F.col("id") == F.col("head")).select("id", "class").join(needed, "class", "left_semi").select("id"))
+    size = heads.agg(F.sum(F.length("id") + 16)).first()[0] or 0
+    if size <= BROADCAST_BYTES:  # else Spark's own choice, by shuffle where it must
+        heads = F.broadcast(heads)
     own = texts.select("id", "class", "norm").join(heads, "id", "left_semi").select("class", "norm").dropDuplicates(["class"])
     a, b = (own.select(F.col("class").alias(s), F.col("norm").alias(f"t{s}")) for s in "ab")
     return edges.join(a, "a").join(b, "b").mapInArrow(_verify_worker, "a long, b long, wide boolean")
