@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -42,3 +44,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Write df once to the shared folder and read it from there, so that it is neither recomputed nor lost with an executor."""
     checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
+
+
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send the package to the executors once per application, so that their Python workers can import it wherever they run."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    _shipped.add(context.applicationId)
+    root = Path(__file__).resolve().parent
+    path = Path(tempfile.mkdtemp(prefix="foliant-ship-")) / "foliant_package.zip"
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for file in sorted(root.rglob("*.py")):
+            z.write(file, file.relative_to(root.parent))
+    context.addPyFile(str(path))  # the driver serves it; executors keep no reference to this folder
