@@ -28,6 +28,7 @@ from foliant.llm.sampling import hash_sample
 
 FIT_ROWS = 2000
 LEAST_SHARE, LEAST_COUNT = 1e-5, 5
+ITEM_PENALTY = 8.0
 LONGEST_TOKEN = 80  # longer runs of letters are no misread words
 STATES = ("header", "body", "break")
 
@@ -69,7 +70,7 @@ def features(lines: list[str]) -> list[tuple]:
             "page" if _PAGE_NUMBER.fullmatch(s) else "item" if _ITEM.match(s) else "label" if (" | " in s or "  " in s or re.search(rf"[A-Za-z{HAN}] ?\d{{1,4}}$", s)) and len(s) < 0.8 * width else "plain",
             "full" if size >= 0.8 else "mid" if size >= 0.45 else "short",
             "hyphen" if re.search(r"[\w，。%）)]-$", s) else "end" if _END.search(s) else "stray" if line != line.rstrip() else "open",
-            "none" if not following else "low" if following[0].islower() or following[0] in "，。、；：）)%" else "digit" if following[0].isdigit() else "item" if _ITEM.match(following) else "other",
+            "none" if not following else "low" if following[0].islower() or following[0] in "，。、；：）)%" else "digit" if following[0].isdigit() else "item" if _ITEM.match(following) and not _PAGE_NUMBER.fullmatch(following) else "other",
             ("first" if i == 0 else "last" if i == len(shown) - 1 else "inner") + ("-apart" if (k > 0 and not lines[k - 1].strip()) else ""),
         )))
     return out
@@ -108,7 +109,10 @@ class LineModel:
 
     def score(self, f: tuple) -> list[float]:
         if f not in self.known:
-            self.known[f] = [self.frame[f[0]][s] + sum(self.table[k][f[k]][s] for k in self.table) for s in range(3)]
+            row = [self.frame[f[0]][s] + sum(self.table[k][f[k]][s] for k in self.table) for s in range(3)]
+            if f[4] == "item":  # whatever the fit has seen: a line before a list item ends its paragraph
+                row[1] -= ITEM_PENALTY
+            self.known[f] = row
         return self.known[f]
 
     def labels(self, found: list[tuple]) -> list[str]:
