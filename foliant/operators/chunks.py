@@ -95,10 +95,11 @@ def prepared(blocks: DataFrame, context: DataFrame) -> DataFrame:
     """Blocks with what chunking asks of them: text, section (string), tier and whether they are attached to a table."""
     bound = context.select(F.col("context_id").alias("block_id"), F.col("table_id").alias("attached_to"))
     rows = blocks.join(bound, "block_id", "left")
+    keep = ["document_id", "page_no", "position", "block_id", "block_type", "bbox", "text", "section", "is_provisional", "usable", "template", "attached_to", "status", "column_index", "text_level", "asset_id", "source_pages"]
     section = F.array_join(F.filter(F.coalesce("section_path", F.array().cast("array<string>")), lambda s: F.length(s) > 0), " / ")
     return (
         rows.withColumn("text", T.chunk_content()).withColumn("section", section).withColumn("is_provisional", F.coalesce(T.provisional(), F.lit(True)))
-        .withColumn("usable", F.coalesce(T.eligible(), F.lit(False))).withColumn("template", T.template_type())
+        .withColumn("usable", F.coalesce(T.eligible(), F.lit(False))).withColumn("template", T.template_type()).select(*keep)
     )
 
 

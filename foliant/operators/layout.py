@@ -26,8 +26,8 @@ KNOWN = (
 
 def laid_out(blocks: DataFrame) -> DataFrame:
     """One row per block_id with content ('' where there is none) and position (blocks without order come last); rows without id are dropped."""
-    once = blocks.select(*KNOWN).where("block_id is not null").dropDuplicates(["block_id"])
-    return once.withColumn("content", T.content()).withColumn("position", F.coalesce("reading_order", F.lit(1 << 20)))
+    rows = blocks.select(*KNOWN).where("block_id is not null").withColumn("content", T.content()).withColumn("position", F.coalesce("reading_order", F.lit(1 << 20)))
+    return rows.dropDuplicates(["block_id"])  # after the content, so that the two texts behind it don't move where nobody asks for them
 
 
 def _side(name: str) -> Column:
@@ -49,19 +49,22 @@ def templates(blocks: DataFrame, pages: DataFrame, share: float = DEFAULT.templa
     return judged.select("block_id", kind.alias("template_kind")).where("template_kind is not null")
 
 
+def _caption_like(text: Column) -> Column:
+    return (F.length(T.compact(text)) <= 50) & ~text.contains("\n") & ~text.rlike("[。！？；]")
+
+
 def table_context(blocks: DataFrame, pages: DataFrame) -> DataFrame:
     """context_id, table_id, kind of the blocks that belong to a table: the first table in page order that can claim a block keeps it."""
     sizes = pages.select("document_id", "page_no", _side("height").alias("ph"), _side("width").alias("pw"))
     tables = blocks.where((F.col("block_type") == "table") & F.col("bbox").isNotNull()).select("document_id", "page_no", F.col("block_id").alias("table_id"), F.col("bbox").alias("t"), F.col("position").alias("table_position"))
     allowed = F.col("block_type").isin("title", "text", "footnote") & F.col("bbox").isNotNull() & ~T.blank(F.col("content")) & ~F.coalesce(F.col("skip_chunk"), F.lit(False))
-    context = blocks.where(allowed).select("document_id", "page_no", F.col("block_id").alias("context_id"), "block_type", F.col("bbox").alias("c"), "content", "text_level", T.context_kind(F.col("content"), F.col("block_type")).alias("kind"))
+    context = blocks.where(allowed).select("document_id", "page_no", F.col("block_id").alias("context_id"), "block_type", F.col("bbox").alias("c"), "text_level", T.context_kind(F.col("content"), F.col("block_type")).alias("kind"), _caption_like(F.col("content")).alias("caption_like"))
     pair = tables.join(context, ["document_id", "page_no"]).join(sizes, ["document_id", "page_no"], "left").withColumn("ph", F.coalesce("ph", F.lit(1000.0))).withColumn("pw", F.coalesce("pw", F.lit(1000.0)))
     t, c = F.col("t"), F.col("c")
     aligned = ~((c["x1"] < t["x0"]) | (c["x0"] > t["x1"]))
     above, below = t["y0"] - c["y1"], c["y0"] - t["y1"]
-    caption_like = (F.length(T.compact(F.col("content"))) <= 50) & ~F.col("content").contains("\n") & ~F.col("content").rlike("[。！？；]")
     over = above.between(F.lit(0.0), F.col("ph") * 0.09) & aligned
-    over_fits = (F.col("kind") != "title") | (F.col("block_type") == "title") | F.col("text_level").isNotNull() | caption_like
+    over_fits = (F.col("kind") != "title") | (F.col("block_type") == "title") | F.col("text_level").isNotNull() | F.col("caption_like")
     under = (F.col("kind") == "note") & below.between(F.lit(0.0), F.col("ph") * 0.08) & aligned
     tall = G.height(c) >= G.width(c) * 1.4
     beside = tall & (F.least(F.abs(t["x0"] - c["x1"]), F.abs(c["x0"] - t["x1"])) <= F.col("pw") * 0.08) & (G.y_overlap(c, t) >= F.least(G.height(c), G.height(t)) * 0.25)
@@ -284,13 +287,14 @@ def section_paths(blocks: DataFrame, context: DataFrame) -> DataFrame:
     chapter label and its name, headings on one page with no content between, count as one heading. No window holds more of a document
     than its headings, one row for each page, or the blocks of one page."""
     candidate = (F.col("block_type") == "title") | F.col("text_level").isNotNull()
-    flat = T.compact(F.col("content"))
-    rows = blocks.join(context.select(F.col("context_id").alias("block_id"), F.lit(True).alias("bound")), "block_id", "left")
-    rows = rows.withColumn("is_heading", F.coalesce(candidate & ~T.blank(F.col("content")) & F.col("bound").isNull() & (T.context_kind(F.col("content"), F.col("block_type")) == "title") & (F.length(flat) <= 100), F.lit(False)))
-    rows = rows.withColumn("at", F.struct("page_no", "position", "block_id")).withColumn("solid", ~T.blank(F.col("content")) & ~T.template_type())
+    short = candidate & ~T.blank(F.col("content")) & (T.context_kind(F.col("content"), F.col("block_type")) == "title") & (F.length(T.compact(F.col("content"))) <= 100)
+    # texts stay behind: only what may be a heading goes on
+    slim = blocks.select("document_id", "page_no", "position", "block_id", F.when(short, T.strip(F.col("content"))).alias("title"), F.when(short, T.title_level(F.col("content"))).alias("level"), (~T.blank(F.col("content")) & ~T.template_type()).alias("solid"))
+    rows = slim.join(context.select(F.col("context_id").alias("block_id"), F.lit(True).alias("bound")), "block_id", "left")
+    rows = rows.withColumn("is_heading", F.col("title").isNotNull() & F.col("bound").isNull()).withColumn("at", F.struct("page_no", "position", "block_id"))
     inner = Window.partitionBy("document_id", "page_no").orderBy("at")
     w = Window.partitionBy("document_id").orderBy("at")  # over headings only
-    kept = rows.where("is_heading or solid").select("document_id", "block_id", "page_no", "at", "is_heading", T.strip(F.col("content")).alias("title"), T.title_level(F.col("content")).alias("level"))
+    kept = rows.where("is_heading or solid").select("document_id", "block_id", "page_no", "at", "is_heading", "title", "level")
     kept = kept.withColumn("ahead", F.lag(F.struct("is_heading", "title")).over(inner)).where("is_heading")
     label = F.coalesce(F.col("ahead.is_heading") & T.compact(F.col("ahead.title")).rlike(r"^第[一二三四五六七八九十百\d]+[编章节篇]$") & (F.col("level") == 1) & ~T.compact(F.col("title")).rlike("^(?:第|专栏|专题)"), F.lit(False))
     heads = kept.withColumn("title", F.when(label, F.concat(F.col("ahead.title"), F.lit(" "), F.col("title"))).otherwise(F.col("title")))

@@ -11,6 +11,7 @@ from foliant.functions import text as T
 from foliant.options import DEFAULT
 from foliant.session import cut_lineage
 
+BROADCAST_TERMS = 500_000  # (query, term) rows
 QUERY_BLOCK = 2048  # query vectors that go to the workers at once
 
 
@@ -31,8 +32,11 @@ def lexical_ranks(queries: DataFrame, corpus: DataFrame, key: str, field: str, l
     tf = cut_lineage(tf.join(wanted, "term", "left_semi").groupBy(key, "n_terms", "term").agg(F.count("*").alias("tf")))  # read twice below
     total = corpus.agg(F.count("*").alias("total"))
     df = tf.groupBy("term").agg(F.count("*").alias("df")).crossJoin(F.broadcast(total))  # one row
-    weights = asked.join(df, "term").select(query_key, "term", (F.col("qf") * F.log(1.0 + (F.col("total") + 0.5) / (F.col("df") + 0.5))).alias("weight"))
-    scored = tf.join(weights, "term").groupBy(query_key, key, "n_terms").agg(F.sum(F.col("weight") * (1.0 + F.log(F.col("tf").cast("double")))).alias("raw"))
+    weights = cut_lineage(asked.join(df, "term").select(query_key, "term", (F.col("qf") * F.log(1.0 + (F.col("total") + 0.5) / (F.col("df") + 0.5))).alias("weight")))
+    if weights.count() <= BROADCAST_TERMS:  # as for a stated set of queries; more are joined by shuffle
+        weights = F.broadcast(weights)
+    # partitioned by document once: sums per (query, document) and each partition's best then need no further shuffle of scores
+    scored = tf.repartition(key).join(weights, "term").groupBy(query_key, key, "n_terms").agg(F.sum(F.col("weight") * (1.0 + F.log(F.col("tf").cast("double")))).alias("raw"))
     scored = scored.withColumn("lexical_score", F.round(F.col("raw") / F.sqrt(F.greatest(F.lit(1.0), F.col("n_terms").cast("double"))), 9))
     w = Window.partitionBy(query_key).orderBy(F.desc("lexical_score"), order or key)
     return scored.withColumn("lexical_rank", F.row_number().over(w)).where(F.col("lexical_rank") <= limit).select(query_key, key, "lexical_score", "lexical_rank")
