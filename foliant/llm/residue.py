@@ -1,9 +1,10 @@
 """Problem 10: template residue, filler text, error pages and script notices in a corpus.
 
-Each text is cut into messages (lines and sentences). Messages that hold a cue are masked (addresses, dates and numbers become '#') and
+Each text is cut into messages (lines and sentences). Messages are masked (addresses, dates and numbers become '#') and
 grouped by the hash of the masked form over all texts and sources. Rules of two strengths classify them: placeholders that are
 syntax, and notices that are a whole text or its end, count by themselves; phrases that prose may use count only where the same
-masked message recurs in enough texts of more than one source. Cue search is one Aho-Corasick pass; only messages with a cue leave it.
+masked message recurs in enough texts of more than one source. One Aho-Corasick pass for cues tells which rules can match a text at
+all; the cues are derived from the rules, so that each match of a rule holds a cue of it.
 
 Null and empty texts have no residue. Texts repeated under several ids are each reported; recurrence counts distinct ids.
 """
@@ -12,6 +13,8 @@ from __future__ import annotations
 
 import functools
 import re
+from re import _constants as op
+from re import _parser
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -19,20 +22,12 @@ from pyspark.sql import functions as F
 
 from foliant.session import cut_lineage
 
-# What the messages of interest contain, lower-case. Only a filter; the rules below decide.
-CUES = """{{ }} {% %} ${ <% %> << >> @@ [insert [date [name [amount [your [figure [client [company [title [tbd 【 __ xxx ×× lorem ipsum placeholder
-sample text|replace this|your text|text goes here|dummy text|tbd|todo|to be added|待补|待定|待填|示例文字|示例文本|占位|请替换|请输入|请填写|此处填写|此处为|某某|填充文字
-javascript|scripts|脚本|cookies|browser|浏览器|not found|not on this server|not exist|forbidden|denied|blocked|unauthor|permission|expired|sign in|log in|禁止访问|无权|拒绝|登录|未找到|不存在|已被移除|已失效
-server error|internal error|service unavailable|bad gateway|timeout|timed out|try again|later|unavailable|maintenance|系统繁忙|服务暂不可用|稍后|重试|刷新|维护|出错|错误|异常
-loading|please wait|加载|请稍候|请稍等|traceback|exception|keyerror|valueerror|typeerror|error|null|undefined|nan|n/a|#ref|#n/a|#value|#div|none""".replace("\n", "|")
-CUE_LIST = sorted({cue for part in CUES.split("|") for cue in (part.split(" ") if part.startswith("{{") else [part]) if cue})
-
 NAME = r"[\w .\-]{1,60}"
 #: Unfilled placeholders by their syntax; each is residue wherever it stands.
 PLACEHOLDER = re.compile(
     rf"\{{\{{\s*{NAME}\s*\}}\}}|\{{%\s*{NAME}\s*%\}}|\$\{{\s*{NAME}\s*\}}|<%=?\s*[^%<>]{{1,80}}%>|<<\s*[^<>\n]{{1,40}}\s*>>|@@\s*\w{{2,60}}\s*@@|%[A-Z][A-Z0-9]*(?:_[A-Z0-9]+)*%"
     r"|\[(?:INSERT|DATE|NAME|AMOUNT|YOUR|FIGURE|CLIENT|COMPANY|TITLE|TBD)\b[A-Z _\-]{0,40}\]|\[insert [^\]\n]{1,60}\]|【[^】\n]{0,12}(?:填写|插入|输入|待补|待定|待填|占位)[^】\n]{0,20}】|(?<!\w)_{5,}(?!\w)"
-    r"|[X×x]{2,4}年[X×x]{1,2}月|(?<![A-Za-z])XXXX+(?![A-Za-z])|XX\.X|\bXX/XX/XX|[（(【\[]\s*(?:待补充?|待定|待填)[^）)】\]\n]{0,40}[）)】\]]|\b(?:TBD|TODO|FIXME)\s*:|\blorem ipsum\b",
+    r"|[X×x]{2,4}年[X×x]{1,2}月|(?<![A-Za-z])XXXX+(?![A-Za-z])|XX\.X|\bXX/XX/(?:20)?XX|[（(【\[]\s*(?:待补充?|待定|待填)[^）)】\]\n]{0,40}[）)】\]]|\b(?:TBD|TODO|FIXME)\s*:|\blorem ipsum\b",
 )
 #: Filler text; prose doesn't say it.
 FILLER = re.compile(r"sample text goes here|your text here|text goes here|replace this (?:paragraph|text|sentence)|dummy text|此处为示例文[字本]|请替换为正式内容|此处(?:填写|输入)(?:内容|文字)|占位(?:文字|文本|符)|\blorem ipsum\b", re.I)
@@ -53,7 +48,6 @@ EMPTY_VALUE = re.compile(r"(?:null|undefined|NaN|N/A|None|nil|#REF!|#N/A|#VALUE!
 #: Phrases that prose may hold as well; they need recurrence.
 WEAK = re.compile(r"try again later|go back to the|may have been moved|请?稍后(?:重试|再试)|刷新页面|返回列表|重新登录|已被移除|is not on this server|did not answer in time|down for maintenance|is being updated|敬请期待|coming soon|under construction", re.I)
 
-_PERCENT_NAME = re.compile(r"%[A-Z][A-Z0-9]*(?:_[A-Z0-9]+)*%")
 _MESSAGE_END = re.compile(r"\n+|(?<=[。！？])|(?<=[.!?])\s+")
 _NUMBER = re.compile(r"https?://\S+|[\w.+-]+@[\w-]+(?:\.[\w-]+)+|\d{1,4}(?:[-/.年:]\d{1,2}){2}日?|\d[\d,.]*\d|\d|\b[0-9a-f]{12,}\b")
 
@@ -63,17 +57,117 @@ def mask(message: str) -> str:
     return re.sub(r"\s+", " ", _NUMBER.sub("#", message)).strip()
 
 
+MOST_CUES = 64  # strings that neighbouring parts of a rule are multiplied out to
+
+
+def folded(text: str) -> str:
+    """Lower-case, with the letters that only re.I takes for i and s."""
+    return text.replace("İ", "i").lower().replace("ı", "i").replace("ſ", "s")
+
+
+def _exact(kind, value) -> set[str] | None:
+    """The folded strings that a part of a rule matches, where they are few; None for white space and '#', which masking makes."""
+    if kind is op.LITERAL:
+        return None if chr(value).isspace() or chr(value) == "#" else {folded(chr(value))}
+    if kind is op.IN:
+        codes = set()
+        for k, v in value:
+            if k not in (op.LITERAL, op.RANGE) or len(codes) > MOST_CUES:
+                return None
+            codes |= {v} if k is op.LITERAL else set(range(v[0], min(v[1], v[0] + 2 * MOST_CUES) + 1))
+        each = [_exact(op.LITERAL, c) for c in codes]
+        out = None if None in each else set().union(*each)
+    elif kind in (op.AT, op.ASSERT, op.ASSERT_NOT):
+        return {""}
+    elif kind is op.BRANCH:
+        each = [_product(x) for x in value[1]]
+        out = None if None in each else set().union(*each)
+    elif kind is op.SUBPATTERN:
+        return _product(value[3])
+    elif kind in (op.MAX_REPEAT, op.MIN_REPEAT) and value[1] <= 8:
+        one = _product(value[2])
+        if one is None or len(one) ** value[1] > MOST_CUES:
+            return None
+        powers = [{""}]
+        for _ in range(value[1]):
+            powers.append({x + y for x in powers[-1] for y in one})
+        out = set().union(*powers[value[0] :])
+    else:
+        return None
+    return out if out is not None and len(out) <= MOST_CUES else None
+
+
+def _product(parts) -> set[str] | None:
+    out = {""}
+    for part in parts:
+        one = _exact(*part)
+        if one is None or len(out) * len(one) > MOST_CUES:
+            return None
+        out = {x + y for x in out for y in one}
+    return out
+
+
+def _implied(parts) -> set[str]:
+    """Strings of which every match of a sequence of parts holds one; empty where there are none."""
+    found, run = [], {""}
+    for kind, value in parts:
+        one = _exact(kind, value)
+        if one is not None:
+            if len(run) * len(one) > MOST_CUES:
+                found.append(run)
+                run = {""}
+            run = {x + y for x in run for y in one}
+            continue
+        found.append(run)
+        run = {""}
+        if kind is op.BRANCH:
+            each = [_implied(x) for x in value[1]]
+            found.append(set().union(*each) if all(each) else set())
+        elif kind is op.SUBPATTERN:
+            found.append(_implied(value[3]))
+        elif kind in (op.MAX_REPEAT, op.MIN_REPEAT) and value[0]:
+            found.append(_implied(value[2]))
+            one = _product(value[2])
+            for _ in range(value[0] if one and len(one) ** value[0] <= MOST_CUES else 0):  # its least copies stand before what follows
+                run = {x + y for x in run for y in one}
+    found.append(run)
+    found = [{x for x in f if not any(y != x and y in x for y in f)} for f in found if f and "" not in f]
+    return max(found, key=lambda f: (min(map(len, f)), -len(f)), default=set())
+
+
+def cues(rule: re.Pattern) -> set[str]:
+    """Strings of which the folded text of every match of a rule holds one."""
+    out = _implied(_parser.parse(rule.pattern, rule.flags))
+    if not out:
+        raise ValueError(f"a rule without a cue: {rule.pattern[:60]}")
+    return out
+
+
 @functools.cache
 def _cues():
     import ahocorasick
 
     automaton = ahocorasick.Automaton()
-    for cue in CUE_LIST:
-        automaton.add_word(cue, len(cue))
+    of: dict[str, int] = {}
+    for k, rules in enumerate(((PLACEHOLDER,), (FILLER,), (NOTICE, WEAK))):
+        for cue in set().union(*map(cues, rules)):
+            of[cue] = of.get(cue, 0) | 1 << k
+    for cue, rules in of.items():
+        automaton.add_word(cue, rules)
     automaton.make_automaton()
     return automaton
 
 
+def possible(text: str) -> int:
+    """The rules that may match a text: 1 PLACEHOLDER, 2 FILLER, 4 NOTICE or WEAK, added up."""
+    out = 0
+    for _, rules in _cues().iter(folded(text)):
+        out |= rules
+        if out == 7:
+            break
+    return out
+
+
 def empty_dump(text: str) -> bool:
     """Whether a text is, or ends as, two lines or more of empty values."""
     lines = [x.strip() for x in text.strip().split("\n")]
@@ -89,15 +183,14 @@ def messages(text: str | None) -> list[tuple[str, bool]]:
     """(masked message, certain) of the messages of a text that may be residue."""
     if not text:
         return []
-    low = text.lower()
-    if next(_cues().iter(low), None) is None and not _PERCENT_NAME.search(text) and not empty_dump(text):
-        return []
-    out = []
-    whole = PLACEHOLDER.search(text) or FILLER.search(text)
+    out, rules = [], possible(text)
+    whole = (rules & 1 and PLACEHOLDER.search(text)) or (rules & 2 and FILLER.search(text))
     if whole:
         out.append((mask(whole.group()), True))
     if empty_dump(text):
         out.append(("#empty values#", True))
+    if not rules & 4:
+        return out
     parts = [x.strip() for x in _MESSAGE_END.split(text) if x and x.strip()]
     length = sum(map(len, parts))
     behind = length

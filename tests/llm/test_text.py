@@ -143,6 +143,17 @@ def test_residue_rules():
     assert [t for t in prose if certain(t)] == []
 
 
+def test_every_rule_alternative_passes_the_cues():
+    placeholders = ["{{ a }}", "{% a %}", "${a}", "<%= a %>", "<< a >>", "@@ab@@", "%AB_C%", "[YOUR NAME]", "[insert name]", "【请填写】", "______", "XX年XX月", "××年×月", "xX年x月", "XXXX", "rose by XX.X million", "as at XX/XX/20XX", "（待补）", "[待定]", "TBD:", "TODO :", "FIXME: text", "lorem ipsum"]
+    fillers = ["Sample text goes here", "your text here", "text goes here", "replace this sentence", "Dummy TEXT", "此处为示例文本", "请替换为正式内容", "此处输入文字", "占位符", "LOREM İPSUM"]
+    notices = ["Page not\tfound", "# not found", "HTTP 502 Bad Gateway", "Access denied.", "You don't have permission", "Session expired", "Your session has timed out", "Internal error", "Service temporarily unavailable", "The report viewer is down", "An unexpected error occurred", "Something went wrong", "Please turn on scripts", "If nothing happens, allow cookies", "Enable JavaScript", "Enable JavaſcrIpt", "Your browser does not run", "JavaScript is disabled", "This page needs cookies", "Loading…", "Please wait while", "Request 17 was blocked", "Traceback (most recent call", "a.KeyError: x", 'File "a.py", line 3', "The filing you asked", "该页无法访问", "页面无法访问", "禁止访问", "对不起，未找到", "抱歉，您无法", "您无权访问", "没有权限", "登录已过期", "访问被拒绝", "系统繁忙", "服务器内部异常", "服务暂不可用", "请先开启脚本", "请在浏览器中允许脚本", "您的浏览器未启用", "正在加载…", "加载失败", "正在加载", "请稍候", "请稍等", "您访问的"]
+    weak = ["try again later", "go back to the", "may have been moved", "请稍后再试", "稍后重试", "刷新页面", "返回列表", "重新登录", "已被移除", "is not on this server", "did not answer in time", "down for maintenance", "is being updated", "敬请期待", "Coming soon", "under  construction"]
+    assert [t for t in placeholders if not (residue.PLACEHOLDER.search(t) and residue.possible(t) & 1 and residue.messages(t))] == []
+    assert [t for t in fillers if not (residue.FILLER.search(t) and residue.possible(t) & 2 and residue.messages(t))] == []
+    assert [t for t in notices if not (residue.NOTICE.match(residue.mask(t)) and residue.possible(t) & 4 and residue.messages(t))] == []
+    assert [t for t in weak if not (residue.WEAK.search(residue.mask(t)) and residue.possible(t) & 4 and residue.messages(t))] == []
+
+
 def test_weak_messages_need_recurrence(spark):
     rows = [(k, f"s{k % 2}", ("Long prose about lending. " * 30) + f"Please come back, try again later {k}. " + "More prose about lending. " * 30) for k in range(5)]
     df = spark.createDataFrame([*rows, (9, None, None), (10, "s", "")], "doc_id long, source string, text string").withColumn("message", F.lit("clash"))
