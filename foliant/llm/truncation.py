@@ -15,16 +15,15 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliant.llm import codepoints as cps
-from foliant.llm.sampling import hash_sample
 from foliant.session import cut_lineage
 
 FIELDS = ("raw_content", "resolved_content")
-FIT_ROWS = 4000  # blocks from which it is learned how sentences begin
 ENCODINGS = ("chars", "utf8", "utf16", "entities", "json", "json_ascii", "crlf")
 NEAR, LEAST_AT_LIMIT, TIMES = 12, 8, 5.0
 
@@ -163,53 +162,82 @@ def ending(text: str | None, block_type: str) -> str:
     return "open"
 
 
-class SentenceStarts:
-    """How often the beginnings of words or characters open a sentence, and how often they stand inside one."""
-
-    def __init__(self, texts: list[str]):
-        self.opening, self.inside = Counter(), Counter()
-        self.words = Counter()
-        for text in texts:
-            parts = re.split(r"(?<=[。！？])|(?<=[.!?])\s+|\n+", text)
-            for part in parts:
-                part = (part or "").strip()
-                if len(part) < 4:
-                    continue
-                self.opening[self.key(part)] += 1
-                if part.isascii():
-                    tokens = part.split(" ")
-                    self.inside.update(tokens[1:])
-                    self.words.update(w.lower().strip(".,;()") for w in tokens)
-                else:
-                    flat = re.sub(r"[\d.,]*\d", "#", part)
-                    self.inside.update(flat[k : k + 3] for k in range(1, len(flat) - 2))
-
-    @staticmethod
-    def key(text: str) -> str:
-        return text.split(" ", 1)[0] if text[:1].isascii() and text[:1].isalpha() else re.sub(r"[\d.,]*\d", "#", text[:12])[:3]
-
-    def new_sentence(self, head: str, tail: str) -> bool:
-        """Whether a block that begins with head opens a sentence, rather than going on after tail."""
-        head = head.strip()
-        if not head:
-            return True
-        if head[0].islower() or head[0] in ",，。、；：）)%;:.":
-            return False
-        k = self.key(head)
-        opening, inside = self.opening[k], self.inside[k]
-        if opening + inside >= 3:
-            return opening > inside
-        if head[0].isascii() and head[0].isdigit():
-            return False
-        last = re.search(r"[A-Za-z]+$", tail)  # unknown beginnings: names
-        return bool(last and last.group().islower() and last.group() not in self.words)
-
-
-def sentence_starts(blocks: DataFrame, rows: int = FIT_ROWS) -> SentenceStarts:
-    """Learned on the ``rows`` text blocks whose hashed id is least."""
-    sample = blocks.where("block_type = 'text' and length(raw_content) between 60 and 2000").select("block_id", "raw_content")
-    sample = hash_sample(sample, "block_id", rows)
-    return SentenceStarts([r.raw_content for r in sample.collect()])
+_SENTENCE_END = re.compile(r"(?<=[。！？])|(?<=[.!?])\s+|\n+")
+_NUMBER = re.compile(r"[\d.,]*\d")
+_GOES_ON = ",，。、；：）)%;:."  # what no sentence begins with
+HELD = 200_000  # counts that a task holds before it sends them on
+
+
+def start_key(text: str) -> str:
+    """The beginning that is counted: the first word, or three characters."""
+    return text.split(" ", 1)[0] if text[:1].isascii() and text[:1].isalpha() else _NUMBER.sub("#", text[:12])[:3]
+
+
+def last_word(tail: str) -> str:
+    """The lower-case letters that a text stops with; empty where it stops otherwise."""
+    m = re.search(r"[A-Za-z]+$", tail)
+    return m.group() if m and m.group().islower() else ""
+
+
+def count_starts(text: str, opening: Counter, inside: Counter, words: Counter) -> None:
+    """Count how often beginnings open a sentence of the text and how often they stand inside one, and its words.
+
+    The word that a text stops with may be cut, and is no known word."""
+    text = text.rstrip()
+    parts = _SENTENCE_END.split(text)
+    for k, part in enumerate(parts):
+        part = (part or "").strip()
+        if len(part) < 4:
+            continue
+        opening[start_key(part)] += 1
+        if part.isascii():
+            tokens = part.split(" ")
+            inside.update(tokens[1:])
+            stops = k == len(parts) - 1 and part[-1].isalpha()
+            words.update(w.lower().strip(".,;()") for w in (tokens[:-1] if stops else tokens))
+        else:
+            flat = _NUMBER.sub("#", part)
+            inside.update(flat[k : k + 3] for k in range(1, len(flat) - 2))
+
+
+def _starts_worker(batches):
+    """Counts of each batch, or of several, by key. Keys that new_sentence never asks for stay out."""
+    held = opening, inside, words = Counter(), Counter(), Counter()
+
+    def out():
+        rows = [(False, k, opening[k], inside[k]) for k in opening.keys() | inside.keys() if k and not (k[0].islower() or k[0].isdecimal() or k[0] in _GOES_ON)]
+        rows += [(True, k, n, 0) for k, n in words.items() if k.isascii() and k.isalpha()]
+        for x in held:
+            x.clear()
+        return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in enumerate((pa.bool_(), pa.string(), pa.int64(), pa.int64()))], names=["word", "key", "opening", "inside"])
+
+    for batch in batches:
+        for text in batch.column("raw_content").to_pylist():
+            count_starts(text, opening, inside, words)
+            if len(opening) + len(inside) + len(words) > HELD:
+                yield out()
+    yield out()
+
+
+def sentence_starts(blocks: DataFrame, asked: DataFrame) -> DataFrame:
+    """word, key, opening, inside of the asked (word, key), counted over all text blocks: of beginnings, and of words (their number is in opening)."""
+    texts = blocks.where("block_type = 'text' and raw_content is not null").select("raw_content")
+    counts = texts.mapInArrow(_starts_worker, "word boolean, key string, opening long, inside long")
+    return counts.join(asked.distinct(), ["word", "key"], "left_semi").groupBy("word", "key").agg(F.sum("opening").alias("opening"), F.sum("inside").alias("inside"))
+
+
+def new_sentence(head: str, tail: str, opening: int, inside: int, known: bool) -> bool:
+    """Whether a block that begins with head opens a sentence, rather than going on after tail; with the counts of its start_key, and whether the last_word of tail is known."""
+    head = head.strip()
+    if not head:
+        return True
+    if head[0].islower() or head[0] in _GOES_ON:
+        return False
+    if opening + inside >= 3:
+        return opening > inside
+    if head[0].isascii() and head[0].isdigit():
+        return False
+    return bool(last_word(tail)) and not known  # unknown beginnings: names
 
 
 def cut_values(blocks: DataFrame) -> DataFrame:
@@ -232,17 +260,22 @@ def cut_values(blocks: DataFrame) -> DataFrame:
     limits = _limits(seen).select("source", "encoding", "length").distinct()
     sized = doubtful.select("block_id", "field_name", "source", F.posexplode("lengths").alias("e", "length")).withColumn("encoding", F.element_at(F.array(*map(F.lit, ENCODINGS)), F.col("e") + 1))
     at_limit = sized.join(limits, ["source", "encoding", "length"], "left_semi").select("block_id", "field_name").distinct().withColumn("at_limit", F.lit(True))
-    starts = sentence_starts(blocks)
-    fresh = F.pandas_udf(lambda h, t: _fresh(starts, h, t), "boolean")
-    doubtful = doubtful.join(at_limit, ["block_id", "field_name"], "left").where(F.coalesce("at_limit", F.lit(False)) | fresh("next_head", "tail"))
+    doubtful = cut_lineage(doubtful.withColumn("asked", F.pandas_udf(_asked, "start string, last string")("next_head", "tail")).select("*", "asked.start", "asked.last").drop("asked"))
+    asked = doubtful.select(F.lit(False).alias("word"), F.col("start").alias("key")).unionByName(doubtful.select(F.lit(True).alias("word"), F.col("last").alias("key")))
+    starts = cut_lineage(sentence_starts(blocks, asked))
+    doubtful = doubtful.join(starts.where("not word").select(F.col("key").alias("start"), "opening", "inside"), "start", "left")
+    doubtful = doubtful.join(starts.where("word").select(F.col("key").alias("last"), F.lit(True).alias("known")), "last", "left").fillna(0, ["opening", "inside"]).fillna(False, ["known"])
+    doubtful = doubtful.join(at_limit, ["block_id", "field_name"], "left").where(F.coalesce("at_limit", F.lit(False)) | F.pandas_udf(_fresh, "boolean")("next_head", "tail", "opening", "inside", "known"))
     names = ["block_id", "field_name", "source", "kind"]
     return placed.where(~F.col("goes_on")).select(*names).unionByName(doubtful.select(*names))
 
 
-def _fresh(starts: SentenceStarts, heads, tails):
-    import pandas as pd
+def _asked(heads: pd.Series, tails: pd.Series) -> pd.DataFrame:
+    return pd.DataFrame({"start": [start_key((h or "").strip()) for h in heads], "last": [last_word(t or "") for t in tails]}, dtype=object)
+
 
-    return pd.Series([starts.new_sentence(h or "", t or "") for h, t in zip(heads, tails)], dtype=bool)
+def _fresh(heads: pd.Series, tails: pd.Series, opening: pd.Series, inside: pd.Series, known: pd.Series) -> pd.Series:
+    return pd.Series([new_sentence(h or "", t or "", o, i, k) for h, t, o, i, k in zip(heads, tails, opening, inside, known)], dtype=bool)
 
 
 def source_rates(blocks: DataFrame) -> DataFrame:

@@ -353,6 +353,18 @@ def test_cut_values_limits_and_pages(spark):
     assert truncation.cut_values(df.limit(0)).count() == 0
 
 
+def test_sentence_starts_count_every_block(spark):
+    text = "Rates rose in spring. Zorp stayed calm as the bank said, which helped. " + "More of the same was said, and so on. " * 80
+    rows = [(f"b{k}", "text", text if k < 3 else f"Filler {k} rose in spring, as the board of the bank said at its meeting.") for k in range(5000)]
+    rows += [("short", "text", "Zorp stays calm"), ("cut", "text", "The bank, which gre"), ("table", "table", "Zorp is here."), ("null", "text", None)]
+    df = spark.createDataFrame(rows, "block_id string, block_type string, raw_content string")
+    asked = spark.createDataFrame([(False, "Zorp"), (False, "Filler"), (False, "None"), (True, "helped"), (True, "gre"), (True, "bank"), (True, "bank")], "word boolean, key string")
+    got = {(r.word, r.key): (r.opening, r.inside) for r in truncation.sentence_starts(df, asked).collect()}
+    assert got == {(False, "Zorp"): (4, 0), (False, "Filler"): (4997, 0), (True, "helped"): (3, 0), (True, "bank"): (3 + 4997 + 1, 0)}
+    assert truncation.new_sentence("Zorp went", "which gre", 4, 0, False) and not truncation.new_sentence("Zorp went", "which gre", 4, 5, False)
+    assert truncation.new_sentence("Zorp went", "which gre", 1, 1, False) and not truncation.new_sentence("Zorp went", "which gre", 1, 1, True)
+
+
 # 1: scan noise
 
 
