@@ -2,12 +2,11 @@
 
 One-permutation hashing: each text's shingles (substrings of 5 characters of the lower-cased text with single spaces) are hashed
 once, the hash range is cut into bins and the least value of each bin is kept; empty bins take the value of another bin, chosen by a
-2-universal hash of bin and attempt until it isn't empty (optimal densification). Bands of bins give buckets. In a bucket, ordered
-at random, each member is joined with the first ``CENTRES`` members only, so that the number of candidate edges is linear in the
-number of bucket rows. An exact comparison of the shingle sets follows.
+2-universal hash of bin and attempt until it isn't empty (optimal densification). Bands of bins give buckets. In a bucket, all
+members are compared by their sketches; a bucket of more than ``BLOCK`` members is cut into blocks, and each pair of blocks is compared
+by itself, wherever that may be. An exact comparison of the shingle sets follows.
 
-Exact copies are one class before anything is hashed into buckets: a class of any size is one member of its buckets. For a bucket
-larger than its centres can join fully, the links that were found are closed: members of a common centre are compared as well.
+Exact copies are one class before anything is hashed into buckets: a class of any size is one member of its buckets.
 
 The pairs of ids come last. Classes of up to ``FULL`` copies are expanded; of a larger class, only the smallest id stands for it in
 links to other texts, and each other copy is linked to that id.
@@ -31,7 +30,7 @@ MIN_CHARS, SHINGLE, THRESHOLD = 200, 5, 0.7
 BINS, ROWS = 384, 6
 BANDS = BINS // ROWS
 SKETCH_LEAST = 42  # of 64 equal bits; texts at the threshold have 54 on average, unrelated ones 35
-CENTRES, FULL = 8, 64
+BLOCK, FULL = 4096, 64
 BROADCAST_BYTES = 16 << 20
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -130,16 +129,20 @@ def records(df: DataFrame, kind: str, id_column: str, field: str) -> DataFrame:
     return rows.withColumn("class", F.xxhash64("record_kind", "norm"))
 
 
-def _star_worker(batches):
-    """Rows sorted by bucket and random order: each is joined with up to CENTRES different rows before it in its bucket, if their sketches agree. Only the centres of the open bucket are held."""
+def _agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    return np.bitwise_count((~(x ^ y)).view(np.uint64)) >= SKETCH_LEAST
+
+
+def _bucket_worker(batches, block: int):
+    """Rows sorted by bucket and class: the pairs of different rows of a block of a bucket whose sketches agree (a, b, -1, 0), and each row of a bucket of several blocks
+    (bucket, class, its block, sketch). Only the open block is held."""
     names = ("bucket", "class", "sketch")
-    carried, carried_place = {c: np.zeros(0, np.int64) for c in names}, 0  # the centres of the bucket that a batch broke off in
+    carried, base = {c: np.zeros(0, np.int64) for c in names}, 0  # the open block, and the place of its first row in its bucket
     for batch in batches:
+        k = len(carried["bucket"])
         all_ = {c: np.concatenate([carried[c], batch.column(c).to_numpy(zero_copy_only=False)]) for c in names}
         fresh = np.ones(len(all_["bucket"]), np.bool_)  # equal rows are neighbours
         fresh[1:] = (all_["bucket"][1:] != all_["bucket"][:-1]) | (all_["class"][1:] != all_["class"][:-1])
-        k = len(carried["bucket"])
-        fresh[:k] = True
         all_ = {c: all_[c][fresh] for c in names}
         bucket, n = all_["bucket"], len(all_["bucket"])
         if not n:
@@ -149,29 +152,69 @@ def _star_worker(batches):
         first, run = np.flatnonzero(head), np.cumsum(head) - 1
         place = np.arange(n) - first[run]
         if k:
-            place[(run == 0) & (np.arange(n) >= k)] += carried_place - k
-        x, y = [], []
-        for centre in range(CENTRES):
-            source = first[run] + centre
-            has = np.flatnonzero((place > centre) & (np.arange(n) >= k) & (source < np.arange(n)) & (source - first[run] < CENTRES))
-            x.append(source[has])
-            y.append(has)
-        x, y = np.concatenate(x), np.concatenate(y)
-        a, b = all_["class"][x], all_["class"][y]
-        agree = np.bitwise_count((~(all_["sketch"][x] ^ all_["sketch"][y])).view(np.uint64)) >= SKETCH_LEAST
-        keep = (a != b) & agree
-        yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)[keep]), pa.array(np.maximum(a, b)[keep]), pa.array((place[y] > CENTRES)[keep])], names=["a", "b", "wide"])
-        at = first[-1]
-        carried_place, carried = int(place[-1]) + 1, {c: all_[c][at : at + CENTRES] for c in names}
-        if carried_place > CENTRES:  # the last row too, to know its copies
-            carried = {c: np.append(carried[c], all_[c][-1]) for c in names}
-
-
-def candidate_edges(texts: DataFrame) -> DataFrame:
-    """Distinct (a, b, wide) of classes, a < b, that share a bucket with one of its centres; wide: the bucket has more members than are joined fully."""
+            place[run == 0] += base
+        a, b, number, sketch = [], [], [], []
+        new, distance = np.arange(k, n), 1
+        while len(new := new[place[new] % block >= distance]):
+            y = new[_agree(all_["sketch"][new], all_["sketch"][new - distance])]
+            one, two = all_["class"][y], all_["class"][y - distance]
+            a.append(np.minimum(one, two))
+            b.append(np.maximum(one, two))
+            number.append(np.full(len(y), -1))
+            sketch.append(np.zeros(len(y), np.int64))
+            distance += 1
+        over = np.arange(k, n)[place[k:] >= block]
+        for start in over[place[over] == block]:  # the first block of a bucket is known to need others only now
+            over = np.append(over, np.arange(start - block, start))
+        a.append(bucket[over])
+        b.append(all_["class"][over])
+        number.append(place[over] // block)
+        sketch.append(all_["sketch"][over])
+        a, b, number, sketch = map(np.concatenate, (a, b, number, sketch))
+        yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(number, pa.int64()), pa.array(sketch)], names=["a", "b", "block", "sketch"])
+        at = n - 1 - int(place[-1] % block)
+        base, carried = int(place[-1] - place[-1] % block), {c: all_[c][at:] for c in names}
+
+
+def _cross_worker(batches):
+    """Rows sorted by bucket, pair of blocks (i, j) and block: each row of block j is compared with the rows of block i, which are held."""
+    group, left = None, None
+    for batch in batches:
+        columns = {c: batch.column(c).to_numpy(zero_copy_only=False) for c in ("bucket", "i", "j", "block", "class", "sketch")}
+        n, a, b = batch.num_rows, [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        change = np.zeros(n, np.bool_)
+        for c in ("bucket", "i", "j", "block"):
+            change[1:] |= columns[c][1:] != columns[c][:-1]
+        cuts = [0, *np.flatnonzero(change).tolist(), n] if n else []
+        for start, end in zip(cuts, cuts[1:]):
+            now = tuple(int(columns[c][start]) for c in ("bucket", "i", "j"))
+            classes, sketch = columns["class"][start:end], columns["sketch"][start:end]
+            if now != group:
+                group, left = now, (np.zeros(0, np.int64), np.zeros(0, np.int64))
+            if columns["block"][start] == now[1]:
+                left = tuple(map(np.concatenate, zip(left, (classes, sketch))))
+                continue
+            for k in range(0, len(classes), 256):
+                x, y = np.nonzero(_agree(left[1][:, None], sketch[None, k : k + 256]))
+                a.append(np.minimum(left[0][x], classes[k + y]))
+                b.append(np.maximum(left[0][x], classes[k + y]))
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
+
+
+def candidate_edges(texts: DataFrame, block: int = BLOCK) -> DataFrame:
+    """Distinct (a, b) of classes, a < b, that share a bucket and whose sketches agree; written to the shared folder."""
     bands = texts.select("class", "norm", F.xxhash64("record_kind").alias("side")).mapInArrow(_band_worker, "bucket long, class long, sketch long")
-    runs = bands.repartition("bucket").sortWithinPartitions("bucket", F.xxhash64("bucket", "class"), "class")
-    return runs.mapInArrow(_star_worker, "a long, b long, wide boolean").groupBy("a", "b").agg(F.max("wide").alias("wide"))
+    runs = bands.repartition("bucket").sortWithinPartitions("bucket", "class")
+    seen = cut_lineage(runs.mapInArrow(lambda batches: _bucket_worker(batches, block), "a long, b long, block long, sketch long").distinct())
+    edges = seen.where("block < 0").select("a", "b")
+    over = seen.where("block >= 0").select(F.col("a").alias("bucket"), F.col("b").alias("class"), "block", "sketch")
+    if not over.take(1):
+        return edges
+    blocks = over.groupBy("bucket").agg(F.max("block").alias("last"))
+    pairs = over.join(blocks, "bucket").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last").cast("int")))).where("other <> block")
+    pairs = pairs.select("bucket", F.least("block", F.col("other").cast("long")).alias("i"), F.greatest("block", F.col("other").cast("long")).alias("j"), "block", "class", "sketch")
+    crossed = pairs.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "block").mapInArrow(_cross_worker, "a long, b long")
+    return cut_lineage(edges.unionByName(crossed).distinct())
 
 
 def jaccard(a: str, b: str, size: int = SHINGLE) -> float:
@@ -189,7 +232,7 @@ def _verify_worker(batches):
             y = {b[i : i + SHINGLE] for i in range(len(b) - SHINGLE + 1)} if m > 0 else set()
             found.append(bool(x and y) and len(x & y) >= THRESHOLD * len(x | y) - 1e-12)
         keep = pa.array(found, pa.bool_())
-        yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b", "wide")], names=["a", "b", "wide"])
+        yield pa.RecordBatch.from_arrays([batch.column(c).filter(keep) for c in ("a", "b")], names=["a", "b"])
 
 
 def verified(edges: DataFrame, texts: DataFrame, every: DataFrame) -> DataFrame:
@@ -201,21 +244,12 @@ def verified(edges: DataFrame, texts: DataFrame, every: DataFrame) -> DataFrame:
         heads = F.broadcast(heads)
     own = texts.select("id", "class", "norm").join(heads, "id", "left_semi").select("class", "norm").dropDuplicates(["class"])
     a, b = (own.select(F.col("class").alias(s), F.col("norm").alias(f"t{s}")) for s in "ab")
-    return edges.join(a, "a").join(b, "b").mapInArrow(_verify_worker, "a long, b long, wide boolean")
+    return edges.join(a, "a").join(b, "b").mapInArrow(_verify_worker, "a long, b long")
 
 
 def class_links(texts: DataFrame, every: DataFrame) -> DataFrame:
     """Distinct (a, b), a < b: the pairs of classes (different texts) that are similar; written to the shared folder."""
-    edges = cut_lineage(candidate_edges(texts))
-    links = cut_lineage(verified(edges, texts, every))
-    wide = links.where("wide")
-    if not wide.take(1):
-        return links.drop("wide")
-    # the rest of buckets that are too large for their centres: what is linked to a common text is compared as well
-    ends = wide.select("a", "b").unionByName(wide.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    more = ends.join(ends.select("a", F.col("b").alias("d")), "a").where("b < d").select(F.col("b").alias("a"), F.col("d").alias("b")).distinct()
-    more = more.join(edges, ["a", "b"], "left_anti").withColumn("wide", F.lit(True))
-    return cut_lineage(links.drop("wide").unionByName(verified(more, texts, every).drop("wide")).distinct())
+    return cut_lineage(verified(candidate_edges(texts), texts, every))
 
 
 def members(texts: DataFrame) -> DataFrame:

@@ -249,6 +249,42 @@ def test_many_different_near_texts(spark):
     assert {tuple(r) for r in near_duplicates.similar_pairs(near(spark, texts)).collect()} == brute_pairs(texts)
 
 
+def boilerplate(n, short=8):
+    """Texts that share their common part only: under 0.7 to each other, but for the few that have less of their own."""
+    rng = random.Random(12)
+    word = lambda: "".join(rng.choice("abcdefghijklmnop") for _ in range(6))
+    common = [word() for _ in range(52)]
+    return {f"t{k:03}": " ".join(common + [word() for _ in range(10 if k < short else 14)]) for k in range(n)}
+
+
+def test_boilerplate_groups_against_brute_force(spark):
+    texts = boilerplate(120)
+    want = brute_pairs(texts)
+    assert len(want) == 28
+    assert {tuple(r) for r in near_duplicates.similar_pairs(near(spark, texts)).collect()} == want
+
+
+def test_buckets_of_several_blocks_join_all_pairs(spark):
+    texts = near(spark, boilerplate(90))
+    whole = {(r.a, r.b) for r in near_duplicates.candidate_edges(texts).collect()}
+    rows = sorted((r["class"], r.norm) for r in texts.collect())
+    sig = near_duplicates.signatures(*codepoints.explode(pa.array([t for _, t in rows])))
+    bands, sketch = near_duplicates.band_hashes(sig), near_duplicates.sketches(sig)
+    agree = lambda i, j: int(np.bitwise_count(~(sketch[i] ^ sketch[j]))) >= near_duplicates.SKETCH_LEAST
+    want = {(rows[i][0], rows[j][0]) for j in range(len(rows)) for i in range(j) if (bands[i] == bands[j]).any() and agree(i, j)}
+    assert len(want) > 1000 and whole == want and {tuple(r) for r in near_duplicates.candidate_edges(texts, 7).collect()} == want
+    rng = np.random.default_rng(3)
+    rows = sorted({(int(b), int(c)) for b, c in zip(rng.integers(0, 9, 700), rng.integers(0, 99, 700))})
+    rows = [r for r in rows for _ in range(1 + r[1] % 2)]
+    batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()), pa.array([0] * len(part), pa.int64())], names=["bucket", "class", "sketch"]) for k in range(0, len(rows), 13) for part in [rows[k : k + 13]]]
+    out = [r for batch in near_duplicates._bucket_worker(batches, 10) for r in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "block")))]
+    members = defaultdict(list)
+    for b, c in sorted(set(rows)):
+        members[b].append(c)
+    assert Counter((a, b) for a, b, n in out if n < 0) == Counter((c[i], c[j]) for c in members.values() for j in range(len(c)) for i in range(j // 10 * 10, j))
+    assert sorted((a, b, n) for a, b, n in out if n >= 0) == sorted((b, x, k // 10) for b, c in members.items() if len(c) > 10 for k, x in enumerate(c))
+
+
 def test_densified_signatures_keep_similarity():
     rng = np.random.default_rng(0)
     a = "".join(map(chr, rng.integers(97, 123, 600)))
