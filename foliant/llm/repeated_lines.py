@@ -16,6 +16,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from foliant.session import cut_lineage
+
 SALTS = 16
 # White space as Python's str.isspace() knows it, for Java's and RE2's syntax.
 SPACE_JAVA = r"[\s\p{Z}\x0B\x1C-\x1F\x85]+"
@@ -56,25 +58,28 @@ def repeated_lines(blocks: DataFrame, min_pages: int = 3, min_share: float = 0.2
     return occurrences(blocks, frequent_lines(blocks, min_pages, min_share)).select("block_id", "line_no").distinct()
 
 
-def frequent_sequences(blocks: DataFrame, min_pages: int = 3, min_share: float = 0.25, max_length: int = 3) -> DataFrame:
-    """doc, items (array of identifiers in page order), support of the frequent sequences of up to max_length lines.
+def frequent_sequences(blocks: DataFrame, min_pages: int = 3, min_share: float = 0.25, max_length: int | None = None) -> DataFrame:
+    """doc, items (array of identifiers in page order), support of all frequent sequences, or those of up to max_length lines.
 
-    Gaps between the lines are allowed. The order on a page is that of reading_order, block and line."""
-    frequent = frequent_lines(blocks, min_pages, min_share)
+    Levels follow until one is empty, at most as many as a page has frequent lines; n of them on the same pages make 2^n - 1 sequences. Gaps between the lines are allowed. The order on a page is that of reading_order, block and line."""
+    frequent = cut_lineage(frequent_lines(blocks, min_pages, min_share))
     order = blocks.groupBy("block_id").agg(F.min("reading_order").alias("reading_order"))
     placed = occurrences(blocks, frequent).distinct().join(order, "block_id")
     placed = placed.select("doc", "page_no", "item", F.struct(F.coalesce("reading_order", F.lit(-1)).alias("r"), "block_id", "line_no").alias("at"))
+    placed = cut_lineage(placed)
     needed = frequent.select("doc", "needed").distinct()
     level = frequent.select("doc", F.array("item").alias("items"), "support")
     # the projected database of a prefix: the first place on each page after which it can go on
     projected = placed.groupBy("doc", "page_no", F.array("item").alias("items")).agg(F.min("at").alias("end"))
-    found = level
-    for _ in range(1, max_length):
+    found, length = level, 1
+    while max_length is None or length < max_length:
         longer = projected.join(placed, ["doc", "page_no"]).where("at > end")
-        longer = longer.groupBy("doc", "page_no", F.concat("items", F.array("item")).alias("items")).agg(F.min("at").alias("end"))
-        level = longer.groupBy("doc", "items").agg(F.count("*").alias("support")).join(needed, "doc").where("support >= needed").drop("needed")
+        longer = cut_lineage(longer.groupBy("doc", "page_no", F.concat("items", F.array("item")).alias("items")).agg(F.min("at").alias("end")))
+        level = cut_lineage(longer.groupBy("doc", "items").agg(F.count("*").alias("support")).join(needed, "doc").where("support >= needed").drop("needed"))
+        if level.isEmpty():
+            break
         projected = longer.join(level.select("doc", "items"), ["doc", "items"], "left_semi").select("doc", "page_no", "items", "end")
-        found = found.unionByName(level)
+        found, length = found.unionByName(level), length + 1
     return found
 
 

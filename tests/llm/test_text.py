@@ -89,6 +89,12 @@ def test_sequences_against_brute_force(spark):
     assert got == Counter({(1, 5): 2, (1, 4): 1, (2, 5): 1, (2, 4): 2, (3, 4): 1})
 
 
+def test_sequences_of_every_length(spark):
+    rows = [(f"b{p}{k}", "d", p, k, t) for p in range(1, 5) for k, t in enumerate(["A", "B", f"own {chr(96 + p)}", "C", "D", "E"])]
+    got = Counter((len(r["items"]), r.support) for r in repeated_lines.frequent_sequences(lined(spark, rows)).collect())
+    assert got == Counter({(1, 4): 5, (2, 4): 10, (3, 4): 10, (4, 4): 5, (5, 4): 1})
+
+
 # 7: splitting
 
 
