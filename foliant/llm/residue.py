@@ -49,7 +49,7 @@ EMPTY_VALUE = re.compile(r"(?:null|undefined|NaN|N/A|None|nil|#REF!|#N/A|#VALUE!
 WEAK = re.compile(r"try again later|go back to the|may have been moved|请?稍后(?:重试|再试)|刷新页面|返回列表|重新登录|已被移除|is not on this server|did not answer in time|down for maintenance|is being updated|敬请期待|coming soon|under construction", re.I)
 
 _MESSAGE_END = re.compile(r"\n+|(?<=[。！？])|(?<=[.!?])\s+")
-_NUMBER = re.compile(r"https?://\S+|[\w.+-]+@[\w-]+(?:\.[\w-]+)+|\d{1,4}(?:[-/.年:]\d{1,2}){2}日?|\d[\d,.]*\d|\d|\b[0-9a-f]{12,}\b")
+_NUMBER = re.compile(r"https?://\S+|(?<![\w.+-])[\w.+-]++@[\w-]+(?:\.[\w-]+)+|\d{1,4}(?:[-/.年:]\d{1,2}){2}日?|\d[\d,.]*\d|\d|\b[0-9a-f]{12,}\b")
 
 
 def mask(message: str) -> str:
@@ -196,8 +196,6 @@ def messages(text: str | None) -> list[tuple[str, bool]]:
     behind = length
     for part in parts:
         behind -= len(part)
-        if len(part) > 400:
-            continue
         masked = mask(part)
         if NOTICE.match(masked):
             out.append((masked, behind <= 160 or length <= 300))

@@ -160,6 +160,13 @@ def test_every_rule_alternative_passes_the_cues():
     assert [t for t in weak if not (residue.WEAK.search(residue.mask(t)) and residue.possible(t) & 4 and residue.messages(t))] == []
 
 
+def test_long_messages_are_read_whole():
+    menu = " | Home | Loans | Contact" * 40
+    assert residue.messages("Page not found" + menu) == [("Page not found" + menu, True)]
+    assert residue.messages("Menu" + menu + " coming soon") == [("Menu" + menu + " coming soon", False)]
+    assert residue.messages("Page not found " + "a1" * 100_000) and residue.mask("x 12ab.c+d@e.f-g.org, y") == "x #, y"
+
+
 def test_weak_messages_need_recurrence(spark):
     rows = [(k, f"s{k % 2}", ("Long prose about lending. " * 30) + f"Please come back, try again later {k}. " + "More prose about lending. " * 30) for k in range(5)]
     df = spark.createDataFrame([*rows, (9, None, None), (10, "s", "")], "doc_id long, source string, text string").withColumn("message", F.lit("clash"))
