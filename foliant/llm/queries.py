@@ -99,6 +99,10 @@ def p10_clean_corpus(spark: SparkSession, folder: str) -> DataFrame:
     return residue.clean_corpus(table(spark, folder, "documents", "doc_id", "source", "lang", "text"))
 
 
+SQL["p10_found"] = residue.sql_residue_documents()
+SQL["p10_messages"] = residue.sql_message_groups()
+
+
 # 3: markup residue
 
 

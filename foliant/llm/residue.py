@@ -1,246 +1,185 @@
 """Problem 10: template residue, filler text, error pages and script notices in a corpus.
 
-Each text is cut into messages (lines and sentences). Messages are masked (addresses, dates and numbers become '#') and
-grouped by the hash of the masked form over all texts and sources. Rules of two strengths classify them: placeholders that are
-syntax, and notices that are a whole text or its end, count by themselves; phrases that prose may use count only where the same
-masked message recurs in enough texts of more than one source. One Aho-Corasick pass for cues tells which rules can match a text at
-all; the cues are derived from the rules, so that each match of a rule holds a cue of it.
+Every text is cut into messages (lines and sentences); in every message addresses, dates and numbers become '#'. The masked messages
+are grouped by their hash over all texts and sources: how many texts hold each, of how many sources, and in how many of them it
+stands at the end. What recurs widely and nearly always ends its text is classified by phrase rules; a recurring heading or sentence
+of prose never ends its texts that regularly, whatever words it uses. Placeholders and filler are known by their syntax, wherever they
+stand and how often; so are notices in a strict wording, at the end of a text, that are too rare to recur.
 
-Null and empty texts have no residue. Texts repeated under several ids are each reported; recurrence counts distinct ids.
+All of it is column expressions: the rules are regular expressions that Java and RE2 read alike (no look-around), so that the same
+rules make the SQL.
+
+Null and empty texts have no residue. Texts repeated under several ids are each reported; a text counts a message once, and a null
+source counts as one source. A doc_id delivered twice counts twice, and is reported once.
 """
 
 from __future__ import annotations
 
 import functools
-import re
-from re import _constants as op
-from re import _parser
 
-import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from foliant.session import cut_lineage
 
-NAME = r"[\w .\-]{1,60}"
-#: Unfilled placeholders by their syntax; each is residue wherever it stands.
-PLACEHOLDER = re.compile(
-    rf"\{{\{{\s*{NAME}\s*\}}\}}|\{{%\s*{NAME}\s*%\}}|\$\{{\s*{NAME}\s*\}}|<%=?\s*[^%<>]{{1,80}}%>|<<\s*[^<>\n]{{1,40}}\s*>>|@@\s*\w{{2,60}}\s*@@|%[A-Z][A-Z0-9]*(?:_[A-Z0-9]+)*%"
-    r"|\[(?:INSERT|DATE|NAME|AMOUNT|YOUR|FIGURE|CLIENT|COMPANY|TITLE|TBD)\b[A-Z _\-]{0,40}\]|\[insert [^\]\n]{1,60}\]|【[^】\n]{0,12}(?:填写|插入|输入|待补|待定|待填|占位)[^】\n]{0,20}】|(?<!\w)_{5,}(?!\w)"
-    r"|[X×x]{2,4}年[X×x]{1,2}月|(?<![A-Za-z])XXXX+(?![A-Za-z])|XX\.X|\bXX/XX/(?:20)?XX|[（(【\[]\s*(?:待补充?|待定|待填)[^）)】\]\n]{0,40}[）)】\]]|\b(?:TBD|TODO|FIXME)\s*:|\blorem ipsum\b",
-)
+MIN_DOCS, MIN_SOURCES = 3, 2
+FINAL_CHARS, SHORT_CHARS = 160, 300  # a message is final where it ends within the last FINAL_CHARS, or the whole text has no more than SHORT_CHARS
+FINAL_SHARE = 0.9
+
+#: Unfilled placeholders by their syntax, each with a string that every match holds; each is residue wherever it stands. Read on masked messages, where digits are '#'.
+PLACEHOLDERS = (
+    ("{{", r"\{\{[^{}|]{1,60}\}\}"), ("{%", r"\{%[^%{}]{1,60}%\}"), ("${", r"\$\{[^{}]{1,60}\}"), ("<%", r"<%[^%<>]{1,80}%>"), ("<<", r"<<[^<>]{1,40}>>"), ("@@", r"@@[A-Za-z#_ 一-鿿]{2,60}@@"),
+    ("%", r"%[A-Z][A-Z#]*(?:_[A-Z#]+)*%"), ("%", r"%[一-鿿]{2,12}%"), ("__", r"__[A-Z][A-Z#]*(?:_[A-Z#]+)*__"),
+    ("[", r"\[(?:INSERT|DATE|NAME|AMOUNT|YOUR|FIGURE|CLIENT|COMPANY|TITLE|TBD)(?:[ _-][A-Z _-]{0,40})?\]"), ("[", r"\[[A-Z]{2,}(?:[ _][A-Z]{2,})+\]"), ("[insert", r"\[insert [^\]]{1,60}\]"),
+    ("【", r"【[^】]{0,12}(?:填写|插入|输入|待补|待定|待填|占位)[^】]{0,20}】"), ("待", r"[（(【\[] ?(?:待补充?|待定|待填)[^）)】\]]{0,40}[）)】\]]"), ("_____", r"(?:^|[^0-9A-Za-z_#])_{5,}(?:[^0-9A-Za-z_#]|$)"),
+    ("年", r"[X×x]{2,4}年[X×x]{1,2}月"), ("XXXX", r"(?:^|[^A-Za-z])XXXX+(?:[^A-Za-z]|$)"), ("XX.X", r"XX\.X"), ("XX/XX/", r"(?:^|[^A-Za-z])XX/XX/"),
+    ("TBD", r"(?:^|[^A-Za-z])TBD ?[:：]"), ("TODO", r"(?:^|[^A-Za-z])TODO ?[:：]"), ("FIXME", r"(?:^|[^A-Za-z])FIXME ?[:：]"),
+)
 #: Filler text; prose doesn't say it.
-FILLER = re.compile(r"sample text goes here|your text here|text goes here|replace this (?:paragraph|text|sentence)|dummy text|此处为示例文[字本]|请替换为正式内容|此处(?:填写|输入)(?:内容|文字)|占位(?:文字|文本|符)|\blorem ipsum\b", re.I)
-#: Notices and errors by how a message begins; the masked form is tested.
-NOTICE = re.compile(
-    r"""(?:\#\s*)?(?:error\s*\#?\s*[:\-]?\s*)?(?:page|file|filing|document|report)\s+not\s+found\b|(?:http\s*)?\#\s+(?:not\ found|forbidden|unauthorized|bad\ gateway|service\ unavailable|gateway\ time-?out|internal\ server\ error)\b
-    |access\ denied\s*(?:[.!:]|$)|you\ (?:do\ not|don't)\ have\ permission|session\ expired|your\ session\ has\ (?:expired|timed\ out)
-    |internal\ (?:server\ )?error\b|service\ (?:temporarily\ )?unavailable\b|the\ \w+\ viewer\ is\ down|(?:an?|the)\ (?:unexpected\ )?error\ (?:has\ )?occurred|something\ went\ wrong
-    |please\ (?:turn\ on|enable|allow)\ (?:javascript|scripts|cookies)|(?:you\ must|if\ nothing\ happens,)\s+(?:allow|enable)\ (?:javascript|scripts|cookies)|enable\ javascript\b|your\ browser\ does\ not\ (?:run|support)
-    |javascript\ (?:is|must\ be)\ (?:disabled|required|enabled)|this\ (?:viewer|page|site|report)\ (?:needs|requires)\ (?:scripts|javascript|cookies)|loading\s*(?:\.\.+|…)|please\ wait\ while\b|request\ \#\ was\ blocked
-    |traceback\ \(most\ recent\ call|(?:\w+\.)*[A-Za-z]*(?:error|exception):\s|file\ "[^"]+",\ line\ \#|the\ (?:filing|page|file|document|report)\ you\ (?:asked|were\ looking|requested)
-    |\#?\s*(?:页面|网页|文件|报告|该页|该文件)(?:不存在|未找到|已失效|已被移除|无法访问)|(?:\#\s*)?禁止访问|(?:抱歉，?|对不起，?)?\s*未找到|(?:抱歉|对不起)，?(?:您|你)?.{0,12}(?:不存在|未找到|无权|无法)|您?无权访问|(?:您)?没有权限|登录已过期|访问被拒绝
-    |系统繁忙|(?:系统|服务器?)(?:内部)?(?:错误|异常|出错)|服务暂不可用|(?:请|需要?|您需|必须)(?:先)?(?:启用|开启|打开|允许).{0,8}(?:javascript|脚本|cookie)|(?:请)?在浏览器中允许脚本|您?的浏览器(?:不支持|未启用|已禁用)|(?:正在)?加载(?:中|失败)?\s*(?:…|\.\.)|正在加载|加载失败|请稍[候等]|您访问的""",
-    re.I | re.X,
-)
+FILLER = r"(?i)sample text goes here|(?:your )?text goes here|your text here|replace this (?:paragraph|text|sentence)|dummy text|此处为示例文[字本]|请替换为正式内容|此处(?:填写|输入)(?:内容|文字)|占位(?:文字|文本|符)|lorem ipsum"
+#: Notices by how a message begins, strict enough to count at the end of a text without recurrence.
+STRICT = "(?i)^(?:" + "|".join(
+    (
+        r"(?:# ?)?(?:error ?#? ?[:-]? ?)?(?:page|file|filing|document|report) not found", r"(?:http ?)?# (?:not found|forbidden|unauthorized|bad gateway|service unavailable|gateway time-?out|internal server error)",
+        r"access denied ?(?:[.!:]|$)", r"you (?:do not|don't) have permission", r"session expired", r"your session has (?:expired|timed out)", r"internal (?:server )?error", r"error while (?:loading|opening|rendering|reading)",
+        r"service (?:temporarily )?unavailable", r"the [a-z]+ viewer is down", r"(?:an?|the) (?:unexpected )?error (?:has )?occurred", r"something went wrong", r"(?:failed|unable) to load", r"could not load",
+        r"please (?:turn on|enable|allow) (?:javascript|scripts|cookies)", r"(?:you must|if nothing happens,) (?:allow|enable) (?:javascript|scripts|cookies)", r"enable javascript", r"your browser does not (?:run|support)",
+        r"javascript (?:is|must be) (?:disabled|required|enabled)", r"this (?:viewer|page|site|report) (?:needs|requires) (?:scripts|javascript|cookies)", r"loading ?(?:\.\.+|…)", r"please wait while", r"request # was blocked",
+        r"traceback \(most recent call", r"(?:[a-z_]+\.)*[a-z]*(?:error|exception): ", r'file "[^"]+", line #', r"the (?:filing|page|file|document|report) you (?:asked|were looking|requested)",
+        r"#? ?(?:页面|网页|文件|报告|该页|该文件)(?:不存在|未找到|已失效|已被移除|无法访问)", r"(?:# ?)?禁止访问", r"(?:抱歉，?|对不起，?)? ?未找到", r"(?:抱歉|对不起)，?(?:您|你)?.{0,12}(?:不存在|未找到|无权|无法)", r"您?无权访问", r"(?:您)?没有权限",
+        r"登录已过期", r"访问被拒绝", r"系统繁忙", r"(?:系统|服务器?)(?:内部)?(?:错误|异常|出错)", r"服务暂不可用", r"(?:请|需要?|您需|必须)(?:先)?(?:启用|开启|打开|允许).{0,8}(?:javascript|脚本|cookie)", r"(?:请)?在浏览器中允许脚本",
+        r"您?的浏览器(?:不支持|未启用|已禁用)", r"(?:正在)?加载(?:中|失败)? ?(?:…|\.\.)", r"正在加载", r"加载失败", r"请稍[候等]", r"您访问的",
+    )
+) + ")"
+#: Words of notices; prose uses them too, so that they count only for messages that recur and end their texts.
+PHRASES = "(?i)" + "|".join(
+    (
+        r"error|denied|forbidden|unauthori[sz]ed|not found|permission|session|(?:sign|log) ?in\b|javascript|scripts?\b|cookies?\b|browser|loading|reload|refresh|please wait|timed? ?out|time-out|unavailable|maintenance|blocked",
+        r"try again|moved or|withdrawn|server|traceback|exception|reference #|request #|captcha|viewer|redirect|go back|cannot be displayed|being updated|coming soon|under construction",
+        r"错误|异常|出错|失败|拒绝|禁止|权限|无权|登录|会话|脚本|浏览器|加载|刷新|稍[后候等]|等待|超时|不可用|维护|未找到|不存在|已被移除|已失效|返回列表|请求编号|参考号|重试|敬请期待|建设中|无法访问|无法显示",
+    )
+)
 #: What the dump of an empty record leaves on a line.
-EMPTY_VALUE = re.compile(r"(?:null|undefined|NaN|N/A|None|nil|#REF!|#N/A|#VALUE!|#DIV/0!|#NAME\?|\(null\)|-{1,3}|—|空|无数据)", re.I)
-#: Phrases that prose may hold as well; they need recurrence.
-WEAK = re.compile(r"try again later|go back to the|may have been moved|请?稍后(?:重试|再试)|刷新页面|返回列表|重新登录|已被移除|is not on this server|did not answer in time|down for maintenance|is being updated|敬请期待|coming soon|under construction", re.I)
+EMPTY_VALUE = r"(?:null|undefined|NaN|N/A|None|nil|#REF!|#N/A|#VALUE!|#DIV/0!|#NAME\?|\(null\)|—|空|无数据)"
+_DASHES = r"-{1,3}"
+#: A text that is, or ends as, two lines or more of empty values; or one after at most one line.
+EMPTY_DUMP = rf"(?i)(?:^|\n)[ \t]*(?:{EMPTY_VALUE}|{_DASHES})[ \t]*\n\s*(?:{EMPTY_VALUE}|{_DASHES})\s*$|^\s*(?:[^\n]*\n)?[ \t]*{EMPTY_VALUE}\s*$"
+
+#: What masking replaces by '#'. The part of an address before '@' has at most 64 characters.
+MASKED = r"https?://\S+|[\w.+-]{1,64}@[\w-]+(?:\.[\w-]+)+|[0-9a-f]{12,}|\d{1,4}(?:[-/.年:]\d{1,2}){2}日?|\d[\d,.]*\d|\d"
+MESSAGE_ENDS = (r"([。！？])", r"([.!?])\s+")  # a line feed is put behind group 1
+
 
-_MESSAGE_END = re.compile(r"\n+|(?<=[。！？])|(?<=[.!?])\s+")
-_NUMBER = re.compile(r"https?://\S+|(?<![\w.+-])[\w.+-]++@[\w-]+(?:\.[\w-]+)+|\d{1,4}(?:[-/.年:]\d{1,2}){2}日?|\d[\d,.]*\d|\d|\b[0-9a-f]{12,}\b")
+def parts_of(text: Column) -> Column:
+    """The messages of a text as they stand; some may be empty."""
+    for end in MESSAGE_ENDS:
+        text = F.regexp_replace(text, end, "$1\n")
+    return F.split(text, "\n+", -1)
 
 
-def mask(message: str) -> str:
+def mask(message: Column) -> Column:
     """A message with addresses, dates and numbers masked and white space collapsed."""
-    return re.sub(r"\s+", " ", _NUMBER.sub("#", message)).strip()
-
-
-MOST_CUES = 64  # strings that neighbouring parts of a rule are multiplied out to
-
-
-def folded(text: str) -> str:
-    """Lower-case, with the letters that only re.I takes for i and s."""
-    return text.replace("İ", "i").lower().replace("ı", "i").replace("ſ", "s")
-
-
-def _exact(kind, value) -> set[str] | None:
-    """The folded strings that a part of a rule matches, where they are few; None for white space and '#', which masking makes."""
-    if kind is op.LITERAL:
-        return None if chr(value).isspace() or chr(value) == "#" else {folded(chr(value))}
-    if kind is op.IN:
-        codes = set()
-        for k, v in value:
-            if k not in (op.LITERAL, op.RANGE) or len(codes) > MOST_CUES:
-                return None
-            codes |= {v} if k is op.LITERAL else set(range(v[0], min(v[1], v[0] + 2 * MOST_CUES) + 1))
-        each = [_exact(op.LITERAL, c) for c in codes]
-        out = None if None in each else set().union(*each)
-    elif kind in (op.AT, op.ASSERT, op.ASSERT_NOT):
-        return {""}
-    elif kind is op.BRANCH:
-        each = [_product(x) for x in value[1]]
-        out = None if None in each else set().union(*each)
-    elif kind is op.SUBPATTERN:
-        return _product(value[3])
-    elif kind in (op.MAX_REPEAT, op.MIN_REPEAT) and value[1] <= 8:
-        one = _product(value[2])
-        if one is None or len(one) ** value[1] > MOST_CUES:
-            return None
-        powers = [{""}]
-        for _ in range(value[1]):
-            powers.append({x + y for x in powers[-1] for y in one})
-        out = set().union(*powers[value[0] :])
-    else:
-        return None
-    return out if out is not None and len(out) <= MOST_CUES else None
-
-
-def _product(parts) -> set[str] | None:
-    out = {""}
-    for part in parts:
-        one = _exact(*part)
-        if one is None or len(out) * len(one) > MOST_CUES:
-            return None
-        out = {x + y for x in out for y in one}
-    return out
-
-
-def _implied(parts) -> set[str]:
-    """Strings of which every match of a sequence of parts holds one; empty where there are none."""
-    found, run = [], {""}
-    for kind, value in parts:
-        one = _exact(kind, value)
-        if one is not None:
-            if len(run) * len(one) > MOST_CUES:
-                found.append(run)
-                run = {""}
-            run = {x + y for x in run for y in one}
-            continue
-        found.append(run)
-        run = {""}
-        if kind is op.BRANCH:
-            each = [_implied(x) for x in value[1]]
-            found.append(set().union(*each) if all(each) else set())
-        elif kind is op.SUBPATTERN:
-            found.append(_implied(value[3]))
-        elif kind in (op.MAX_REPEAT, op.MIN_REPEAT) and value[0]:
-            found.append(_implied(value[2]))
-            one = _product(value[2])
-            for _ in range(value[0] if one and len(one) ** value[0] <= MOST_CUES else 0):  # its least copies stand before what follows
-                run = {x + y for x in run for y in one}
-    found.append(run)
-    found = [{x for x in f if not any(y != x and y in x for y in f)} for f in found if f and "" not in f]
-    return max(found, key=lambda f: (min(map(len, f)), -len(f)), default=set())
-
-
-def cues(rule: re.Pattern) -> set[str]:
-    """Strings of which the folded text of every match of a rule holds one."""
-    out = _implied(_parser.parse(rule.pattern, rule.flags))
-    if not out:
-        raise ValueError(f"a rule without a cue: {rule.pattern[:60]}")
-    return out
-
-
-@functools.cache
-def _cues():
-    import ahocorasick
-
-    automaton = ahocorasick.Automaton()
-    of: dict[str, int] = {}
-    for k, rules in enumerate(((PLACEHOLDER,), (FILLER,), (NOTICE, WEAK))):
-        for cue in set().union(*map(cues, rules)):
-            of[cue] = of.get(cue, 0) | 1 << k
-    for cue, rules in of.items():
-        automaton.add_word(cue, rules)
-    automaton.make_automaton()
-    return automaton
-
-
-def possible(text: str) -> int:
-    """The rules that may match a text: 1 PLACEHOLDER, 2 FILLER, 4 NOTICE or WEAK, added up."""
-    out = 0
-    for _, rules in _cues().iter(folded(text)):
-        out |= rules
-        if out == 7:
-            break
-    return out
-
-
-def empty_dump(text: str) -> bool:
-    """Whether a text is, or ends as, two lines or more of empty values."""
-    lines = [x.strip() for x in text.strip().split("\n")]
-    tail = 0
-    for line in reversed(lines):
-        if not (line and EMPTY_VALUE.fullmatch(line)):
-            break
-        tail += 1
-    return tail >= 2 or (tail == 1 and len(lines) <= 2 and not re.fullmatch(r"[-—]+", lines[-1]))
-
-
-def messages(text: str | None) -> list[tuple[str, bool]]:
-    """(masked message, certain) of the messages of a text that may be residue."""
-    if not text:
-        return []
-    out, rules = [], possible(text)
-    whole = (rules & 1 and PLACEHOLDER.search(text)) or (rules & 2 and FILLER.search(text))
-    if whole:
-        out.append((mask(whole.group()), True))
-    if empty_dump(text):
-        out.append(("#empty values#", True))
-    if not rules & 4:
-        return out
-    parts = [x.strip() for x in _MESSAGE_END.split(text) if x and x.strip()]
-    length = sum(map(len, parts))
-    behind = length
-    for part in parts:
-        behind -= len(part)
-        masked = mask(part)
-        if NOTICE.match(masked):
-            out.append((masked, behind <= 160 or length <= 300))
-        elif WEAK.search(masked):
-            out.append((masked, False))
-    return out
-
-
-def _worker(batches):
-    for batch in batches:
-        ids, sources, texts = (batch.column(c).to_pylist() for c in ("doc_id", "source", "text"))
-        out = [(i, s, m, c) for i, s, t in zip(ids, sources, texts) for m, c in messages(t)]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array([x[0] for x in out], batch.schema.field("doc_id").type), pa.array([x[1] for x in out], pa.string()), pa.array([x[2] for x in out], pa.string()), pa.array([x[3] for x in out], pa.bool_())],
-            names=["doc_id", "source", "message", "certain"],
-        )
-
-
-def candidate_messages(documents: DataFrame) -> DataFrame:
-    """doc_id, source, message (masked), certain."""
-    kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "source", "text").mapInArrow(_worker, f"doc_id {kind}, source string, message string, certain boolean")
-
-
-def message_groups(documents: DataFrame, min_docs: int = 3, min_sources: int = 2) -> DataFrame:
-    """message_hash, message, n_docs, n_sources, recurring of each masked message that the rules take for residue."""
-    return _groups(candidate_messages(documents), min_docs, min_sources)
-
-
-def _groups(found: DataFrame, min_docs: int, min_sources: int) -> DataFrame:
-    one = found.withColumn("message_hash", F.xxhash64("message")).groupBy("message_hash", "source", "doc_id").agg(F.first("message").alias("message"))
-    by = one.groupBy("message_hash", "source").agg(F.first("message").alias("message"), F.count("*").alias("n"))
-    out = by.groupBy("message_hash").agg(F.min("message").alias("message"), F.sum("n").alias("n_docs"), F.count("source").alias("n_sources"))
-    return out.withColumn("recurring", (F.col("n_docs") >= min_docs) & (F.col("n_sources") >= min_sources))
-
-
-def residue_documents(documents: DataFrame, min_docs: int = 3, min_sources: int = 2) -> DataFrame:
+    return F.trim(F.regexp_replace(F.regexp_replace(message, MASKED, "#"), r"\s+", " "))
+
+
+def _like(message: Column, rule: str) -> Column:
+    """rlike with letters of any case of any script; RE2 folds them without being told."""
+    return message.rlike(rule.replace("(?i)", "(?iu)"))
+
+
+def _is_placeholder(message: Column) -> Column:
+    """Rule by rule behind a search for its string: far cheaper than one large alternation."""
+    return functools.reduce(Column.__or__, [message.contains(held) & message.rlike(rule) for held, rule in PLACEHOLDERS])
+
+
+def syntax_kind(message: Column) -> Column:
+    """placeholder or filler, by what a masked message holds; else null."""
+    return F.when(_is_placeholder(message), F.lit("placeholder")).when(_like(message, FILLER), F.lit("filler"))
+
+
+def notice_kind(message: Column) -> Column:
+    """notice (a strict wording) or phrase (counts only where the message recurs); else null."""
+    return F.when(_like(message, STRICT), F.lit("notice")).when(_like(message, PHRASES), F.lit("phrase"))
+
+
+def messages(documents: DataFrame) -> DataFrame:
+    """doc_id, source, message (masked), final (it ends its text) of every different message of every text."""
+    texts = documents.where("text is not null and text <> ''").select("doc_id", "source", "text")
+    texts = texts.select("doc_id", "source", F.transform(parts_of(F.col("text")), mask).alias("all"), F.size(parts_of(F.right("text", F.lit(FINAL_CHARS)))).alias("tail"), (F.length("text") <= SHORT_CHARS).alias("short"))
+    last = F.slice("all", F.greatest(F.size("all") - F.col("tail"), F.lit(0)) + 1, F.col("tail"))
+    texts = texts.select("doc_id", "source", "short", last.alias("last"), F.explode(F.array_distinct("all")).alias("message")).where("message <> ''")
+    return texts.select("doc_id", "source", "message", (F.col("short") | F.array_contains("last", F.col("message"))).alias("final"))
+
+
+def _counted(rows: DataFrame) -> DataFrame:
+    """message_hash, n_docs, n_sources, n_final of every message. Counts are combined before each shuffle, which carries hashes only."""
+    by = rows.groupBy(F.xxhash64("message").alias("message_hash"), "source").agg(F.count("*").alias("n"), F.count_if("final").alias("f"))
+    return by.groupBy("message_hash").agg(F.sum("n").alias("n_docs"), F.count("*").alias("n_sources"), F.sum("f").alias("n_final"))
+
+
+def _recurring(rows: DataFrame, min_docs: int, min_sources: int) -> DataFrame:
+    return _counted(rows).where((F.col("n_docs") >= min_docs) & (F.col("n_sources") >= min_sources))
+
+
+def _ends_texts() -> Column:
+    return F.col("n_final") >= FINAL_SHARE * F.col("n_docs")
+
+
+def message_groups(documents: DataFrame, min_docs: int = MIN_DOCS, min_sources: int = MIN_SOURCES) -> DataFrame:
+    """message, kind, n_docs, n_sources, n_final, residue of every message that recurs over sources; kind is null where no rule classifies it, residue tells whether it is residue."""
+    rows = messages(documents)
+    wide = cut_lineage(_recurring(rows, min_docs, min_sources))  # few, against all messages
+    texts = rows.select(F.xxhash64("message").alias("message_hash"), "message").join(wide.select("message_hash"), "message_hash", "left_semi").groupBy("message_hash").agg(F.min("message").alias("message"))
+    out = wide.join(texts, "message_hash").withColumn("kind", F.coalesce(syntax_kind(F.col("message")), notice_kind(F.col("message"))))
+    residue = F.coalesce(F.col("kind").isin("placeholder", "filler") | (F.col("kind").isin("notice", "phrase") & _ends_texts()), F.lit(False))
+    return out.select("message", "kind", "n_docs", "n_sources", "n_final", residue.alias("residue"))
+
+
+def residue_messages(documents: DataFrame, min_docs: int = MIN_DOCS, min_sources: int = MIN_SOURCES) -> DataFrame:
+    """doc_id, message, kind, recurring of the messages that make a text residue.
+
+    What recurs is counted over all messages; it is compared with those that the rules can classify: any with placeholders or filler, and those that end a text."""
+    rows = messages(documents)
+    message = F.col("message")
+    wide = _recurring(rows, min_docs, min_sources).where(_ends_texts()).select("message_hash", F.lit(True).alias("recurring"))
+    known = rows.select("doc_id", "message", F.coalesce(syntax_kind(message), F.when(F.col("final"), notice_kind(message))).alias("kind")).where("kind is not null")
+    known = known.withColumn("message_hash", F.xxhash64("message")).join(wide, "message_hash", "left").fillna(False, ["recurring"])
+    return known.where("recurring or kind <> 'phrase'").select("doc_id", "message", "kind", "recurring")
+
+
+def residue_documents(documents: DataFrame, min_docs: int = MIN_DOCS, min_sources: int = MIN_SOURCES) -> DataFrame:
     """Distinct doc_id of the texts that are, hold or end as residue."""
-    found = cut_lineage(candidate_messages(documents))  # few rows, read twice below
-    wide = _groups(found, min_docs, min_sources).where("recurring").select("message_hash")
-    notice = F.col("message").rlike("(?i)[.。!！…]|#")  # a recurring heading isn't a message
-    recurring = found.where(~F.col("certain") & notice).withColumn("message_hash", F.xxhash64("message")).join(wide, "message_hash", "left_semi")
-    return found.where("certain").select("doc_id").unionByName(recurring.select("doc_id")).distinct()
+    dumps = documents.where(F.col("text").rlike(EMPTY_DUMP)).select("doc_id")
+    return residue_messages(documents, min_docs, min_sources).select("doc_id").unionByName(dumps).distinct()
 
 
 def clean_corpus(documents: DataFrame) -> DataFrame:
     """The documents without those of residue_documents."""
     return documents.join(residue_documents(documents), "doc_id", "left_anti")
+
+
+def _sql_text(rule: str) -> str:
+    return "'" + rule.replace("'", "''") + "'"
+
+
+def _sql_messages() -> str:
+    """messages, wide and kinds for DuckDB, as the beginning of a statement."""
+    cut = "string_split_regex(regexp_replace(regexp_replace({}, " + _sql_text(MESSAGE_ENDS[0]) + ", '\\1' || chr(10), 'g'), " + _sql_text(MESSAGE_ENDS[1]) + ", '\\1' || chr(10), 'g'), '\\n+')"
+    placeholder = " or ".join(f"regexp_matches(message, {_sql_text(rule)})" for _, rule in PLACEHOLDERS)
+    kind = f"when {placeholder} then 'placeholder' " + " ".join(f"when regexp_matches(message, {_sql_text(rule)}) then '{name}'" for name, rule in (("filler", FILLER), ("notice", STRICT), ("phrase", PHRASES)))
+    return f"""with whole as (select doc_id, source, length(text) <= {SHORT_CHARS} as short, list_transform({cut.format("text")}, lambda x: trim(regexp_replace(regexp_replace(x, {_sql_text(MASKED)}, '#', 'g'), '\\s+', ' ', 'g'), ' ')) as parts,
+len({cut.format(f"right(text, {FINAL_CHARS})")}) as tail from documents where text <> ''),
+each as (select doc_id, source, short, parts[greatest(len(parts) - tail, 0) + 1:] as ends, unnest(list_distinct(parts)) as message from whole),
+messages as (select doc_id, source, message, short or list_contains(ends, message) as final, case {kind} end as kind from each where message <> ''),
+wide as (select message, count(*) as n_docs, count(distinct coalesce(source, chr(0))) as n_sources, count_if(final) as n_final from messages group by message having count(*) >= {MIN_DOCS} and count(distinct coalesce(source, chr(0))) >= {MIN_SOURCES})"""
+
+
+def sql_message_groups() -> str:
+    return f"""{_sql_messages()} select distinct w.message, m.kind, cast(n_docs as bigint) as n_docs, cast(n_sources as bigint) as n_sources, cast(n_final as bigint) as n_final,
+coalesce(m.kind in ('placeholder', 'filler') or (m.kind in ('notice', 'phrase') and n_final >= {FINAL_SHARE} * n_docs), false) as residue from wide w join messages m using (message)"""
+
+
+def sql_residue_documents() -> str:
+    return f"""{_sql_messages()} select distinct doc_id from messages left join wide using (message)
+where kind in ('placeholder', 'filler') or (final and kind = 'notice') or (final and kind = 'phrase' and n_final >= {FINAL_SHARE} * n_docs)
+union select doc_id from documents where regexp_matches(text, {_sql_text(EMPTY_DUMP)})"""

@@ -141,38 +141,56 @@ def test_files_are_cut_by_byte_ranges(spark, tmp_path):
 # 10: residue
 
 
-def test_residue_rules():
-    certain = lambda t: any(c for _, c in residue.messages(t))
+def _kinds(spark, texts):
+    """The kinds of the residue messages of each text, alone in its table's source."""
+    df = spark.createDataFrame([(k, "s", t) for k, t in enumerate(texts)], "doc_id long, source string, text string")
+    out = [set() for _ in texts]
+    for r in residue.residue_messages(df).collect():
+        out[r.doc_id].add(r.kind)
+    return out
+
+
+def test_residue_rules(spark):
     residues = ["Dear {{client_name}}, hello", "合计：${金额}。", "<%= report.total %>", "{% if x %}a{% endif %}", "请联系<<经办人>>。", "%BRANCH_NAME% filed", "rate [INSERT FIGURE] on", "为【此处填写数值】。", "于XXXX年XX月", "TBD: add text", "Lorem ipsum dolor", "此处为示例文字，请替换为正式内容。", "404 页面不存在", "Access denied. Sign in.", "Real text. More text.\nLoading... please wait", "正在加载……若长时间无响应，请在浏览器中允许脚本运行。", "Title\nnull\nN/A\nNaN", "Traceback (most recent call last):\n  File \"a.py\", line 3\nKeyError: 'x'"]
-    assert [t for t in residues if not certain(t)] == []
-    prose = ["Access was denied to 37 late bidders.", "XX Corps, a uniform supplier, repaid its loan.", "The set {a, b, c} of weights stays.", "The item is to be determined by the board.", "12家投标人被拒绝访问系统。", "Error rates fell, and pages not found in the archive were scanned again.", "招聘了JavaScript工程师。", "", None, "See note 404 and 5,003.6 crowns.", "…"]
-    assert [t for t in prose if certain(t)] == []
+    df = spark.createDataFrame([(k, "s", t) for k, t in enumerate(residues)], "doc_id long, source string, text string")
+    assert sorted(set(range(len(residues))) - {r.doc_id for r in residue.residue_documents(df).collect()}) == []
+    prose = ["Access was denied to 37 late bidders.", "XX Corps, a uniform supplier, repaid its loan.", "The set {a, b, c} of weights stays.", "The item is to be determined by the board.", "12家投标人被拒绝访问系统。", "Error rates fell, and pages not found in the archive were scanned again.", "招聘了JavaScript工程师。", "", None, "See note 404 and 5,003.6 crowns.", "…", "growth of 5%与6%的差", "rose 2.5%，部分，3%左右", "_x_", "per cent (XX century)"]
+    df = spark.createDataFrame([(k, "s", t) for k, t in enumerate(prose)], "doc_id long, source string, text string")
+    assert residue.residue_documents(df).collect() == []
 
 
-def test_every_rule_alternative_passes_the_cues():
-    placeholders = ["{{ a }}", "{% a %}", "${a}", "<%= a %>", "<< a >>", "@@ab@@", "%AB_C%", "[YOUR NAME]", "[insert name]", "【请填写】", "______", "XX年XX月", "××年×月", "xX年x月", "XXXX", "rose by XX.X million", "as at XX/XX/20XX", "（待补）", "[待定]", "TBD:", "TODO :", "FIXME: text", "lorem ipsum"]
+def test_every_rule_alternative_matches(spark):
+    placeholders = ["{{ a }}", "{% a %}", "${a}", "<%= a %>", "<< a >>", "@@ab@@", "%AB_C%", "[YOUR NAME]", "[insert name]", "【请填写】", "______", "XX年XX月", "××年×月", "xX年x月", "XXXX", "rose by XX.X million", "as at XX/XX/20XX", "（待补）", "[待定]", "TBD:", "TODO :", "FIXME: text", "lorem ipsum", "%机构名称%", "__PERIOD_END__", "@@页脚@@"]
     fillers = ["Sample text goes here", "your text here", "text goes here", "replace this sentence", "Dummy TEXT", "此处为示例文本", "请替换为正式内容", "此处输入文字", "占位符", "LOREM İPSUM"]
-    notices = ["Page not\tfound", "# not found", "HTTP 502 Bad Gateway", "Access denied.", "You don't have permission", "Session expired", "Your session has timed out", "Internal error", "Service temporarily unavailable", "The report viewer is down", "An unexpected error occurred", "Something went wrong", "Please turn on scripts", "If nothing happens, allow cookies", "Enable JavaScript", "Enable JavaſcrIpt", "Your browser does not run", "JavaScript is disabled", "This page needs cookies", "Loading…", "Please wait while", "Request 17 was blocked", "Traceback (most recent call", "a.KeyError: x", 'File "a.py", line 3', "The filing you asked", "该页无法访问", "页面无法访问", "禁止访问", "对不起，未找到", "抱歉，您无法", "您无权访问", "没有权限", "登录已过期", "访问被拒绝", "系统繁忙", "服务器内部异常", "服务暂不可用", "请先开启脚本", "请在浏览器中允许脚本", "您的浏览器未启用", "正在加载…", "加载失败", "正在加载", "请稍候", "请稍等", "您访问的"]
-    weak = ["try again later", "go back to the", "may have been moved", "请稍后再试", "稍后重试", "刷新页面", "返回列表", "重新登录", "已被移除", "is not on this server", "did not answer in time", "down for maintenance", "is being updated", "敬请期待", "Coming soon", "under  construction"]
-    assert [t for t in placeholders if not (residue.PLACEHOLDER.search(t) and residue.possible(t) & 1 and residue.messages(t))] == []
-    assert [t for t in fillers if not (residue.FILLER.search(t) and residue.possible(t) & 2 and residue.messages(t))] == []
-    assert [t for t in notices if not (residue.NOTICE.match(residue.mask(t)) and residue.possible(t) & 4 and residue.messages(t))] == []
-    assert [t for t in weak if not (residue.WEAK.search(residue.mask(t)) and residue.possible(t) & 4 and residue.messages(t))] == []
+    notices = ["Page not\tfound", "# not found", "HTTP 502 Bad Gateway", "Access denied.", "You don't have permission", "Session expired", "Your session has timed out", "Internal error", "Service temporarily unavailable", "The report viewer is down", "An unexpected error occurred", "Something went wrong", "Please turn on scripts", "If nothing happens, allow cookies", "Enable JavaScript", "Enable JavaſcrIpt", "Your browser does not run", "JavaScript is disabled", "This page needs cookies", "Loading…", "Please wait while", "Request 17 was blocked", "Traceback (most recent call", "a.KeyError: x", 'File "a.py", line 3', "The filing you asked", "该页无法访问", "页面无法访问", "禁止访问", "对不起，未找到", "抱歉，您无法", "您无权访问", "没有权限", "登录已过期", "访问被拒绝", "系统繁忙", "服务器内部异常", "服务暂不可用", "请先开启脚本", "请在浏览器中允许脚本", "您的浏览器未启用", "正在加载…", "加载失败", "正在加载", "请稍候", "请稍等", "您访问的", "Error while loading report 7: upstream timed out."]
+    phrases = ["try again later", "go back to the", "may have been moved", "请稍后再试", "稍后重试", "刷新页面", "返回列表", "重新登录", "已被移除", "is not on this server", "did not answer in time", "down for maintenance", "is being updated", "敬请期待", "Coming soon", "under  construction"]
+    assert [t for t, k in zip(placeholders, _kinds(spark, placeholders)) if not k & {"placeholder", "filler"}] == []
+    assert [t for t, k in zip(fillers, _kinds(spark, fillers)) if k != {"filler"}] == []
+    assert [t for t, k in zip(notices, _kinds(spark, notices)) if k != {"notice"}] == []
+    again = [f"{t} {k}" for t in phrases for k in range(3)]
+    df = spark.createDataFrame([(k, f"s{k % 3}", t) for k, t in enumerate(again)], "doc_id long, source string, text string")
+    assert {r.doc_id for r in residue.residue_messages(df).where("recurring").collect()} == set(range(len(again)))
 
 
-def test_long_messages_are_read_whole():
+def test_long_messages_are_read_whole(spark):
     menu = " | Home | Loans | Contact" * 40
-    assert residue.messages("Page not found" + menu) == [("Page not found" + menu, True)]
-    assert residue.messages("Menu" + menu + " coming soon") == [("Menu" + menu + " coming soon", False)]
-    assert residue.messages("Page not found " + "a1" * 100_000) and residue.mask("x 12ab.c+d@e.f-g.org, y") == "x #, y"
+    assert _kinds(spark, ["Page not found" + menu, "Page not found " + "a1" * 100_000, "Menu" + menu + " {{name}}"]) == [{"notice"}, {"notice"}, {"placeholder"}]
+    masked = spark.createDataFrame([("x 12ab.c+d@e.f-g.org,\ty  2024-01-02",)], "t string").select(residue.mask(F.col("t"))).first()[0]
+    assert masked == "x #, y #"
 
 
-def test_weak_messages_need_recurrence(spark):
-    rows = [(k, f"s{k % 2}", ("Long prose about lending. " * 30) + f"Please come back, try again later {k}. " + "More prose about lending. " * 30) for k in range(5)]
-    df = spark.createDataFrame([*rows, (9, None, None), (10, "s", "")], "doc_id long, source string, text string").withColumn("message", F.lit("clash"))
+def test_phrases_need_recurrence_at_the_end_of_texts(spark):
+    prose = "Long prose about lending. " * 30
+    end = [(k, f"s{k % 2}", prose + f"Do come back and try again later {k}.") for k in range(5)]
+    inside = [(k, f"s{k % 2}", prose + f"The committee asked lenders to try again later {k}. " + prose) for k in range(10, 15)]
+    once = [(20, "s0", prose + "The bank was told to try again later on."), (9, None, None), (21, "s", "")]
+    df = spark.createDataFrame([*end, *inside, *once], "doc_id long, source string, text string").withColumn("message", F.lit("clash")).withColumn("kind", F.lit(1))
     assert {r.doc_id for r in residue.residue_documents(df).collect()} == {0, 1, 2, 3, 4}
-    assert residue.residue_documents(df.where("doc_id in (0, 9)")).count() == 0
-    assert residue.clean_corpus(df).count() == 2 and residue.residue_documents(df.limit(0)).count() == 0
+    groups = {r.message: r for r in residue.message_groups(df).collect()}
+    assert groups["Do come back and try again later #."].residue and not groups["The committee asked lenders to try again later #."].residue
+    assert groups["Long prose about lending."].kind is None and groups["Long prose about lending."].n_docs == 11
+    assert residue.residue_documents(df.where("doc_id in (9, 21)")).count() == 0
+    assert residue.clean_corpus(df).count() == 8 and residue.residue_documents(df.limit(0)).count() == 0
 
 
 # 3: markup
@@ -471,7 +489,6 @@ def test_very_long_texts_take_no_quadratic_time():
         scan_noise.repair(t, scan_noise.LineModel(), words)
         truncation.ending(t, "text")
         truncation.ending(t, "table")
-        residue.messages(t)
         markup.clean_text(t, markup.dialects(t))
         leakage.tokens(t)
     assert time.time() - began < 60
