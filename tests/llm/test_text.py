@@ -145,7 +145,7 @@ def _kinds(spark, texts):
     """The kinds of the residue messages of each text, alone in its table's source."""
     df = spark.createDataFrame([(k, "s", t) for k, t in enumerate(texts)], "doc_id long, source string, text string")
     out = [set() for _ in texts]
-    for r in residue.residue_messages(df).collect():
+    for r in residue.notices(df).select("doc_id", "kind").unionByName(residue.syntax_residue(df)).collect():
         out[r.doc_id].add(r.kind)
     return out
 
@@ -169,13 +169,13 @@ def test_every_rule_alternative_matches(spark):
     assert [t for t, k in zip(notices, _kinds(spark, notices)) if k != {"notice"}] == []
     again = [f"{t} {k}" for t in phrases for k in range(3)]
     df = spark.createDataFrame([(k, f"s{k % 3}", t) for k, t in enumerate(again)], "doc_id long, source string, text string")
-    assert {r.doc_id for r in residue.residue_messages(df).where("recurring").collect()} == set(range(len(again)))
+    assert {r.doc_id for r in residue.notices(df).where("recurring").collect()} == set(range(len(again)))
 
 
 def test_long_messages_are_read_whole(spark):
     menu = " | Home | Loans | Contact" * 40
     assert _kinds(spark, ["Page not found" + menu, "Page not found " + "a1" * 100_000, "Menu" + menu + " {{name}}"]) == [{"notice"}, {"notice"}, {"placeholder"}]
-    masked = spark.createDataFrame([("x 12ab.c+d@e.f-g.org,\ty  2024-01-02",)], "t string").select(residue.mask(F.col("t"))).first()[0]
+    masked = spark.createDataFrame([("x 12ab.c+d@e.f-g.org,\ty  2024-01-02",)], "t string").select(residue.masked(residue.lined(F.col("t")))).first()[0]
     assert masked == "x #, y #"
 
 
