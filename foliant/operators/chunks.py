@@ -207,17 +207,17 @@ def _table_chunks(rows: DataFrame, context: DataFrame, options: Options) -> Data
     lines = _context_lines(context, rows)
     t = rows.where(F.col("usable") & (F.col("block_type") == "table") & F.col("attached_to").isNull()).join(lines.withColumnRenamed("table_id", "block_id"), "block_id", "left")
     t = t.withColumn("lines", F.coalesce("lines", F.lit(""))).withColumn("ids", F.concat(F.array("block_id"), F.coalesce("context_ids", F.array().cast("array<string>")))).withColumn("grid", TB.parsed_grid("text"))
-    t = t.withColumn("logical", logical_id("table", F.col("ids")))
+    t = TB.with_headers(t).withColumn("logical", logical_id("table", F.col("ids")))
     body = F.filter(F.slice(F.col("grid.cells"), F.col("grid.header_rows") + 1, F.greatest(F.size("grid.cells"), F.lit(1))), lambda r: F.exists(r, lambda v: F.length(v) > 0))
     t = t.withColumn("body", F.when(F.col("grid.cells").isNotNull(), body))
     keep = ["document_id", "block_id", "page_no", "position", "block_type", "section", "is_provisional", "asset_id", "source_pages", "lines", "ids", "logical"]
     good, bad = t.where("size(body) > 0"), t.where("body is null or size(body) = 0")
-    heading = F.concat(F.lit("表头路径："), F.array_join("grid.headers", " | "))
+    heading = F.concat(F.lit("表头路径："), F.array_join("headers", " | "))
     labels = F.slice(F.array_distinct(F.filter(F.transform("body", lambda r: F.element_at(r, 1)), lambda v: F.length(v) > 0)), 1, 40)
     overview = _join_lines(F.col("lines"), F.lit("表格概览"), heading, F.concat(F.lit("数据行数："), F.size("body").cast("string")), F.when(F.size(labels) > 0, F.concat(F.lit("主要项目："), F.array_join(labels, "；"))).otherwise(""))
     summary = good.select(*_row("table_summary", overview, parent=F.col("logical"), ids=F.col("ids")))
     child = good.withColumn("parent", T.stable_id(F.col("document_id"), F.lit("table_summary"), F.col("logical"), F.lit("0"), F.array_join("ids", ","), T.strip(overview)))
-    rec = child.select(*keep, "parent", heading.alias("heading"), F.col("grid.headers").alias("headers"), F.posexplode("grid.cells").alias("r", "row"), F.col("grid.header_rows").alias("h"), F.col("grid.pages").alias("gp")).where("r >= h").where(F.exists("row", lambda v: F.length(v) > 0))
+    rec = child.select(*keep, "parent", heading.alias("heading"), "headers", F.posexplode("grid.cells").alias("r", "row"), F.col("grid.header_rows").alias("h"), F.col("grid.pages").alias("gp")).where("r >= h").where(F.exists("row", lambda v: F.length(v) > 0))
     rec = rec.withColumn("row_index", F.col("r") - F.col("h")).withColumn("line", TB.record_text(F.col("headers"), F.col("row"), F.element_at("gp", F.col("r") + 1)))
     order = Window.partitionBy("block_id").orderBy("row_index")  # the rows of one table
     rec = rec.withColumn("record", (F.row_number().over(order) - 1))

@@ -13,7 +13,7 @@ from foliant.functions import text as T
 from foliant.options import DEFAULT
 
 _STRINGS = ArrayType(StringType())
-GRID = StructType([StructField("cells", ArrayType(_STRINGS)), StructField("header_rows", IntegerType()), StructField("pages", ArrayType(IntegerType())), StructField("headers", _STRINGS)])
+GRID = StructType([StructField("cells", ArrayType(_STRINGS)), StructField("header_rows", IntegerType()), StructField("pages", ArrayType(IntegerType()))])
 
 
 def _grid(text: str | None):
@@ -21,14 +21,14 @@ def _grid(text: str | None):
         g = H.parse_grid(text or "")
     except H.TableError:
         return None
-    return {"cells": g.cells, "header_rows": g.header_rows, "pages": g.pages, "headers": H.header_paths(g)}
+    return {"cells": g.cells, "header_rows": g.header_rows, "pages": g.pages}
 
 
 @F.pandas_udf(GRID)
 def parsed_grid(texts: pd.Series) -> pd.DataFrame:
     """The grid of a table text; null where there is none."""
     rows = [_grid(t) for t in texts]
-    return pd.DataFrame([r or {"cells": None, "header_rows": None, "pages": None, "headers": None} for r in rows], columns=["cells", "header_rows", "pages", "headers"])
+    return pd.DataFrame([r or {"cells": None, "header_rows": None, "pages": None} for r in rows], columns=["cells", "header_rows", "pages"])
 
 
 def _shape(texts: pd.Series) -> pd.Series:
@@ -40,15 +40,38 @@ def _shape(texts: pd.Series) -> pd.Series:
 
 
 table_shape = F.pandas_udf(_shape, StringType())
-similarity = F.pandas_udf(lambda a, b: pd.Series([H.similar(x, y) if x and y else 0.0 for x, y in zip(a, b)], dtype=float), DoubleType())
+similarity = F.pandas_udf(lambda a, b: pd.Series([H.similar(x, y, True) if x and y else 0.0 for x, y in zip(a, b)], dtype=float), DoubleType())
 header_text = F.pandas_udf(lambda t: pd.Series([H.header_text(x or "") for x in t], dtype=object), StringType())
 column_count = F.pandas_udf(lambda t: pd.Series([H.column_count(x or "") for x in t]).astype("int64"), LongType())
 flat_text = F.pandas_udf(lambda t: pd.Series([H.flatten(x) for x in t], dtype=object), StringType())
 
 
+def column_names(cells: Column, header_rows: Column) -> Column:
+    """Per column, its header texts from top to bottom joined by ' / ', blank cells and direct repeats left out; columns without a name get their number."""
+    tops = F.slice(cells, 1, header_rows)
+
+    def name(c: Column) -> Column:
+        down = F.filter(F.transform(tops, lambda row: F.element_at(row, c)), lambda v: F.length(v) > 0)
+        return F.array_join(F.filter(down, lambda v, k: (k == 0) | (F.get(down, k - 1) != v)), " / ")
+
+    return F.transform(F.sequence(F.lit(1), F.size(F.element_at(cells, 1))), lambda c: F.coalesce(F.nullif(name(c), F.lit("")), F.concat(F.lit("第"), c.cast("string"), F.lit("列"))))
+
+
+def told_apart(names: Column) -> Column:
+    """Names that several columns have get the column's number behind them."""
+    return F.transform(names, lambda n, k: F.when(F.size(F.filter(names, lambda m: m == n)) > 1, F.concat(n, F.lit(" [第"), (k + 1).cast("string"), F.lit("列]"))).otherwise(n))
+
+
+def with_headers(df: DataFrame, grid: str = "grid") -> DataFrame:
+    """df with headers: the header path of every column of a parsed grid; null where there is no grid."""
+    named = df.withColumn("headers", F.when(F.col(f"{grid}.cells").isNotNull(), column_names(F.col(f"{grid}.cells"), F.col(f"{grid}.header_rows"))))
+    return named.withColumn("headers", told_apart(F.col("headers")))
+
+
 def with_grids(df: DataFrame, key: str, field: str) -> DataFrame:
     """key, cells, header_rows, pages, headers of the rows that hold a table."""
-    return df.select(key, parsed_grid(F.col(field)).alias("g")).where("g.cells is not null").select(key, "g.cells", "g.header_rows", "g.pages", "g.headers")
+    rows = df.select(key, parsed_grid(F.col(field)).alias("grid")).where("grid.cells is not null")
+    return with_headers(rows).select(key, "grid.cells", "grid.header_rows", "grid.pages", "headers")
 
 
 def table_cells(grids: DataFrame, key: str) -> DataFrame:

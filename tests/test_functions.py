@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions import htmltable as H
 from foliant.functions import text as T
-from foliant.operators import chunks, quality
+from foliant.operators import chunks, quality, tables
 
 
 def column(spark, values, expression):
@@ -61,14 +61,30 @@ def test_repeated_share_against_counter(spark):
     assert ["TXT-002" in f for f in column(spark, values, quality.text_flags)] == want
 
 
-def test_grid_spans_and_headers():
-    multi = H.parse_grid("<table><tr><td rowspan=2>机构</td><td colspan=2>2015</td></tr><tr><td>甲</td><td>乙</td></tr><tr><td>a</td><td>1</td><td>2</td></tr></table>")
-    assert multi.header_rows == 2 and H.header_paths(multi) == ["机构", "2015 / 甲", "2015 / 乙"]
-    plain = H.parse_grid("<table><tr><td>x1</td><td>y</td></tr><tr><td></td><td></td></tr><tr><td>p</td><td>q</td></tr></table>")
-    assert plain.header_rows == 0 and H.header_paths(plain) == ["第1列", "第2列"]
-    assert [r[0] for r in H.records(plain)] == [0, 2]
-    same = H.parse_grid("<table><thead><tr><th>n</th><th>n</th></tr></thead><tbody><tr><td>1</td></tr></tbody></table>")
-    assert H.header_paths(same) == ["n [第1列]", "n [第2列]"] and same.cells[1] == ["1", ""]
+def named(spark, *texts):
+    """(cells, header rows, header paths) of table texts."""
+    df = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "k int, t string")
+    return [(r.cells, r.header_rows, r.headers) for r in tables.with_grids(df, "k", "t").orderBy("k").collect()]
+
+
+def test_grid_spans_and_headers(spark):
+    multi, plain, same = named(
+        spark,
+        "<table><tr><td rowspan=2>机构</td><td colspan=2>2015</td></tr><tr><td>甲</td><td>乙</td></tr><tr><td>a</td><td>1</td><td>2</td></tr></table>",
+        "<table><tr><td>x1</td><td>y</td></tr><tr><td></td><td></td></tr><tr><td>p</td><td>q</td></tr></table>",
+        "<table><thead><tr><th>n</th><th>n</th></tr></thead><tbody><tr><td>1</td></tr></tbody></table>",
+    )
+    assert multi[1:] == (2, ["机构", "2015 / 甲", "2015 / 乙"])
+    assert plain[1:] == (0, ["第1列", "第2列"])
+    assert same[2] == ["n [第1列]", "n [第2列]"] and same[0][1] == ["1", ""]
+
+
+def test_grid_odd_spans():
+    grid = lambda t: H.parse_grid(t).cells
+    assert grid("<table><tr><td rowspan=9>a</td><td>b</td></tr><tr><td>c</td></tr></table>") == [["a", "b"], ["a", "c"]]
+    assert grid("<table><tr><td>a</td><td>b</td><td rowspan=2>c</td></tr><tr><td>d</td></tr></table>") == [["a", "b", "c"], ["d", "", ""]]  # the row doesn't reach the span
+    assert grid("<table><tr><td>a</td><td rowspan=2>b</td></tr><tr><td colspan=2>c</td><td>d</td></tr></table>") == [["a", "b", ""], ["c", "c", "d"]]
+    assert len(grid("<table><tr><td colspan=1000000000>a</td></tr></table>")[0]) == H.WIDEST_SPAN
 
 
 def test_grid_errors():
@@ -96,8 +112,11 @@ def test_merge_and_ranges():
     assert merged.pages[merged.header_rows :][-1] == 5 and sum(row == ["名称", "金额"] for row in merged.cells) <= 2
     assert H.row_ranges(50, 780, 500, [50, 200, 350, 500, 650, 780]) == [(50, 500), (350, 780)]
     assert H.row_ranges(0, 100, 50, [0, 100]) == []
+    for room in (60, 110, 170):
+        found = H.row_ranges(0, 600, room, list(range(50, 600, 50)))
+        assert not found or (found[0][0] == 0 and found[-1][1] == 600 and all(b - a <= room + 12 for a, b in found) and all(c <= b for (_, b), (c, _) in zip(found, found[1:])))
     tiles = H.parse_grid(H.merge_tiles([one, "<table><tr><th>名称</th><th>金额</th></tr><tr><td>a</td><td>1</td></tr><tr><td>c</td><td>3</td></tr></table>"]))
-    assert [r[2] for r in H.records(tiles)] == [["a", "1"], ["c", "3"]]
+    assert tiles.cells[tiles.header_rows :] == [["a", "1"], ["c", "3"]]
 
 
 def test_units_and_windows():
