@@ -151,10 +151,16 @@ def test_streams_follow_files(spark, tmp_path):
     assert {(r.document_id, r.block_id) for r in spark.read.parquet(store).collect()} == {("d", "b"), ("e", "x")}
 
 
-def test_crops():
-    modes = [images.crop_box(b, 1000, 1000, 1871, 2521)[0] for b in ((844, 143, 870, 373), (870, 373, 844, 143), (1200, 100, 1300, 200), None, (1, 2, float("nan"), 3))]
-    assert modes == ["bbox_crop", "bbox_crop", "full_page_fallback", "full_page_no_bbox", "full_page_fallback"]
-    assert images.crop_box((1, 1, 2, 2), None, 1000, 10, 10)[0] == "full_page_fallback"
+def test_crops(spark):
+    rows = [((844, 143, 870, 373), 1000.0), ((870, 373, 844, 143), 1000.0), ((1200, 100, 1300, 200), 1000.0), (None, 1000.0), ((1.0, 2.0, float("nan"), 3.0), 1000.0), ((1.0, 1.0, 2.0, 2.0), None), ((1.0, None, 2.0, 2.0), 1000.0)]
+    rows = [(k, None if b is None else tuple(None if v is None else float(v) for v in b), size, 1000.0, 1871, 2521) for k, (b, size) in enumerate(rows)]
+    df = spark.createDataFrame(rows, "k int, bbox struct<x0:double,y0:double,x1:double,y1:double>, source_width double, source_height double, width int, height int")
+    got = images.crops(df).orderBy("k").collect()
+    assert [r.crop_mode for r in got] == ["bbox_crop", "bbox_crop", "full_page_fallback", "full_page_no_bbox", "full_page_fallback", "full_page_fallback", "full_page_fallback"]
+    assert tuple(got[0].crop) == tuple(got[1].crop) == (1567, 348, 1640, 953) and tuple(got[3].crop) == (0, 0, 1871, 2521)
+
+
+def test_regions():
     assert images.region([0, 0, 1, 0.5], 100, 80) == (0, 0, 100, 40) and images.region([0, 0, 5, 5], 100, 80) is None and images.region("x", 9, 9) is None
 
 
