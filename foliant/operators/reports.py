@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import re
 from difflib import SequenceMatcher
 
@@ -10,11 +11,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, StringType, StructField, StructType
 
-from foliant.functions import geometry as G
 from foliant.functions import text as T
-from foliant.operators.audit import canonical_text, normal, normal_text
+from foliant.operators.audit import NOT_SEMANTIC, canonical_text, covered_lines, much_alike, normal, normal_text, page_lines
 from foliant.operators.tables import flat_text
 from foliant.options import FOOTNOTE_MARKS, TEMPLATE_TYPES
+from foliant.session import cut_lineage
 
 
 def _changes(raw: str | None, resolved: str | None) -> dict:
@@ -63,18 +64,30 @@ def change_counts(changed: DataFrame) -> DataFrame:
 
 
 def line_coverage(blocks: DataFrame, lines: DataFrame) -> DataFrame:
-    """One row of counters per document: lines of 4 characters and more, those on page furniture, and of the rest how many a semantic block covers and how many its raw and its resolved text matches.
-
-    A line is matched if one covering block contains it or all of them together do, in reading order."""
-    keyed = lines.withColumn("flat", normal_text("text")).where(F.length("flat") >= 4)
-    b = blocks.where(F.col("bbox").isNotNull()).select("document_id", "page_no", "position", "block_type", F.col("bbox").alias("b"), normal_text(flat_text("raw_content")).alias("raw"), normal_text(flat_text("resolved_content")).alias("resolved"))
-    over = keyed.join(b, ["document_id", "page_no"]).where(G.covers(F.col("b"), F.col("bbox")))
-    semantic = ~F.col("block_type").isin(*TEMPLATE_TYPES, "image", "chart")
-    text = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.when(semantic, F.struct("position", F.coalesce(c, F.lit("")).alias("v"))))), lambda x: x["v"]), "")
-    one = over.groupBy("document_id", "page_no", "line_no", "flat").agg(F.max(F.col("block_type").isin(*TEMPLATE_TYPES)).alias("furniture"), F.max(semantic).alias("covered"), text("raw").alias("raw"), text("resolved").alias("resolved"))  # the blocks over one line
-    every = keyed.select("document_id", "page_no", "line_no").join(one, ["document_id", "page_no", "line_no"], "left")
-    content = ~F.coalesce("furniture", F.lit(False))
+    """One row of counters per document: lines of 4 characters and more, those that page furniture covers, and of the rest how many some semantic block covers and how many the raw and the resolved texts match.
+
+    A line is matched if a covering block contains it or is much like it, or all covering blocks together contain it. Blocks are compared
+    with their own lines; only for lines that several blocks cover and none matches do texts travel with the pair."""
+    keyed = page_lines(lines).where(F.length("norm") >= 4).select("document_id", "page_no", "line_no", "bbox", F.col("norm").alias("text"))
+    content = blocks.where(F.col("bbox").isNotNull())
+    over = covered_lines(content, keyed)
+    own = over.groupBy("block_id", "document_id", "page_no").agg(F.collect_list(F.struct("line_no", "text")).alias("l"))  # the lines of one block
+    flat = lambda c: normal_text(flat_text(c))
+    own = own.join(content.select("block_id", "position", F.col("block_type").isin(*TEMPLATE_TYPES).alias("furniture"), (~F.col("block_type").isin(*NOT_SEMANTIC)).alias("semantic"), flat("raw_content").alias("raw"), flat("resolved_content").alias("resolved")), "block_id")
+    judged = F.transform("l", lambda x: F.struct(x["line_no"].alias("line_no"), x["text"].alias("text"), (F.col("semantic") & much_alike(x["text"], F.col("raw"))).alias("in_raw"), (F.col("semantic") & much_alike(x["text"], F.col("resolved"))).alias("in_resolved")))
+    pairs = cut_lineage(own.select("document_id", "page_no", "block_id", "position", "furniture", "semantic", F.explode(judged).alias("j")).select("document_id", "page_no", "block_id", "position", "furniture", "semantic", "j.*"))
+    key = ["document_id", "page_no", "line_no"]
+    one = pairs.groupBy(*key).agg(F.max("furniture").alias("furniture"), F.max("semantic").alias("covered"), F.max("in_raw").alias("in_raw"), F.max("in_resolved").alias("in_resolved"), F.count_if("semantic").alias("n"))
+    open_ = one.where("n > 1 and not (in_raw and in_resolved)").select(*key)
+    texts = content.select("block_id", flat("raw_content").alias("raw"), flat("resolved_content").alias("resolved"))
+    several = pairs.where("semantic").join(open_, key, "left_semi").join(texts, "block_id")
+    whole = lambda c: F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("position", "block_id", c))), lambda x: x[c]), "")
+    joint = several.groupBy(*key).agg(F.first("text").alias("text"), whole("raw").alias("raw"), whole("resolved").alias("resolved"))  # the blocks over one line
+    joint = joint.select(*key, F.col("raw").contains(F.col("text")).alias("joint_raw"), F.col("resolved").contains(F.col("text")).alias("joint_resolved"))
+    every = keyed.select(*key).join(one, key, "left").join(joint, key, "left")
+    yes = lambda *names: F.coalesce(functools.reduce(Column.__or__, [F.coalesce(n, F.lit(False)) for n in names]), F.lit(False))
+    body = ~yes("furniture")
     return every.groupBy("document_id").agg(
-        F.count("*").alias("n_lines"), F.count_if(~content).alias("n_furniture"), F.count_if(content & F.coalesce("covered", F.lit(False))).alias("n_covered"),
-        F.count_if(content & F.coalesce(F.col("raw").contains(F.col("flat")), F.lit(False))).alias("n_raw_matched"), F.count_if(content & F.coalesce(F.col("resolved").contains(F.col("flat")), F.lit(False))).alias("n_resolved_matched"),
+        F.count("*").alias("n_lines"), F.count_if(~body).alias("n_furniture"), F.count_if(body & yes("covered")).alias("n_covered"),
+        F.count_if(body & yes("in_raw", "joint_raw")).alias("n_raw_matched"), F.count_if(body & yes("in_resolved", "joint_resolved")).alias("n_resolved_matched"),
     )

@@ -47,16 +47,32 @@ def _readings(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _text_lines(spark: SparkSession, d: str) -> DataFrame:
-    """The lines that have a place of their own on their page (so that both engines keep the same)."""
-    lines = _blocks(spark, d).where("bbox is not null and resolved_content <> '' and reading_order is not null and block_type in ('text', 'title', 'footnote', 'header', 'footer', 'page_number')")
-    w = Window.partitionBy("document_id", "page_no", "reading_order")
-    one = lines.withColumn("n", F.count("*").over(w)).where("n = 1")
-    return one.select("document_id", "page_no", F.col("reading_order").alias("line_no"), F.col("resolved_content").alias("text"), "bbox")
+    """A text layer's lines: those of the resolved texts, each with its share of the block's box, numbered on the page."""
+    texts = _blocks(spark, d).where("bbox is not null and resolved_content <> '' and block_type in ('text', 'title', 'footnote', 'header', 'footer', 'page_number')")
+    rows = texts.withColumn("parts", F.split("resolved_content", "\n", -1)).select("document_id", "page_no", "position", "block_id", "bbox", F.size("parts").alias("n"), F.posexplode("parts").alias("k", "text")).where(~T.blank(F.col("text")))
+    line_no = F.row_number().over(Window.partitionBy("document_id", "page_no").orderBy("position", "block_id", "k")) - 1
+    edge = lambda k: F.col("bbox.y0") + (F.col("bbox.y1") - F.col("bbox.y0")) * k / F.col("n")
+    return rows.select("document_id", "page_no", line_no.cast("int").alias("line_no"), "text", F.struct(F.col("bbox.x0"), edge(F.col("k")).alias("y0"), F.col("bbox.x1"), edge(F.col("k") + 1).alias("y1")).alias("bbox"))
 
 
-_TEXT_LINES = f"""(select document_id, page_no, reading_order as line_no, resolved_content as text, bbox from {Q.BLOCKS}
-    where bbox is not null and resolved_content <> '' and reading_order is not null and block_type in ('text', 'title', 'footnote', 'header', 'footer', 'page_number')
-    qualify count(*) over (partition by document_id, page_no, reading_order) = 1)"""
+_TEXT_LINES = f"""(select document_id, page_no, cast(row_number() over (partition by document_id, page_no order by position, block_id, k) - 1 as integer) as line_no, text,
+    {{'x0': b.x0, 'y0': b.y0 + (b.y1 - b.y0) * k / n, 'x1': b.x1, 'y1': b.y0 + (b.y1 - b.y0) * (k + 1) / n}} as bbox
+    from (select document_id, page_no, position, block_id, bbox as b, len(string_split(resolved_content, chr(10))) as n, unnest(range(len(string_split(resolved_content, chr(10))))) as k, unnest(string_split(resolved_content, chr(10))) as text
+      from {Q.BLOCKS} where bbox is not null and resolved_content <> '' and block_type in ('text', 'title', 'footnote', 'header', 'footer', 'page_number')) where not {Q.blank('text')})"""
+_LAYER = f"layer as (select *, {Q.normal('text')} as norm from {_TEXT_LINES})"
+_RAW = f"(select * replace (coalesce(raw_content, '') as content) from {Q.BLOCKS})"
+_DELIVERED = f"(select * replace (coalesce(raw_content, '') as content) from {Q.BLOCKS} where coalesce(source, '') <> 'pdf_text_layer')"
+
+
+def _delivered_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """What the parser delivered, without the blocks that a text layer added since: a completeness audit has to find these again."""
+    return _raw_blocks(spark, d).where(F.coalesce("source", F.lit("")) != "pdf_text_layer")
+
+
+def _raw_blocks(spark: SparkSession, d: str) -> DataFrame:
+    """Blocks as the parser delivered them, for comparison with the text layer."""
+    return _blocks(spark, d).withColumn("content", F.coalesce("raw_content", F.lit("")))
+
 
 # retrieval
 
@@ -368,40 +384,92 @@ def nearest_table(spark: SparkSession, d: str) -> DataFrame:
     return audit.nearest_table(_blocks(spark, d), _text_lines(spark, d))
 
 
-@_query(f"""with e as (select document_id, page_no, {Q.template_key('text')} as key from {_TEXT_LINES} where bbox.y1 <= 110 or bbox.y0 >= 890), n as (select document_id, greatest(3, floor(count(distinct page_no) * 0.35)) as needed from {_TEXT_LINES} group by document_id)
-select document_id, key, count(distinct page_no) as n_pages from e join n using (document_id) where key <> '' group by document_id, key, needed having count(distinct page_no) >= needed""")
+_MARGINS = f"""{_LAYER}, edge as (select * from layer where (bbox.y1 <= 110 or bbox.y0 >= 890) and norm <> ''), needed as (select document_id, greatest(3, floor(count(distinct page_no) * 0.35)) as needed from page_layout group by document_id),
+margins as (select document_id, norm, count(distinct page_no) as n_pages from edge join needed using (document_id) group by document_id, norm, needed having count(distinct page_no) >= needed)"""
+
+
+@_query(f"with {_MARGINS} select * from margins")
 def repeated_margin(spark: SparkSession, d: str) -> DataFrame:
-    return audit.repeated_margins(_text_lines(spark, d))
+    return audit.repeated_margins(_text_lines(spark, d), _pages(spark, d))
+
 
+_RELIABILITY = f"""tx as (select block_id, document_id, page_no, bbox, {Q.normal(Q.flat('content'))} as flat from {_DELIVERED} where block_type not in ('image', 'chart', 'header', 'footer', 'page_number') and not {Q.blank('content')} and bbox is not null),
+w as (select document_id, cast(sum(len(list_filter(regexp_split_to_array(trim(text), '\\s+'), lambda x: length(x) > 0))) as bigint) as n_words from layer group by document_id),
+m as (select l.document_id, l.page_no, l.line_no, bool_or({Q.alike('norm', 'flat')}) as matched from tx join layer l on tx.document_id = l.document_id and tx.page_no = l.page_no where length(norm) >= 4 and {Q.covers('tx.bbox', 'l.bbox')} group by all),
+a as (select document_id, count(*) as n_comparable, count(*) filter (matched) as n_matched from m group by document_id),
+reliability as (select document_id, n_words, cast(0 as bigint) as n_invalid, coalesce(n_comparable, 0) as n_comparable, coalesce(n_matched, 0) as n_matched, round(coalesce(n_matched / n_comparable, 0), 6) as agreement,
+  n_words >= 20 and coalesce(n_comparable, 0) >= 20 and coalesce(n_matched / n_comparable, 0) >= 0.72 as reliable from w left join a using (document_id))"""
 
-@_query(f"""with tx as (select block_id, document_id, page_no, bbox, {Q.compact('lower(content)')} as flat from {Q.BLOCKS} where block_type in ('text', 'title', 'footnote') and not {Q.blank('content')} and bbox is not null),
-w as (select document_id, sum(len(list_filter(regexp_split_to_array(trim(text), '\\s+'), lambda x: length(x) > 0))) as n_words from {_TEXT_LINES} group by document_id),
-l as (select *, {Q.compact('lower(text)')} as part from {_TEXT_LINES}),
-m as (select l.document_id, l.page_no, l.line_no, bool_or(contains(flat, part)) as matched from tx join l on tx.document_id = l.document_id and tx.page_no = l.page_no where length(part) >= 2 and {Q.covers('tx.bbox', 'l.bbox')} group by all),
-a as (select document_id, count(*) as n_comparable, count(*) filter (matched) as n_matched from m group by document_id)
-select document_id, cast(n_words as bigint) as n_words, n_comparable, n_matched, round(n_matched / n_comparable, 4) as agreement, n_words >= 20 and n_comparable >= 20 and round(n_matched / n_comparable, 4) >= 0.72 as reliable from a join w using (document_id)""")
+
+@_query(f"with {_LAYER}, {_RELIABILITY} select * from reliability")
 def text_layer_reliability(spark: SparkSession, d: str) -> DataFrame:
-    return audit.layer_reliability(_blocks(spark, d), _text_lines(spark, d))
+    return audit.layer_reliability(_delivered_blocks(spark, d), _text_lines(spark, d))
+
+
+def _references(spark: SparkSession, d: str) -> DataFrame:
+    return audit.block_references(audit.covered_lines(_blocks(spark, d), _text_lines(spark, d)))
 
 
 @_query()
 def text_layer_findings(spark: SparkSession, d: str) -> DataFrame:
-    b = _blocks(spark, d).withColumn("content", F.col("raw_content"))
-    return audit.text_findings(b, audit.block_references(audit.covered_lines(b, _text_lines(spark, d))))
+    return audit.text_findings(_raw_blocks(spark, d), _references(spark, d))
 
 
-@_query()
+_SURPLUS = "array_to_string(flatten(list_transform(list_sort(list_distinct({a})), lambda v: list_transform(range(greatest(0, len(list_filter({a}, lambda x: x = v)) - len(list_filter({b}, lambda x: x = v)))), lambda i: v))), ' ')"
+
+
+@_query(f"""with r as (select block_id, max_by(html, (created_at, result_id)) as html from (select distinct on (result_id) * from vlm_results order by result_id) where length(html) > 0 group by block_id),
+p as (select block_id, {Q.numbers(Q.plain('content'))} as ours, {Q.numbers(Q.plain(Q.flat('html')))} as theirs from {_RAW} join r using (block_id) where block_type = 'table' and not {Q.blank('content')} and length({Q.normal(Q.flat('content'))}) > 0 and length({Q.normal(Q.flat('html'))}) > 0),
+s as (select block_id, {_SURPLUS.format(a='theirs', b='ours')} as missing, {_SURPLUS.format(a='ours', b='theirs')} as added from p where len(ours) > 0 and len(theirs) > 0 and least(len(ours), len(theirs)) >= 0.85 * greatest(len(ours), len(theirs)))
+select * from s where len(list_filter(string_split(missing || ' ' || added, ' '), lambda v: regexp_matches(v, '[.%]') or length(regexp_replace(v, '^[-+0]+', '')) >= 2)) > 0""")
 def table_layer_findings(spark: SparkSession, d: str) -> DataFrame:
-    b = _blocks(spark, d)
-    refs = _readings(spark, d).where("length(html) > 0").select("block_id", tables.flat_text("html").alias("reference")).dropDuplicates(["block_id"])
-    return audit.table_findings(b, refs)
+    """The second readings of tables stand in for a text layer, which has no lines of tables."""
+    read = audit.latest_reading(_readings(spark, d).where("length(html) > 0"))
+    return audit.table_findings(_raw_blocks(spark, d), read.select("block_id", tables.flat_text("html").alias("reference")))
 
 
-@_query()
+_UNCOVERED = f"""{_MARGINS}, blk as (select * from {_DELIVERED}), whole as (select document_id, page_no, string_agg({Q.normal(Q.flat('content'))}, '' order by position, block_id) as whole from blk where not {Q.blank('content')} group by all),
+todo as (select l.* from layer l left join whole using (document_id, page_no) where length(norm) >= 2 and (document_id, norm) not in (select document_id, norm from margins) and not contains(coalesce(whole, ''), norm)),
+seen as (select l.document_id, l.page_no, l.line_no, bool_or(block_type in ('image', 'chart')) as visual, bool_or(block_type not in ('image', 'chart', 'header', 'footer', 'page_number') and not {Q.blank('content')}) as semantic,
+  arg_min(case when block_type not in ('image', 'chart', 'header', 'footer', 'page_number') and {Q.blank('content')} then block_id end, case when block_type not in ('image', 'chart', 'header', 'footer', 'page_number') and {Q.blank('content')} then (-{Q.share('l.bbox', 'b.bbox')}, position, block_id) end) as target_id
+  from todo l join blk b on b.document_id = l.document_id and b.page_no = l.page_no where b.bbox is not null and {Q.covers('b.bbox', 'l.bbox')} group by all),
+uncovered as (select t.*, case when visual then 'visual_covered' when semantic then 'semantic_covered' when target_id is not null then 'fill' else 'gap' end as outcome, target_id from todo t left join seen using (document_id, page_no, line_no))"""
+
+
+def _uncovered(spark: SparkSession, d: str) -> DataFrame:
+    lines = audit.page_lines(_text_lines(spark, d))
+    return audit.uncovered_lines(_delivered_blocks(spark, d), lines, audit.repeated_margins(lines, _pages(spark, d)))
+
+
+@_query(f"with {_UNCOVERED} select document_id, page_no, line_no, text, outcome, case when outcome = 'fill' then target_id end as target_id from uncovered")
 def uncovered_lines(spark: SparkSession, d: str) -> DataFrame:
-    lines = _text_lines(spark, d)
-    b = _blocks(spark, d).withColumn("content", F.col("raw_content"))
-    return audit.uncovered_lines(b, lines, audit.repeated_margins(lines))
+    return _uncovered(spark, d).select("document_id", "page_no", "line_no", "text", "outcome", "target_id")
+
+
+@_query(f"""with {_UNCOVERED}, {_RELIABILITY} select target_id as block_id, case when coalesce(reliable, false) then string_agg(text, chr(10) order by line_no) else '' end as resolved_content, case when coalesce(reliable, false) then 'repaired' else 'review' end as status
+from uncovered left join reliability using (document_id) where outcome = 'fill' group by target_id, reliable""")
+def filled_blocks(spark: SparkSession, d: str) -> DataFrame:
+    reliability = audit.layer_reliability(_delivered_blocks(spark, d), _text_lines(spark, d))
+    return audit.filled_blocks(_uncovered(spark, d), reliability).select("block_id", "resolved_content", "status")
+
+
+@_query(f"""with {_UNCOVERED}, {_RELIABILITY}, tb as (select document_id, page_no, block_id as table_id, bbox as t, position from blk where block_type = 'table' and bbox is not null),
+near as (select u.document_id, u.page_no, u.line_no, table_id, t.y0 as top from uncovered u join tb on tb.document_id = u.document_id and tb.page_no = u.page_no where outcome = 'gap' and least(t.x1, u.bbox.x1) - greatest(t.x0, u.bbox.x0) > 0
+  and greatest(0, t.y0 - u.bbox.y1, u.bbox.y0 - t.y1) <= 90 qualify row_number() over (partition by u.document_id, u.page_no, u.line_no order by greatest(0, t.y0 - u.bbox.y1, u.bbox.y0 - t.y1), position, table_id) = 1),
+size as (select document_id, page_no, count(*) as n from blk group by all)
+select document_id, page_no, case when regexp_matches(text, {Q.lit(audit.SOURCE_NOTE)}) then 'footnote' when regexp_matches(text, {Q.lit(audit.TITLE_WORDS)}) or coalesce(bbox.y1 <= top + 15 and length(norm) <= 40 and greatest(0, bbox.x1 - bbox.x0) <= 650, false) then 'title' else 'text' end as block_type,
+case when coalesce(reliable, false) then {Q.strip('text')} else '' end as resolved_content, case when table_id is null then 'TXT-004' else 'TXT-004,TAB-008' end as issue_flags, cast(coalesce(n, 0) as integer) as reading_order, case when coalesce(reliable, false) then 'repaired' else 'review' end as status, table_id as associated_table_id
+from uncovered u left join near using (document_id, page_no, line_no) left join size using (document_id, page_no) left join reliability using (document_id) where outcome = 'gap'""")
+def gap_blocks(spark: SparkSession, d: str) -> DataFrame:
+    b = _delivered_blocks(spark, d)
+    made = audit.gap_blocks(b, _uncovered(spark, d), audit.layer_reliability(b, _text_lines(spark, d)))
+    return made.select("document_id", "page_no", "block_type", "resolved_content", F.array_join("issue_flags", ",").alias("issue_flags"), "reading_order", "status", "associated_table_id")
+
+
+@_query()
+def completed_blocks(spark: SparkSession, d: str) -> DataFrame:
+    done = audit.completed_blocks(_delivered_blocks(spark, d), _text_lines(spark, d), _pages(spark, d))
+    return done.select("block_id", "document_id", "page_no", "block_type", "resolved_content", "source", "status", F.array_join("issue_flags", ",").alias("issue_flags"))
 
 
 @_query("""select block_id, max_by(result_id, (created_at, result_id)) as result_id, epoch_us(max(created_at)) as created_us from vlm_results group by block_id""")
@@ -411,14 +479,23 @@ def latest_reading(spark: SparkSession, d: str) -> DataFrame:
 
 @_query()
 def arbitration(spark: SparkSession, d: str) -> DataFrame:
-    b = _blocks(spark, d).where("block_type in ('text', 'title', 'footnote', 'formula')")
-    refs = audit.block_references(audit.covered_lines(b, _text_lines(spark, d)))
-    return audit.arbitrate(b, audit.latest_reading(_readings(spark, d)), refs).select("block_id", "outcome", "new_status", F.sha2("new_content", 256).alias("content_hash"))
+    b = _raw_blocks(spark, d)
+    differing = audit.text_findings(b, _references(spark, d)).select("block_id")
+    refs = _references(spark, d).join(differing, "block_id", "left_semi")
+    out = audit.arbitrate(b.where("block_type <> 'table'"), audit.latest_reading(_readings(spark, d)), refs)
+    return out.select("block_id", "outcome", "new_status", "new_source", "eligible", "flag", F.sha2("new_content", 256).alias("content_hash"))
 
 
 @_query()
 def table_crosscheck(spark: SparkSession, d: str) -> DataFrame:
-    return audit.crosscheck_tables(_blocks(spark, d), audit.latest_reading(_readings(spark, d)))
+    got = audit.crosscheck_tables(_blocks(spark, d), audit.latest_reading(_readings(spark, d)))
+    return got.select("block_id", "comparable", "agreed", "n_conflicts", "n_format_differences", "new_status", "tag", F.array_join("new_flags", ",").alias("new_flags"))
+
+
+@_query()
+def recovered_tables(spark: SparkSession, d: str) -> DataFrame:
+    got = audit.recovered_tables(_blocks(spark, d), _readings(spark, d))
+    return got.select("block_id", "agreed", "new_status", F.array_join("new_flags", ",").alias("new_flags"))
 
 
 @_query(f"""with r as (select distinct on (result_id) * from vlm_results order by result_id), s as (select block_id, 'reading:' || coalesce(task, '') as source, coalesce(nullif(text, ''), nullif(html, ''), nullif(latex, ''), '') as content, created_at as t_at, result_id as tie from r where block_id in (select block_id from blocks)),

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import unicodedata
+
 from foliant.functions.text import FULL_WIDTH, HALF_WIDTH
 
 SPACE = r"[\s\p{Z}\x0B\x1C-\x1F\x{85}]"
@@ -84,8 +87,52 @@ def level(x: str) -> str:
       when regexp_matches({t}, '^[（(][一二三四五六七八九十\\d]+[)）]') then 3 else 1 end"""
 
 
+def share(a: str, b: str) -> str:
+    """The intersection as a share of a's area."""
+    return f"(greatest(0, least({a}.x1, {b}.x1) - greatest({a}.x0, {b}.x0)) * greatest(0, least({a}.y1, {b}.y1) - greatest({a}.y0, {b}.y0)) / greatest(1e-9, greatest(0, {a}.x1 - {a}.x0) * greatest(0, {a}.y1 - {a}.y0)))"
+
+
 def covers(b: str, l: str) -> str:  # noqa: E741
     w = f"greatest(0, least({b}.x1, {l}.x1) - greatest({b}.x0, {l}.x0)) * greatest(0, least({b}.y1, {l}.y1) - greatest({b}.y0, {l}.y0))"
     area = f"greatest(1e-9, greatest(0, {l}.x1 - {l}.x0) * greatest(0, {l}.y1 - {l}.y0))"
     inside = f"(({l}.x0 + {l}.x1) / 2 between {b}.x0 and {b}.x1 and ({l}.y0 + {l}.y1) / 2 between {b}.y0 and {b}.y1)"
     return f"({inside} or {w} / {area} >= 0.35)"
+
+
+# Compatibility forms that stand for one character, by rule; and the usual ones that stand for several.
+_ONE = [c for c in map(chr, range(sys.maxunicode + 1)) if len(unicodedata.normalize("NFKC", c)) == 1 and unicodedata.normalize("NFKC", c) != c and unicodedata.normalize("NFC", c) == c]
+_SEVERAL = "…‥ﬀﬁﬂﬃﬄ℃℉㎡㎞㎏㎎㎜½¼¾™№㈱"
+_SIGNS = dict.fromkeys("‐‑‒–—", "-") | {"“": '"', "”": '"', "‘": "'", "’": "'", "﹒": "."}
+
+
+def nfkc(x: str) -> str:
+    for c in _SEVERAL:
+        x = f"replace({x}, {lit(c)}, {lit(unicodedata.normalize('NFKC', c))})"
+    return f"nfc_normalize(translate({x}, {lit(''.join(_ONE))}, {lit(''.join(unicodedata.normalize('NFKC', c) for c in _ONE))}))"
+
+
+def unescape(x: str) -> str:
+    for name, c in (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", "\xa0"), ("&amp;", "&")):
+        x = f"replace({x}, '{name}', {lit(c)})"
+    return x
+
+
+def flat(x: str) -> str:
+    """The text of a value that may be a table."""
+    return f"case when contains(lower({x}), '<table') then regexp_replace({x}, '<[^>]*>', ' ', 'g') else {x} end"
+
+
+def normal(x: str) -> str:
+    """The form in which texts are compared with a text layer."""
+    signs = f"translate({nfkc(unescape(x))}, {lit(''.join(_SIGNS) + chr(0xAD) + chr(0x200B) + chr(0xFEFF))}, {lit(''.join(_SIGNS.values()))})"
+    return compact(signs)
+
+
+def plain(x: str) -> str:
+    return nfkc("replace(" + unescape(x) + ", '\\%', '%')")
+
+
+def alike(part: str, whole: str) -> str:
+    count = lambda t: f"length({t}) - length(replace({t}, ch, ''))"
+    matched = f"list_sum(list_transform(list_filter(list_distinct(string_split({part}, '')), lambda ch: ch <> ''), lambda ch: least({count(part)}, {count(whole)})))"
+    return f"(contains({whole}, {part}) or (2.0 * least(length({part}), length({whole})) >= 0.92 * (length({part}) + length({whole})) and 2.0 * {matched} / (length({part}) + length({whole})) >= 0.92))"

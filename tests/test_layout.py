@@ -135,12 +135,73 @@ def test_arbitration(spark):
     rows = [block("eq", "利率 5%"), block("add", "利率为5%"), block("bad", "利率为5%"), block("none", ""), block("un", "x")]
     blocks, _ = frames(spark, rows)
     readings = spark.createDataFrame([("eq", True, "利率5％"), ("add", True, "利率为5%，上升"), ("bad", True, "利率为6%"), ("none", True, "新"), ("un", False, None)], "block_id string, readable boolean, text string")
-    readings = readings.withColumn("html", F.lit("")).withColumn("latex", F.lit(None).cast("string"))
+    for name in ("html", "latex", "summary", "structured_data"):
+        readings = readings.withColumn(name, F.lit(None).cast("string"))
     layer = spark.createDataFrame([("add", "利率为5%，上升")], "block_id string, reference string")
     got = {r.block_id: (r.outcome, r.new_status) for r in audit.arbitrate(blocks, readings, layer).collect()}
     assert got == {"eq": ("agreed", "accepted"), "add": ("verified_addition", "repaired"), "bad": ("conflict", "review"), "none": ("single_source", "repaired"), "un": ("unreadable", "review")}
 
 
+def test_arbitration_never_rewrites_evidence(spark):
+    rows = [block("form", "利率 为5%"), block("twice", "5%和5%"), block("known", "甲乙甲"), block("f", "x_{1}", kind="formula"), block("pic", "", kind="image"), block("lost", "y", kind="title")]
+    blocks, _ = frames(spark, rows)
+    more = [("form", True, "利率为5%，上升", None, None), ("twice", True, "5%和5%，另5", None, None), ("known", True, "甲乙甲乙", None, None), ("f", True, "t", "x_{2}", None), ("pic", True, None, None, "一张图"), ("lost", True, " ", None, "")]
+    readings = spark.createDataFrame(more, "block_id string, readable boolean, text string, latex string, summary string").withColumn("html", F.lit("")).withColumn("structured_data", F.lit(None).cast("string"))
+    layer = spark.createDataFrame([("form", "利率为5%，上升"), ("twice", "5%和5%，另5"), ("known", "甲乙甲乙")], "block_id string, reference string")
+    got = {r.block_id: r for r in audit.arbitrate(blocks, readings, layer).collect()}
+    assert {k: r.outcome for k, r in got.items()} == {"form": "conflict", "twice": "verified_addition", "known": "conflict", "f": "single_source", "pic": "single_source", "lost": "empty"}
+    assert got["form"].new_content == "利率 为5%" and got["form"].flag == "TXT-003" and got["form"].eligible is False
+    assert got["f"].new_content == "x_{2}" and got["pic"].new_content == "一张图" and got["lost"].new_content == "y"
+
+
+def line(no, text, box, page=1):
+    return ("d", page, no, text, box)
+
+
+LINE = "document_id string, page_no int, line_no int, text string, bbox struct<x0:double,y0:double,x1:double,y1:double>"
+
+
+def test_findings_need_numbers_on_both_sides(spark):
+    rows = [block("a", "利率为五"), block("b", "利率5%为主"), block("c", "①见表"), block("d", "同 上。"), block("t", "<table><tr><td>1.5</td><td>2</td><td>3</td></tr></table>", kind="table"), block("s", "<table><tr><td>7</td></tr></table>", kind="table")]
+    blocks, _ = frames(spark, rows)
+    refs = spark.createDataFrame([("a", "利率为5"), ("b", "利率6%为主"), ("c", "a见表"), ("d", "同上。"), ("t", "1.6 2 3"), ("s", "8")], "block_id string, reference string")
+    got = {r.block_id: (r.numbers_differ, r.marks_differ) for r in audit.text_findings(blocks, refs).collect()}
+    assert got == {"a": (False, False), "b": (True, False), "c": (False, True)}
+    tables_ = audit.table_findings(blocks, refs).collect()
+    assert [(r.block_id, r.missing, r.added) for r in tables_] == [("t", "1.6", "1.5")]  # one digit doesn't matter
+    none = spark.createDataFrame([("d", False)], "document_id string, reliable boolean")
+    assert audit.table_findings(blocks, refs, none).count() == 0
+
+
+def test_completeness_fills_and_adds_blocks(spark):
+    body = [block(f"b{k}", f"第{k}行的文字内容", (50.0, 100.0 + 20 * k, 900.0, 118.0 + 20 * k), order=k) for k in range(25)]
+    rows = [*body, block("empty", "", (50.0, 700.0, 900.0, 760.0), order=30), block("pic", "", (50.0, 800.0, 900.0, 850.0), kind="image", order=31), block("tab", "<table><tr><td>1</td></tr></table>", (50.0, 900.0, 900.0, 1000.0), kind="table", order=32)]
+    blocks, pages = frames(spark, rows)
+    lines = [line(k, f"第{k}行的 文字内容", (60.0, 101.0 + 20 * k, 800.0, 117.0 + 20 * k)) for k in range(25)]
+    lines += [line(40, "补上的", (60.0, 705.0, 500.0, 720.0)), line(41, "第二行", (60.0, 725.0, 500.0, 740.0)), line(42, "图中字", (60.0, 810.0, 500.0, 830.0)), line(43, "短标题", (60.0, 870.0, 300.0, 890.0)), line(44, "资料来源：某处", (60.0, 1001.0, 300.0, 1020.0)), line(45, "看不见", (60.0, 1200.0, 300.0, 1220.0))]
+    words = spark.createDataFrame(lines, LINE)
+    ink = spark.createDataFrame([("d", 1, 45, 0.001)], "document_id string, page_no int, line_no int, ink_ratio double")
+    done = {r.block_id: r for r in audit.completed_blocks(blocks, words, pages, ink).collect()}
+    new = [r for r in done.values() if r.source == "pdf_text_layer"]
+    assert sorted((r.block_type, r.resolved_content, tuple(r.issue_flags)) for r in new if r.block_id != "empty") == [("footnote", "资料来源：某处", ("TXT-004", "TAB-008")), ("title", "短标题", ("TXT-004", "TAB-008"))]
+    assert done["empty"].resolved_content == "补上的\n第二行" and done["empty"].status == "repaired" and done["empty"].issue_flags == ["TXT-004"]
+    assert len(done) == len(rows) + 2 and all(done[f"b{k}"].resolved_content == f"第{k}行的文字内容" for k in range(25))
+    few = {r.block_id: r for r in audit.completed_blocks(blocks, words.where("line_no < 3 or line_no = 40"), pages).collect()}  # too few lines to rely on
+    assert few["empty"].resolved_content == "" and few["empty"].status == "review" and few["empty"].chunk_eligible is False
+
+
+def test_crosscheck_and_recovery_of_tables(spark):
+    one, two = "<table><tr><td>1</td></tr></table>", "<table><tr><td>2</td></tr></table>"
+    rows = [block("same", one, kind="table", issue_flags=["TAB-010", "X"]), block("other", one, kind="table"), block("none", one, kind="table"), block("first", "", kind="table"), block("pic", "", kind="chart")]
+    blocks, _ = frames(spark, rows)
+    schema = "block_id string, result_id string, readable boolean, html string, text string"
+    readings = spark.createDataFrame([("same", "1", True, one, ""), ("other", "2", True, two, ""), ("none", "3", True, "", ""), ("first", "4", True, two, ""), ("pic", "5", True, one, ""), ("pic", "6", True, one.replace("<td>", "<td >"), "")], schema)
+    got = {r.block_id: (r.agreed, r.new_status, r.new_flags, r.tag) for r in audit.crosscheck_tables(blocks, readings).collect()}
+    assert got["same"] == (True, "repaired", ["X"], "dual_source_agreed") and got["other"] == (False, "review", ["TAB-010"], "dual_source_conflict")
+    assert got["none"] == (False, "review", [], "table_crosscheck_unavailable") and got["first"] == (False, "review", ["TAB-010"], "first_empty")
+    assert [(r.block_id, r.agreed, r.new_flags) for r in audit.recovered_tables(blocks, readings).collect()] == [("pic", True, ["TAB-009"])]
+
+
 def test_empty_tables(spark):
     blocks, pages = frames(spark, [])
     context = layout.table_context(blocks, pages)
