@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import argparse
-import os
 import sys
 
 from pyspark.sql import SparkSession
@@ -25,7 +24,7 @@ def _session() -> SparkSession:
 def init(spark: SparkSession, a) -> int:
     """Empty tables for those that are missing."""
     for name, ddl in schemas.TABLES.items():
-        if not os.path.exists(f"{a.tables}/{name}.parquet"):
+        if not stores.there(spark, f"{a.tables}/{name}.parquet"):
             spark.createDataFrame([], ddl).write.parquet(f"{a.tables}/{name}.parquet")
     return 0
 

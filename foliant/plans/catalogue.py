@@ -744,20 +744,20 @@ def number_tokens(spark: SparkSession, d: str) -> DataFrame:
 # stores and events
 
 
-@_query(f"""with fresh as (select document_id from (select distinct document_id from blocks) where right(document_id, 1) in ('0', '1', '2'))
+@_query(f"""with fresh as (select document_id from source_files where updated_at > created_at)
 select chunk_id, document_id, embedding_state from {Q.CHUNKS} where document_id not in (select document_id from fresh) union all select block_id, document_id, 'pending' from {Q.BLOCKS} where document_id in (select document_id from fresh) and block_type = 'text'""")
 def snapshot_replace(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that were updated after their first delivery replace their stored rows."""
     stored = _chunks(spark, d).select("chunk_id", "document_id", "embedding_state")
-    fresh = _blocks(spark, d).where("right(document_id, 1) in ('0', '1', '2')")
-    new = fresh.where("block_type = 'text'").select(F.col("block_id").alias("chunk_id"), "document_id", F.lit("pending").alias("embedding_state"))
-    gone = stored.join(fresh.select("document_id").distinct(), "document_id", "left_anti")
-    return gone.unionByName(new)
+    updated = table(spark, d, "source_files", "document_id", "created_at", "updated_at").where("updated_at > created_at").select("document_id").distinct()
+    new = _blocks(spark, d).join(updated, "document_id", "left_semi").where("block_type = 'text'").select(F.col("block_id").alias("chunk_id"), "document_id", F.lit("pending").alias("embedding_state"))
+    return stores.replaced(stored, new, keys=updated)
 
 
-@_query(f"select chunk_id, case when page_start % 2 = 0 then 'embedded' else embedding_state end as embedding_state from {Q.CHUNKS}")
+@_query(f"select chunk_id, case when asset_id is not null then 'embedded' else embedding_state end as embedding_state from {Q.CHUNKS}")
 def mark_embedded(spark: SparkSession, d: str) -> DataFrame:
     c = _chunks(spark, d)
-    return stores.marked_embedded(c, c.where("page_start % 2 = 0")).select("chunk_id", "embedding_state")
+    return stores.marked_embedded(c, c.where("asset_id is not null")).select("chunk_id", "embedding_state")
 
 
 @_query("select event_type, count(*) as n, cast(sum(cast(json_extract_string(props, '$.k') as bigint)) as bigint) as total_k, max(ts) as last_ts from events group by event_type")

@@ -29,12 +29,14 @@ def local_session(cores: int | str = 8, partitions: int = 8, **conf: str) -> Spa
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The cluster's shared folder from ``spark.checkpoint.dir``; one of our own only where that is unset."""
+    """The cluster's shared folder from ``spark.checkpoint.dir``. Where that is unset, a local session gets a folder of its own; on a cluster it is an error, because executors share no local folder."""
     own = spark.conf.get("spark.checkpoint.dir", None)
     if own:
         return own
     made = spark.sparkContext.getCheckpointDir()
     if made is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         made = tempfile.mkdtemp(prefix="foliant-checkpoint-")
         spark.sparkContext.setCheckpointDir(made)
     return made

@@ -1,3 +1,4 @@
+import pytest
 import json
 
 import numpy as np
@@ -122,6 +123,15 @@ def test_replacing_documents(spark, tmp_path):
     stores.replace_documents(spark, store, one)
     stores.replace_documents(spark, store, spark.createDataFrame([("d", "c", 2)], "document_id string, chunk_id string, v int"))
     assert {(r.document_id, r.chunk_id) for r in spark.read.parquet(store).collect()} == {("d", "c"), ("e", "b")}
+    assert stores.store_buckets(spark, store) == stores.BUCKETS
+    wrong = spark.createDataFrame([("d", "c", "x")], "document_id string, chunk_id string, v string")
+    with pytest.raises(TypeError):
+        stores.replace_documents(spark, store, wrong)
+    assert spark.read.parquet(store).count() == 2  # untouched
+    spark.range(3).write.parquet(f"{tmp_path}/other")
+    with pytest.raises(ValueError):
+        stores.replace_documents(spark, f"{tmp_path}/other", one)
+    assert spark.read.parquet(f"{tmp_path}/other").count() == 3
     ids = spark.createDataFrame([("c",)], "chunk_id string")
     marked = stores.marked_embedded(spark.read.parquet(store).withColumn("embedding_state", F.lit("pending")), ids)
     assert {(r.chunk_id, r.embedding_state) for r in marked.collect()} == {("c", "embedded"), ("b", "pending")}
@@ -181,6 +191,25 @@ def test_sideways_tables():
     assert images.sideways(grey) and not images.sideways(grey.T) and images.ruled_lines(grey)[:2] == [61, 151]
 
 
+def test_small_sinks(spark, tmp_path):
+    docs = spark.createDataFrame([("d", "new", 1), ("e", "new", 1)], "document_id string, status string, updated_at int")
+    changes = spark.createDataFrame([("d", "done", 3), ("d", "late", 2)], "document_id string, status string, updated_at int")
+    assert {(r.document_id, r.status) for r in stores.with_status(docs, changes).collect()} == {("d", "done"), ("e", "new")}
+    text = '{"url": "http://a/b?k=1#x", "deep": [{"file_url": "c?d"}], "q": "why?"}'
+    got = spark.createDataFrame([(text,)], "t string").select(stores.redacted(F.col("t")).alias("t")).first().t
+    assert got == '{"url": "http://a/b", "deep": [{"file_url": "c"}], "q": "why?"}'
+    stores.append_events(spark.createDataFrame([(1, "s")], "event_id int, stage string"), f"{tmp_path}/e", "r1")
+    stores.append_events(spark.createDataFrame([(2, "t")], "event_id int, stage string"), f"{tmp_path}/e", "r2")
+    assert {(r.event_id, r.run_id) for r in spark.read.json(f"{tmp_path}/e").collect()} == {(1, "r1"), (2, "r2")}
+    assert stores.read_manifest(spark, f"{tmp_path}/none") == {}
+    stores.write_manifest(spark, f"{tmp_path}/m", {"run": 1})
+    assert stores.read_manifest(spark, f"{tmp_path}/m")["run"] == 1
+    chunks = spark.createDataFrame([("d", "a"), ("d", "a")], "document_id string, chunk_id string")
+    for bad, documents in ((chunks, None), (chunks.limit(1), docs.where("document_id = 'e'"))):
+        with pytest.raises(ValueError):
+            stores.checked_chunks(bad, "d", documents)
+
+
 def test_answers_and_names(spark):
     got = spark.createDataFrame([("True",), (" 是 ",), ("no",), (None,), ("同一张表",)], "x string").select(quality.said_yes(F.col("x")).alias("y")).collect()
     assert [r.y for r in got] == [True, True, False, False, True]
