@@ -3,8 +3,9 @@
 One-permutation hashing: each text's shingles (substrings of 5 characters of the lower-cased text with single spaces) are hashed
 once, the hash range is cut into bins and the least value of each bin is kept; empty bins take the value of another bin, chosen by a
 2-universal hash of bin and attempt until it isn't empty (optimal densification). Bands of bins give buckets. In a bucket, all
-members are compared by their sketches; a bucket of more than ``BLOCK`` members is cut into blocks, and each pair of blocks is compared
-by itself, wherever that may be. An exact comparison of the shingle sets follows.
+members are compared by their sketches. Hot buckets are cut into runs by a salt of the class, runs into blocks of ``BLOCK`` members, and
+each pair of blocks is compared by itself, wherever that may be: no task holds more than two blocks, and only pairs whose sketches
+agree leave it. An exact comparison of the shingle sets follows.
 
 Exact copies are one class before anything is hashed into buckets: a class of any size is one member of its buckets.
 
@@ -30,7 +31,8 @@ MIN_CHARS, SHINGLE, THRESHOLD = 200, 5, 0.7
 BINS, ROWS = 384, 6
 BANDS = BINS // ROWS
 SKETCH_LEAST = 42  # of 64 equal bits; texts at the threshold have 54 on average, unrelated ones 35
-BLOCK, FULL = 4096, 64
+BLOCK, FULL = 1 << 15, 64
+PLANNED = 64  # one class in so many is looked at to plan how hot buckets are cut; the results don't depend on it
 BROADCAST_BYTES = 16 << 20
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
@@ -134,21 +136,21 @@ def _agree(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 
 
 def _bucket_worker(batches, block: int):
-    """Rows sorted by bucket and class: the pairs of different rows of a block of a bucket whose sketches agree (a, b, -1, 0), and each row of a bucket of several blocks
-    (bucket, class, its block, sketch). Only the open block is held."""
-    names = ("bucket", "class", "sketch")
-    carried, base = {c: np.zeros(0, np.int64) for c in names}, 0  # the open block, and the place of its first row in its bucket
+    """Rows sorted by run (a bucket, or a salted part of a hot one) and class: the pairs of different rows of a block of a run whose sketches agree (a, b, -1, 0), and each row of
+    a bucket of several runs or blocks (bucket, class, its block, sketch). Only the open block is held."""
+    names = ("run", "bucket", "salt", "salts", "class", "sketch")
+    carried, base = {c: np.zeros(0, np.int64) for c in names}, 0  # the open block, and the place of its first row in its run
     for batch in batches:
-        k = len(carried["bucket"])
+        k = len(carried["run"])
         all_ = {c: np.concatenate([carried[c], batch.column(c).to_numpy(zero_copy_only=False)]) for c in names}
-        fresh = np.ones(len(all_["bucket"]), np.bool_)  # equal rows are neighbours
-        fresh[1:] = (all_["bucket"][1:] != all_["bucket"][:-1]) | (all_["class"][1:] != all_["class"][:-1])
+        fresh = np.ones(len(all_["run"]), np.bool_)  # equal rows are neighbours
+        fresh[1:] = (all_["run"][1:] != all_["run"][:-1]) | (all_["class"][1:] != all_["class"][:-1])
         all_ = {c: all_[c][fresh] for c in names}
-        bucket, n = all_["bucket"], len(all_["bucket"])
+        runs, n = all_["run"], len(all_["run"])
         if not n:
             continue
         head = np.ones(n, np.bool_)
-        head[1:] = bucket[1:] != bucket[:-1]
+        head[1:] = runs[1:] != runs[:-1]
         first, run = np.flatnonzero(head), np.cumsum(head) - 1
         place = np.arange(n) - first[run]
         if k:
@@ -163,12 +165,13 @@ def _bucket_worker(batches, block: int):
             number.append(np.full(len(y), -1))
             sketch.append(np.zeros(len(y), np.int64))
             distance += 1
-        over = np.arange(k, n)[place[k:] >= block]
-        for start in over[place[over] == block]:  # the first block of a bucket is known to need others only now
+        whole = all_["salts"][k:] == 1
+        over = np.arange(k, n)[(place[k:] >= block) | ~whole]
+        for start in over[(place[over] == block) & (all_["salts"][over] == 1)]:  # the first block of a bucket in one run is known to need others only now
             over = np.append(over, np.arange(start - block, start))
-        a.append(bucket[over])
+        a.append(all_["bucket"][over])
         b.append(all_["class"][over])
-        number.append(place[over] // block)
+        number.append((all_["salt"][over] << 32) + place[over] // block)
         sketch.append(all_["sketch"][over])
         a, b, number, sketch = map(np.concatenate, (a, b, number, sketch))
         yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(number, pa.int64()), pa.array(sketch)], names=["a", "b", "block", "sketch"])
@@ -201,18 +204,38 @@ def _cross_worker(batches):
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(a)), pa.array(np.concatenate(b))], names=["a", "b"])
 
 
-def candidate_edges(texts: DataFrame, block: int = BLOCK) -> DataFrame:
+def _banded(texts: DataFrame) -> DataFrame:
+    return texts.select("class", "norm", F.xxhash64("record_kind").alias("side")).mapInArrow(_band_worker, "bucket long, class long, sketch long")
+
+
+def hot_buckets(texts: DataFrame, block: int = BLOCK, planned: int = PLANNED) -> DataFrame:
+    """bucket, salts of the buckets that are likely to hold more than a block: into how many runs to cut them, from a count over one class in ``planned``."""
+    seen = _banded(texts.where(F.pmod("class", F.lit(planned)) == 0)).groupBy("bucket").agg(F.count_distinct("class").alias("n"))
+    return seen.where(F.col("n") * planned > block).select("bucket", F.ceil(F.col("n") * planned / block).cast("long").alias("salts"))
+
+
+def candidate_edges(texts: DataFrame, block: int = BLOCK, planned: int = PLANNED) -> DataFrame:
     """Distinct (a, b) of classes, a < b, that share a bucket and whose sketches agree; written to the shared folder."""
-    bands = texts.select("class", "norm", F.xxhash64("record_kind").alias("side")).mapInArrow(_band_worker, "bucket long, class long, sketch long")
-    runs = bands.repartition("bucket").sortWithinPartitions("bucket", "class")
+    bands = _banded(texts)
+    hot = cut_lineage(hot_buckets(texts, block, planned))
+    n_hot = hot.count()
+    if n_hot:
+        bands = bands.join(F.broadcast(hot) if 32 * n_hot <= BROADCAST_BYTES else hot, "bucket", "left").fillna(1, ["salts"])
+    else:
+        bands = bands.withColumn("salts", F.lit(1).cast("long"))
+    bands = bands.withColumn("salt", F.pmod(F.xxhash64("class"), F.col("salts"))).withColumn("run", F.when(F.col("salts") > 1, F.xxhash64("bucket", "salt")).otherwise(F.col("bucket")))
+    runs = bands.select("run", "bucket", "salt", "salts", "class", "sketch") if n_hot else bands.select(F.col("bucket").alias("run"), "class", "sketch")
+    runs = runs.repartition("run").sortWithinPartitions("run", "class")
+    if not n_hot:  # the columns that say nothing here don't go through the shuffle
+        runs = runs.select("run", F.col("run").alias("bucket"), F.lit(0).cast("long").alias("salt"), F.lit(1).cast("long").alias("salts"), "class", "sketch")
     seen = cut_lineage(runs.mapInArrow(lambda batches: _bucket_worker(batches, block), "a long, b long, block long, sketch long").distinct())
     edges = seen.where("block < 0").select("a", "b")
     over = seen.where("block >= 0").select(F.col("a").alias("bucket"), F.col("b").alias("class"), "block", "sketch")
     if not over.take(1):
         return edges
-    blocks = over.groupBy("bucket").agg(F.max("block").alias("last"))
-    pairs = over.join(blocks, "bucket").withColumn("other", F.explode(F.sequence(F.lit(0), F.col("last").cast("int")))).where("other <> block")
-    pairs = pairs.select("bucket", F.least("block", F.col("other").cast("long")).alias("i"), F.greatest("block", F.col("other").cast("long")).alias("j"), "block", "class", "sketch")
+    others = over.select("bucket", F.col("block").alias("other")).distinct()
+    pairs = over.join(others, "bucket").where("other <> block")
+    pairs = pairs.select("bucket", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block", "class", "sketch")
     crossed = pairs.repartition("bucket", "i", "j").sortWithinPartitions("bucket", "i", "j", "block").mapInArrow(_cross_worker, "a long, b long")
     return cut_lineage(edges.unionByName(crossed).distinct())
 
@@ -273,10 +296,12 @@ def similar_pairs(texts: DataFrame) -> DataFrame:
     return between.unionByName(within.select("record_kind", "id_a", "id_b")).unionByName(large).distinct()
 
 
-def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
-    """node, root (the least node that links reach) of every node of the edges (a, b), by alternating large-star and small-star steps; each is written to the shared folder."""
+def components(edges: DataFrame) -> DataFrame:
+    """node, root (the least node that links reach) of every node of the edges (a, b), by alternating large-star and small-star steps until nothing changes; each is written to the shared folder.
+
+    The steps needed grow with the square of the logarithm of the nodes at most, so there is no bound to stop at."""
     edges, before = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).where("a <> b").distinct(), None
-    for _ in range(rounds):
+    while True:
         both = edges.unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("m", "a").alias("m"))
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
@@ -285,20 +310,21 @@ def components(edges: DataFrame, rounds: int = 40) -> DataFrame:
         edges = cut_lineage(small.where("a <> b").distinct())
         now = edges.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
-            break
+            return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
         before = now
-    return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
 def groups(texts: DataFrame) -> DataFrame:
-    """record_kind, id, group_id (smallest id among the records that links reach), n_links (links of its text to different texts); one row per id."""
+    """record_kind, id, class (of equal texts), head (the class's smallest id), group_id (smallest id among the records that links reach), n_links (links of its text to different texts); one row per id.
+
+    With the links of heads in similar_pairs these rows give every link of every copy."""
     every = members(texts)
     links = class_links(texts, every)
     root = components(links).withColumnRenamed("node", "class")
     degree = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(F.count("*").alias("n_links"))
     own = every.join(root, "class", "left").join(degree, "class", "left").withColumn("root", F.coalesce("root", "class"))
     heads = own.select("class", "root", "head").distinct().groupBy("root").agg(F.min("head").alias("group_id"))
-    return own.join(heads, "root").select("record_kind", "id", "group_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
+    return own.join(heads, "root").select("record_kind", "id", "class", "head", "group_id", F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
 def sql_similar_pairs() -> str:

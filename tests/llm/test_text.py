@@ -314,6 +314,16 @@ def test_buckets_of_several_blocks_join_all_pairs(spark):
         members[b].append(c)
     assert Counter((a, b) for a, b, n in out if n < 0) == Counter((c[i], c[j]) for c in members.values() for j in range(len(c)) for i in range(j // 10 * 10, j))
     assert sorted((a, b, n) for a, b, n in out if n >= 0) == sorted((b, x, k // 10) for b, c in members.items() if len(c) > 10 for k, x in enumerate(c))
+    assert near_duplicates.hot_buckets(texts, block=16, planned=1).count() > 0
+    assert {(r.a, r.b) for r in near_duplicates.candidate_edges(texts, block=16, planned=1).collect()} == whole  # hot buckets cut into salted runs
+
+
+def test_group_rows_give_classes_and_heads(spark):
+    rng = random.Random(3)
+    text = " ".join("".join(rng.choice("abcdef") for _ in range(5)) for _ in range(50))
+    rows = {r.id: r for r in near_duplicates.groups(near(spark, {"a": text, "b": text, "c": text[:-6] + " zzzzz", "d": text[::-1]})).collect()}
+    assert rows["a"]["class"] == rows["b"]["class"] != rows["c"]["class"] and rows["b"].head == "a" and rows["c"].head == "c"
+    assert rows["a"].n_links == rows["b"].n_links == rows["c"].n_links == 1 and rows["d"].n_links == 0
 
 
 def test_densified_signatures_keep_similarity():
