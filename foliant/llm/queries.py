@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from foliant.llm import leakage, markup, near_duplicates, packing, repeated_lines, residue, scan_noise, splitting, truncation, visual_form
+from foliant.session import checkpoint_dir
 from foliant.sources.tables import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,6 +80,15 @@ def p7_pieces(spark: SparkSession, folder: str) -> DataFrame:
     return splitting.split_items(table(spark, folder, "blocks", "block_id", "resolved_content"), "block_id", "resolved_content")
 
 
+@_query
+def p7_file_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """The corpus written as text files to the shared folder, and these cut by byte ranges: file_no, piece_no, start_char, end_char."""
+    path = f"{checkpoint_dir(spark)}/corpus-{uuid.uuid4().hex}"
+    table(spark, folder, "documents", "doc_id", "text").where("text is not null").repartitionByRange(4, "doc_id").sortWithinPartitions("doc_id", "text").select("text").write.text(path)
+    pieces = splitting.split_files(spark, [f"{path}/part-*"])
+    return pieces.select(F.regexp_extract("path", r"part-(\d+)", 1).cast("int").alias("file_no"), "piece_no", "start_char", "end_char")
+
+
 SQL["p7_found"] = "select distinct block_id from blocks where length(resolved_content) > 1200"
 
 

@@ -3,7 +3,11 @@
 Every item is worked on in ranges of fixed length. A worker sees its range and a halo on both sides. Where two ranges meet, both of
 their workers choose the same cut from the same halo, so that no range waits for another; within its range a worker goes from cut
 to cut. The boundary tables are stitched by range number, and prefix sums of the ranges' piece counts and lengths give each piece its
-number and offset. No worker holds more of an item than a range with its halos, whether the item is a column value or a giant file.
+number and offset. Of a file no worker holds more than a range with its halos; a column value stands in one row already, but its ranges
+are cut off in one pass and spread over the workers.
+
+Files are read twice by byte ranges: the first pass gives the boundary table, numbers only; after its prefix sums the second pass emits
+each range's pieces with their offsets, so that no text is shuffled.
 
 A piece has at most ``size`` code points and begins ``overlap`` code points before the end of the piece before it (the first begins
 at 0). An item within the size is one piece. Null items have no piece, nor have empty ones. Rows delivered twice count once per id.
@@ -11,13 +15,14 @@ at 0). An item within the size is one piece. Null items have no piece, nor have
 
 from __future__ import annotations
 
-import os
 import re
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from foliant.session import cut_lineage
+
 SIZE, OVERLAP = 1200, 120  # the project's limits, in code points
 RANGE = 1 << 16
 # Boundaries from strongest to weakest; a cut is made after the match.
@@ -78,89 +83,140 @@ def range_pieces(text: str, left: int, right: int, begins: bool, ends: bool, siz
     return [(max(a - overlap, 0) if (a > left or not begins) else a, a, b) for a, b in zip(cuts, cuts[1:])]
 
 
+def _pieces_batch(kind, rows: list[tuple]) -> pa.RecordBatch:
+    """Rows of item, range_no, in_range, start_char, end_char, piece."""
+    columns = list(zip(*rows)) if rows else [[]] * 6
+    types = [kind, pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["item", "range_no", "in_range", "start_char", "end_char", "piece"])
+
+
 def _worker(size: int, overlap: int, length: int, halo: int):
     def run(batches):
         for batch in batches:
-            ids, texts = batch.column("item").to_pylist(), batch.column("part").to_pylist()
-            totals, numbers = batch.column("n_chars").to_pylist(), batch.column("range_no").to_pylist()
-            out = [[], [], [], [], [], []]
-            for item, text, total, r in zip(ids, texts, totals, numbers):
+            out = []
+            for item, text, total, r in zip(*(batch.column(c).to_pylist() for c in ("item", "part", "n_chars", "range_no"))):
                 base = max(0, r * length - halo)
                 left, right = r * length - base, min(total, (r + 1) * length) - base
-                for k, (a, core, b) in enumerate(range_pieces(text, left, right, r == 0, (r + 1) * length >= total, size, overlap)):
-                    for column, value in zip(out, (item, r, k, base + a, base + b, text[a:b])):
-                        column.append(value)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(out[0], batch.schema.field("item").type), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int64()), pa.array(out[3], pa.int64()), pa.array(out[4], pa.int64()), pa.array(out[5], pa.string())],
-                names=["item", "range_no", "in_range", "start_char", "end_char", "piece"],
-            )
+                found = range_pieces(text, left, right, r == 0, (r + 1) * length >= total, size, overlap)
+                out.extend((item, r, k, base + a, base + b, text[a:b]) for k, (a, _, b) in enumerate(found))
+            yield _pieces_batch(batch.schema.field("item").type, out)
 
     return run
 
 
-def _ranges(df: DataFrame, key: str, field: str, length: int, halo: int) -> DataFrame:
-    parts = df.select(F.col(key).alias("item"), F.col(field).alias("whole"), F.length(field).cast("long").alias("n_chars"))
-    parts = parts.withColumn("range_no", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("n_chars") - 1) / length).cast("long"))))
-    first = F.greatest(F.lit(0).cast("long"), F.col("range_no") * length - halo)
-    last = F.least(F.col("n_chars"), (F.col("range_no") + 1) * length + halo)
-    return parts.select("item", "n_chars", "range_no", F.substring("whole", (first + 1).cast("int"), (last - first).cast("int")).alias("part"))
+def _range_worker(length: int, halo: int, at_once: int = 64):
+    """The ranges of long values with their halos, a few at a time; each is a slice, so that a value is walked once."""
 
+    def run(batches):
+        for batch in batches:
+            kind = batch.schema.field("item").type
+            for item, text in zip(batch.column("item").to_pylist(), batch.column("whole").to_pylist()):
+                last = -(-len(text) // length)
+                for first in range(0, last, at_once):
+                    numbers = range(first, min(last, first + at_once))
+                    parts = [text[max(0, r * length - halo) : (r + 1) * length + halo] for r in numbers]
+                    yield pa.RecordBatch.from_arrays([pa.array([item] * len(parts), kind), pa.array([len(text)] * len(parts), pa.int64()), pa.array(list(numbers), pa.int64()), pa.array(parts, pa.string())], names=["item", "n_chars", "range_no", "part"])
+
+    return run
 
-def split_items(df: DataFrame, key: str, field: str, size: int = SIZE, overlap: int = OVERLAP, range_length: int = RANGE, least: int = 0) -> DataFrame:
-    """key, piece_no from 0, start_char, end_char, piece of every item longer than ``least`` code points."""
+
+GROUP = 4096  # ranges that are summed up first, so that no window holds all ranges of an item
+
+
+def offsets_of(table: DataFrame, item: str, values: list[str]) -> DataFrame:
+    """item, range_no and before_<value> of each value: the sums over earlier ranges of the item, in two levels."""
+    rows = table.withColumn("_group", F.floor(F.col("range_no") / GROUP))
+    sums = rows.groupBy(item, "_group").agg(*[F.sum(v).alias(v) for v in values])
+    outer = Window.partitionBy(item).orderBy("_group").rowsBetween(Window.unboundedPreceding, -1)
+    sums = sums.select(item, "_group", *[F.coalesce(F.sum(v).over(outer), F.lit(0)).alias(f"_base_{v}") for v in values])
+    inner = Window.partitionBy(item, "_group").orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.select(item, "_group", "range_no", *[F.coalesce(F.sum(v).over(inner), F.lit(0)).alias(f"_own_{v}") for v in values])
+    return rows.join(sums, [item, "_group"]).select(item, "range_no", *[(F.col(f"_base_{v}") + F.col(f"_own_{v}")).alias(f"before_{v}") for v in values])
+
+
+def split_items(df: DataFrame, key: str, field: str, size: int = SIZE, overlap: int = OVERLAP, range_length: int = RANGE) -> DataFrame:
+    """key, piece_no from 0, start_char, end_char, piece of every item that isn't empty.
+
+    Items of one range are cut where they are. Of longer ones the ranges are spread, and only these few pieces meet their prefix sums."""
     if size < 4 or not 0 <= overlap < size // 2 or range_length < 2 * size:
         raise ValueError("size must be at least 4, overlap under half of it, and a range at least two sizes long")
     kind, halo = df.schema[key].dataType.simpleString(), size + overlap
-    once = df.select(key, field).where(F.length(field) > least).where(F.col(key).isNotNull()).dropDuplicates([key])
-    pieces = _ranges(once, key, field, range_length, halo).mapInArrow(_worker(size, overlap, range_length, halo), f"item {kind}, range_no long, in_range long, start_char long, end_char long, piece string")
-    # the stitched table: prefix sums over the few numbers that each range leaves
-    from pyspark.sql import Window
-
-    counts = pieces.groupBy("item", "range_no").agg(F.count("*").alias("n"))
-    before = F.sum("n").over(Window.partitionBy("item").orderBy("range_no").rowsBetween(Window.unboundedPreceding, -1))
-    counts = counts.select("item", "range_no", F.coalesce(before, F.lit(0)).alias("before"))
-    out = pieces.where("range_no = 0").withColumn("before", F.lit(0).cast("long")).unionByName(pieces.where("range_no > 0").join(counts.where("range_no > 0"), ["item", "range_no"]))
-    return out.select(F.col("item").alias(key), (F.col("before") + F.col("in_range")).alias("piece_no"), "start_char", "end_char", "piece")
+    once = df.select(F.col(key).alias("item"), F.col(field).alias("whole")).where((F.length("whole") > 0) & F.col("item").isNotNull()).dropDuplicates(["item"])
+    schema = f"item {kind}, range_no long, in_range long, start_char long, end_char long, piece string"
+    work = _worker(size, overlap, range_length, halo)
+    short = once.where(F.length("whole") <= range_length).select("item", F.length("whole").cast("long").alias("n_chars"), F.lit(0).cast("long").alias("range_no"), F.col("whole").alias("part"))
+    ranges = once.where(F.length("whole") > range_length).mapInArrow(_range_worker(range_length, halo), f"item {kind}, n_chars long, range_no long, part string")
+    cut = ranges.repartition("item", "range_no").mapInArrow(work, schema)
+    before = offsets_of(cut.groupBy("item", "range_no").agg(F.count("*").alias("n")), "item", ["n"])
+    out = short.mapInArrow(work, schema).withColumn("before_n", F.lit(0).cast("long")).unionByName(cut.join(before, ["item", "range_no"]))
+    return out.select(F.col("item").alias(key), (F.col("before_n") + F.col("in_range")).alias("piece_no"), "start_char", "end_char", "piece")
 
 
 def oversized(df: DataFrame, key: str, field: str, size: int = SIZE, overlap: int = OVERLAP) -> DataFrame:
-    """Distinct keys of the items that had to be cut: those of which the operator made a second piece or more."""
-    return split_items(df, key, field, size, overlap, least=size).select(key).distinct()
+    """Distinct keys of the items that had to be cut: those of which the operator made a second piece."""
+    return split_items(df, key, field, size, overlap).where("piece_no = 1").select(key).distinct()
+
+
+def file_ranges(spark: SparkSession, paths: list[str], range_bytes: int) -> DataFrame:
+    """path, range_no, n_bytes of every byte range of the files, spread over the workers. Only the files' sizes are read."""
+    files = spark.read.format("binaryFile").load(paths).select("path", F.col("length").alias("n_bytes"))
+    last = F.floor((F.greatest(F.col("n_bytes"), F.lit(1)) - 1) / range_bytes).cast("long")
+    return files.select("path", "n_bytes", F.explode(F.sequence(F.lit(0).cast("long"), last)).alias("range_no")).repartition("path", "range_no")
+
+
+def _read_range(path: str, start: int, end: int) -> bytes:
+    from pyarrow import fs
+
+    system, inner = fs.FileSystem.from_uri(path)
+    with system.open_input_file(inner) as f:
+        f.seek(start)
+        return f.read(end - start)
+
+
+def _file_pieces(path: str, r: int, total: int, range_bytes: int, size: int, overlap: int) -> tuple[str, int, list[tuple[int, int, int]]]:
+    """(text of a byte range with halos, where the range begins in it, its pieces as range_pieces gives them)."""
+    halo = 4 * (size + overlap)
+    a, b = r * range_bytes, min(total, (r + 1) * range_bytes)
+    first = max(0, a - halo)
+    data = _read_range(path, first, min(total, b + halo))
+    left, right = a - first, b - first
+    while 0 < left < len(data) and data[left] & 0xC0 == 0x80:  # both neighbours move to the same character
+        left += 1
+    while right < len(data) and data[right] & 0xC0 == 0x80:
+        right += 1
+    head, body, tail = (part.decode("utf-8", "ignore") for part in (data[:left], data[left:right], data[right:]))
+    text = head + body + tail
+    return text, len(head), range_pieces(text, len(head), len(head) + len(body), a == 0, b >= total, size, overlap)
+
+
+def boundary_table(ranges: DataFrame, range_bytes: int, size: int = SIZE, overlap: int = OVERLAP) -> DataFrame:
+    """path, range_no, n_bytes, n_pieces, n_chars (of the pieces without overlaps) of every range: what the first pass over the files gives."""
+
+    def run(batches):
+        for batch in batches:
+            rows = list(zip(*(batch.column(c).to_pylist() for c in ("path", "range_no", "n_bytes"))))
+            found = [_file_pieces(path, r, total, range_bytes, size, overlap)[2] for path, r, total in rows]
+            yield pa.RecordBatch.from_arrays([batch.column("path"), batch.column("range_no"), batch.column("n_bytes"), pa.array([len(f) for f in found], pa.int64()), pa.array([sum(b - c for _, c, b in f) for f in found], pa.int64())], names=["path", "range_no", "n_bytes", "n_pieces", "n_chars"])
+
+    return ranges.select("path", "range_no", "n_bytes").mapInArrow(run, "path string, range_no long, n_bytes long, n_pieces long, n_chars long")
 
 
 def split_files(spark: SparkSession, paths: list[str], size: int = SIZE, overlap: int = OVERLAP, range_bytes: int = 1 << 20) -> DataFrame:
-    """path, range_no, in_range, core_chars, piece of UTF-8 files on a folder that all executors mount; only byte ranges are read.
+    """path, piece_no, start_char, end_char, piece of UTF-8 files on a file system that all executors reach; only byte ranges are read.
 
-    Offsets follow from the prefix sums of core_chars in the order of range_no and in_range."""
+    The boundary table is written to the shared folder; its prefix sums tell every range the number and the offset of its first piece. An empty file has no piece."""
     if range_bytes < 16 * size:
         raise ValueError("a range must have at least 16 times the bytes of a piece")
-    jobs = [(p, r, os.path.getsize(p)) for p in paths for r in range(max(1, -(-os.path.getsize(p) // range_bytes)))]
-    halo = 4 * (size + overlap)
-
-    def clean(data: bytes) -> str:
-        return data.decode("utf-8", "ignore")
+    table = cut_lineage(boundary_table(file_ranges(spark, paths, range_bytes), range_bytes, size, overlap))
+    jobs = table.select("path", "range_no", "n_bytes").join(offsets_of(table, "path", ["n_pieces", "n_chars"]), ["path", "range_no"]).repartition("path", "range_no")
 
     def run(batches):
         for batch in batches:
-            for path, r, total in zip(*(batch.column(c).to_pylist() for c in ("path", "range_no", "n_bytes"))):
-                a, b = r * range_bytes, min(total, (r + 1) * range_bytes)
-                with open(path, "rb") as f:
-                    f.seek(max(0, a - halo))
-                    data = f.read(min(total, b + halo) - max(0, a - halo))
-                left, right = a - max(0, a - halo), b - max(0, a - halo)
-                while 0 < left < len(data) and data[left] & 0xC0 == 0x80:  # both neighbours move to the same character
-                    left += 1
-                while right < len(data) and data[right] & 0xC0 == 0x80:
-                    right += 1
-                head, body, tail = clean(data[:left]), clean(data[left:right]), clean(data[right:])
-                text, lead = head + body + tail, len(head)
-                found = range_pieces(text, lead, lead + len(body), a == 0, b >= total, size, overlap)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([path] * len(found), pa.string()), pa.array([r] * len(found), pa.int64()), pa.array(range(len(found)), pa.int64()), pa.array([y - c for _, c, y in found], pa.int64()), pa.array([text[x:y] for x, _, y in found], pa.string())],
-                    names=["path", "range_no", "in_range", "core_chars", "piece"],
-                )
-
-    if not jobs:
-        return spark.createDataFrame([], "path string, range_no long, in_range long, core_chars long, piece string")
-    frame = spark.createDataFrame(jobs, "path string, range_no long, n_bytes long").repartition(len(jobs))
-    return frame.mapInArrow(run, "path string, range_no long, in_range long, core_chars long, piece string")
+            for path, r, total, number, offset in zip(*(batch.column(c).to_pylist() for c in ("path", "range_no", "n_bytes", "before_n_pieces", "before_n_chars"))):
+                text, _, found = _file_pieces(path, r, total, range_bytes, size, overlap)
+                start = found[0][1] if found else 0
+                rows = [(path, number + k, offset + a - start, offset + b - start, text[a:b]) for k, (a, _, b) in enumerate(found)]
+                columns = list(zip(*rows)) if rows else [[]] * 5
+                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, (pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.string()))], names=["path", "piece_no", "start_char", "end_char", "piece"])
+
+    return jobs.mapInArrow(run, "path string, piece_no long, start_char long, end_char long, piece string")

@@ -133,9 +133,18 @@ def test_files_are_cut_by_byte_ranges(spark, tmp_path):
     text = "".join(f"第{k}句话，内容。\n" for k in range(4000))
     (tmp_path / "big.txt").write_text(text, encoding="utf-8")
     (tmp_path / "none.txt").write_text("")
-    rows = sorted((r.range_no, r.in_range, r.core_chars, r.piece) for r in splitting.split_files(spark, [f"{tmp_path}/big.txt", f"{tmp_path}/none.txt"], 120, 12, range_bytes=4096).collect())
-    assert len({r[0] for r in rows}) > 5 and all(len(r[3]) <= 120 for r in rows)
-    assert "".join(piece[len(piece) - core :] for _, _, core, piece in rows) == text
+    paths = [f"{tmp_path}/big.txt", f"{tmp_path}/none.txt"]
+    assert splitting.boundary_table(splitting.file_ranges(spark, paths, 4096), 4096, 120, 12).count() > 6
+    rows = splitting.split_files(spark, paths, 120, 12, range_bytes=4096).orderBy("piece_no").collect()
+    assert {r.path.rsplit("/", 1)[1] for r in rows} == {"big.txt"} and [r.piece_no for r in rows] == list(range(len(rows)))
+    check_pieces(text, [(r.start_char, r.end_char, r.piece) for r in rows], 120, 12)
+
+
+def test_prefix_sums_over_many_ranges(spark, monkeypatch):
+    monkeypatch.setattr(splitting, "GROUP", 3)
+    rows = [(item, r, (r * 7) % 5) for item in "ab" for r in range(20)]
+    got = {(r.item, r.range_no): r.before_n for r in splitting.offsets_of(spark.createDataFrame(rows, "item string, range_no long, n long"), "item", ["n"]).collect()}
+    assert got == {(item, r): sum((k * 7) % 5 for k in range(r)) for item in "ab" for r in range(20)}
 
 
 # 10: residue
@@ -307,7 +316,8 @@ def test_buckets_of_several_blocks_join_all_pairs(spark):
     rng = np.random.default_rng(3)
     rows = sorted({(int(b), int(c)) for b, c in zip(rng.integers(0, 9, 700), rng.integers(0, 99, 700))})
     rows = [r for r in rows for _ in range(1 + r[1] % 2)]
-    batches = [pa.RecordBatch.from_arrays([pa.array([r[0] for r in part], pa.int64()), pa.array([r[1] for r in part], pa.int64()), pa.array([0] * len(part), pa.int64())], names=["bucket", "class", "sketch"]) for k in range(0, len(rows), 13) for part in [rows[k : k + 13]]]
+    columns = lambda part: {"run": [r[0] for r in part], "bucket": [r[0] for r in part], "salt": [0] * len(part), "salts": [1] * len(part), "class": [r[1] for r in part], "sketch": [0] * len(part)}
+    batches = [pa.RecordBatch.from_pydict({n: pa.array(v, pa.int64()) for n, v in columns(rows[k : k + 13]).items()}) for k in range(0, len(rows), 13)]
     out = [r for batch in near_duplicates._bucket_worker(batches, 10) for r in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "block")))]
     members = defaultdict(list)
     for b, c in sorted(set(rows)):
