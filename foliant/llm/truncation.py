@@ -162,7 +162,9 @@ def ending(text: str | None, block_type: str) -> str:
     return "open"
 
 
-_SENTENCE_END = re.compile(r"(?<=[。！？])|(?<=[.!?])\s+|\n+")
+_SENTENCE_END = re.compile(r"(?<=[。！？])|(?<=[.!?])\s+|\n\s*\n")
+_LINE_END = re.compile(r"\s*\n\s*")
+TOTALS = {True: "\x00ascii", False: "\x00other"}  # keys of the sums over all beginnings of a script
 _NUMBER = re.compile(r"[\d.,]*\d")
 _GOES_ON = ",，。、；：）)%;:."  # what no sentence begins with
 HELD = 200_000  # counts that a task holds before it sends them on
@@ -180,7 +182,7 @@ def last_word(tail: str) -> str:
 
 
 def count_starts(text: str, opening: Counter, inside: Counter, words: Counter) -> None:
-    """Count how often beginnings open a sentence of the text and how often they stand inside one, and its words.
+    """Count how often beginnings open a sentence of the text and how often they stand inside one, and its words. A single line end is no end of a sentence.
 
     The word that a text stops with may be cut, and is no known word."""
     text = text.rstrip()
@@ -191,12 +193,12 @@ def count_starts(text: str, opening: Counter, inside: Counter, words: Counter) -
             continue
         opening[start_key(part)] += 1
         if part.isascii():
-            tokens = part.split(" ")
+            tokens = part.split()
             inside.update(tokens[1:])
             stops = k == len(parts) - 1 and part[-1].isalpha()
             words.update(w.lower().strip(".,;()") for w in (tokens[:-1] if stops else tokens))
         else:
-            flat = _NUMBER.sub("#", part)
+            flat = _NUMBER.sub("#", _LINE_END.sub("", part))
             inside.update(flat[k : k + 3] for k in range(1, len(flat) - 2))
 
 
@@ -206,6 +208,9 @@ def _starts_worker(batches):
 
     def out():
         rows = [(False, k, opening[k], inside[k]) for k in opening.keys() | inside.keys() if k and not (k[0].islower() or k[0].isdecimal() or k[0] in _GOES_ON)]
+        for script, key in TOTALS.items():
+            of = [(o, i) for _, k, o, i in rows if k.isascii() == script]
+            rows.append((False, key, sum(o for o, _ in of), sum(i for _, i in of)))
         rows += [(True, k, n, 0) for k, n in words.items() if k.isascii() and k.isalpha()]
         for x in held:
             x.clear()
@@ -220,21 +225,36 @@ def _starts_worker(batches):
 
 
 def sentence_starts(blocks: DataFrame, asked: DataFrame) -> DataFrame:
-    """word, key, opening, inside of the asked (word, key), counted over all text blocks: of beginnings, and of words (their number is in opening)."""
+    """word, key, opening, inside of the asked (word, key), counted over all text blocks: of beginnings, and of words (their number is in opening). The keys of TOTALS have the sums over all beginnings."""
     texts = blocks.where("block_type = 'text' and raw_content is not null").select("raw_content")
     counts = texts.mapInArrow(_starts_worker, "word boolean, key string, opening long, inside long")
+    asked = asked.unionByName(asked.sparkSession.createDataFrame([(False, k) for k in TOTALS.values()], "word boolean, key string"))
     return counts.join(asked.distinct(), ["word", "key"], "left_semi").groupBy("word", "key").agg(F.sum("opening").alias("opening"), F.sum("inside").alias("inside"))
 
 
-def new_sentence(head: str, tail: str, opening: int, inside: int, known: bool) -> bool:
-    """Whether a block that begins with head opens a sentence, rather than going on after tail; with the counts of its start_key, and whether the last_word of tail is known."""
+def _script(text: str) -> bool | None:
+    """Whether the letters of a text are all ASCII (True) or none is (False)."""
+    letters = [c.isascii() for c in text if c.isalpha()]
+    return letters[0] if letters and len(set(letters)) == 1 else None
+
+
+def new_sentence(head: str, tail: str, opening: int, inside: int, known: bool, odds: float = 1.0) -> bool:
+    """Whether a block that begins with head opens a sentence, rather than going on after tail.
+
+    With the counts of its start_key: a beginning is drawn from the openings of sentences, or from the places inside of them, and the
+    likelier of the two decides; odds is how many inside places there are for each opening. The block's own beginning is counted as an
+    opening and is left out. A text in another script than the one before is no continuation. known: the last_word of tail is known."""
     head = head.strip()
     if not head:
         return True
     if head[0].islower() or head[0] in _GOES_ON:
         return False
-    if opening + inside >= 3:
-        return opening > inside
+    before, after = _script(tail[-12:]), _script(head[:8])
+    if before is not None and after is not None and before != after:
+        return True
+    opening = max(0, opening - 1)
+    if opening + inside:
+        return opening * odds > inside
     if head[0].isascii() and head[0].isdigit():
         return False
     return bool(last_word(tail)) and not known  # unknown beginnings: names
@@ -263,9 +283,11 @@ def cut_values(blocks: DataFrame) -> DataFrame:
     doubtful = cut_lineage(doubtful.withColumn("asked", F.pandas_udf(_asked, "start string, last string")("next_head", "tail")).select("*", "asked.start", "asked.last").drop("asked"))
     asked = doubtful.select(F.lit(False).alias("word"), F.col("start").alias("key")).unionByName(doubtful.select(F.lit(True).alias("word"), F.col("last").alias("key")))
     starts = cut_lineage(sentence_starts(blocks, asked))
+    totals = {r.key: r.inside / max(1, r.opening) for r in starts.where(F.col("key").isin(*TOTALS.values())).collect()}  # two rows
+    odds = F.when(F.col("start").rlike(r"^[\x00-\x7F]*$"), totals.get(TOTALS[True], 1.0)).otherwise(totals.get(TOTALS[False], 1.0))
     doubtful = doubtful.join(starts.where("not word").select(F.col("key").alias("start"), "opening", "inside"), "start", "left")
-    doubtful = doubtful.join(starts.where("word").select(F.col("key").alias("last"), F.lit(True).alias("known")), "last", "left").fillna(0, ["opening", "inside"]).fillna(False, ["known"])
-    doubtful = doubtful.join(at_limit, ["block_id", "field_name"], "left").where(F.coalesce("at_limit", F.lit(False)) | F.pandas_udf(_fresh, "boolean")("next_head", "tail", "opening", "inside", "known"))
+    doubtful = doubtful.join(starts.where("word").select(F.col("key").alias("last"), F.lit(True).alias("known")), "last", "left").fillna(0, ["opening", "inside"]).fillna(False, ["known"]).withColumn("odds", odds)
+    doubtful = doubtful.join(at_limit, ["block_id", "field_name"], "left").where(F.coalesce("at_limit", F.lit(False)) | F.pandas_udf(_fresh, "boolean")("next_head", "tail", "opening", "inside", "known", "odds"))
     names = ["block_id", "field_name", "source", "kind"]
     return placed.where(~F.col("goes_on")).select(*names).unionByName(doubtful.select(*names))
 
@@ -274,8 +296,8 @@ def _asked(heads: pd.Series, tails: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"start": [start_key((h or "").strip()) for h in heads], "last": [last_word(t or "") for t in tails]}, dtype=object)
 
 
-def _fresh(heads: pd.Series, tails: pd.Series, opening: pd.Series, inside: pd.Series, known: pd.Series) -> pd.Series:
-    return pd.Series([new_sentence(h or "", t or "", o, i, k) for h, t, o, i, k in zip(heads, tails, opening, inside, known)], dtype=bool)
+def _fresh(heads: pd.Series, tails: pd.Series, opening: pd.Series, inside: pd.Series, known: pd.Series, odds: pd.Series) -> pd.Series:
+    return pd.Series([new_sentence(h or "", t or "", o, i, k, r) for h, t, o, i, k, r in zip(heads, tails, opening, inside, known, odds)], dtype=bool)
 
 
 def source_rates(blocks: DataFrame) -> DataFrame:

@@ -447,9 +447,12 @@ def test_sentence_starts_count_every_block(spark):
     df = spark.createDataFrame(rows, "block_id string, block_type string, raw_content string")
     asked = spark.createDataFrame([(False, "Zorp"), (False, "Filler"), (False, "None"), (True, "helped"), (True, "gre"), (True, "bank"), (True, "bank")], "word boolean, key string")
     got = {(r.word, r.key): (r.opening, r.inside) for r in truncation.sentence_starts(df, asked).collect()}
+    assert {k: got.pop((False, k)) for k in truncation.TOTALS.values()} == {"\x00ascii": (4 + 4997 + 3 + 3 * 80 + 1, 0), "\x00other": (0, 0)}
     assert got == {(False, "Zorp"): (4, 0), (False, "Filler"): (4997, 0), (True, "helped"): (3, 0), (True, "bank"): (3 + 4997 + 1, 0)}
     assert truncation.new_sentence("Zorp went", "which gre", 4, 0, False) and not truncation.new_sentence("Zorp went", "which gre", 4, 5, False)
-    assert truncation.new_sentence("Zorp went", "which gre", 1, 1, False) and not truncation.new_sentence("Zorp went", "which gre", 1, 1, True)
+    assert truncation.new_sentence("Zorp went", "which gre", 1, 0, False) and not truncation.new_sentence("Zorp went", "which gre", 1, 0, True)  # its own beginning alone tells nothing
+    assert truncation.new_sentence("浔陂银", "以及", 2, 9, False, 50.0) and not truncation.new_sentence("月调查", "，与2", 1, 9, False, 50.0)
+    assert truncation.new_sentence("沅泽农商行", "a change of", 1, 15, True, 50.0)  # another script
 
 
 # 1: scan noise
