@@ -1,12 +1,14 @@
 """Problem 9: passages of evaluation items inside a training corpus.
 
-A positional inverted index over runs of tokens: the index keeps, for the runs that test items have (three words, five characters of
-Chinese), the documents and positions where they stand. Of a document's postings for an item only those are stored that can still
-reach the required share (half for evidence, nearly all for question and answer): a passage that covers share s of L tokens in runs of
-n has at least s*L/n postings, so nothing is lost.
+A positional inverted index over runs of tokens (three words, five characters of Chinese), pruned while it is built: of the corpus' runs
+those are kept that test items have, with document and position, and of a document's postings for an item only those that can still reach
+the required share (half for evidence, nearly all for question and answer) within a band of shifts: a passage that covers share s of L
+tokens in runs of n has at least s*L/n postings there. An index of every run would be many times the corpus.
+
 The lists are intersected after subtracting each run's offset in its item: postings of one passage agree in that difference up to
-small shifts, and fall into the same band (two overlapping sets of bands); a band that cannot reach the share is not stored. The votes for a band are weighted by rarity, the rarest
-runs first; the share of the item's tokens that a band covers decides. Full cover without a shift is an exact phrase.
+small shifts, and fall into the same band (two overlapping sets of bands of BAND shifts, so that passages that drift by more than BAND / 2
+tokens are only found by the part that doesn't). Where several bands of an item cover as much, the one with the rarer runs is taken. The
+share of the item's tokens that a band covers decides. Full cover without a shift is an exact phrase.
 
 Test items are few and fixed; they are taken to the workers in blocks of bounded size. Case, punctuation and line breaks don't
 count; separators inside numbers are dropped. Null texts and empty items match nothing. Texts repeated under several ids are each
@@ -20,6 +22,7 @@ import re
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -53,16 +56,20 @@ def _hash_runs(ids: np.ndarray, n: int) -> np.ndarray:
     return total
 
 
+def _token_hash(token: str) -> int:
+    return xxhash.xxh64_intdigest(token) | 1  # 0 stands for tokens that no item has
+
+
 class Block:
     """Some test items, ready for lookup: item numbers count from ``first``."""
 
     def __init__(self, items: list[list[str]], first: int, shares: list[float]):
-        self.vocabulary = {t: k + 1 for k, t in enumerate(sorted({t for item in items for t in item}))}
+        self.vocabulary = {t: _token_hash(t) for item in items for t in item}  # values, not numbers of a block: a run has one hash in all blocks
         by_n: dict[int, list[tuple[int, int, int]]] = {}
         least = []
         for number, item in enumerate(items):
             n = run_length(item)
-            ids = np.array([self.vocabulary[t] for t in item], np.int64)
+            ids = np.array([self.vocabulary[t] for t in item], np.uint64)
             by_n.setdefault(n, []).extend((int(h), first + number, at) for at, h in enumerate(_hash_runs(ids, n)))
             least.append(max(1, int(np.ceil(shares[number] * len(item) / n - 1e-9))))
         self.first, self.least = first, np.array(least, np.int64)
@@ -80,7 +87,7 @@ class Block:
         for text in texts:
             ids.extend([get(t, 0) for t in tokens(text)])
             starts.append(len(ids))
-        ids, starts = np.array(ids, np.int64), np.array(starts, np.int64)
+        ids, starts = np.array(ids, np.uint64), np.array(starts, np.int64)
         row = np.repeat(np.arange(len(texts)), np.diff(starts))
         out = []
         for n, (keys, begin, item, offset) in self.lists.items():

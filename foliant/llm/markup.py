@@ -311,7 +311,19 @@ def host_paths(texts: DataFrame, least_density: float = 0.5) -> DataFrame:
 
 
 BROADCAST_BYTES = 16 << 20
-MAX_PATHS = 500  # of losing paths kept for one host, by text; the rest of a host with more is extracted whole
+
+
+def _paths_worker(batches):
+    """The container paths of each HTML value."""
+    names = ["record_kind", "record_id", "field_name", "host"]
+    for batch in batches:
+        rows, paths = [], []
+        for k, value in enumerate(batch.column("value").to_pylist()):
+            found = list(container_scores(value)) if "<" in value and TAG.search(value) else []
+            rows += [k] * len(found)
+            paths += found
+        at = pa.array(rows, pa.int64())
+        yield pa.RecordBatch.from_arrays([*(batch.column(c).take(at) for c in names), pa.array(paths, pa.string())], names=[*names, "path"])
 
 
 def _extract_worker(batches):
@@ -331,16 +343,22 @@ def _extract_worker(batches):
         yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.string()) for k in range(5)], names=names)
 
 
-def extracted(blocks: DataFrame, vlm: DataFrame) -> DataFrame:
-    """record_kind, record_id, field_name, dialects, clean of every value, extracted with the winning paths of its host.
+def _with_losing_paths(texts: DataFrame, lost: DataFrame) -> DataFrame:
+    """texts with losing, the losing paths that a value may hold: those of its host where all hosts' are measured to be at most BROADCAST_BYTES, else those of its own paths that lose."""
+    lost = cut_lineage(lost.select("host", "path"))
+    size = lost.agg(F.sum(F.length("host") + F.length("path") + 16)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        return texts.join(F.broadcast(lost.groupBy("host").agg(F.collect_list("path").alias("losing"))), "host", "left")
+    key = ["record_kind", "record_id", "field_name"]
+    own = texts.select(*key, "host", "value").mapInArrow(_paths_worker, "record_kind string, record_id string, field_name string, host string, path string")
+    own = own.join(lost, ["host", "path"], "left_semi").groupBy(*key).agg(F.collect_set("path").alias("losing"))  # of one value's paths
+    return texts.join(own, key, "left")
+
 
-    One row per host holds the few losing paths. They are written first; measured to be at most BROADCAST_BYTES they are broadcast, else joined by
-    shuffle, where a hot host is left to AQE's skew handling."""
+def extracted(blocks: DataFrame, vlm: DataFrame) -> DataFrame:
+    """record_kind, record_id, field_name, dialects, clean of every value, extracted with the winning paths of its host."""
     texts = values(blocks, vlm)
-    lost = host_paths(texts).where("not winning").groupBy("host").agg(F.slice(F.sort_array(F.collect_list(F.struct("n_chars", "path")), False), 1, MAX_PATHS).alias("l"))
-    lost = cut_lineage(lost.select("host", F.transform("l", lambda x: x["path"]).alias("losing")))
-    size = lost.agg(F.sum(F.length("host") + F.aggregate("losing", F.lit(0), lambda a, x: a + F.length(x)))).first()[0] or 0
-    joined = texts.join(F.broadcast(lost) if size <= BROADCAST_BYTES else lost, "host", "left").select("record_kind", "record_id", "field_name", "value", "losing")
+    joined = _with_losing_paths(texts, host_paths(texts).where("not winning")).select("record_kind", "record_id", "field_name", "value", "losing")
     return joined.mapInArrow(_extract_worker, "record_kind string, record_id string, field_name string, dialects string, clean string")
 
 

@@ -18,7 +18,8 @@ import functools
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import SparkFiles
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliant.session import cut_lineage
@@ -28,34 +29,40 @@ PATTERNS_PER_CLASS, MAX_DOCUMENTS = 16, 8
 TOKENIZER = "byte_bpe_50k.tiktoken"
 
 
-def tokenizer_path(name: str = TOKENIZER) -> str:
-    """Where the vocabulary file is: as given if it is a path, else in the installed public tokenizers."""
-    if "/" in name:
-        return name
-    try:
-        import public_tokenizers
+FOLDER = "/opt/tokenizers"  # where names without a folder are looked for; a parameter
+# Fixed value: how the vocabulary's own tokenizer parts texts.
+PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 
-        return str(public_tokenizers.path(name))
-    except ImportError:
-        return f"/opt/tokenizers/{name}"
+
+def tokenizer_path(name: str = TOKENIZER, folder: str = FOLDER) -> str:
+    """Where the vocabulary file is on the driver: as given if it is a path, else in the folder."""
+    return name if "/" in name else f"{folder}/{name}"
+
+
+def ship_tokenizer(spark: SparkSession, path: str) -> str:
+    """Send the vocabulary file to the executors once per application; its name there."""
+    name = path.rsplit("/", 1)[1]
+    if (spark.sparkContext.applicationId, path) not in _sent:
+        _sent.add((spark.sparkContext.applicationId, path))
+        spark.sparkContext.addFile(path)
+    return name
+
+
+_sent: set[tuple[str, str]] = set()
 
 
 @functools.lru_cache(4)
-def _encoder(path: str):
+def _encoder(name: str):
     import tiktoken
 
-    with open(path, "rb") as f:
+    with open(SparkFiles.get(name), "rb") as f:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
-    try:
-        from public_tokenizers import PATTERN
-    except ImportError:
-        PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
     return tiktoken.Encoding("own", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def _size_worker(path: str):
+def _size_worker(name: str):
     def run(batches):
-        encoder = _encoder(path)
+        encoder = _encoder(name)
         for batch in batches:
             sizes = [max(1, len(encoder.encode_ordinary(t))) if t else 1 for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(sizes, pa.int64())], names=["doc_id", "n_tokens"])
@@ -66,7 +73,7 @@ def _size_worker(path: str):
 def token_sizes(documents: DataFrame, tokenizer: str = TOKENIZER) -> DataFrame:
     """doc_id, n_tokens."""
     kind = documents.schema["doc_id"].dataType.simpleString()
-    return documents.select("doc_id", "text").mapInArrow(_size_worker(tokenizer_path(tokenizer)), f"doc_id {kind}, n_tokens long")
+    return documents.select("doc_id", "text").mapInArrow(_size_worker(ship_tokenizer(documents.sparkSession, tokenizer_path(tokenizer))), f"doc_id {kind}, n_tokens long")
 
 
 # the plan, in numpy on the driver
@@ -233,7 +240,7 @@ def pack(documents: DataFrame, capacity: int = CAPACITY, tokenizer: str = TOKENI
     items = cut_lineage(items.select("doc_id", "piece_no", F.least(F.lit(capacity).cast("long"), F.col("total") - F.col("piece_no") * capacity).alias("n_tokens")))
     histogram = {r.n_tokens: r.n for r in items.groupBy("n_tokens").agg(F.count("*").alias("n")).collect()}  # at most ``capacity`` rows
     placement = Placement(plan(histogram, capacity))
-    salts = max(1, min(4096, -(-sum(histogram.values()) // rows_per_salt)))
+    salts = max(1, -(-sum(histogram.values()) // rows_per_salt))
     salted = items.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece_no"), F.lit(salts)))
     classed = salted.mapInArrow(_class_worker(capacity), f"doc_id {kind}, piece_no long, n_tokens long, salt long, class long")
     counts = classed.groupBy("class", "salt").agg(F.count("*").alias("n"))

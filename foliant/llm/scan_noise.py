@@ -29,7 +29,6 @@ from foliant.llm.sampling import hash_sample
 FIT_ROWS = 2000
 LEAST_SHARE, LEAST_COUNT = 1e-5, 5
 ITEM_PENALTY = 8.0
-LONGEST_TOKEN = 80  # longer runs of letters are no misread words
 STATES = ("header", "body", "break")
 
 # What scans confuse, as read and as meant.
@@ -156,7 +155,7 @@ def taught_labels(raw: str, repaired: str) -> list[tuple[tuple, int]]:
 
 def fit(blocks: DataFrame, rows: int = FIT_ROWS) -> LineModel:
     """The line model, fitted on the ``rows`` blocks of several lines with a repaired reading whose hashed id is least."""
-    taught = blocks.where("block_type in ('text', 'footnote') and raw_content <> resolved_content and resolved_content <> '' and length(raw_content) < 4000 and instr(raw_content, '\n') > 0")
+    taught = blocks.where("block_type in ('text', 'footnote') and raw_content <> resolved_content and resolved_content <> '' and instr(raw_content, '\n') > 0")
     taught = hash_sample(taught.select("block_id", "raw_content", "resolved_content"), "block_id", rows)
     counts: Counter = Counter()
     for row in taught.collect():  # at most ``rows``
@@ -196,12 +195,27 @@ def _count_worker(batches):
         yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(keys, pa.string()), pa.array([*words.values(), *grams.values()], pa.int64())], names=["kind", "entry", "n"])
 
 
+def respelled(form: str) -> set[str]:
+    """What a form becomes by one confusion, at one place or at all places."""
+    out = set()
+    for pair in LATIN_CONFUSIONS:
+        seen, meant = pair.split(":")
+        at = form.find(seen)
+        if at >= 0:
+            out.add(form.replace(seen, meant))
+        while at >= 0:
+            out.add(form[:at] + meant + form[at + len(seen) :])
+            at = form.find(seen, at + 1)
+    return out
+
+
 class Lexicon:
     """Frequent words and trigrams."""
 
     def __init__(self, words: dict[str, int], grams: dict[str, int]):
         self.words, self.grams = words, grams
         self.known: dict[str, str | None] = {}
+        self.longest = max(map(len, words), default=0)
 
     def meant_word(self, token: str) -> str | None:
         """The frequent word that a token was misread or run together from (words then apart), or None."""
@@ -212,28 +226,18 @@ class Lexicon:
         return self.known[token]
 
     def _meant_word(self, token: str) -> str | None:
+        """One confusion is tried before two. Each halves a form's length at most, so that tokens of over four times the longest word need no look; nor, to be put apart into six words, those of over six times."""
         low = token.lower()
-        if low in self.words or len(low) > LONGEST_TOKEN:
+        if low in self.words:
             return None
-        level = {low}
+        forms = {low} if len(low) <= 4 * self.longest else set()
         for _ in range(2):
-            more = set()
-            for form in level:
-                for pair in LATIN_CONFUSIONS:
-                    seen, meant = pair.split(":")
-                    at = form.find(seen)
-                    if at < 0:
-                        continue
-                    more.add(form.replace(seen, meant))
-                    while at >= 0:
-                        more.add(form[:at] + meant + form[at + len(seen) :])
-                        at = form.find(seen, at + 1)
-            hit = [w for w in more if w in self.words and len(w) >= 3]
+            forms = set().union(*map(respelled, forms))
+            hit = [w for w in forms if w in self.words and len(w) >= 3]
             if hit:
                 word = max(hit, key=lambda w: (self.words[w], w))
                 return word.capitalize() if token[:1].isupper() else word
-            level = more if len(more) <= 60 else set(sorted(more)[:60])
-        return self._apart(low) if len(low) >= 6 and low.isalpha() else None
+        return self._apart(low) if 6 <= len(low) <= 6 * self.longest and low.isalpha() else None
 
     def _apart(self, low: str) -> str | None:
         best: list[tuple[int, list[str]] | None] = [None] * (len(low) + 1)

@@ -366,6 +366,10 @@ def test_leakage(spark):
     assert got == {(1, "Q1"), (2, "Q1"), (4, "Q1"), (5, "Q2"), (7, "Q1"), (12, "Q1")}
     exact = {(r.doc_id, r.question_id) for r in leakage.passage_matches(spark, df, questions).where("exact_phrase and part = 'evidence'").collect()}
     assert exact == {(1, "Q1"), (5, "Q2")}  # in 12 a word is glued to the first
+    before = leakage.BLOCK_TOKENS
+    leakage.BLOCK_TOKENS = 8  # several blocks of items give the same
+    assert {tuple(r) for r in leakage.leaked(spark, df, questions).collect()} == got
+    leakage.BLOCK_TOKENS = before
     assert leakage.leaked(spark, df, questions.limit(0)).count() == 0 and leakage.leaked(spark, df.limit(0), questions).count() == 0
 
 
