@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from foliant import schemas
 from foliant.functions import text as T
-from foliant.operators import chunks, evaluation, layout, quality, retrieval
+from foliant.operators import chunks, evaluation, layout, quality, retrieval, tables
 from foliant.options import Options
 from foliant.session import cut_lineage
 from foliant.sinks import stores
@@ -70,12 +70,13 @@ def _blocks(spark: SparkSession, a):
 
 
 def rechunk(spark: SparkSession, a) -> int:
-    """Reading order, sections and chunks anew from the stored blocks."""
+    """Reading order, tables that go on over pages, sections and chunks anew from the stored blocks."""
     options = Options(text_size=a.size, text_overlap=a.overlap, table_row_group=a.row_group)
     blocks, pages = _blocks(spark, a)
     context = cut_lineage(layout.table_context(blocks, pages))
     order = layout.reading_order(blocks, pages, context).select("block_id", F.col("place").cast("int").alias("reading_order"), F.col("column_index").cast("int"))
     blocks = blocks.drop("reading_order", "column_index", "position").join(order, "block_id", "left").withColumn("position", F.coalesce("reading_order", F.lit(1 << 20)))
+    blocks = tables.with_merged_tables(cut_lineage(blocks), pages)  # from the first readings each time, so that an unsafe merge never stays
     carried = layout.carried_over(blocks, pages).select("block_id", F.lit(True).alias("again"))
     blocks = cut_lineage(blocks.join(carried, "block_id", "left").withColumn("skip_chunk", F.coalesce("skip_chunk", F.lit(False)) | F.col("again").isNotNull()).drop("again"))
     paths = layout.section_paths(blocks, context).select("block_id", F.when(F.length("section_path") > 0, F.split("section_path", " / ")).alias("section_path"))
@@ -111,22 +112,36 @@ def index_chunks(spark: SparkSession, a) -> int:
     return 0
 
 
+def _found(spark: SparkSession, a, asked, limit: int):
+    """The hybrid results for asked (query_id, query) over stored chunks: with the vectors of --vectors and --query-vectors, or hashed terms where none are given."""
+    corpus = spark.read.parquet(a.chunks)
+    if bool(a.vectors) != bool(a.query_vectors):
+        raise SystemExit("--vectors and --query-vectors go together")
+    if a.vectors:
+        vectors = spark.read.parquet(a.vectors).select("chunk_id", F.col("dense_vector").alias("vector"))
+        own = spark.read.parquet(a.query_vectors).select("query_id", "vector")
+    else:
+        vectors, own = retrieval.hashed_vectors(corpus, "chunk_id", "display_text"), retrieval.hashed_vectors(asked, "query_id", "query")
+    relevance = spark.read.parquet(a.relevance) if a.relevance else None
+    return retrieval.hybrid_search(spark, asked.join(own, "query_id", "left"), corpus, vectors, limit, relevance, a.document or None, a.type or None)
+
+
 def eval_retrieval(spark: SparkSession, a) -> int:
-    """Metrics of the lexical ranking for the questions."""
+    """Metrics of the hybrid search for the questions; written to --out where that is given."""
     questions = spark.read.parquet(f"{a.tables}/questions.parquet")
-    corpus = spark.read.parquet(a.chunks)
-    ranked = retrieval.lexical_ranks(questions.select(F.col("id").alias("query_id"), F.col("question").alias("query")), corpus, "chunk_id", "display_text", 10)
-    results = ranked.join(corpus, "chunk_id").select(F.col("query_id").alias("id"), F.col("lexical_rank").alias("rank"), F.col("display_text").alias("text"), "page_start", "page_end")
-    retrieval.metric_groups(retrieval.prefix_metrics(questions, results)).orderBy("grouped_by", "value", "k").show(200, False)
+    found = _found(spark, a, questions.select(F.col("id").alias("query_id"), F.col("question").alias("query")), 10)
+    results = found.select(F.col("query_id").alias("id"), "rank", "text", "page_start", "page_end")
+    metrics = cut_lineage(retrieval.prefix_metrics(questions, results))
+    if a.out:
+        metrics.write.mode("overwrite").parquet(a.out)
+    retrieval.metric_groups(metrics).orderBy("grouped_by", "value", "k").show(200, False)
     return 0
 
 
 def query(spark: SparkSession, a) -> int:
     """The best chunks for one question."""
-    corpus = spark.read.parquet(a.chunks)
-    asked = spark.createDataFrame([("q", a.text)], "query_id string, query string")
-    ranked = retrieval.lexical_ranks(asked, corpus, "chunk_id", "display_text", a.limit)
-    ranked.join(corpus, "chunk_id").orderBy("lexical_rank").select("lexical_rank", "lexical_score", "document_id", "page_start", T.collapse(F.substring("display_text", 1, 120)).alias("text")).show(a.limit, False)
+    found = _found(spark, a, spark.createDataFrame([("q", a.text)], "query_id string, query string"), a.limit)
+    found.orderBy("rank").select("rank", F.round("final_score", 4).alias("score"), F.array_join("sources", "+").alias("sources"), "document_id", "page_start", T.collapse(F.substring("text", 1, 120)).alias("text")).show(a.limit, False)
     return 0
 
 
@@ -146,8 +161,9 @@ def parser() -> argparse.ArgumentParser:
     job(rechunk, tables=None, out=None, size=1200, overlap=120, row_group=6)
     job(audit_chunks, chunks=None)
     job(index_chunks, chunks=None, vectors=None, out=None)
-    job(eval_retrieval, tables=None, chunks=None)
-    job(query, chunks=None, text=None, limit=8)
+    search = {"vectors": "", "query_vectors": "", "relevance": "", "document": "", "type": ""}
+    job(eval_retrieval, tables=None, chunks=None, out="", **search)
+    job(query, chunks=None, text=None, limit=8, **search)
     return p
 
 

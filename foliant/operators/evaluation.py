@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from foliant.functions import text as T
 from foliant.options import DEFAULT
-from foliant.plans.order import document_order
 
 BAD_SECTION = r"^(?:单位|币种)[：:]|^(?:续)?(?:附表|表|图)\s*\d+|^续表$"
 
@@ -42,11 +43,27 @@ def exact_duplicates(chunks: DataFrame) -> DataFrame:
     return chunks.withColumn("flat", flat).where(F.length("flat") > 0).groupBy(F.sha2("flat", 256).alias("text_hash")).agg(F.count("*").alias("n_chunks"), F.min("chunk_id").alias("first_id")).where("n_chunks > 1")
 
 
-def order_regressions(chunks: DataFrame, order: list[str]) -> DataFrame:
-    """document_id, n_start, n_end: how often the first or last page decreases along a document in the given order."""
-    w = Window.partitionBy("document_id").orderBy(*order)
-    back = chunks.select("document_id", (F.lag("page_start").over(w) > F.col("page_start")).alias("s"), (F.lag("page_end").over(w) > F.col("page_end")).alias("e"))
-    return back.groupBy("document_id").agg(F.count_if("s").alias("n_start"), F.count_if("e").alias("n_end"))
+REGRESSION_ROWS = 4096  # rows of a document that a task puts in order at once, about
+
+
+def order_regressions(chunks: DataFrame, order: str = "chunk_id") -> DataFrame:
+    """document_id, n_start, n_end: how often the first or last page decreases along a document in the order of a hashed id.
+
+    A document is cut into ranges of its ids by their leading digits, as many as its rows ask for; each range is put in order by itself,
+    and the last row of a range meets the first of the next in a window over one row a range. Null pages make no decrease."""
+    size = chunks.groupBy("document_id").agg(F.count("*").alias("_rows"))
+    digits = F.least(F.lit(8), F.ceil(F.log(F.greatest(F.lit(1.0), F.col("_rows") / REGRESSION_ROWS)) / math.log(16.0)).cast("int"))
+    rows = chunks.select("document_id", order, "page_start", "page_end").join(size.select("document_id", digits.alias("_digits")), "document_id")
+    rows = rows.withColumn("_range", F.substring(F.col(order), F.lit(1), F.col("_digits")))
+    inner = Window.partitionBy("document_id", "_range").orderBy(order)
+    here = F.struct("page_start", "page_end")
+    rows = rows.withColumn("_ahead", F.lag(here).over(inner))
+    fell = lambda c: (F.col(f"_ahead.{c}") > F.col(c)).cast("int")
+    by = rows.groupBy("document_id", "_range").agg(F.count_if(fell("page_start") == 1).alias("s"), F.count_if(fell("page_end") == 1).alias("e"), F.min_by(here, order).alias("first"), F.max_by(here, order).alias("last"))
+    before = F.lag("last").over(Window.partitionBy("document_id").orderBy("_range"))
+    by = by.withColumn("before", before)
+    step = lambda c: F.coalesce((F.col(f"before.{c}") > F.col(f"first.{c}")).cast("long"), F.lit(0))
+    return by.groupBy("document_id").agg(F.sum(F.col("s") + step("page_start")).alias("n_start"), F.sum(F.col("e") + step("page_end")).alias("n_end"))
 
 
 def chunk_audit(chunks: DataFrame, target: int = DEFAULT.text_size) -> DataFrame:
@@ -75,11 +92,10 @@ def chunk_audit(chunks: DataFrame, target: int = DEFAULT.text_size) -> DataFrame
 
 def export_summary(chunks: DataFrame) -> DataFrame:
     """dimension, value, n: chunks by role, modality and state in one pass (grouping sets)."""
-    chunks.createOrReplaceTempView("foliant_export_chunks")
-    return chunks.sparkSession.sql("""
-        select case when grouping(chunk_role) = 0 then 'role' when grouping(block_type) = 0 then 'modality' else 'state' end as dimension,
-               coalesce(chunk_role, block_type, embedding_state, 'unknown') as value, count(*) as n
-        from foliant_export_chunks group by grouping sets ((chunk_role), (block_type), (embedding_state))""")
+    role, kind, state = F.col("chunk_role"), F.col("block_type"), F.col("embedding_state")
+    dimension = F.when(F.grouping("chunk_role") == 0, "role").when(F.grouping("block_type") == 0, "modality").otherwise("state")
+    out = chunks.groupingSets([[role], [kind], [state]], role, kind, state).agg(dimension.alias("dimension"), F.count("*").alias("n"))
+    return out.select("dimension", F.coalesce("chunk_role", "block_type", "embedding_state", F.lit("unknown")).alias("value"), "n")
 
 
 def export_validation(chunks: DataFrame) -> DataFrame:
@@ -100,8 +116,3 @@ def structure_summary(blocks: DataFrame, sections: DataFrame, context: DataFrame
     marks = blocks.select("document_id", "page_no", "block_id").join(sections.where("is_heading").select("block_id", F.lit(1).alias("h")), "block_id", "left")
     marks = marks.join(context.select(F.col("context_id").alias("block_id"), F.lit(1).alias("t")), "block_id", "left").join(carried.select("block_id", F.lit(1).alias("d")), "block_id", "left")
     return marks.groupBy("document_id").agg(F.count_distinct("page_no").alias("n_pages"), F.count("h").alias("n_headings"), F.count("t").alias("n_table_context"), F.count("d").alias("n_carried"))
-
-
-def ordered_chunks(chunks: DataFrame) -> DataFrame:
-    """Stored chunks with their order in the document."""
-    return document_order(chunks, "document_id", "page_start", ["page_end", "chunk_id"])

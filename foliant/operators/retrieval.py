@@ -4,8 +4,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from foliant.functions import text as T
 from foliant.options import DEFAULT
@@ -42,72 +44,148 @@ def lexical_ranks(queries: DataFrame, corpus: DataFrame, key: str, field: str, l
     return scored.withColumn("lexical_rank", F.row_number().over(w)).where(F.col("lexical_rank") <= limit).select(query_key, key, "lexical_score", "lexical_rank")
 
 
-def _top_worker(ids: np.ndarray, matrix: np.ndarray, limit: int):
-    norms = np.linalg.norm(matrix, axis=1)
+SLICE_ROWS = 2048  # corpus vectors compared at once
+SCALE = 1_000_000  # similarities have six digits
 
+
+def _vectors(column: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """(the rows of a list column with vectors of a length, these vectors), from the flat buffer."""
+    lengths = pc.fill_null(pc.list_value_length(column), -1).to_numpy(zero_copy_only=False)
+    rows = np.flatnonzero(lengths == size)
+    kept = column if len(rows) == len(column) else column.take(pa.array(rows))
+    return rows, pc.fill_null(kept.flatten(), 0).to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)
+
+
+def _best(score: np.ndarray, keys: pa.Array, limit: int) -> tuple[np.ndarray, np.ndarray]:
+    """(scores, places in keys) of the best ``limit`` of each row; of equal scores the smallest keys. score holds whole numbers."""
+    n = score.shape[1]
+    place = np.empty(n, np.int64)
+    place[pc.sort_indices(keys).to_numpy()] = np.arange(n)  # by value
+    order = score * n + (n - 1 - place)  # all different
+    if n > limit:
+        top = np.argpartition(order, n - limit, axis=1)[:, n - limit :]
+    else:
+        top = np.broadcast_to(np.arange(n), score.shape)
+    return np.take_along_axis(score, top, 1), top
+
+
+def _top_worker(queries, limit: int, kind: pa.DataType):
     def run(batches):
-        best: list[tuple[np.ndarray, np.ndarray]] | None = None
+        ids, matrix = queries.value
+        norms = np.linalg.norm(matrix, axis=1)
+        best = None  # (scores, keys) with one row a query, at most ``limit`` columns
         for batch in batches:
-            lists = batch.column("vector")
-            sizes = np.diff(lists.offsets.to_numpy())
-            fits = sizes == matrix.shape[1]
-            if not fits.any():
-                continue
-            keys = batch.column("key").to_numpy(zero_copy_only=False)[fits].astype(np.int64)
-            rows = np.stack([np.asarray(v, np.float64) for v in lists.filter(pa.array(fits)).to_pylist()])
-            length = np.linalg.norm(rows, axis=1)
-            product = matrix @ rows.T
-            scale = norms[:, None] * length[None, :]
-            score = np.round(np.divide(product, scale, out=np.zeros_like(product), where=scale > 0), 6)
-            if best is not None:
-                keys, score = np.concatenate([best[0][0], keys]), np.concatenate([best[0][1], score], axis=1)
-                # the kept columns of each query differ: keep a union, bounded by limit per query
-            order = np.lexsort((np.broadcast_to(keys, score.shape), -score), axis=1)[:, :limit]
-            kept = np.unique(order)
-            best = [(keys[kept], score[:, kept])]
+            for start in range(0, len(batch), SLICE_ROWS):
+                part = batch.slice(start, SLICE_ROWS)
+                rows, vectors = _vectors(part.column("vector"), matrix.shape[1])
+                if not len(rows):
+                    continue
+                product, scale = matrix @ vectors.T, norms[:, None] * np.linalg.norm(vectors, axis=1)[None, :]
+                cosine = np.divide(product, scale, out=np.zeros_like(product), where=scale > 0)
+                keys = part.column("key").take(pa.array(rows))
+                score, top = _best(np.round(cosine * SCALE).astype(np.int64) + SCALE, keys, limit)
+                found = np.array(keys.to_pylist(), object)[top]
+                if best is not None:
+                    score, found = np.concatenate([best[0], score], axis=1), np.concatenate([best[1], found], axis=1)
+                    if score.shape[1] > limit:  # at most twice ``limit`` columns: put in order by score, then key
+                        keep = np.array([sorted(range(len(s)), key=lambda i, s=s, f=f: (-s[i], f[i]))[:limit] for s, f in zip(score.tolist(), found)])
+                        score, found = np.take_along_axis(score, keep, 1), np.take_along_axis(found, keep, 1)
+                best = score, found
         if best is None:
             return
-        keys, score = best[0]
-        order = np.lexsort((np.broadcast_to(keys, score.shape), -score), axis=1)[:, :limit]
-        q = np.repeat(np.arange(len(ids)), order.shape[1])
-        yield pa.RecordBatch.from_arrays([pa.array(ids[q]), pa.array(keys[order.ravel()]), pa.array(score[q, order.ravel()])], names=["query_id", "key", "similarity"])
+        score, found = best
+        q = np.repeat(np.arange(len(ids)), score.shape[1])
+        yield pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(found.ravel().tolist(), kind), pa.array((score.ravel() - SCALE) / SCALE)], names=["q", "key", "similarity"])
 
     return run
 
 
 def dense_ranks(spark: SparkSession, queries: DataFrame, corpus: DataFrame, limit: int) -> DataFrame:
-    """query_id, key, similarity (cosine, 6 digits), dense_rank: exact search of (query_id, vector) rows over (key, vector) rows.
+    """query_id, key, similarity (cosine, 6 digits), dense_rank: exact search of (query_id, vector) rows over (key, vector) rows; ids and keys of any type.
 
-    The stated query set is taken in blocks of QUERY_BLOCK vectors; each partition of the corpus returns its best ``limit`` per query,
-    so that only partitions * limit rows per query are shuffled. Vectors of another length or of norm 0 have no match or similarity 0."""
+    The stated query set is taken in blocks of QUERY_BLOCK vectors, each a broadcast variable of bounded size; every partition of the
+    corpus keeps ``limit`` rows a query, so that only partitions * limit rows per query are shuffled. Null vectors and those of another
+    length than the query have no match; where a norm is 0 the similarity is 0. Equal similarities go by key."""
+    key = corpus.schema["key"].dataType
+    kind, name = to_arrow_type(key), key.simpleString()
     out = None
-    block: list[tuple[int, list[float]]] = []
-
-    def search(block):
+    for block in _blocks_of(queries.select("query_id", "vector").where("vector is not null").toLocalIterator(), QUERY_BLOCK):
         by_size: dict[int, list] = {}
         for i, v in block:
-            if v:
-                by_size.setdefault(len(v), []).append((i, v))
-        frames = []
+            by_size.setdefault(len(v), []).append((i, v))
         for rows in by_size.values():
-            ids, matrix = np.array([i for i, _ in rows], np.int64), np.array([v for _, v in rows], np.float64)
-            frames.append(corpus.mapInArrow(_top_worker(ids, matrix, limit), "query_id long, key long, similarity double"))
-        return frames
-
-    for row in queries.select("query_id", "vector").toLocalIterator():
-        block.append((row.query_id, row.vector))
-        if len(block) == QUERY_BLOCK:
-            for f in search(block):
-                out = f if out is None else out.unionByName(f)
-            block = []
-    for f in search(block):
-        out = f if out is None else out.unionByName(f)
+            ids = [i for i, _ in rows]
+            sent = spark.sparkContext.broadcast((list(range(len(ids))), np.array([v for _, v in rows], np.float64)))
+            found = corpus.select("key", "vector").mapInArrow(_top_worker(sent, limit, kind), f"q long, key {name}, similarity double")
+            who = spark.createDataFrame(list(enumerate(ids)), f"q long, query_id {queries.schema['query_id'].dataType.simpleString()}")
+            found = found.join(F.broadcast(who), "q").select("query_id", "key", "similarity")  # a row for each query of the block
+            out = found if out is None else out.unionByName(found)
     if out is None:
-        out = spark.createDataFrame([], "query_id long, key long, similarity double")
+        out = spark.createDataFrame([], f"query_id {queries.schema['query_id'].dataType.simpleString()}, key {name}, similarity double")
     w = Window.partitionBy("query_id").orderBy(F.desc("similarity"), "key")
     return out.withColumn("dense_rank", F.row_number().over(w)).where(F.col("dense_rank") <= limit)
 
 
+def _blocks_of(rows, size: int):
+    block = []
+    for row in rows:
+        block.append((row.query_id, row.vector))
+        if len(block) == size:
+            yield block
+            block = []
+    if block:
+        yield block
+
+
+HASHED_DIM = 64
+
+
+def hashed_vectors(df: DataFrame, key: str, text: str, dim: int = HASHED_DIM) -> DataFrame:
+    """key, vector: the text's lexical terms hashed into ``dim`` signed counts; the dense side where no embedding model is at hand. A text without terms has a vector of zeros."""
+    numbers = F.transform(T.lexical_terms(F.col(text)), lambda t: F.conv(F.substring(F.md5(t.cast("binary")), 1, 7), 16, 10).cast("int"))
+    kind = df.schema[key].dataType.simpleString()
+
+    def run(batches):
+        for batch in batches:
+            lists = batch.column("h")
+            h = lists.flatten().to_numpy(zero_copy_only=False)
+            row = np.repeat(np.arange(len(batch)), pc.list_value_length(lists).to_numpy(zero_copy_only=False))
+            out = np.bincount(row * dim + h % dim, 1.0 - 2.0 * (h // dim % 2), len(batch) * dim).astype(np.float32)
+            offsets = pa.array(np.arange(0, len(out) + 1, dim, dtype=np.int32))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.ListArray.from_arrays(offsets, pa.array(out))], names=[key, "vector"])
+
+    return df.select(key, numbers.alias("h")).mapInArrow(run, f"{key} {kind}, vector array<float>")
+
+
+def pools(limit: int) -> tuple[int, int]:
+    """How many candidates the dense and the lexical search give for a number of results."""
+    return max(6 * limit, 60), max(3 * limit, 30)
+
+
+def hybrid_search(spark: SparkSession, queries: DataFrame, chunks: DataFrame, vectors: DataFrame, limit: int = DEFAULT.result_limit, relevance: DataFrame | None = None, document_id: str | None = None, block_type: str | None = None) -> DataFrame:
+    """The results of each query (query_id, query, vector): query_id, chunk_id, rank, final_score, relevance, rerank_position, dense_rank, lexical_rank, rrf, sources and the chunk's columns.
+
+    Dense and lexical candidates are united and their ranks fused; all are reranked, by relevance (query_id, chunk_id, relevance) where a
+    reranker's answers are given, else by the fused score, scaled; ranks that agree add a little, and of one parent only a few are shown.
+    document_id and block_type restrict both searches. vectors: chunk_id, vector."""
+    for name, value in (("document_id", document_id), ("block_type", block_type)):
+        chunks = chunks if value is None else chunks.where(F.col(name) == value)
+    n_dense, n_lexical = pools(limit)
+    corpus = vectors if document_id is None and block_type is None else vectors.join(chunks.select("chunk_id"), "chunk_id", "left_semi")
+    dense = dense_ranks(spark, queries, corpus.select(F.col("chunk_id").alias("key"), "vector"), n_dense).withColumnRenamed("key", "chunk_id")
+    fused = cut_lineage(fuse(dense, lexical_ranks(queries, chunks, "chunk_id", "display_text", n_lexical), ["query_id", "chunk_id"]))  # a bounded number of rows a query
+    wanted = fused.select("chunk_id").distinct()
+    about = chunks.join(wanted, "chunk_id", "left_semi").select("chunk_id", "document_id", "chunk_role", F.coalesce("parent_id", "chunk_id").alias("parent"), "page_start", "page_end", F.col("display_text").alias("text"))
+    rows = fused.join(about, "chunk_id").withColumn("document_order", F.col("chunk_id"))
+    if relevance is None:
+        rows = rows.withColumn("relevance", F.round(F.col("rrf") * 10, 6))
+    else:
+        rows = rows.join(relevance.select("query_id", "chunk_id", "relevance"), ["query_id", "chunk_id"], "left").fillna(0.0, ["relevance"])
+    rows = rows.withColumn("rerank_position", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("relevance"), "chunk_id")))
+    rows = rows.withColumn("sources", F.array_compact(F.array(F.when(F.col("dense_rank").isNotNull(), "dense"), F.when(F.col("lexical_rank").isNotNull(), "lexical"))))
+    return final_order(rows, limit=limit)
+
+
 def fuse(dense: DataFrame, lexical: DataFrame, keys: list[str]) -> DataFrame:
     """The union of two rankings: keys, dense_rank, lexical_rank, rrf."""
     k = DEFAULT.rrf_constant
@@ -164,13 +242,12 @@ def prefix_metrics(questions: DataFrame, results: DataFrame, ks: tuple[int, ...]
 
 
 def metric_groups(metrics: DataFrame) -> DataFrame:
-    """Rates per k overall, by modality and by difficulty (grouping sets)."""
-    metrics.createOrReplaceTempView("foliant_prefix_metrics")
-    return metrics.sparkSession.sql("""
-        select k, case when grouping(modality) = 0 then 'modality' when grouping(difficulty) = 0 then 'difficulty' else 'overall' end as grouped_by,
-               coalesce(modality, difficulty, 'all') as value, count(*) as n_questions,
-               round(count_if(page_hit) / greatest(1, count(page_hit)), 4) as page_hit_rate,
-               round(avg(cast(content_success as double)), 4) as content_success_rate,
-               round(avg(cast(grounded as double)), 4) as grounded_rate,
-               round(avg(cast(strict_success as double)), 4) as strict_rate
-        from foliant_prefix_metrics group by grouping sets ((k), (k, modality), (k, difficulty))""")
+    """k, grouped_by, value, n_questions and rates per k overall, by modality and by difficulty (grouping sets)."""
+    k, modality, difficulty = F.col("k"), F.col("modality"), F.col("difficulty")
+    rate = lambda c: F.round(F.avg(F.col(c).cast("double")), 4)
+    kind = F.when(F.grouping("modality") == 0, "modality").when(F.grouping("difficulty") == 0, "difficulty").otherwise("overall")
+    out = metrics.groupingSets([[k], [k, modality], [k, difficulty]], k, modality, difficulty).agg(
+        kind.alias("grouped_by"), F.count("*").alias("n_questions"), F.round(F.count_if("page_hit") / F.greatest(F.lit(1), F.count("page_hit")), 4).alias("page_hit_rate"),
+        rate("content_success").alias("content_success_rate"), rate("grounded").alias("grounded_rate"), rate("strict_success").alias("strict_rate"),
+    )
+    return out.select("k", "grouped_by", F.coalesce("modality", "difficulty", F.lit("all")).alias("value"), "n_questions", "page_hit_rate", "content_success_rate", "grounded_rate", "strict_rate")

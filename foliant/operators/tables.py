@@ -11,6 +11,7 @@ from foliant.functions import geometry as G
 from foliant.functions import htmltable as H
 from foliant.functions import text as T
 from foliant.options import DEFAULT
+from foliant.session import cut_lineage
 
 _STRINGS = ArrayType(StringType())
 GRID = StructType([StructField("cells", ArrayType(_STRINGS)), StructField("header_rows", IntegerType()), StructField("pages", ArrayType(IntegerType()))])
@@ -171,7 +172,7 @@ def continuation_pairs(blocks: DataFrame, pages: DataFrame) -> DataFrame:
 
 
 def merged_tables(blocks: DataFrame, pairs: DataFrame, answers: DataFrame | None = None) -> DataFrame:
-    """root_id, document_id, n_parts, source_pages, merged_html of the chains of tables that continue.
+    """root_id, document_id, n_parts, source_pages, merged_html, child_ids of the chains of tables that continue.
 
     A pair links where it merges by itself or where ``answers`` (previous_id, current_id, same) says so. Chains are islands over the
     pages of a document: a run of pages each linked with the next."""
@@ -197,7 +198,21 @@ def merged_tables(blocks: DataFrame, pairs: DataFrame, answers: DataFrame | None
         return pd.Series(out, dtype=object)
 
     joined = F.pandas_udf(merge, "string")
-    return whole.select(F.element_at("p", 1)["block_id"].alias("root_id"), "document_id", F.size("p").cast("long").alias("n_parts"), F.array_join(F.transform("p", lambda x: x["page"].cast("string")), ",").alias("source_pages"), joined("p").alias("merged_html"))
+    return whole.select(F.element_at("p", 1)["block_id"].alias("root_id"), "document_id", F.size("p").cast("long").alias("n_parts"), F.array_join(F.transform("p", lambda x: x["page"].cast("string")), ",").alias("source_pages"), joined("p").alias("merged_html"), F.transform(F.slice("p", 2, F.size("p")), lambda x: x["block_id"]).alias("child_ids"))
+
+
+def with_merged_tables(blocks: DataFrame, pages: DataFrame, answers: DataFrame | None = None) -> DataFrame:
+    """blocks (of laid_out) in which the first table of each chain has the whole table (resolved_content, repaired, TAB-003, all source pages), and the others are left out of chunks.
+
+    First readings stay as they are; what a chain's table cannot be parsed from stays apart."""
+    merged = cut_lineage(merged_tables(blocks, continuation_pairs(blocks, pages), answers).where("merged_html is not null"))  # few
+    roots = merged.select(F.col("root_id").alias("block_id"), F.col("merged_html").alias("_whole"), F.transform(F.split("source_pages", ","), lambda x: x.cast("int")).alias("_pages"))
+    children = merged.select(F.explode("child_ids").alias("block_id"), F.lit(True).alias("_child"))
+    out = blocks.join(roots, "block_id", "left").join(children, "block_id", "left")
+    root = F.col("_whole").isNotNull()
+    for name, value in (("resolved_content", F.col("_whole")), ("content", F.col("_whole")), ("status", F.lit("repaired")), ("source_pages", F.col("_pages")), ("issue_flags", F.array_union(F.coalesce("issue_flags", F.array().cast("array<string>")), F.array(F.lit("TAB-003"))))):
+        out = out.withColumn(name, F.when(root, value).otherwise(F.col(name)))
+    return out.withColumn("skip_chunk", F.coalesce("_child", F.lit(False)) | F.coalesce("skip_chunk", F.lit(False))).drop("_whole", "_pages", "_child")
 
 
 def unsafe_merges(merges: DataFrame, pairs: DataFrame) -> DataFrame:

@@ -129,19 +129,27 @@ def filtered_search(spark: SparkSession, d: str) -> DataFrame:
     return retrieval.dense_ranks(spark, q, e.where("label = 3").select(F.col("vec_id").alias("key"), F.col("embedding").alias("vector")), 5).drop("dense_rank")
 
 
+_HASHED = "select {key}, h % 64 as dim, sum(1 - 2 * (h // 64 % 2)) as v from (select {key}, cast('0x' || left(md5(term), 7) as bigint) as h from (select {key}, unnest(ts) as term from {rows})) group by all"
 _FUSED = f"""{_TF}, lex as (select query_id, chunk_id, row_number() over (partition by query_id order by lexical_score desc, chunk_id) as lexical_rank from scored qualify lexical_rank <= 30),
-asked2 as (select id as query_id, unnest({Q.terms('expected_answer')}) as term from questions), qf2 as (select query_id, term, count(*) as qf from asked2 group by all),
-tf2 as (select chunk_id, n_terms, term, count(*) as tf from exploded where term in (select term from asked2) group by all), df2 as (select term, count(*) as df from tf2 group by term),
-scored2 as (select query_id, chunk_id, round(sum(qf * ln(1.0 + (total + 0.5) / (df + 0.5)) * (1.0 + ln(tf))) / sqrt(greatest(1.0, any_value(n_terms))), 9) as s from qf2 join tf2 using (term) join df2 using (term), total group by query_id, chunk_id),
-den as (select query_id, chunk_id, row_number() over (partition by query_id order by s desc, chunk_id) as dense_rank from scored2 qualify dense_rank <= 60),
+asked_terms as (select id as query_id, {Q.terms('question')} as ts from questions), cv as ({_HASHED.format(key='chunk_id', rows='corpus')}), qv as ({_HASHED.format(key='query_id', rows='asked_terms')}),
+cn as (select chunk_id, sqrt(sum(v * v)) as n from cv group by all), qn as (select query_id, sqrt(sum(v * v)) as n from qv group by all), dots as (select query_id, chunk_id, sum(cv.v * qv.v) as dot from cv join qv using (dim) group by all),
+den as (select q.id as query_id, c.chunk_id, row_number() over (partition by q.id order by round(coalesce(case when qn.n * cn.n > 0 then dot / (qn.n * cn.n) end, 0), 6) desc, c.chunk_id) as dense_rank
+  from questions q cross join corpus c left join dots d on d.query_id = q.id and d.chunk_id = c.chunk_id left join cn on cn.chunk_id = c.chunk_id left join qn on qn.query_id = q.id qualify dense_rank <= 60),
 fused as (select query_id, chunk_id, dense_rank, lexical_rank, coalesce(1.0 / (60 + dense_rank), 0.0) + coalesce(1.0 / (60 + lexical_rank), 0.0) as rrf from den full join lex using (query_id, chunk_id))"""
 
 
+def _asked(spark: SparkSession, d: str) -> DataFrame:
+    """The questions with their text's hashed vector."""
+    q = _questions(spark, d).select(F.col("id").alias("query_id"), F.col("question").alias("query"))
+    return q.join(retrieval.hashed_vectors(q, "query_id", "query"), "query_id")
+
+
 def _fused(spark: SparkSession, d: str) -> DataFrame:
-    """Two rankings of each question fused. The stored chunks have no vectors, so the ranking by the expected answer stands in for the dense one."""
-    second = _questions(spark, d).select(F.col("id").alias("query_id"), F.col("expected_answer").alias("query"))
-    other = retrieval.lexical_ranks(second, _chunks(spark, d), "chunk_id", "display_text", 60).withColumnRenamed("lexical_rank", "dense_rank")
-    return retrieval.fuse(other, _lexical(spark, d, 30), ["query_id", "chunk_id"])
+    """The dense and the lexical ranking of each question fused. The tables have no vectors of chunks; hashed terms give them."""
+    c, asked = _chunks(spark, d), _asked(spark, d)
+    vectors = retrieval.hashed_vectors(c, "chunk_id", "display_text").withColumnRenamed("chunk_id", "key")
+    dense = retrieval.dense_ranks(spark, asked, vectors, 60).withColumnRenamed("key", "chunk_id")
+    return retrieval.fuse(dense, retrieval.lexical_ranks(asked, c, "chunk_id", "display_text", 30), ["query_id", "chunk_id"])
 
 
 @_query(f"with {_FUSED} select query_id, chunk_id, dense_rank, lexical_rank, round(rrf, 9) as rrf from fused")
@@ -150,11 +158,9 @@ def rrf_fusion(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _final(spark: SparkSession, d: str, limit: int) -> DataFrame:
-    """The final ranking; without a reranker's answers the fused score, scaled, stands for the relevance."""
-    c = _fused(spark, d).join(_chunks(spark, d).select("chunk_id", "chunk_role", F.coalesce("parent_id", "chunk_id").alias("parent"), "page_start", "page_end", F.col("display_text").alias("text")), "chunk_id")
-    c = c.withColumn("relevance", F.round(F.col("rrf") * 10, 6)).withColumn("document_order", F.col("chunk_id"))
-    c = c.withColumn("rerank_position", F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("relevance"), "chunk_id")))
-    return retrieval.final_order(c, limit=limit)
+    """The final ranking of hybrid_search."""
+    c = _chunks(spark, d)
+    return retrieval.hybrid_search(spark, _asked(spark, d), c, retrieval.hashed_vectors(c, "chunk_id", "display_text"), limit)
 
 
 _FINAL = f"""{_FUSED}, c as (select f.*, k.chunk_role, coalesce(k.parent_id, k.chunk_id) as parent, page_start, page_end, display_text as text, round(rrf * 10, 6) as relevance from fused f join {Q.CHUNKS} k using (chunk_id)),
@@ -590,7 +596,7 @@ def merged_tables(spark: SparkSession, d: str) -> DataFrame:
     pairs = tables.continuation_pairs(b, _pages(spark, d))
     answers = _readings(spark, d).where("is_continuation").select(F.col("block_id").alias("current_id")).distinct()
     asked = pairs.join(answers, "current_id", "left_semi").select("previous_id", "current_id", F.lit(True).alias("same"))
-    return tables.merged_tables(b, pairs, asked)
+    return tables.merged_tables(b, pairs, asked).drop("child_ids")
 
 
 @_query()
@@ -662,7 +668,7 @@ def length_profile(spark: SparkSession, d: str) -> DataFrame:
 @_query(f"""with r as (select document_id, lag(page_start) over w > page_start as s, lag(page_end) over w > page_end as e from {Q.CHUNKS} window w as (partition by document_id order by chunk_id))
 select document_id, count(*) filter (s) as n_start, count(*) filter (e) as n_end from r group by document_id""")
 def order_regressions(spark: SparkSession, d: str) -> DataFrame:
-    return evaluation.order_regressions(_chunks(spark, d).select("document_id", "page_start", "page_end", "chunk_id"), ["chunk_id"])
+    return evaluation.order_regressions(_chunks(spark, d).select("document_id", "page_start", "page_end", "chunk_id"))
 
 
 _SECTIONS = f"len(list_filter(string_split(coalesce(section_path, ''), ' / '), lambda s: regexp_matches(s, {Q.lit(evaluation.BAD_SECTION)}))) > 0"

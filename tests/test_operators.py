@@ -1,7 +1,7 @@
-import pytest
 import json
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from foliant.operators import evaluation, images, quality, reports, retrieval
@@ -191,6 +191,47 @@ def test_sideways_tables():
     assert images.sideways(grey) and not images.sideways(grey.T) and images.ruled_lines(grey)[:2] == [61, 151]
 
 
+def test_dense_search_of_string_keys(spark):
+    rng = np.random.default_rng(4)
+    vectors = [(f"k{k:03}", [float(x) for x in rng.integers(-2, 3, 4)]) for k in range(300)] + [("none", None), ("short", [1.0]), ("zero", [0.0] * 4)]
+    corpus = spark.createDataFrame(vectors, "key string, vector array<float>").repartition(5)
+    asked = [("a", [1.0, 0.0, 2.0, -1.0]), ("b", [0.0] * 4), ("c", [1.0]), ("d", None)]
+    got = {}
+    for r in retrieval.dense_ranks(spark, spark.createDataFrame(asked, "query_id string, vector array<float>"), corpus, 7).orderBy("query_id", "dense_rank").collect():
+        got.setdefault(r.query_id, []).append((r.key, r.similarity))
+    for name, q in asked[:2]:
+        cos = lambda v, q=q: round(float(np.dot(q, v) / (np.linalg.norm(q) * np.linalg.norm(v))), 6) if np.linalg.norm(q) * np.linalg.norm(v) > 0 else 0.0
+        want = sorted(((k, cos(v)) for k, v in vectors if v is not None and len(v) == 4), key=lambda x: (-x[1], x[0]))[:7]
+        assert got[name] == want
+    assert got["c"] == [("short", 1.0)] and "d" not in got
+
+
+def test_hybrid_search_filters_and_reranks(spark):
+    rows = [("1", "d", "text", "贷款利率上升", None), ("2", "d", "table", "贷款利率表", None), ("3", "e", "text", "天气很好", None), ("4", "e", "text", "贷款利率", None)]
+    chunks_ = spark.createDataFrame([(*r, "text_segment", 1, 1) for r in rows], "chunk_id string, document_id string, block_type string, display_text string, parent_id string, chunk_role string, page_start int, page_end int")
+    asked = spark.createDataFrame([("q", "贷款利率")], "query_id string, query string")
+    asked = asked.join(retrieval.hashed_vectors(asked, "query_id", "query"), "query_id")
+    vectors = retrieval.hashed_vectors(chunks_, "chunk_id", "display_text")
+    search = lambda **more: [r.chunk_id for r in retrieval.hybrid_search(spark, asked, chunks_, vectors, 3, **more).orderBy("rank").collect()]
+    assert search()[0] == "4" and set(search(document_id="d")) == {"1", "2"} and search(block_type="table") == ["2"]
+    answers = spark.createDataFrame([("q", "3", 0.9), ("q", "1", 0.2)], "query_id string, chunk_id string, relevance double")
+    assert search(relevance=answers)[:2] == ["3", "1"]
+
+
+def test_regressions_in_ranges(spark, monkeypatch):
+    import random
+
+    rng = random.Random(2)
+    rows = [(d, f"{rng.getrandbits(64):016x}", rng.choice([None, *range(9)]), rng.randint(0, 9)) for d in "ab" for _ in range(700)]
+    df = spark.createDataFrame(rows, "document_id string, chunk_id string, page_start int, page_end int")
+    monkeypatch.setattr(evaluation, "REGRESSION_ROWS", 8)
+    got = {r.document_id: (r.n_start, r.n_end) for r in evaluation.order_regressions(df).collect()}
+    for d in "ab":
+        own = sorted(r[1:] for r in rows if r[0] == d)
+        fell = lambda k: sum(x[k] is not None and y[k] is not None and x[k] > y[k] for x, y in zip(own, own[1:]))
+        assert got[d] == (fell(1), fell(2))
+
+
 def test_small_sinks(spark, tmp_path):
     docs = spark.createDataFrame([("d", "new", 1), ("e", "new", 1)], "document_id string, status string, updated_at int")
     changes = spark.createDataFrame([("d", "done", 3), ("d", "late", 2)], "document_id string, status string, updated_at int")
