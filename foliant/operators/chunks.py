@@ -8,6 +8,7 @@ from __future__ import annotations
 import re
 
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -15,7 +16,7 @@ from foliant.functions import text as T
 from foliant.operators import tables as TB
 from foliant.options import CHUNK_SCHEMA, DEFAULT, Options
 from foliant.plans.order import document_order, linked
-from foliant.session import cut_lineage
+from foliant.session import written_table
 
 REVIEW_NOTICE = "证据状态：待复核（保留解析器原始内容）"  # before the text of provisional chunks; a parameter of the exports
 
@@ -125,19 +126,27 @@ def text_groups(rows: DataFrame, options: Options = DEFAULT) -> DataFrame:
     before = F.sum("breaks").over(Window.partitionBy("document_id").orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1))
     text = text.withColumn("local", F.sum("fresh").over(inner)).join(sums.select("document_id", "page_no", F.coalesce(before, F.lit(0)).alias("before")), ["document_id", "page_no"])
     text = text.withColumn("run", F.col("before") + F.col("local"))
-    # the size limit: numbers only, one run at a time
-    most = 3 * options.text_size
-    item = F.struct("page_no", "position", "block_id", "n")
-    runs = text.groupBy("document_id", "run").agg(F.array_sort(F.collect_list(item)).alias("x"))
-    start = F.struct(F.array().cast("array<int>").alias("g"), F.lit(0).alias("k"), F.lit(0).alias("n"))
+    # the size limit: a run goes through its task in order, and only the open group's length is held
+    order = ["document_id", "run", "page_no", "position", "block_id"]
+    streamed = text.select(*order, "n").repartition("document_id", "run").sortWithinPartitions(*order)
+    return streamed.mapInArrow(_group_worker(3 * options.text_size), "document_id string, block_id string, page_no int, position int, group_id string")
 
-    def step(acc: Column, x: Column) -> Column:
-        over = (acc["n"] > 0) & (acc["n"] + x["n"] > most)
-        k = F.when(over, acc["k"] + 1).otherwise(acc["k"])
-        return F.struct(F.concat(acc["g"], F.array(k)).alias("g"), k.alias("k"), F.when(over, x["n"]).otherwise(acc["n"] + x["n"]).alias("n"))
 
-    numbered = runs.withColumn("g", F.aggregate("x", start, step, lambda acc: acc["g"])).select("document_id", "run", F.explode(F.arrays_zip("x", "g")).alias("e"))
-    return numbered.select("document_id", F.col("e.x.block_id").alias("block_id"), F.col("e.x.page_no").alias("page_no"), F.col("e.x.position").alias("position"), F.concat_ws("-", "run", "e.g").alias("group_id"))
+def _group_worker(most: int):
+    def run(batches):
+        now, part, length = None, 0, 0  # the open run, its group, that group's characters
+        for batch in batches:
+            groups = []
+            for document, number, n in zip(*(batch.column(c).to_pylist() for c in ("document_id", "run", "n"))):
+                if (document, number) != now:
+                    now, part, length = (document, number), 0, 0
+                if length and length + n > most:
+                    part, length = part + 1, 0
+                length += n
+                groups.append(f"{number}-{part}")
+            yield pa.RecordBatch.from_arrays([batch.column("document_id"), batch.column("block_id"), batch.column("page_no"), batch.column("position"), pa.array(groups, pa.string())], names=["document_id", "block_id", "page_no", "position", "group_id"])
+
+    return run
 
 
 # chunks
@@ -283,7 +292,7 @@ def _plain_chunks(rows: DataFrame) -> DataFrame:
 
 def build_chunks(blocks: DataFrame, context: DataFrame, captions: DataFrame, options: Options = DEFAULT) -> DataFrame:
     """The chunks of all documents: CHUNK_COLUMNS with chunk_id, embedding_text, retrieval_tier."""
-    rows = cut_lineage(prepared(blocks, context))  # read by every branch below
+    rows = written_table(prepared(blocks, context))  # read by every branch below
     made = _text_chunks(rows, text_groups(rows, options), options).select(*CHUNK_COLUMNS)
     for part in (_table_chunks(rows, context, options), _visual_chunks(rows, captions, options), _formula_chunks(rows), _plain_chunks(rows)):
         made = made.unionByName(part.select(*CHUNK_COLUMNS))

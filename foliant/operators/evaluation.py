@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from foliant.functions import text as T
 from foliant.options import DEFAULT
+from foliant.sources.tables import delivered_once
 
 BAD_SECTION = r"^(?:单位|币种)[：:]|^(?:续)?(?:附表|表|图)\s*\d+|^续表$"
 
@@ -16,10 +17,10 @@ BAD_SECTION = r"^(?:单位|币种)[：:]|^(?:续)?(?:附表|表|图)\s*\d+|^续
 def stored_chunks(chunks: DataFrame) -> DataFrame:
     """Chunks as stored, each chunk_id once, with role and sources from their JSON metadata."""
     names = ["chunk_id", "document_id", "page_start", "page_end", "block_type", "parent_id", "section_path", "display_text", "embedding_text", "asset_id", "metadata_json", "embedding_state"]
-    chunks = chunks.select(*names).where("chunk_id is not null")
+    chunks = delivered_once(chunks, "chunk_id").select(*names)
     role = F.get_json_object("metadata_json", "$.chunk_role")
     ids = F.from_json(F.get_json_object("metadata_json", "$.source_block_ids"), "array<string>")
-    return chunks.dropDuplicates(["chunk_id"]).withColumn("chunk_role", role).withColumn("source_block_ids", ids)
+    return chunks.withColumn("chunk_role", role).withColumn("source_block_ids", ids)
 
 
 def floor_percentile(values: str, share: float) -> Column:

@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from foliant.functions import geometry as G
 from foliant.functions import text as T
 from foliant.options import DEFAULT, TEMPLATE_TYPES, VISUAL_TYPES
+from foliant.sources.tables import delivered_once
 
 
 # The columns of a block that the operators know; others are dropped, so that names of extra columns cannot clash.
@@ -26,8 +27,8 @@ KNOWN = (
 
 def laid_out(blocks: DataFrame) -> DataFrame:
     """One row per block_id with content ('' where there is none) and position (blocks without order come last); rows without id are dropped."""
-    rows = blocks.select(*KNOWN).where("block_id is not null").withColumn("content", T.content()).withColumn("position", F.coalesce("reading_order", F.lit(1 << 20)))
-    return rows.dropDuplicates(["block_id"])  # after the content, so that the two texts behind it don't move where nobody asks for them
+    rows = delivered_once(blocks, "block_id").select(*KNOWN)
+    return rows.withColumn("content", T.content()).withColumn("position", F.coalesce("reading_order", F.lit(1 << 20)))
 
 
 def _side(name: str) -> Column:

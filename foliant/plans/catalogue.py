@@ -13,7 +13,7 @@ from foliant.plans import sqltext as Q
 from foliant.plans.order import document_order, linked
 from foliant.session import cut_lineage
 from foliant.sinks import stores
-from foliant.sources.tables import table
+from foliant.sources.tables import delivered_once, table
 from foliant.streaming.ingest import windowed_events
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,7 +43,7 @@ def _chunks(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _readings(spark: SparkSession, d: str) -> DataFrame:
-    return table(spark, d, "vlm_results").dropDuplicates(["result_id"])
+    return delivered_once(table(spark, d, "vlm_results"), "result_id")
 
 
 def _text_lines(spark: SparkSession, d: str) -> DataFrame:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -48,6 +49,13 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written_table(df: DataFrame) -> DataFrame:
+    """Like cut_lineage, as a compressed table in the shared folder: for rows with texts that several branches read, each of them only its columns."""
+    path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 _shipped: set[str] = set()
 
 
