@@ -212,35 +212,54 @@ def _join_lines(*parts: Column) -> Column:
     return F.array_join(F.filter(F.array(*parts), lambda x: F.length(x) > 0), "\n")
 
 
+def _packed_rows(options: Options):
+    """The greedy groups (first, last place) of at most table_row_group rows and text_size characters of each list of line lengths; groups of one row are left out."""
+
+    @F.pandas_udf("array<struct<a:int,b:int>>")
+    def pack(tables: pd.Series) -> pd.Series:
+        out = []
+        for lengths in tables:
+            groups, first, total = [], 0, 0
+            for k, n in enumerate(lengths):
+                if k > first and (k - first >= options.table_row_group or total + 1 + n > options.text_size):
+                    groups.append((first, k - 1))
+                    first, total = k, n
+                else:
+                    total += n + (k > first)
+            groups.append((first, len(lengths) - 1))
+            out.append([{"a": x, "b": y} for x, y in groups if y > x])
+        return pd.Series(out, dtype=object)
+
+    return pack
+
+
 def _table_chunks(rows: DataFrame, context: DataFrame, options: Options) -> DataFrame:
+    """The overview, the row groups and the rows of each table, all made from the arrays of its grid without moving them; tables that have no grid or body give their text."""
     lines = _context_lines(context, rows)
     t = rows.where(F.col("usable") & (F.col("block_type") == "table") & F.col("attached_to").isNull()).join(lines.withColumnRenamed("table_id", "block_id"), "block_id", "left")
     t = t.withColumn("lines", F.coalesce("lines", F.lit(""))).withColumn("ids", F.concat(F.array("block_id"), F.coalesce("context_ids", F.array().cast("array<string>")))).withColumn("grid", TB.parsed_grid("text"))
-    t = TB.with_headers(t).withColumn("logical", logical_id("table", F.col("ids")))
-    body = F.filter(F.slice(F.col("grid.cells"), F.col("grid.header_rows") + 1, F.greatest(F.size("grid.cells"), F.lit(1))), lambda r: F.exists(r, lambda v: F.length(v) > 0))
-    t = t.withColumn("body", F.when(F.col("grid.cells").isNotNull(), body))
+    t = written_table(TB.with_headers(t).withColumn("logical", logical_id("table", F.col("ids"))))  # parsed once, read by both branches
     keep = ["document_id", "block_id", "page_no", "position", "block_type", "section", "is_provisional", "asset_id", "source_pages", "lines", "ids", "logical"]
-    good, bad = t.where("size(body) > 0"), t.where("body is null or size(body) = 0")
+    cells, head, pages = F.col("grid.cells"), F.col("grid.header_rows"), F.col("grid.pages")
+    filled = F.filter(F.sequence(head + 1, F.size(cells)), lambda r: F.exists(F.element_at(cells, r), lambda v: F.length(v) > 0))
+    body = t.where(F.col("grid.cells").isNotNull() & (F.size(cells) > head)).withColumn("body", filled)  # places of the rows that aren't blank
+    good = body.where("size(body) > 0").withColumn("records", F.transform("body", lambda r: TB.record_text(F.col("headers"), F.element_at(cells, r), F.element_at(pages, r))))
     heading = F.concat(F.lit("表头路径："), F.array_join("headers", " | "))
-    labels = F.slice(F.array_distinct(F.filter(F.transform("body", lambda r: F.element_at(r, 1)), lambda v: F.length(v) > 0)), 1, 40)
+    labels = F.slice(F.array_distinct(F.filter(F.transform("body", lambda r: F.element_at(F.element_at(cells, r), 1)), lambda v: F.length(v) > 0)), 1, 40)
     overview = _join_lines(F.col("lines"), F.lit("表格概览"), heading, F.concat(F.lit("数据行数："), F.size("body").cast("string")), F.when(F.size(labels) > 0, F.concat(F.lit("主要项目："), F.array_join(labels, "；"))).otherwise(""))
-    summary = good.select(*_row("table_summary", overview, parent=F.col("logical"), ids=F.col("ids")))
-    child = good.withColumn("parent", T.stable_id(F.col("document_id"), F.lit("table_summary"), F.col("logical"), F.lit("0"), F.array_join("ids", ","), T.strip(overview)))
-    rec = child.select(*keep, "parent", heading.alias("heading"), "headers", F.posexplode("grid.cells").alias("r", "row"), F.col("grid.header_rows").alias("h"), F.col("grid.pages").alias("gp")).where("r >= h").where(F.exists("row", lambda v: F.length(v) > 0))
-    rec = rec.withColumn("row_index", F.col("r") - F.col("h")).withColumn("line", TB.record_text(F.col("headers"), F.col("row"), F.element_at("gp", F.col("r") + 1)))
-    order = Window.partitionBy("block_id").orderBy("row_index")  # the rows of one table
-    rec = rec.withColumn("record", (F.row_number().over(order) - 1))
-    single = rec.select(*_row("table_row", _join_lines(F.col("lines"), F.col("heading"), F.col("line")), index=F.col("record"), parent=F.col("parent"), ids=F.col("ids")))
-    flat = rec.select("block_id", "row_index", "headers", "row", F.element_at("gp", F.col("r") + 1).alias("source_page"))
-    grouped = TB.row_groups(flat, "block_id", options.table_row_group, options.text_size).where("n_rows >= 2")
-    inside = rec.join(grouped, "block_id").where("row_index between first_row and last_row")
-    body_text = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("row_index", "line"))), lambda x: x["line"]), "\n")
-    firsts = [F.first(c).alias(c) for c in [*keep, "parent", "heading"] if c != "block_id"]
-    joined = inside.groupBy("block_id", "group_no").agg(body_text.alias("rows_text"), *firsts)
-    group = joined.select(*_row("table_row_group", _join_lines(F.col("lines"), F.col("heading"), F.col("rows_text")), index=F.col("group_no"), parent=F.col("parent"), ids=F.col("ids")))
+    good = good.withColumn("overview", overview).withColumn("top", _join_lines(F.col("lines"), heading)).withColumn("packed", _packed_rows(options)(F.transform("records", F.length))).select(*keep, "records", "overview", "top", "packed")
+    child = T.stable_id(F.col("document_id"), F.lit("table_summary"), F.col("logical"), F.lit("0"), F.array_join("ids", ","), T.strip(F.col("overview")))
+    item = lambda role, index, text, parent: F.struct(F.lit(role).alias("role"), index.cast("long").alias("index"), text.alias("text"), parent.alias("parent"))
+    under = lambda text: _join_lines(F.col("top"), text)
+    good = good.withColumn("child", child)
+    groups = F.transform("packed", lambda g, k: item("table_row_group", k, under(F.array_join(F.slice("records", g["a"] + 1, g["b"] - g["a"] + 1), "\n")), F.col("child")))
+    singles = F.transform("records", lambda r, k: item("table_row", k, under(r), F.col("child")))
+    made = good.select(*keep, F.explode(F.concat(F.array(item("table_summary", F.lit(0), F.col("overview"), F.col("logical"))), groups, singles)).alias("item"))
+    made = made.select(*_row("", F.col("item.text"), index=F.col("item.index"), parent=F.col("item.parent"), ids=F.col("ids")), F.col("item.role").alias("role")).withColumn("chunk_role", F.col("role")).select(*CHUNK_COLUMNS)
+    bad = t.where(F.col("grid.cells").isNull() | (F.size(cells) <= head)).select(*keep, "text").unionByName(body.where("size(body) = 0").select(*keep, "text"))
     loose = bad.withColumn("flat", TB.flat_text("text")).select(*keep, F.posexplode(_units_udf(options.text_size, max(1, options.text_size // 10))("flat")).alias("k", "unit"))
     fallback = loose.select(*_row("table_fallback", _join_lines(F.col("lines"), F.col("unit")), index=F.col("k"), parent=F.col("logical"), ids=F.col("ids")))
-    return summary.unionByName(group).unionByName(single).unionByName(fallback)
+    return made.unionByName(fallback.select(*CHUNK_COLUMNS))
 
 
 def _visual_chunks(rows: DataFrame, captions: DataFrame, options: Options) -> DataFrame:

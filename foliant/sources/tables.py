@@ -15,7 +15,7 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     return df.select(*columns) if columns else df
 
 
-BROADCAST_ROWS = 500_000  # of two numbers each
+BROADCAST_ROWS = 100_000  # of two numbers each
 
 
 def delivered_once(df: DataFrame, key: str) -> DataFrame:
