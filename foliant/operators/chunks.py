@@ -73,14 +73,6 @@ def windows(parts: list[tuple[str, str]], size: int, overlap: int) -> list[tuple
     return out
 
 
-def _windows_udf(options: Options):
-    @F.pandas_udf("array<struct<text:string,ids:array<string>>>")
-    def cut(groups: pd.Series) -> pd.Series:
-        return pd.Series([[{"text": t, "ids": ids} for t, ids in windows([(p["block_id"], p["text"]) for p in g], options.text_size, options.text_overlap)] for g in groups], dtype=object)
-
-    return cut
-
-
 def _units_udf(size: int, overlap: int):
     @F.pandas_udf("array<string>")
     def cut(texts: pd.Series) -> pd.Series:
@@ -104,14 +96,14 @@ def prepared(blocks: DataFrame, context: DataFrame) -> DataFrame:
     )
 
 
-def text_groups(rows: DataFrame, options: Options = DEFAULT) -> DataFrame:
-    """document_id, block_id, page_no, position, group_id of the text blocks that are chunked together.
+def text_runs(rows: DataFrame, *carried: str) -> DataFrame:
+    """document_id, run, page_no, position, block_id, n (characters) and the carried columns of the text blocks to be chunked; runs of blocks that go on are numbered in each document.
 
     A block goes on with the one before it (page furniture aside) if both are text to be chunked, of one section and status, and on one
-    page in the same column, or on following pages with no sentence ended between. A group ends before it exceeds three chunk sizes."""
+    page in the same column, or on following pages with no sentence ended between."""
     seen = rows.where(~F.col("template")).withColumn("member", F.col("usable") & (F.col("block_type") == "text") & F.col("attached_to").isNull())
     fields = ["member", "section", "status", "column_index", "page_no"]
-    seen = seen.select("document_id", "page_no", "position", "block_id", F.struct(*fields, (~F.col("text").rlike(T.TERMINAL)).alias("open_end")).alias("me"), F.length("text").alias("n"))
+    seen = seen.select("document_id", "page_no", "position", "block_id", F.struct(*fields, (~F.col("text").rlike(T.TERMINAL)).alias("open_end")).alias("me"), F.length("text").alias("n"), *[F.when(F.col("member"), F.col(c)).alias(c) for c in carried])
     inner = Window.partitionBy("document_id", "page_no").orderBy("position", "block_id")
     seen = seen.withColumn("ahead", F.lag("me").over(inner)).withColumn("i", F.row_number().over(inner))
     ends = seen.groupBy("document_id", (F.col("page_no") + 1).alias("page_no")).agg(F.max_by("me", "i").alias("page_end"))
@@ -125,11 +117,18 @@ def text_groups(rows: DataFrame, options: Options = DEFAULT) -> DataFrame:
     sums = text.groupBy("document_id", "page_no").agg(F.sum("fresh").alias("breaks"))
     before = F.sum("breaks").over(Window.partitionBy("document_id").orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1))
     text = text.withColumn("local", F.sum("fresh").over(inner)).join(sums.select("document_id", "page_no", F.coalesce(before, F.lit(0)).alias("before")), ["document_id", "page_no"])
-    text = text.withColumn("run", F.col("before") + F.col("local"))
-    # the size limit: a run goes through its task in order, and only the open group's length is held
+    return text.select("document_id", (F.col("before") + F.col("local")).alias("run"), "page_no", "position", "block_id", "n", *carried)
+
+
+def _in_order(runs: DataFrame) -> DataFrame:
+    """Every run in one task and in order, to be streamed: only the open group is held."""
     order = ["document_id", "run", "page_no", "position", "block_id"]
-    streamed = text.select(*order, "n").repartition("document_id", "run").sortWithinPartitions(*order)
-    return streamed.mapInArrow(_group_worker(3 * options.text_size), "document_id string, block_id string, page_no int, position int, group_id string")
+    return runs.repartition("document_id", "run").sortWithinPartitions(*order)
+
+
+def text_groups(rows: DataFrame, options: Options = DEFAULT) -> DataFrame:
+    """document_id, block_id, page_no, position, group_id of the text blocks that are chunked together: runs, cut before they exceed three chunk sizes."""
+    return _in_order(text_runs(rows)).mapInArrow(_group_worker(3 * options.text_size), "document_id string, block_id string, page_no int, position int, group_id string")
 
 
 def _group_worker(most: int):
@@ -172,18 +171,56 @@ def logical_id(role: str, ids: Column) -> Column:
     return T.stable_id(F.col("document_id"), F.lit(f"logical-{role}"), F.array_join(ids, ":"))
 
 
-def _text_chunks(rows: DataFrame, groups: DataFrame, options: Options) -> DataFrame:
-    part = F.struct("page_no", "position", "block_id", "text", "section", "is_provisional", "asset_id", "source_pages")
-    own = groups.select("block_id", "group_id").join(rows, "block_id").groupBy("document_id", "group_id").agg(F.array_sort(F.collect_list(part)).alias("p"))  # at most three sizes of text, or one block
-    cut = own.withColumn("parent_id", logical_id("text", F.transform("p", lambda x: x["block_id"]))).select("document_id", "parent_id", "p", F.posexplode(_windows_udf(options)("p")).alias("chunk_index", "w"))
-    used = F.filter("p", lambda x: F.array_contains(F.col("w.ids"), x["block_id"]))
-    cut = cut.withColumn("u", used)
-    pages = F.flatten(F.transform("u", lambda x: F.coalesce(F.when(F.size(x["source_pages"]) > 0, x["source_pages"]), F.array(x["page_no"]))))
-    return cut.select(
-        "document_id", F.lit("text_segment").alias("chunk_role"), F.col("chunk_index").cast("long"), "parent_id", F.lit("text").alias("block_type"), F.element_at("p", 1)["section"].alias("section_path"), F.col("w.text").alias("display_text"),
-        F.col("w.ids").alias("source_block_ids"), F.array_min(pages).cast("int").alias("page_start"), F.array_max(pages).cast("int").alias("page_end"), F.element_at("u", 1)["page_no"].alias("anchor_page"), F.element_at("u", 1)["position"].alias("anchor_order"),
-        F.exists("u", lambda x: x["is_provisional"]).alias("is_provisional"), F.try_element_at(F.array_compact(F.transform("u", lambda x: x["asset_id"])), F.lit(1)).alias("asset_id"),
-    )
+_TEXT_CHUNK = (
+    "document_id string, group_ids array<string>, chunk_index long, display_text string, source_block_ids array<string>, page_start int, page_end int, anchor_page int, anchor_order int,"
+    " is_provisional boolean, asset_id string, section_path string"
+)
+
+
+def _windows_worker(options: Options):
+    """Streams runs: cuts them into groups of at most three chunk sizes, these into windows."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    schema = to_arrow_schema(StructType.fromDDL(_TEXT_CHUNK))
+    most = 3 * options.text_size
+
+    def chunks_of(group: list[dict]) -> list[tuple]:
+        by = {r["block_id"]: r for r in group}
+        out = []
+        for k, (text, ids) in enumerate(windows([(r["block_id"], r["text"]) for r in group], options.text_size, options.text_overlap)):
+            used = [by[i] for i in ids]
+            pages = [p for r in used for p in (r["source_pages"] or [r["page_no"]])]
+            first = used[0]
+            out.append((first["document_id"], list(by), k, text, ids, min(pages), max(pages), first["page_no"], first["position"], any(r["is_provisional"] for r in used), next((r["asset_id"] for r in used if r["asset_id"] is not None), None), group[0]["section"]))
+        return out
+
+    def table(rows: list[tuple]) -> pa.RecordBatch:
+        columns = zip(*rows) if rows else [[]] * len(schema)
+        return pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(columns, schema)], schema=schema)
+
+    def run(batches):
+        now, group, length = None, [], 0
+        for batch in batches:
+            out = []
+            for row in batch.to_pylist():
+                key = row["document_id"], row["run"]
+                if key != now or (length and length + row["n"] > most):
+                    out += chunks_of(group) if group else []
+                    now, group, length = key, [], 0
+                group.append(row)
+                length += row["n"]
+            yield table(out)
+        yield table(chunks_of(group) if group else [])
+
+    return run
+
+
+def _text_chunks(rows: DataFrame, options: Options) -> DataFrame:
+    """Texts move twice: with their page, to find the runs, and with their run, to be cut as it streams by."""
+    runs = _in_order(text_runs(rows, "text", "section", "is_provisional", "asset_id", "source_pages"))
+    cut = runs.mapInArrow(_windows_worker(options), _TEXT_CHUNK)
+    return cut.withColumn("chunk_role", F.lit("text_segment")).withColumn("block_type", F.lit("text")).withColumn("parent_id", logical_id("text", F.col("group_ids"))).select(*CHUNK_COLUMNS)
 
 
 def _context_lines(context: DataFrame, rows: DataFrame) -> DataFrame:
@@ -312,7 +349,7 @@ def _plain_chunks(rows: DataFrame) -> DataFrame:
 def build_chunks(blocks: DataFrame, context: DataFrame, captions: DataFrame, options: Options = DEFAULT) -> DataFrame:
     """The chunks of all documents: CHUNK_COLUMNS with chunk_id, embedding_text, retrieval_tier."""
     rows = written_table(prepared(blocks, context))  # read by every branch below
-    made = _text_chunks(rows, text_groups(rows, options), options).select(*CHUNK_COLUMNS)
+    made = _text_chunks(rows, options)
     for part in (_table_chunks(rows, context, options), _visual_chunks(rows, captions, options), _formula_chunks(rows), _plain_chunks(rows)):
         made = made.unionByName(part.select(*CHUNK_COLUMNS))
     made = made.where(F.length("display_text") > 0).withColumn("chunk_id", chunk_id()).withColumn("retrieval_tier", F.when(F.col("is_provisional"), "provisional").otherwise("verified"))
