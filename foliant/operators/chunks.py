@@ -16,7 +16,7 @@ from foliant.functions import text as T
 from foliant.operators import tables as TB
 from foliant.options import CHUNK_SCHEMA, DEFAULT, Options
 from foliant.plans.order import document_order, linked
-from foliant.session import written_table
+from foliant.session import cut_lineage, written_table
 
 REVIEW_NOTICE = "证据状态：待复核（保留解析器原始内容）"  # before the text of provisional chunks; a parameter of the exports
 
@@ -177,6 +177,9 @@ _TEXT_CHUNK = (
 )
 
 
+SLICE = 256  # rows with texts that are Python objects at once
+
+
 def _windows_worker(options: Options):
     """Streams runs: cuts them into groups of at most three chunk sizes, these into windows."""
     from pyspark.sql.pandas.types import to_arrow_schema
@@ -203,7 +206,7 @@ def _windows_worker(options: Options):
         now, group, length = None, [], 0
         for batch in batches:
             out = []
-            for row in batch.to_pylist():
+            for row in (r for k in range(0, len(batch), SLICE) for r in batch.slice(k, SLICE).to_pylist()):
                 key = row["document_id"], row["run"]
                 if key != now or (length and length + row["n"] > most):
                     out += chunks_of(group) if group else []
@@ -275,7 +278,8 @@ def _table_chunks(rows: DataFrame, context: DataFrame, options: Options) -> Data
     lines = _context_lines(context, rows)
     t = rows.where(F.col("usable") & (F.col("block_type") == "table") & F.col("attached_to").isNull()).join(lines.withColumnRenamed("table_id", "block_id"), "block_id", "left")
     t = t.withColumn("lines", F.coalesce("lines", F.lit(""))).withColumn("ids", F.concat(F.array("block_id"), F.coalesce("context_ids", F.array().cast("array<string>")))).withColumn("grid", TB.parsed_grid("text"))
-    t = written_table(TB.with_headers(t).withColumn("logical", logical_id("table", F.col("ids"))))  # parsed once, read by both branches
+    t = TB.with_headers(t).withColumn("logical", logical_id("table", F.col("ids"))).withColumn("text", F.when(F.col("grid.cells").isNull() | ~F.exists(F.slice("grid.cells", F.col("grid.header_rows") + 1, F.size("grid.cells")), lambda r: F.exists(r, lambda v: F.length(v) > 0)), F.col("text")))
+    t = written_table(t.drop("bbox", "status", "column_index", "text_level", "usable", "template", "attached_to", "is_heading"))  # parsed once, read by both branches; what has a body needs no text any more
     keep = ["document_id", "block_id", "page_no", "position", "block_type", "section", "is_provisional", "asset_id", "source_pages", "lines", "ids", "logical"]
     cells, head, pages = F.col("grid.cells"), F.col("grid.header_rows"), F.col("grid.pages")
     filled = F.filter(F.sequence(head + 1, F.size(cells)), lambda r: F.exists(F.element_at(cells, r), lambda v: F.length(v) > 0))
@@ -348,6 +352,7 @@ def _plain_chunks(rows: DataFrame) -> DataFrame:
 
 def build_chunks(blocks: DataFrame, context: DataFrame, captions: DataFrame, options: Options = DEFAULT) -> DataFrame:
     """The chunks of all documents: CHUNK_COLUMNS with chunk_id, embedding_text, retrieval_tier."""
+    context = cut_lineage(context)  # a few rows a page, read twice
     rows = written_table(prepared(blocks, context))  # read by every branch below
     made = _text_chunks(rows, options)
     for part in (_table_chunks(rows, context, options), _visual_chunks(rows, captions, options), _formula_chunks(rows), _plain_chunks(rows)):
