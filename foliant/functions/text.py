@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -83,31 +85,44 @@ def template_key(text: Column) -> Column:
     return F.substring(F.regexp_replace(F.lower(compact(text)), r"\p{Nd}+", "#"), 1, 160)
 
 
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value) with value computed once, however often use asks for it: branches of a condition are no common subexpressions."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+# Numbered headings by level, and what a line near a table may be.
+CHINESE_NUMBER = r"^[一二三四五六七八九十]+[、.]"
+BRACKETED_NUMBER = r"^[（(][一二三四五六七八九十\d]+[)）]"
+DECIMAL_NUMBER = r"^(\d+(?:\.\d+){0,4})[\s、.]"
+NOTE_BEGINS, NOTE_SIGN = r"^[（(]?\s*(?:注|说明|资料来源|数据来源)[：:]", "^[①②③④⑤⑥⑦⑧⑨⑩]"
+UNIT_BEGINS = r"^[（(]?\s*(?:单位|币种)[：:]"
+DATE_ONLY, DATE_IN_BRACKETS = r"^[（(]?\s*(?:截至)?\d{4}年(?:\d{1,2}月(?:\d{1,2}日)?)?[）)]?$", r"^[（(].*(?:余额|日期).*[）)]$"
+REFERENCE_ONLY = r"^(?:续)?(?:附表|表|图)\s*[一二三四五六七八九十百\d]+(?:[-—.]\d+)?$"
+CONTINUED = "^续表$"
+
+
 def title_level(text: Column) -> Column:
-    t = strip(text)
-    number = F.regexp_extract(t, r"^(\d+(?:\.\d+){0,4})[\s、.]", 1)
-    return (
-        F.when(t.rlike(CHAPTER) | t.rlike(TOPIC), F.lit(1))
-        .when(t.rlike(r"^[一二三四五六七八九十]+[、.]"), F.lit(2))
-        .when(F.length(number) > 0, F.least(F.lit(5), F.length(number) - F.length(F.replace(number, F.lit("."), F.lit(""))) + 1))
-        .when(t.rlike(r"^[（(][一二三四五六七八九十\d]+[)）]"), F.lit(3))
-        .otherwise(F.lit(1))
-    )
+    def level(t: Column) -> Column:
+        number = F.regexp_extract(t, DECIMAL_NUMBER, 1)
+        return (
+            F.when(t.rlike(CHAPTER) | t.rlike(TOPIC), F.lit(1)).when(t.rlike(CHINESE_NUMBER), F.lit(2))
+            .when(F.length(number) > 0, F.least(F.lit(5), F.length(number) - F.length(F.replace(number, F.lit("."), F.lit(""))) + 1))
+            .when(t.rlike(BRACKETED_NUMBER), F.lit(3)).otherwise(F.lit(1))
+        )
+
+    return let(strip(text), level)
 
 
 def context_kind(text: Column, block_type: Column) -> Column:
     """empty, note, unit, date, reference, continuation or title; the first that fits."""
-    t = strip(text)
-    flat = F.regexp_replace(compact(t), r"^[（）()]+|[（）()]+$", "")
-    return (
-        F.when(blank(text), "empty")
-        .when(t.rlike(r"^[（(]?\s*(?:注|说明|资料来源|数据来源)[：:]") | flat.rlike("^[①②③④⑤⑥⑦⑧⑨⑩]") | (block_type == "footnote"), "note")
-        .when(t.rlike(r"^[（(]?\s*(?:单位|币种)[：:]"), "unit")
-        .when(flat.rlike(r"^[（(]?\s*(?:截至)?\d{4}年(?:\d{1,2}月(?:\d{1,2}日)?)?[）)]?$") | t.rlike(r"^[（(].*(?:余额|日期).*[）)]$"), "date")
-        .when(flat.rlike(r"^(?:续)?(?:附表|表|图)\s*[一二三四五六七八九十百\d]+(?:[-—.]\d+)?$"), "reference")
-        .when(flat.rlike("^续表$"), "continuation")
-        .otherwise("title")
-    )
+
+    def kind(t: Column, flat: Column) -> Column:
+        return (
+            F.when(blank(t), "empty").when(t.rlike(NOTE_BEGINS) | flat.rlike(NOTE_SIGN) | (block_type == "footnote"), "note").when(t.rlike(UNIT_BEGINS), "unit")
+            .when(flat.rlike(DATE_ONLY) | t.rlike(DATE_IN_BRACKETS), "date").when(flat.rlike(REFERENCE_ONLY), "reference").when(flat.rlike(CONTINUED), "continuation").otherwise("title")
+        )
+
+    return let(strip(text), lambda t: let(F.regexp_replace(compact(t), r"^[（）()]+|[（）()]+$", ""), lambda flat: kind(t, flat)))
 
 
 def stable_id(*parts: Column) -> Column:
@@ -136,18 +151,6 @@ def comparable(text: Column) -> Column:
     return F.regexp_replace(folded, rf"[`*_{{}}$^,。;:、()\[\]《》<>\"'“”‘’，；：（）\s\p{{Z}}\x0B\x1C-\x1F\x85]+", "")
 
 
-def sentence_units(text: Column) -> Column:
-    """Sentences with their terminator, paragraph by paragraph, without white space at the ends."""
-    parts = F.regexp_extract_all(F.regexp_replace(text, r"\n\s*\n", "\x00"), F.lit(r"[^。！？!?；;\x00]*[。！？!?；;]|[^。！？!?；;\x00]+"), F.lit(0))
-    return F.filter(F.transform(parts, strip), lambda x: F.length(x) > 0)
-
-
-def hard_windows(text: Column, size: int, overlap: int) -> Column:
-    """Fixed windows of a long unit; the last may lie within the one before it."""
-    step = max(1, size - overlap)
-    return F.when(F.length(text) <= size, F.array(text)).otherwise(F.transform(F.sequence(F.lit(0), F.length(text) - 1, F.lit(step)), lambda o: F.substring(text, o + 1, F.lit(size))))
-
-
 def char_f1(a: Column, b: Column) -> Column:
     """F1 of the character multisets of two texts; 0 if one is empty."""
     chars = F.array_distinct(F.split(a, ""))

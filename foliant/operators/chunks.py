@@ -73,12 +73,14 @@ def windows(parts: list[tuple[str, str]], size: int, overlap: int) -> list[tuple
     return out
 
 
-def _units_udf(size: int, overlap: int):
-    @F.pandas_udf("array<string>")
-    def cut(texts: pd.Series) -> pd.Series:
-        return pd.Series([units(t or "", size, overlap) for t in texts], dtype=object)
+def text_units(text: Column, size: int, overlap: int) -> Column:
+    """The units of a text as an array."""
+    return F.pandas_udf(lambda texts: pd.Series([units(t or "", size, overlap) for t in texts], dtype=object), "array<string>")(text)
 
-    return cut
+
+def fact_units(text: Column, size: int, overlap: int) -> Column:
+    """The units that state a fact: a number, a share or a movement."""
+    return F.filter(text_units(text, size, overlap), lambda x: x.rlike(T.FACT))
 
 
 # groups of text blocks
@@ -298,7 +300,7 @@ def _table_chunks(rows: DataFrame, context: DataFrame, options: Options) -> Data
     made = good.select(*keep, F.explode(F.concat(F.array(item("table_summary", F.lit(0), F.col("overview"), F.col("logical"))), groups, singles)).alias("item"))
     made = made.select(*_row("", F.col("item.text"), index=F.col("item.index"), parent=F.col("item.parent"), ids=F.col("ids")), F.col("item.role").alias("role")).withColumn("chunk_role", F.col("role")).select(*CHUNK_COLUMNS)
     bad = t.where(F.col("grid.cells").isNull() | (F.size(cells) <= head)).select(*keep, "text").unionByName(body.where("size(body) = 0").select(*keep, "text"))
-    loose = bad.withColumn("flat", TB.flat_text("text")).select(*keep, F.posexplode(_units_udf(options.text_size, max(1, options.text_size // 10))("flat")).alias("k", "unit"))
+    loose = bad.withColumn("flat", TB.flat_text("text")).select(*keep, F.posexplode(text_units(F.col("flat"), options.text_size, max(1, options.text_size // 10))).alias("k", "unit"))
     fallback = loose.select(*_row("table_fallback", _join_lines(F.col("lines"), F.col("unit")), index=F.col("k"), parent=F.col("logical"), ids=F.col("ids")))
     return made.unionByName(fallback.select(*CHUNK_COLUMNS))
 
@@ -314,9 +316,9 @@ def _visual_chunks(rows: DataFrame, captions: DataFrame, options: Options) -> Da
     v = v.withColumn("shown", shown).withColumn("role", F.concat("block_type", F.lit("_summary")))
     summary = v.select(*_row("", F.col("shown"), parent=F.col("logical"))).drop("chunk_role").withColumn("chunk_role", F.concat("block_type", F.lit("_summary"))).select(*CHUNK_COLUMNS)
     v = v.withColumn("parent", T.stable_id(F.col("document_id"), F.col("role"), F.col("logical"), F.lit("0"), F.col("block_id"), T.strip(F.col("shown"))))
-    facts = v.where("block_type = 'chart'").withColumn("u", F.filter(_units_udf(min(options.text_size, 500), options.text_overlap)("t"), lambda x: x.rlike(T.FACT))).where("size(u) > 1").select("*", F.posexplode("u").alias("k", "fact"))
+    facts = v.where("block_type = 'chart'").withColumn("u", fact_units(F.col("t"), min(options.text_size, 500), options.text_overlap)).where("size(u) > 1").select("*", F.posexplode("u").alias("k", "fact"))
     fact = facts.select(*_row("chart_fact", _join_lines(F.col("topic"), F.concat(F.lit("图表事实："), F.col("fact"))), index=F.col("k"), parent=F.col("parent")))
-    long = v.where((F.col("block_type") == "image") & (F.length("t") > options.text_size)).select("*", F.posexplode(_units_udf(options.text_size, options.text_overlap)("t")).alias("k", "unit"))
+    long = v.where((F.col("block_type") == "image") & (F.length("t") > options.text_size)).select("*", F.posexplode(text_units(F.col("t"), options.text_size, options.text_overlap)).alias("k", "unit"))
     segment = long.select(*_row("image_text_segment", _join_lines(F.col("label"), F.col("unit")), index=F.col("k"), parent=F.col("parent")))
     return summary.unionByName(fact).unionByName(segment)
 

@@ -707,15 +707,19 @@ def linear_units(spark: SparkSession, d: str) -> DataFrame:
 @_query(f"""with u as (select block_id, list_filter(list_transform(regexp_extract_all(regexp_replace(content, '\\n\\s*\\n', chr(1), 'g'), '[^。！？!?；;\\x01]*[。！？!?；;]|[^。！？!?；;\\x01]+'), lambda x: {Q.strip('x')}), lambda x: length(x) > 0) as u from {Q.BLOCKS} where block_type = 'text')
 select block_id, cast(len(u) as bigint) as n_units, coalesce(cast(list_sum(list_transform(u, lambda x: length(x))) as bigint), 0) as n_chars from u""")
 def sentence_units(spark: SparkSession, d: str) -> DataFrame:
-    u = _blocks(spark, d).where("block_type = 'text'").select("block_id", T.sentence_units(F.col("content")).alias("u"))
+    """The chunker's units; with a size that no sentence exceeds."""
+    u = _blocks(spark, d).where("block_type = 'text'").select("block_id", chunks.text_units(F.col("content"), 1 << 30, 0).alias("u"))
     return u.select("block_id", F.size("u").cast("long").alias("n_units"), F.aggregate("u", F.lit(0).cast("long"), lambda a, x: a + F.length(x)).alias("n_chars"))
 
 
-@_query(f"""with w as (select block_id, content, unnest(range(0, case when length(content) <= 1200 then 1 else length(content) end, 1080)) as o from {Q.BLOCKS} where length(content) > 0)
-select block_id, cast(o as bigint) as start_char, cast(length(substr(content, o + 1, 1200)) as bigint) as n_chars from w""")
+@_query(f"""with u as (select block_id, {Q.strip("regexp_replace(content, '[。！？!?；;，、,:：]|\\n\\s*\\n', '', 'g')")} as t from {Q.BLOCKS} where length(content) > 0),
+w as (select block_id, t, unnest(range(0, case when length(t) <= 1200 then 1 else length(t) end, 1080)) as o from u where length(t) > 0)
+select block_id, cast(row_number() over (partition by block_id order by o) - 1 as bigint) as window_no, cast(length(substr(t, o + 1, 1200)) as bigint) as n_chars from w""")
 def hard_windows(spark: SparkSession, d: str) -> DataFrame:
-    w = _blocks(spark, d).where("length(content) > 0").select("block_id", F.posexplode(T.hard_windows(F.col("content"), 1200, 120)).alias("k", "w"))
-    return w.select("block_id", (F.col("k") * 1080).cast("long").alias("start_char"), F.length("w").cast("long").alias("n_chars"))
+    """The chunker's fixed windows: of texts without any sign that it could cut at."""
+    solid = T.strip(F.regexp_replace("content", r"[。！？!?；;，、,:：]|\n\s*\n", ""))
+    w = _blocks(spark, d).where("length(content) > 0").select("block_id", F.posexplode(chunks.text_units(solid, 1200, 120)).alias("k", "w"))
+    return w.select("block_id", F.col("k").cast("long").alias("window_no"), F.length("w").cast("long").alias("n_chars"))
 
 
 @_query(f"""with s as (select block_id, document_id, page_no, position, block_type, {Q.CHUNK_CONTENT} as text, array_to_string(list_filter(coalesce(section_path, []), lambda x: x <> ''), ' / ') as section, {Q.ELIGIBLE} as usable from {Q.BLOCKS}),
@@ -729,11 +733,12 @@ def formula_context(spark: SparkSession, d: str) -> DataFrame:
     return chunks.formula_neighbours(rows).select("block_id", F.col("before.block_id").alias("before_id"), F.col("after.block_id").alias("after_id"))
 
 
-@_query(f"""with u as (select block_id, unnest(list_filter(list_transform(regexp_extract_all(regexp_replace(content, '\\n\\s*\\n', chr(1), 'g'), '[^。！？!?；;\\x01]*[。！？!?；;]|[^。！？!?；;\\x01]+'), lambda x: {Q.strip('x')}), lambda x: regexp_matches(x, '[0-9]|%|％|同比|环比|上升|下降|增长|减少|最高|最低|占比|趋势|峰值|谷值|增加|降低'))) as fact from {Q.BLOCKS} where block_type in ('chart', 'text'))
+@_query(f"""with u as (select block_id, unnest(list_filter(list_transform(regexp_extract_all(regexp_replace(content, '\\n\\s*\\n', chr(1), 'g'), '[^。！？!?；;\\x01]*[。！？!?；;]|[^。！？!?；;\\x01]+'), lambda x: {Q.strip('x')}), lambda x: regexp_matches(x, {Q.lit(T.FACT)}))) as fact from {Q.BLOCKS} where block_type = 'chart')
 select block_id, count(*) as n_facts from u group by block_id having count(*) > 1""")
 def fact_units(spark: SparkSession, d: str) -> DataFrame:
-    u = _blocks(spark, d).where("block_type in ('chart', 'text')").select("block_id", F.explode(T.sentence_units(F.col("content"))).alias("fact"))
-    return u.where(F.col("fact").rlike(r"[0-9]|%|％|同比|环比|上升|下降|增长|减少|最高|最低|占比|趋势|峰值|谷值|增加|降低")).groupBy("block_id").agg(F.count("*").alias("n_facts")).where("n_facts > 1")
+    """The facts of charts; with a size that no sentence exceeds."""
+    u = _blocks(spark, d).where("block_type = 'chart'").select("block_id", F.size(chunks.fact_units(F.col("content"), 1 << 30, 0)).cast("long").alias("n_facts"))
+    return u.where("n_facts > 1")
 
 
 @_query("select doc_id, left(sha256(concat_ws(':', source, 'text', cast(doc_id as varchar), coalesce(title, ''))), 32) as stable_id from documents")
