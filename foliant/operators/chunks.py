@@ -16,7 +16,7 @@ from foliant.functions import text as T
 from foliant.operators import tables as TB
 from foliant.options import CHUNK_SCHEMA, DEFAULT, Options
 from foliant.plans.order import document_order, linked
-from foliant.session import cut_lineage, written_table
+from foliant.session import cut_lineage, measured, written_table
 
 REVIEW_NOTICE = "证据状态：待复核（保留解析器原始内容）"  # before the text of provisional chunks; a parameter of the exports
 
@@ -355,7 +355,7 @@ def _plain_chunks(rows: DataFrame) -> DataFrame:
 def build_chunks(blocks: DataFrame, context: DataFrame, captions: DataFrame, options: Options = DEFAULT) -> DataFrame:
     """The chunks of all documents: CHUNK_COLUMNS with chunk_id, embedding_text, retrieval_tier."""
     context = cut_lineage(context)  # a few rows a page, read twice
-    rows = written_table(prepared(blocks, context))  # read by every branch below
+    rows = written_table(prepared(blocks, measured(context.select("context_id", "table_id"))))  # read by every branch below
     made = _text_chunks(rows, options)
     for part in (_table_chunks(rows, context, options), _visual_chunks(rows, captions, options), _formula_chunks(rows), _plain_chunks(rows)):
         made = made.unionByName(part.select(*CHUNK_COLUMNS))

@@ -9,6 +9,7 @@ import zipfile
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def local_session(cores: int | str = 8, partitions: int = 8, **conf: str) -> SparkSession:
@@ -49,6 +50,11 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def measured(df: DataFrame, most: int = 200_000) -> DataFrame:
+    """A written df of few columns, marked for broadcast where it is counted to have at most ``most`` rows; larger ones are left to Spark's own choice."""
+    return F.broadcast(df) if df.count() <= most else df
+
+
 def written_table(df: DataFrame) -> DataFrame:
     """Like cut_lineage, as a compressed table in the shared folder: for rows with texts that several branches read, each of them only its columns."""
     path = f"{checkpoint_dir(df.sparkSession)}/table-{uuid.uuid4().hex}"
