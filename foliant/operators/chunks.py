@@ -99,7 +99,7 @@ def prepared(blocks: DataFrame, context: DataFrame) -> DataFrame:
 
 
 def text_runs(rows: DataFrame, *carried: str) -> DataFrame:
-    """document_id, run, page_no, position, block_id, n (characters) and the carried columns of the text blocks to be chunked; runs of blocks that go on are numbered in each document.
+    """document_id, run, page_no, position, block_id, n (characters) and the carried columns of the text blocks to be chunked, with their section; runs of blocks that go on are numbered in each document.
 
     A block goes on with the one before it (page furniture aside) if both are text to be chunked, of one section and status, and on one
     page in the same column, or on following pages with no sentence ended between."""
@@ -119,7 +119,7 @@ def text_runs(rows: DataFrame, *carried: str) -> DataFrame:
     sums = text.groupBy("document_id", "page_no").agg(F.sum("fresh").alias("breaks"))
     before = F.sum("breaks").over(Window.partitionBy("document_id").orderBy("page_no").rowsBetween(Window.unboundedPreceding, -1))
     text = text.withColumn("local", F.sum("fresh").over(inner)).join(sums.select("document_id", "page_no", F.coalesce(before, F.lit(0)).alias("before")), ["document_id", "page_no"])
-    return text.select("document_id", (F.col("before") + F.col("local")).alias("run"), "page_no", "position", "block_id", "n", *carried)
+    return text.select("document_id", (F.col("before") + F.col("local")).alias("run"), "page_no", "position", "block_id", "n", F.col("me.section").alias("section"), *carried)
 
 
 def _in_order(runs: DataFrame) -> DataFrame:
@@ -223,7 +223,7 @@ def _windows_worker(options: Options):
 
 def _text_chunks(rows: DataFrame, options: Options) -> DataFrame:
     """Texts move twice: with their page, to find the runs, and with their run, to be cut as it streams by."""
-    runs = _in_order(text_runs(rows, "text", "section", "is_provisional", "asset_id", "source_pages"))
+    runs = _in_order(text_runs(rows, "text", "is_provisional", "asset_id", "source_pages"))
     cut = runs.mapInArrow(_windows_worker(options), _TEXT_CHUNK)
     return cut.withColumn("chunk_role", F.lit("text_segment")).withColumn("block_type", F.lit("text")).withColumn("parent_id", logical_id("text", F.col("group_ids"))).select(*CHUNK_COLUMNS)
 
