@@ -368,12 +368,27 @@ ROLE_ORDER = ["text_segment", "table_summary", "table_row_group", "table_row", "
 
 
 def link_chunks(chunks: DataFrame) -> DataFrame:
-    """chunks with document_order, previous_chunk_id, next_chunk_id, sibling_index (within the parent)."""
+    """chunks with document_order, retrieval_order (the same), local_role_order (among those of one place), previous_chunk_id, next_chunk_id, and sibling_index, previous_sibling_id, next_sibling_id within the parent."""
     rank = F.coalesce(F.array_position(F.array(*map(F.lit, ROLE_ORDER)), F.col("chunk_role")), F.lit(99))
     order = ["anchor_order", "_rank", "chunk_index", "chunk_id"]
     rows = document_order(chunks.withColumn("_rank", rank), "document_id", "anchor_page", order)
-    rows = linked(rows, "document_id", "anchor_page", order, "chunk_id").drop("_rank")
-    return rows.withColumn("sibling_index", (F.row_number().over(Window.partitionBy("parent_id").orderBy("document_order")) - 1).cast("long"))
+    rows = linked(rows, "document_id", "anchor_page", order, "chunk_id")
+    place = Window.partitionBy("document_id", "anchor_page", "anchor_order").orderBy("_rank", "chunk_index", "chunk_id")
+    rows = rows.withColumn("retrieval_order", F.col("document_order")).withColumn("local_role_order", (F.row_number().over(place) - 1).cast("long")).drop("_rank")
+    among = Window.partitionBy("parent_id").orderBy("document_order")
+    return rows.withColumn("sibling_index", (F.row_number().over(among) - 1).cast("long")).withColumn("previous_sibling_id", F.lag("chunk_id").over(among)).withColumn("next_sibling_id", F.lead("chunk_id").over(among))
+
+
+def section_block_ids(chunks: DataFrame, blocks: DataFrame, sections: DataFrame) -> DataFrame:
+    """chunk_id, section_block_ids: the heading of each level of a chunk's section path, from the top; levels without one are left out, of several headings of one path the last counts.
+
+    sections: block_id, is_heading, section_path of section_paths."""
+    heads = sections.where("is_heading").join(blocks.select("block_id", "document_id", "page_no", "position"), "block_id")
+    heads = heads.groupBy("document_id", F.col("section_path").alias("prefix")).agg(F.max_by("block_id", F.struct("page_no", "position", "block_id")).alias("head_id"))
+    parts = F.split("section_path", " / ")
+    prefixes = F.transform(F.sequence(F.lit(1), F.size(parts)), lambda n: F.array_join(F.slice(parts, 1, n), " / "))
+    rows = chunks.where(F.length("section_path") > 0).select("chunk_id", "document_id", F.posexplode(prefixes).alias("depth", "prefix")).join(heads, ["document_id", "prefix"])
+    return rows.groupBy("chunk_id").agg(F.transform(F.array_sort(F.collect_list(F.struct("depth", "head_id"))), lambda x: x["head_id"]).alias("section_block_ids"))  # one for each level
 
 
 # exports and checks

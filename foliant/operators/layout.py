@@ -74,6 +74,21 @@ def table_context(blocks: DataFrame, pages: DataFrame) -> DataFrame:
     return pair.where(fits).withColumn("n", F.row_number().over(first)).where("n = 1").select("document_id", "context_id", "table_id", "kind")
 
 
+KIND_RANKS = {"title": 0, "reference": 1, "date": 2, "unit": 3, "note": 4}
+
+
+def table_captions(blocks: DataFrame, context: DataFrame) -> DataFrame:
+    """table_id, caption_block_id, caption: of a table's context the descriptive titles (4 characters and more) first, then the nearest, then by kind.
+
+    A block above is as far as the gap between them, any other as far as its right edge from the table's left; without boxes it comes last."""
+    c = context.join(blocks.select(F.col("block_id").alias("context_id"), "content", F.col("bbox").alias("c"), "position"), "context_id").join(blocks.select(F.col("block_id").alias("table_id"), F.col("bbox").alias("t")), "table_id")
+    gap = F.when(F.col("c").isNull() | F.col("t").isNull(), F.lit(float("inf"))).when(F.col("c.y1") <= F.col("t.y0"), F.col("t.y0") - F.col("c.y1")).otherwise(F.abs(F.col("t.x0") - F.col("c.x1")))
+    pairs = [x for k, v in KIND_RANKS.items() for x in (F.lit(k), F.lit(v))]
+    plain = F.when((F.col("kind") == "title") & (F.length(T.compact(F.col("content"))) >= 4), 0).otherwise(1)
+    score = F.struct(plain.alias("d"), gap.alias("g"), F.coalesce(F.try_element_at(F.create_map(*pairs), F.col("kind")), F.lit(5)).alias("k"), "position", "context_id")
+    return c.groupBy("table_id").agg(F.min_by(F.struct("context_id", T.strip(F.col("content")).alias("caption")), score).alias("b")).select("table_id", F.col("b.context_id").alias("caption_block_id"), "b.caption")
+
+
 def visual_captions(blocks: DataFrame, pages: DataFrame) -> DataFrame:
     """block_id, caption, caption_block_id of images, charts and formulas: the nearest block that ends above, if it is close (as-of join)."""
     sizes = pages.select("document_id", "page_no", _side("height").alias("ph"))

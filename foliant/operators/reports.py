@@ -91,3 +91,13 @@ def line_coverage(blocks: DataFrame, lines: DataFrame) -> DataFrame:
         F.count("*").alias("n_lines"), F.count_if(~body).alias("n_furniture"), F.count_if(body & yes("covered")).alias("n_covered"),
         F.count_if(body & yes("in_raw", "joint_raw")).alias("n_raw_matched"), F.count_if(body & yes("in_resolved", "joint_resolved")).alias("n_resolved_matched"),
     )
+
+
+def retry_candidates(blocks: DataFrame) -> DataFrame:
+    """The blocks that wait for another reading: status review or unreadable, page furniture left out."""
+    return blocks.where(F.col("status").isin("review", "unreadable") & ~T.template_type())
+
+
+def retry_counts(results: DataFrame) -> DataFrame:
+    """document_id, attempted, repaired, remaining of retried blocks (document_id, new_status)."""
+    return results.groupBy("document_id").agg(F.count("*").alias("attempted"), F.count_if(F.col("new_status").isin("accepted", "repaired")).alias("repaired"), F.count_if(F.col("new_status").isin("review", "unreadable")).alias("remaining"))

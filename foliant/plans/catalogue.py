@@ -302,6 +302,23 @@ def table_context(spark: SparkSession, d: str) -> DataFrame:
     return layout.table_context(_blocks(spark, d), _pages(spark, d)).drop("document_id")
 
 
+@_query(f"""with {_CONTEXT}, s as (select c.table_id, c.context_id, {Q.strip('b.content')} as caption, position, case when kind = 'title' and length({Q.compact('b.content')}) >= 4 then 0 else 1 end as plain,
+  case when b.bbox is null or t.bbox is null then 'infinity'::double when b.bbox.y1 <= t.bbox.y0 then t.bbox.y0 - b.bbox.y1 else abs(t.bbox.x0 - b.bbox.x1) end as gap, coalesce(list_position(['title', 'reference', 'date', 'unit', 'note'], kind) - 1, 5) as kind_rank
+  from context c join {Q.BLOCKS} b on b.block_id = c.context_id join (select block_id, bbox from {Q.BLOCKS}) t on t.block_id = c.table_id)
+select table_id, context_id as caption_block_id, caption from s qualify row_number() over (partition by table_id order by plain, gap, kind_rank, position, context_id) = 1""")
+def table_captions(spark: SparkSession, d: str) -> DataFrame:
+    b = _blocks(spark, d)
+    return layout.table_captions(b, layout.table_context(b, _pages(spark, d)))
+
+
+@_query(f"""select document_id, count(*) as attempted, count(*) filter (status in ('accepted', 'repaired')) as repaired, count(*) filter (status in ('review', 'unreadable')) as remaining
+from {Q.BLOCKS} where block_id in (select block_id from vlm_results) group by document_id""")
+def retry_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Blocks with second readings count as attempted."""
+    tried = _blocks(spark, d).join(_readings(spark, d).select("block_id").distinct(), "block_id", "left_semi")
+    return reports.retry_counts(tried.withColumnRenamed("status", "new_status"))
+
+
 @_query(f"""with v as (select document_id, page_no, block_id, bbox as v from {Q.BLOCKS} where block_type in ('image', 'chart', 'formula') and bbox is not null),
 c as (select document_id, page_no, block_id as caption_block_id, bbox as c, {Q.strip('content')} as caption, position from {Q.BLOCKS} where block_type in ('title', 'text', 'footnote', 'header') and bbox is not null and not {Q.blank('content')} and not coalesce(skip_chunk, false)),
 n as (select *, coalesce(ph, 1000.0) as h from v join c using (document_id, page_no) left join {_SIZES} using (document_id, page_no) where c.y1 <= v.y0 qualify row_number() over (partition by block_id order by c.y1 desc, position, caption_block_id desc) = 1)
@@ -622,7 +639,15 @@ def text_chunks(spark: SparkSession, d: str) -> DataFrame:
 
 @_query()
 def chunk_links(spark: SparkSession, d: str) -> DataFrame:
-    return chunks.link_chunks(cut_lineage(_built(spark, d))).select("chunk_id", "document_order", "previous_chunk_id", "next_chunk_id", "sibling_index")
+    return chunks.link_chunks(cut_lineage(_built(spark, d))).select("chunk_id", "document_order", "local_role_order", "previous_chunk_id", "next_chunk_id", "sibling_index", "previous_sibling_id", "next_sibling_id")
+
+
+@_query()
+def section_block_ids(spark: SparkSession, d: str) -> DataFrame:
+    b, s = _blocks(spark, d), _sections(spark, d)
+    placed = b.drop("section_path").join(s.select("block_id", F.when(F.length("section_path") > 0, F.split("section_path", " / ")).alias("section_path")), "block_id")
+    units = placed.select(F.col("block_id").alias("chunk_id"), "document_id", F.array_join("section_path", " / ").alias("section_path"))
+    return chunks.section_block_ids(units, b, s).select(F.col("chunk_id").alias("block_id"), F.array_join("section_block_ids", ",").alias("section_block_ids"))
 
 
 @_query()

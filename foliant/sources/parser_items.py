@@ -84,3 +84,57 @@ def json_of_reply(reply):
     """A model's JSON reply without its code fence, as a variant; null where it is no JSON."""
     bare = F.regexp_replace(F.regexp_replace(F.trim(reply), r"^```(?:json)?\s*", ""), r"\s*```$", "")
     return F.try_parse_json(bare)
+
+
+# Media types by suffix.
+MEDIA_TYPES = {"png": "image/png", "jpg": "image/jpeg", "jpeg": "image/jpeg", "gif": "image/gif", "webp": "image/webp", "bmp": "image/bmp", "tif": "image/tiff", "tiff": "image/tiff"}
+
+
+def _basename(path):
+    return F.element_at(F.split(path, "/"), -1)
+
+
+def assets_of_blocks(spark: SparkSession, blocks: DataFrame, pattern: str) -> DataFrame:
+    """asset_id, document_id, page_no, block_id, kind, mime_type, sha256, length, source_path: the files that blocks (of blocks_of_items) name, found by their base name; of several the first path.
+
+    Files are hashed where they are read; pictures that no file has give no row."""
+    files = spark.read.format("binaryFile").load(pattern).select(_basename(F.col("path")).alias("name"), F.struct("path", F.sha2("content", 256).alias("sha256"), "length").alias("f"))
+    files = files.groupBy("name").agg(F.min_by("f", "f.path").alias("f"))
+    named = blocks.where(F.length("image") > 0).select("document_id", "page_no", "block_id", F.col("block_type").alias("kind"), _basename(F.col("image")).alias("name"))
+    pairs = [x for k, v in MEDIA_TYPES.items() for x in (F.lit(k), F.lit(v))]
+    mime = F.coalesce(F.try_element_at(F.create_map(*pairs), F.lower(F.element_at(F.split("name", r"\."), -1))), F.lit("application/octet-stream"))
+    return named.join(files, "name").select(X.stable_id(F.col("document_id"), F.lit("asset"), F.col("block_id")).alias("asset_id"), "document_id", "page_no", "block_id", "kind", mime.alias("mime_type"), "f.sha256", "f.length", F.col("f.path").alias("source_path"))
+
+
+def layout_metadata(spark: SparkSession, pattern: str) -> DataFrame:
+    """folder, layout_json, backend, effort, ocr_enable, version_name, page_count, read_error of each folder's layout file: layout.json, else the first that ends in _middle.json. A file that is no JSON object has a read_error."""
+    files = spark.read.text(pattern, wholetext=True).select(F.col("_metadata.file_path").alias("path"), "value").where(F.col("path").rlike(r"(/layout|_middle)\.json$"))
+    first = files.groupBy(F.regexp_replace("path", "/[^/]*$", "").alias("folder")).agg(F.min_by(F.struct("path", "value"), F.struct(~F.col("path").endswith("/layout.json"), "path")).alias("f"))
+    v = F.try_parse_json(F.col("f.value"))
+    field = lambda name, kind="string": F.try_variant_get(v, f"$._{name}", kind).alias(name)
+    pages = F.size(F.from_json(F.get_json_object("f.value", "$.pdf_info"), "array<string>"))
+    broken = v.isNull() | ~F.ltrim("f.value").startswith("{")
+    return first.select("folder", F.col("f.path").alias("layout_json"), field("backend"), field("effort"), field("ocr_enable", "boolean"), field("version_name"), F.when(~broken, F.coalesce(F.greatest(pages, F.lit(0)), F.lit(0))).alias("page_count"), F.when(broken, "no JSON object").alias("read_error"))
+
+
+def run_problems(runs: DataFrame) -> DataFrame:
+    """runs (backend, page_count, expected_pages, full_document, archive_sha256, baseline_sha256) with problems: what is wrong with a parse-only run; an empty array where nothing is.
+
+    The backend must be a vision one; page counts are compared for full documents only; an archive equal to the baseline's is none of this run."""
+    vision = F.coalesce((F.lower("backend") == "vlm") | F.lower("backend").startswith("vlm-"), F.lit(False))
+    pages = F.coalesce(F.col("full_document"), F.lit(False)) & ~F.col("page_count").eqNullSafe(F.col("expected_pages"))
+    same = F.coalesce(F.col("archive_sha256") == F.col("baseline_sha256"), F.lit(False))
+    return runs.withColumn("problems", F.array_compact(F.array(F.when(~vision, "backend"), F.when(pages, "page_count"), F.when(same, "same_archive"))))
+
+
+STRUCTURE_REPLY = "readable boolean, rotation_degrees int, header_region array<double>, data_region array<double>, header_rows int, column_count int, title string, date string, unit string, footnotes array<string>, uncertainty array<string>"
+
+
+def structure_of_reply(reply):
+    """A model's reply about a table's structure as a struct with defaults; null where it is no JSON object or its rotation is none of 0, 90, 180 and 270 degrees."""
+    bare = F.regexp_replace(F.regexp_replace(F.trim(reply), r"^```(?:json)?\s*", ""), r"\s*```$", "")
+    r = F.from_json(bare, STRUCTURE_REPLY)
+    none = {"readable": F.lit(True), "rotation_degrees": F.lit(0), "header_rows": F.lit(1), "column_count": F.lit(0), "title": F.lit(""), "date": F.lit(""), "unit": F.lit("")}
+    lists = {"header_region": "array<double>", "data_region": "array<double>", "footnotes": "array<string>", "uncertainty": "array<string>"}
+    full = F.struct(*[F.coalesce(r[n], v).alias(n) for n, v in none.items()], *[F.coalesce(r[n], F.array().cast(t)).alias(n) for n, t in lists.items()])
+    return F.when(F.try_parse_json(bare).isNotNull() & F.ltrim(bare).startswith("{") & F.coalesce(r["rotation_degrees"], F.lit(0)).isin(0, 90, 180, 270), full)

@@ -279,3 +279,26 @@ def test_windows_on_streams_drop_repeats_and_late_rows(spark, tmp_path):
         assert query.exception() is None, k
     got = {str(r.window_start): (r.n, r.total) for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     assert got == {"2024-01-01 00:00:00": (2, 3.0), "2024-01-01 05:00:00": (1, 4.0), "2024-01-01 09:00:00": (1, 1.0)}
+
+
+def test_assets_layout_files_and_runs(spark, tmp_path):
+    folder = tmp_path / "run"
+    folder.mkdir()
+    (folder / "pic.png").write_bytes(b"abc")
+    (folder / "layout.json").write_text('{"_backend": "vlm-x", "_ocr_enable": true, "pdf_info": [1, 2]}')
+    (folder / "a_middle.json").write_text("{}")
+    blocks = spark.createDataFrame([("d", 1, "b", "image", "images/pic.png"), ("d", 1, "c", "image", "none.png"), ("d", 1, "e", "text", "")], "document_id string, page_no int, block_id string, block_type string, image string")
+    got = parser_items.assets_of_blocks(spark, blocks, f"{folder}/*.png").collect()
+    assert [(r.block_id, r.mime_type, r.length) for r in got] == [("b", "image/png", 3)] and got[0].sha256.startswith("ba7816bf")
+    meta = parser_items.layout_metadata(spark, f"{folder}/*.json").first()
+    assert meta.layout_json.endswith("layout.json") and (meta.backend, meta.ocr_enable, meta.page_count, meta.read_error) == ("vlm-x", True, 2, None)
+    (folder / "layout.json").write_text("no")
+    assert parser_items.layout_metadata(spark, f"{folder}/*.json").first().read_error == "no JSON object"
+    runs = spark.createDataFrame([("vlm-x", 2, 2, True, "a", "b"), ("pipeline", 1, 2, True, "a", "a"), ("vlm", 1, 2, False, None, None)], "backend string, page_count int, expected_pages int, full_document boolean, archive_sha256 string, baseline_sha256 string")
+    assert [r.problems for r in parser_items.run_problems(runs).collect()] == [[], ["backend", "page_count", "same_archive"], []]
+
+
+def test_structure_replies(spark):
+    rows = [('```json\n{"rotation_degrees": 90, "title": "t"}\n```',), ('{"rotation_degrees": 45}',), ("no",), (None,)]
+    got = [r.s for r in spark.createDataFrame(rows, "x string").select(parser_items.structure_of_reply(F.col("x")).alias("s")).collect()]
+    assert got[0].rotation_degrees == 90 and got[0].title == "t" and got[0].header_rows == 1 and got[0].footnotes == [] and got[1:] == [None, None, None]
