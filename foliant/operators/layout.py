@@ -5,7 +5,6 @@ text_level, skip_chunk; pages are rows with document_id, page_no, width, height.
 
 from __future__ import annotations
 
-import re
 from statistics import median
 
 import pandas as pd
@@ -122,18 +121,30 @@ def neighbours(blocks: DataFrame) -> DataFrame:
 
 # reading order, page by page
 
-_YEAR_END = re.compile(r"(?:截至|自|至|到)\s*\d{4}\s*年(?:第?[一二三四1234]\s*季度)?\s*$")
-_YEAR_GOES_ON = re.compile(r"^(?:末|初|底|以来|上半年|下半年)[，,、：:]?")
-_CHAPTER = re.compile(r"^(?:第[一二三四五六七八九十百\d]+[编章节篇]|专栏|专题)")
+# What a block's text tells about its place; read in the JVM, so that texts stay where they are.
+YEAR_END = r"(?:截至|自|至|到)\s*\d{4}\s*年(?:第?[一二三四1234]\s*季度)?\s*$"
+YEAR_GOES_ON = r"^(?:末|初|底|以来|上半年|下半年)[，,、：:]?"
+CHAPTER_BEGINS = r"^(?:第[一二三四五六七八九十百\d]+[编章节篇]|专栏|专题)"
+REFERENCE_RANK, UNIT_RANK, NOTE_RANK, DATE_RANK = r"^(?:附表|表|图)\d+", r"^[（(]?(?:单位|币种)[：:]", r"^(?:[（(]?(?:注|说明|数据来源|资料来源)[：:]|[①-⑩])", r"^[（(].*(?:余额|日期).*[）)]$"
+
+
+def _order_features(content: Column, block_type: Column) -> Column:
+    """rank (of a line of context: references, titles, units, dates, notes), chapter, year_end, goes_on."""
+
+    def rank(flat: Column) -> Column:
+        return F.when(flat.rlike(REFERENCE_RANK), 0).when(flat.rlike(UNIT_RANK), 2).when(flat.rlike(NOTE_RANK) | (block_type == "footnote"), 4).when(flat.rlike(DATE_RANK), 3).otherwise(1)
+
+    return T.let(T.strip(content), lambda t: F.struct(T.let(T.compact(t), rank).alias("rank"), t.rlike(CHAPTER_BEGINS).alias("chapter"), t.rlike(YEAR_END).alias("year_end"), t.rlike(YEAR_GOES_ON).alias("goes_on")))
 
 
 class _Box:
     """A block of one page while its order is worked out."""
 
-    __slots__ = ("column", "flags", "id", "kind", "level", "order", "role", "table", "text", "x0", "x1", "y0", "y1")
+    __slots__ = ("chapter", "column", "context_rank", "flags", "goes_on", "id", "kind", "level", "order", "role", "table", "x0", "x1", "y0", "y1", "year_end")
 
     def __init__(self, row):
-        self.id, self.kind, self.text, self.level, self.table, self.order = row.block_id, row.block_type, row.content or "", row.text_level, row.table_id, row.position
+        self.id, self.kind, self.level, self.table, self.order = row.block_id, row.block_type, row.text_level, row.table_id, row.position
+        self.context_rank, self.chapter, self.year_end, self.goes_on = row.rank, row.chapter, row.year_end, row.goes_on
         self.x0, self.y0, self.x1, self.y1 = row.x0, row.y0, row.x1, row.y1
         self.flags, self.column, self.role = [], None, None
 
@@ -142,18 +153,7 @@ class _Box:
     w = property(lambda self: max(0.0, self.x1 - self.x0))
     h = property(lambda self: max(0.0, self.y1 - self.y0))
     rows = property(lambda self: (self.y0, self.x0, self.order, self.id))
-
-    def context_rank(self) -> int:
-        flat = re.sub(r"\s+", "", self.text)
-        if re.match(r"(?:附表|表|图)\d+", flat):
-            return 0
-        if re.match(r"[（(]?(?:单位|币种)[：:]", flat):
-            return 2
-        if re.match(r"[（(]?(?:注|说明|数据来源|资料来源)[：:]|[①-⑩]", flat) or self.kind == "footnote":
-            return 4
-        return 3 if re.fullmatch(r"[（(].*(?:余额|日期).*[）)]", flat) else 1
-
-    context_key = property(lambda self: (self.context_rank(), self.y0, self.x0))
+    context_key = property(lambda self: (self.context_rank, self.y0, self.x0))
 
 
 def _by_columns(boxes: list[_Box], width: float) -> tuple[list[_Box], bool]:
@@ -190,7 +190,7 @@ def _turned(boxes: list[_Box]) -> list[_Box]:
     out = sorted((b for b in loose if b.y1 < top), key=lambda b: (b.y0, b.x0))
     for k, t in enumerate(tables):
         context = sorted(own[t.id], key=lambda b: b.context_key)
-        for b in [*(c for c in context if c.context_rank() < 4), t, *(c for c in context if c.context_rank() >= 4)]:
+        for b in [*(c for c in context if c.context_rank < 4), t, *(c for c in context if c.context_rank >= 4)]:
             b.column = k
             b.flags.append("LAY-002")
             out.append(b)
@@ -215,7 +215,7 @@ def order_page(boxes: list[_Box], width: float) -> tuple[list[_Box], str]:
         if b.id in apart:
             continue
         visual = b.kind in VISUAL_TYPES
-        heading = b.kind == "title" or b.level is not None or bool(_CHAPTER.match(b.text.strip()))
+        heading = b.kind == "title" or b.level is not None or b.chapter
         wide = b.w >= 0.66 * width if visual else b.id not in bound and (b.w >= 0.72 * width or (heading and b.w >= 0.58 * width and b.h <= 0.08 * width))
         if wide:
             bars.append(b)
@@ -247,10 +247,10 @@ def mend_years(boxes: list[_Box]) -> tuple[list[_Box], int]:
     """A block that ends with a year goes before the block to its right whose text goes on after the year."""
     out, mended = list(boxes), 0
     for place, prefix in enumerate(boxes):
-        if not _YEAR_END.search(prefix.text.strip()):
+        if not prefix.year_end:
             continue
         at = next((k for k, b in enumerate(out) if b.id == prefix.id), place)
-        after = [b for b in out[:at] if b.kind == "text" and _YEAR_GOES_ON.match(b.text.strip()) and prefix.x0 < b.x0 and abs(prefix.y0 - b.y0) <= 100]
+        after = [b for b in out[:at] if b.kind == "text" and b.goes_on and prefix.x0 < b.x0 and abs(prefix.y0 - b.y0) <= 100]
         if after:
             out.remove(prefix)
             out.insert(out.index(after[-1]), prefix)
@@ -285,10 +285,11 @@ def _order_pages(frame: pd.DataFrame) -> pd.DataFrame:
 
 
 def reading_order(blocks: DataFrame, pages: DataFrame, context: DataFrame | None = None) -> DataFrame:
-    """document_id, page_no, block_id, place (0-based), column_index, new_flags, strategy, mended. One group is one page."""
+    """document_id, page_no, block_id, place (0-based), column_index, new_flags, strategy, mended. One group is one page; of its texts only a few features go there."""
     own = (context if context is not None else table_context(blocks, pages)).select(F.col("context_id").alias("block_id"), "table_id")
     rows = blocks.join(own, "block_id", "left").join(pages.select("document_id", "page_no", "width"), ["document_id", "page_no"], "left")
-    rows = rows.where("document_id is not null and page_no is not null").select("document_id", "page_no", "block_id", "block_type", "content", "text_level", "table_id", "position", "width", *[F.col(f"bbox.{c}").alias(c) for c in ("x0", "y0", "x1", "y1")])
+    rows = rows.where("document_id is not null and page_no is not null").select("document_id", "page_no", "block_id", "block_type", _order_features(F.col("content"), F.col("block_type")).alias("f"), "text_level", "table_id", "position", "width", *[F.col(f"bbox.{c}").alias(c) for c in ("x0", "y0", "x1", "y1")])
+    rows = rows.select("*", "f.*").drop("f")
     schema = "document_id string, page_no int, block_id string, place long, column_index long, new_flags string, strategy string, mended long"
     return rows.groupBy("document_id", "page_no").applyInPandas(_order_pages, schema)
 

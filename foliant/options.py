@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import os
+from collections.abc import Mapping
+from dataclasses import dataclass, fields
 
 # Names that tables and exports share.
 BLOCK_TYPES = ("text", "title", "table", "image", "chart", "formula", "seal", "footnote", "header", "footer", "page_number", "unknown")
@@ -54,5 +56,11 @@ class Options:
         if self.text_size <= 0 or not 0 <= self.text_overlap < self.text_size or self.table_row_group <= 0:
             raise ValueError("text_size and table_row_group must be positive, and the overlap less than text_size")
 
+    @classmethod
+    def from_environment(cls, values: Mapping[str, str] = os.environ) -> Options:
+        """The defaults, with what variables like FOLIANT_TEXT_SIZE say instead."""
+        given = {f.name: type(f.default)(values[f"FOLIANT_{f.name.upper()}"]) for f in fields(cls) if f"FOLIANT_{f.name.upper()}" in values}
+        return cls(**given)
+
 
 DEFAULT = Options()

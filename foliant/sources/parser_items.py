@@ -75,6 +75,12 @@ def text_lines(words: DataFrame) -> DataFrame:
     return got.select("document_id", "page_no", "line_no", "text", F.struct("x0", "y0", "x1", "y1").alias("bbox"))
 
 
+def invalid_words(words: DataFrame) -> DataFrame:
+    """document_id, n_invalid: how many words text_lines leaves out, for layer_reliability."""
+    bad = ~F.coalesce((F.col("x1") > F.col("x0")) & (F.col("y1") > F.col("y0")) & (F.col("page_width") > 0) & (F.col("page_height") > 0), F.lit(False))
+    return words.groupBy("document_id").agg(F.count_if(bad).alias("n_invalid"))
+
+
 def file_identities(spark: SparkSession, pattern: str) -> DataFrame:
     """path, document_id (SHA-256 of the bytes), length of files."""
     return spark.read.format("binaryFile").load(pattern).select("path", F.sha2("content", 256).alias("document_id"), "length")

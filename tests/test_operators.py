@@ -5,6 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from foliant.operators import evaluation, images, quality, reports, retrieval
+from foliant.options import Options
 from foliant.plans.order import document_order, linked
 from foliant.sinks import stores
 from foliant.sources import parser_items
@@ -110,6 +111,7 @@ def test_text_lines(spark):
     words = spark.createDataFrame([("d", 1, 0, 1, "b", 20.0, 5.0, 30.0, 10.0, 100.0, 50.0), ("d", 1, 0, 0, "a", 10.0, 6.0, 18.0, 12.0, 100.0, 50.0), ("d", 1, 1, 0, "x", 9.0, 5.0, 3.0, 6.0, 100.0, 50.0)], "document_id string, page_no int, line_no int, word_no int, text string, x0 double, y0 double, x1 double, y1 double, page_width double, page_height double")
     r = parser_items.text_lines(words).collect()
     assert len(r) == 1 and r[0].text == "a b" and tuple(r[0].bbox) == (100.0, 100.0, 300.0, 240.0)
+    assert parser_items.invalid_words(words).first().n_invalid == 1
 
 
 def test_json_of_reply(spark):
@@ -298,6 +300,13 @@ def test_assets_layout_files_and_runs(spark, tmp_path):
     assert [r.problems for r in parser_items.run_problems(runs).collect()] == [[], ["backend", "page_count", "same_archive"], []]
 
 
+def test_options_from_the_environment():
+    made = Options.from_environment({"FOLIANT_TEXT_SIZE": "900", "FOLIANT_MARGIN_SHARE": "0.5", "OTHER": "x"})
+    assert (made.text_size, made.margin_share, made.text_overlap) == (900, 0.5, 120)
+    with pytest.raises(ValueError):
+        Options.from_environment({"FOLIANT_TEXT_SIZE": "0"})
+
+
 def test_structure_replies(spark):
     rows = [('```json\n{"rotation_degrees": 90, "title": "t"}\n```',), ('{"rotation_degrees": 45}',), ("no",), (None,)]
     got = [r.s for r in spark.createDataFrame(rows, "x string").select(parser_items.structure_of_reply(F.col("x")).alias("s")).collect()]
