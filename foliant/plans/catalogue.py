@@ -816,3 +816,17 @@ def event_windows(spark: SparkSession, d: str) -> DataFrame:
 def file_status(spark: SparkSession, d: str) -> DataFrame:
     f = table(spark, d, "source_files", "document_id", "status", "updated_at")
     return f.groupBy("document_id").agg(F.min_by("status", F.struct(-F.unix_micros("updated_at"), "status")).alias("status"), F.unix_micros(F.max("updated_at")).alias("updated_us"))
+
+
+# SQL that is put together from that of other queries
+
+SQL["structure_summary"] = f"""select b.document_id, count(distinct b.page_no) as n_pages, count(*) filter (s.is_heading) as n_headings, count(c.context_id) as n_table_context, count(k.block_id) as n_carried
+from {Q.BLOCKS} b left join ({SQL['section_paths']}) s on s.block_id = b.block_id left join ({SQL['table_context']}) c on c.context_id = b.block_id left join ({SQL['carry_over_dups']}) k on k.block_id = b.block_id group by b.document_id"""
+SQL["line_coverage"] = f"""with {_LAYER}, tx as (select document_id, page_no, block_id, position, bbox as box, block_type in ('header', 'footer', 'page_number') as furniture, block_type not in ('image', 'chart', 'header', 'footer', 'page_number') as semantic,
+  {Q.normal(Q.flat("coalesce(raw_content, '')"))} as raw, {Q.normal(Q.flat("coalesce(resolved_content, '')"))} as resolved from {Q.BLOCKS} where bbox is not null),
+pairs as (select l.document_id, l.page_no, l.line_no, norm, position, block_id, furniture, semantic, raw, resolved from layer l join tx on tx.document_id = l.document_id and tx.page_no = l.page_no where length(norm) >= 4 and {Q.covers('tx.box', 'l.bbox')}),
+one as (select document_id, page_no, line_no, bool_or(furniture) as furniture, bool_or(semantic) as covered, bool_or(semantic and {Q.alike('norm', 'raw')}) or coalesce(contains(string_agg(raw, '' order by position, block_id) filter (semantic), any_value(norm)), false) as in_raw,
+  bool_or(semantic and {Q.alike('norm', 'resolved')}) or coalesce(contains(string_agg(resolved, '' order by position, block_id) filter (semantic), any_value(norm)), false) as in_resolved from pairs group by all)
+select l.document_id, count(*) as n_lines, count(*) filter (coalesce(furniture, false)) as n_furniture, count(*) filter (not coalesce(furniture, false) and coalesce(covered, false)) as n_covered,
+count(*) filter (not coalesce(furniture, false) and coalesce(in_raw, false)) as n_raw_matched, count(*) filter (not coalesce(furniture, false) and coalesce(in_resolved, false)) as n_resolved_matched
+from layer l left join one using (document_id, page_no, line_no) where length(norm) >= 4 group by l.document_id"""
