@@ -112,6 +112,7 @@ def p10_clean_corpus(spark: SparkSession, folder: str) -> DataFrame:
 
 SQL["p10_found"] = residue.sql_residue_documents()
 SQL["p10_messages"] = residue.sql_message_groups()
+SQL["p10_clean_corpus"] = f"select doc_id, source, lang, text from documents where doc_id not in ({residue.sql_residue_documents()})"
 
 
 # 3: markup residue
