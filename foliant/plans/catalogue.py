@@ -570,15 +570,11 @@ def _grids(spark: SparkSession, d: str) -> DataFrame:
     return tables.with_grids(_blocks(spark, d).where("block_type = 'table'"), "block_id", "content")
 
 
-_PLAIN = f"(select block_id, content from {Q.BLOCKS} where block_type = 'table' and not regexp_matches(content, '(?i)rowspan|colspan') and regexp_matches(content, '(?is)<table.*</table>'))"
-
-
-@_query(f"""with r as (select block_id, regexp_extract_all(content, '(?is)<tr[^>]*>(.*?)</tr>', 1) as rows from {_PLAIN}), c as (select block_id, unnest(range(len(rows))) as row_no, unnest(rows) as row from r),
-v as (select block_id, row_no, regexp_extract_all(row, '(?is)<t[dh][^>]*>(.*?)</t[dh]>', 1) as cells from c)
-select block_id, cast(row_no as integer) as row_no, cast(unnest(range(len(cells))) as integer) as column_no, {Q.collapse("regexp_replace(unnest(cells), '<[^>]*>', ' ', 'g')")} as value from v""")
-def plain_table_cells(spark: SparkSession, d: str) -> DataFrame:
-    b = _blocks(spark, d).where("block_type = 'table' and not content rlike '(?i)rowspan|colspan' and content rlike '(?is)<table.*</table>'")
-    return tables.table_cells(tables.with_grids(b, "block_id", "content"), "block_id").drop("is_header")
+@_query(f"""with t as (select block_id, string_split_regex(regexp_extract(content, '(?is)<table(.*?)(?:</table|$)', 1), '(?i)<tr[\\s>/]')[2:] as rows from {Q.BLOCKS} where block_type = 'table'),
+r as (select block_id, unnest(rows) as row from t), c as (select block_id, list_sum(list_transform(regexp_extract_all(row, '(?is)<t[dh](?:\\s[^>]*)?>'), lambda x: coalesce(try_cast(nullif(regexp_extract(x, '(?i)colspan\\s*=\\s*["'']?(\\d+)', 1), '') as bigint), 1))) as n from r)
+select t.block_id, cast(coalesce(max(n), 0) as bigint) as n_columns from t left join c using (block_id) group by t.block_id""")
+def table_column_counts(spark: SparkSession, d: str) -> DataFrame:
+    return _blocks(spark, d).where("block_type = 'table'").select("block_id", tables.column_count(F.col("content")).alias("n_columns"))
 
 
 @_query()
